@@ -34,3 +34,14 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it stops early on
+    a large input; above the bound the plain (shuffle) join is used and AQE may
+    still pick a broadcast from run-time statistics.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

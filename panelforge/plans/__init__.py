@@ -6,7 +6,7 @@ import importlib
 
 from panelforge.plans.registry import REGISTRY
 
-_MODULES = ("q_panel",)
+_MODULES = ("q_panel", "q_split")
 
 
 def load_all():

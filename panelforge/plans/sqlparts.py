@@ -84,9 +84,19 @@ targeted AS (
 PANEL = ",".join([FIXTURE_ROWS, COLLAPSED, ROLLED, TARGETED])
 
 
-def with_panel(*extra: str) -> str:
+NOW_COST_LINE = "4.0 + CAST(user_id % 90 AS DOUBLE) / 10.0 AS now_cost"
+# Null injection used by the fill / coalesce tests: every fixture row of a
+# (player, period) with (player + period) % 11 = 0 has no price.
+NOW_COST_NULLED = (
+    "CASE WHEN (user_id + day(ts)) % 11 = 0 THEN NULL "
+    "ELSE 4.0 + CAST(user_id % 90 AS DOUBLE) / 10.0 END AS now_cost"
+)
+
+
+def with_panel(*extra: str, null_cost: bool = False) -> str:
     """``WITH`` + panel CTEs + extra CTE definitions."""
-    return "WITH " + ",".join([PANEL, *extra])
+    panel = PANEL.replace(NOW_COST_LINE, NOW_COST_NULLED) if null_cost else PANEL
+    return "WITH " + ",".join([panel, *extra])
 
 
 def backtest_ctes(pred_expr: str, src: str = "targeted", actual_expr: str = "target_next_gw_points") -> list[str]:

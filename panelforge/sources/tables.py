@@ -26,10 +26,17 @@ def _flag(event_type: str):
     return F.when(F.col("event_type") == event_type, 1).otherwise(0).cast("int")
 
 
-def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> one row per (player, period, fixture); several per period."""
+def fixture_rows(spark: SparkSession, sf_dir: str, null_cost: bool = False) -> DataFrame:
+    """events -> one row per (player, period, fixture); several per period.
+
+    ``null_cost`` blanks the price of every row of a (player, period) with
+    (player + period) % 11 = 0 (input for the fill / coalesce paths).
+    """
     ev = read_table(spark, sf_dir, "events")
     uid = F.col("user_id")
+    cost = 4.0 + (uid % 90) / 10.0
+    if null_cost:
+        cost = F.when((uid + F.dayofmonth("ts")) % 11 != 0, cost)
     return ev.select(
         uid.alias("player_id"),
         F.concat(F.lit("P"), uid.cast("string")).alias("web_name"),
@@ -45,7 +52,7 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         _flag("signup").alias("bonus"),
         _flag("error").alias("yellow_cards"),
         (F.get_json_object("props", "$.k").try_cast("int") / 10.0).alias("ict_index"),
-        (4.0 + (uid % 90) / 10.0).alias("now_cost"),
+        cost.alias("now_cost"),
     )
 
 
