@@ -14,6 +14,7 @@ Shape of the plan (no driver loops, one row per period at the end):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -59,16 +60,22 @@ def weekly_backtest(
     minutes: str = "minutes_played",
     rules: BacktestRules = BacktestRules(),
     buckets: int = DEFAULT_BUCKETS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One row per period with totals, ratio, MAE/RMSE/bias, range ratio,
     top-15 squad totals, XI vs oracle XI regret, top-k hit rate, Spearman and
     the collapse flag.  Ties in every top-k: value desc, then entity asc.
+
+    ``by`` adds grouping keys in front of the period (e.g. a predictor name
+    on a long-form table), so several predictors are back-tested in one plan.
     """
+    by = list(by)
+    keys = [*by, period]
     f = _prep(df, actual, pred)
     has_min = minutes in f.columns
     likely_cond = F.col(minutes) >= rules.likely_minutes if has_min else F.lit(True)
 
-    base = f.groupBy(period).agg(
+    base = f.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum("predicted_points"), F.lit(0.0)).alias("prediction_total"),
         F.coalesce(F.sum("actual_points"), F.lit(0.0)).alias("actual_total"),
@@ -83,8 +90,8 @@ def weekly_backtest(
     by_pred = [F.col("predicted_points").desc(), F.col(entity).asc()]
     by_act = [F.col("actual_points").desc(), F.col(entity).asc()]
     squad = (
-        topk(f.filter(F.col("predicted_points").isNotNull()), [period], by_pred, rules.squad_size)
-        .groupBy(period)
+        topk(f.filter(F.col("predicted_points").isNotNull()), keys, by_pred, rules.squad_size)
+        .groupBy(*keys)
         .agg(
             F.sum("predicted_points").alias("selected_squad_predicted_total"),
             F.coalesce(F.sum("actual_points"), F.lit(0.0)).alias("selected_squad_actual_total"),
@@ -94,26 +101,26 @@ def weekly_backtest(
         )
     )
     oracle = (
-        topk(f.filter(F.col("actual_points").isNotNull()), [period], by_act, rules.xi_size)
-        .groupBy(period)
+        topk(f.filter(F.col("actual_points").isNotNull()), keys, by_act, rules.xi_size)
+        .groupBy(*keys)
         .agg(F.sum("actual_points").alias("oracle_xi_actual_total"))
     )
     likely = f.filter(likely_cond)
-    tp = topk(likely.filter(F.col("predicted_points").isNotNull()), [period], by_pred, rules.top_k).select(period, entity)
-    ta = topk(likely.filter(F.col("actual_points").isNotNull()), [period], by_act, rules.top_k).select(period, entity)
-    hits = tp.join(ta, [period, entity]).groupBy(period).agg(F.count(F.lit(1)).alias("_hits"))
+    tp = topk(likely.filter(F.col("predicted_points").isNotNull()), keys, by_pred, rules.top_k).select(*keys, entity)
+    ta = topk(likely.filter(F.col("actual_points").isNotNull()), keys, by_act, rules.top_k).select(*keys, entity)
+    hits = tp.join(ta, [*keys, entity]).groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits"))
 
-    ranked = average_rank(likely, [period], "predicted_points", "_rp", buckets)
-    ranked = average_rank(ranked, [period], "actual_points", "_ra", buckets)
-    corr = ranked.groupBy(period).agg(pearson("_rp", "_ra").alias("rank_correlation"))
+    ranked = average_rank(likely, keys, "predicted_points", "_rp", buckets)
+    ranked = average_rank(ranked, keys, "actual_points", "_ra", buckets)
+    corr = ranked.groupBy(*keys).agg(pearson("_rp", "_ra").alias("rank_correlation"))
 
     k = F.least(F.lit(rules.top_k), F.col("_n_likely"))
     ratio = F.col("prediction_total") / F.greatest(F.col("actual_total"), F.lit(1e-9))
     out = (
-        base.join(squad, period, "left")
-        .join(oracle, period, "left")
-        .join(hits, period, "left")
-        .join(corr, period, "left")
+        base.join(squad, keys, "left")
+        .join(oracle, keys, "left")
+        .join(hits, keys, "left")
+        .join(corr, keys, "left")
         .withColumns(
             {
                 "prediction_to_actual_ratio": ratio,
@@ -127,6 +134,7 @@ def weekly_backtest(
         )
     )
     return out.select(
+        *by,
         F.col(period).cast("int").alias("gameweek_id"),
         "n_rows",
         "prediction_total",
@@ -183,14 +191,15 @@ def segment_totals(
     )
 
 
-def bias_flips(weekly: DataFrame, threshold: float = 10.0) -> DataFrame:
+def bias_flips(weekly: DataFrame, threshold: float = 10.0, by: Sequence[str] = ()) -> DataFrame:
     """Consecutive periods whose bias changes sign with both |bias| >= threshold.
 
     ``weekly`` is the per-period table (one row per period), so the
     un-partitioned window runs over #periods rows only.
     """
-    w = Window.orderBy("gameweek_id")
+    w = Window.partitionBy(*by).orderBy("gameweek_id")
     prev = weekly.select(
+        *by,
         F.lag("gameweek_id").over(w).alias("prev_gameweek_id"),
         F.col("gameweek_id"),
         F.lag("bias").over(w).alias("prev_bias"),
@@ -206,7 +215,7 @@ def bias_flips(weekly: DataFrame, threshold: float = 10.0) -> DataFrame:
         & (F.abs("bias") >= threshold)
     )
     return prev.filter(cond).select(
-        F.col("prev_gameweek_id").cast("int"), F.col("gameweek_id").cast("int"), "prev_bias", "bias"
+        *by, F.col("prev_gameweek_id").cast("int"), F.col("gameweek_id").cast("int"), "prev_bias", "bias"
     )
 
 
@@ -244,24 +253,31 @@ def backtest_summary(
     pred: str = "predicted_points",
     segment: str = "position_id",
     rules: BacktestRules = BacktestRules(),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One summary row over the per-period table and the row-level frame."""
+    """One summary row (per ``by`` key) over the per-period table and the
+    row-level frame."""
+    by = list(by)
     f = _prep(df, actual, pred)
-    rows = f.agg(
+
+    def grouped(d: DataFrame):
+        return d.groupBy(*by) if by else d.groupBy()
+
+    rows = grouped(f).agg(
         F.avg("abs_error").alias("mae"),
         F.sqrt(F.avg(F.col("error_bias") * F.col("error_bias"))).alias("rmse"),
         F.avg("error_bias").alias("bias"),
     )
     if segment in f.columns:
-        seg = f.groupBy(segment).agg(F.avg("error_bias").alias("_b")).agg(
+        seg = grouped(f.groupBy(*by, segment).agg(F.avg("error_bias").alias("_b"))).agg(
             F.coalesce(F.max(F.abs("_b")), F.lit(0.0)).alias("max_position_bias_abs")
         )
     else:
-        seg = f.sparkSession.range(1).select(F.lit(0.0).alias("max_position_bias_abs"))
-    flips = bias_flips(weekly, rules.instability_bias_abs_threshold).agg(
+        seg = grouped(f).agg(F.lit(0.0).alias("max_position_bias_abs"))
+    flips = grouped(bias_flips(weekly, rules.instability_bias_abs_threshold, by)).agg(
         F.count(F.lit(1)).alias("bias_flip_weeks")
     )
-    wk = weekly.agg(
+    wk = grouped(weekly).agg(
         F.count(F.lit(1)).alias("weekly_count"),
         F.coalesce(F.avg("top_k_hit_rate"), F.lit(0.0)).alias("top_k_hit_rate_mean"),
         F.coalesce(F.avg("rank_correlation"), F.lit(0.0)).alias("rank_correlation_mean"),
@@ -276,4 +292,7 @@ def backtest_summary(
             "prediction_collapse_gameweeks"
         ),
     )
-    return attach_row(attach_row(attach_row(wk, rows), seg), flips)
+    if not by:
+        return attach_row(attach_row(attach_row(wk, rows), seg), flips)
+    out = wk.join(rows, by, "left").join(seg, by, "left").join(flips, by, "left")
+    return out.withColumn("bias_flip_weeks", F.coalesce(F.col("bias_flip_weeks"), F.lit(0).cast("bigint")))

@@ -41,7 +41,9 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
     The check is a bounded count (``limit(max_rows + 1)``), so it stops early on
     a large input; above the bound the plain (shuffle) join is used and AQE may
-    still pick a broadcast from run-time statistics.
+    still pick a broadcast from run-time statistics.  Use it on scans of
+    source tables; on a derived table the count would recompute its lineage,
+    so joins on derived small tables are left to AQE instead.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
