@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.operators.common import attach_row
@@ -56,31 +56,30 @@ def fit_calibration(
 ) -> DataFrame:
     """mean/std matching a = sd_true/sd_pred (population), b = mean_t - a mean_p,
     sd_pred = 0 -> (1, 0), blended toward identity by ``strength``; per segment
-    with fewer than ``min_samples`` rows -> the global coefficients."""
-    g = df.agg(*_moments(actual, pred, "g_"))
-    gc = _coef("g_", strength)
-    g = g.select(gc["a"].alias("g_a"), gc["b"].alias("g_b"), F.col("g_n"))
-    seg = df.filter(F.col(segment).isNotNull()).groupBy(segment).agg(*_moments(actual, pred))
-    sc = _coef("", strength)
-    seg = attach_row(seg.select(segment, sc["a"].alias("s_a"), sc["b"].alias("s_b"), "n"), g)
-    small = F.col("n") < min_samples
-    seg_rows = seg.select(
-        F.lit("position").alias("scope"),
-        F.col(segment).cast("int").alias("position_id"),
-        F.when(small, F.col("g_a")).otherwise(F.col("s_a")).alias("a"),
-        F.when(small, F.col("g_b")).otherwise(F.col("s_b")).alias("b"),
-        F.col("n").alias("count"),
-        F.when(small, F.lit("global")).alias("fallback"),
+    with fewer than ``min_samples`` rows -> the global coefficients.
+
+    One ``rollup(segment)`` pass yields the global and the per-segment moments;
+    the fallback is a window over that small result (#segments + 1 rows).
+    """
+    d = df.select(F.col(segment).alias("__seg"), F.col(actual).alias("__a"), F.col(pred).alias("__p")).filter(
+        F.col("__seg").isNotNull()
     )
-    glob = g.select(
-        F.lit("global").alias("scope"),
-        F.lit(None).cast("int").alias("position_id"),
-        F.col("g_a").alias("a"),
-        F.col("g_b").alias("b"),
-        F.col("g_n").alias("count"),
-        F.lit(None).cast("string").alias("fallback"),
+    m = d.rollup("__seg").agg(F.grouping_id().alias("__gid"), *_moments("__a", "__p"))
+    c = _coef("", strength)
+    m = m.select("__seg", "__gid", c["a"].alias("a"), c["b"].alias("b"), "n")
+    whole = Window.partitionBy()
+    ga = F.max(F.when(F.col("__gid") == 1, F.col("a"))).over(whole)
+    gb = F.max(F.when(F.col("__gid") == 1, F.col("b"))).over(whole)
+    is_g = F.col("__gid") == 1
+    small = ~is_g & (F.col("n") < min_samples)
+    return m.select(
+        F.when(is_g, F.lit("global")).otherwise(F.lit("position")).alias("scope"),
+        F.when(is_g, F.lit(None)).otherwise(F.col("__seg")).cast("int").alias("position_id"),
+        F.when(small, ga).otherwise(F.col("a")).alias("a"),
+        F.when(small, gb).otherwise(F.col("b")).alias("b"),
+        F.col("n").alias("count"),
+        F.when(small, F.lit("global")).cast("string").alias("fallback"),
     )
-    return glob.unionByName(seg_rows)
 
 
 def apply_global(df: DataFrame, pred: str, coeffs: DataFrame, out: str) -> DataFrame:
@@ -122,55 +121,61 @@ def variant_long(holdout: DataFrame, actual: str, pred: str, train_coeffs: DataF
 
 
 def calibration_report(long: DataFrame, focus: Sequence[int] = FOCUS_SEGMENTS) -> DataFrame:
-    """Per variant MAE / RMSE / bias, focus-segment abs bias, deltas vs none."""
+    """Per variant MAE / RMSE / bias, focus-segment abs bias, deltas vs none.
+
+    One pass over the long form grouped by (variant, segment); the variant
+    rows and deltas come from windows over that small table.
+    """
     e = F.col("actual") - F.col("pred")
-    m = long.groupBy("variant").agg(
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias")
-    )
-    fb = (
-        long.filter(F.col("segment").isin(list(focus)))
-        .groupBy("variant", "segment")
-        .agg(F.avg(e).alias("_b"))
-        .groupBy("variant")
-        .agg(F.avg(F.abs("_b")).alias("focus_abs_bias"))
+    per_seg = long.groupBy("variant", "segment").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.abs(e)).alias("_sae"),
+        F.sum(e * e).alias("_sse"),
+        F.sum(e).alias("_se"),
+        F.avg(e).alias("_b"),
     )
-    rep = m.join(fb, "variant", "left").withColumn("focus_abs_bias", F.coalesce("focus_abs_bias", F.lit(0.0)))
-    none = rep.filter(F.col("variant") == "none").select(
-        F.col("mae").alias("_m0"), F.col("rmse").alias("_r0"), F.col("bias").alias("_b0")
+    is_focus = F.col("segment").isin(list(focus))
+    rep = per_seg.groupBy("variant").agg(
+        (F.sum("_sae") / F.sum("_n")).alias("mae"),
+        F.sqrt(F.sum("_sse") / F.sum("_n")).alias("rmse"),
+        (F.sum("_se") / F.sum("_n")).alias("bias"),
+        F.coalesce(F.avg(F.when(is_focus, F.abs("_b"))), F.lit(0.0)).alias("focus_abs_bias"),
     )
-    return attach_row(rep, none).select(
+    whole = Window.partitionBy()
+    base = {k: F.max(F.when(F.col("variant") == "none", F.col(k))).over(whole) for k in ("mae", "rmse", "bias")}
+    return rep.select(
         "variant", "mae", "rmse", "bias", "focus_abs_bias",
-        (F.col("mae") - F.col("_m0")).alias("delta_mae"),
-        (F.col("rmse") - F.col("_r0")).alias("delta_rmse"),
-        (F.col("bias") - F.col("_b0")).alias("delta_bias"),
+        (F.col("mae") - base["mae"]).alias("delta_mae"),
+        (F.col("rmse") - base["rmse"]).alias("delta_rmse"),
+        (F.col("bias") - base["bias"]).alias("delta_bias"),
     )
 
 
 def select_variant(report: DataFrame, tolerance: float = CALIBRATION_TOLERANCE, strength: float = CALIBRATION_STRENGTH) -> DataFrame:
     """M7: candidates = none + each variant not worse than none on MAE and RMSE
     (beyond ``tolerance``); winner = min (mae, rmse, |bias|, focus bias)
-    (focus bias counts 0 for none), ties -> earlier variant."""
+    (focus bias counts 0 for none), ties -> earlier variant.  One aggregate
+    over the (3-row) report."""
     prio = F.create_map(*[x for v, p in VARIANT_PRIORITY for x in (F.lit(v), F.lit(p))])
-    r = report.withColumn("priority", prio[F.col("variant")])
     ok = (F.col("variant") == "none") | (
         (F.col("delta_mae") <= tolerance) & (F.col("delta_rmse") <= tolerance) & F.lit(strength > 0)
     )
     focus = F.when(F.col("variant") == "none", F.lit(0.0)).otherwise(F.col("focus_abs_bias"))
-    score = F.struct(F.col("mae"), F.col("rmse"), F.abs("bias"), focus, F.col("priority"))
-    fb = report.groupBy().agg(
+    score = F.when(ok, F.struct(F.col("mae"), F.col("rmse"), F.abs("bias"), focus, prio[F.col("variant")]))
+    row = F.struct("variant", "delta_mae", "delta_rmse", "delta_bias")
+    out = report.agg(
+        F.min_by(row, score).alias("__sel"),
         F.max(F.when(F.col("variant") == "global", F.col("focus_abs_bias"))).alias("gk_def_abs_bias_global"),
         F.max(F.when(F.col("variant") == "position_aware", F.col("focus_abs_bias"))).alias("gk_def_abs_bias_position"),
     )
-    sel = r.filter(ok).agg(F.min_by(F.col("variant"), score).alias("selected_variant"))
-    sel_metrics = report.select(
-        F.col("variant").alias("selected_variant"),
-        F.col("delta_mae").alias("selected_delta_mae"),
-        F.col("delta_rmse").alias("selected_delta_rmse"),
-        F.col("delta_bias").alias("selected_delta_bias"),
-    )
-    out = attach_row(sel, fb).join(sel_metrics, "selected_variant", "left")
-    return out.withColumn(
-        "position_calibration_gain", F.col("gk_def_abs_bias_global") - F.col("gk_def_abs_bias_position")
+    return out.select(
+        F.col("__sel.variant").alias("selected_variant"),
+        "gk_def_abs_bias_global",
+        "gk_def_abs_bias_position",
+        F.col("__sel.delta_mae").alias("selected_delta_mae"),
+        F.col("__sel.delta_rmse").alias("selected_delta_rmse"),
+        F.col("__sel.delta_bias").alias("selected_delta_bias"),
+        (F.col("gk_def_abs_bias_global") - F.col("gk_def_abs_bias_position")).alias("position_calibration_gain"),
     )
 
 

@@ -47,3 +47,16 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of an intermediate that many branches consume.
+
+    Eager reliable ``checkpoint()`` into the shared folder named by
+    ``spark.checkpoint.dir`` (never a local checkpoint): later stages read the
+    written files, and a lost executor does not force recomputing the lineage.
+    """
+    from panelforge.session import shared_root
+
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -14,7 +14,7 @@ from panelforge.operators import calibration as ca
 from panelforge.operators import drift as dr
 from panelforge.operators import features as fe
 from panelforge.operators import metrics as me
-from panelforge.operators.common import attach_row, round_doubles
+from panelforge.operators.common import attach_row, materialize, round_doubles
 from panelforge.plans.q_split import SPLIT5_SQL, split5
 from panelforge.plans.registry import register, rsql
 from panelforge.plans.sqlparts import with_panel
@@ -37,7 +37,9 @@ def scored(spark, sf):
     s = split5(spark, sf)
     stats = fe.global_stats(s.filter(F.col("role") == "train"), ["total_points"])
     z = fe.zscore_apply(s, stats, ["total_points"])
-    return z.withColumn("predicted_points", fe.heuristic_forecast(z))
+    # Many branches read this panel (train/holdout stats, caps, variants):
+    # write it once and cut the lineage.
+    return materialize(z.withColumn("predicted_points", fe.heuristic_forecast(z)))
 
 
 def _train(spark, sf):
