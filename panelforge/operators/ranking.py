@@ -93,3 +93,41 @@ def pearson(x: str | Column, y: str | Column) -> Column:
     xs, ys = F.when(both, xc), F.when(both, yc)
     den = F.stddev_pop(xs) * F.stddev_pop(ys)
     return F.when((F.count(xs) >= 2) & (den > 0), F.try_divide(F.covar_pop(xs, ys), den))
+
+
+def prefix_min(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    value: str,
+    out: str,
+    buckets: int = DEFAULT_BUCKETS,
+    exclusive: bool = False,
+) -> DataFrame:
+    """Running minimum of ``value`` in ``order`` within ``group`` (inclusive of
+    the current row unless ``exclusive``); ``order`` must be unique per group.
+
+    Same bucketed shape as ``prefix_sums``: per-bucket minima -> prefix over
+    buckets (small) -> window inside each (group, bucket).  With no group the
+    work is still split over ``buckets`` tasks instead of one.
+    """
+    group = list(group)
+    end = -1 if exclusive else 0
+    if buckets <= 1:
+        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+        return df.withColumn(out, F.min(value).over(w))
+    rng = (df.groupBy(*group) if group else df.groupBy()).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+    o = F.col(order).cast("double")
+    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
+    bucket = F.when(hi > lo, F.least(F.lit(buckets - 1), F.floor((o - lo) / (hi - lo) * buckets).cast("int"))).otherwise(F.lit(0))
+    from panelforge.operators.common import attach_row
+
+    b = (df.join(rng, group) if group else attach_row(df, rng)).withColumn("__b", bucket).drop("__lo", "__hi")
+    mins = b.groupBy(*group, "__b").agg(F.min(value).alias("__bm"))
+    wo = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = mins.select(*group, "__b", F.min("__bm").over(wo).alias("__off"))
+    wi = Window.partitionBy(*group, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    res = b.join(offsets, [*group, "__b"]).withColumn(
+        out, F.least(F.min(value).over(wi), F.col("__off"))
+    )
+    return res.drop("__b", "__off")

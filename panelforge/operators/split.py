@@ -205,3 +205,11 @@ def expanding_folds(df: DataFrame, n_splits: int = 5, period: str = "target_game
         .filter(F.col("role").isNotNull() & (ts > 0))
         .select(F.col("fold").cast("int"), F.col("__week").alias("week"), "role")
     )
+
+
+def recent_periods(df: DataFrame, n: int = 5, period: str = "target_gameweek_id") -> DataFrame:
+    """Rows of the last ``min(n, #periods)`` distinct periods (no error
+    when there are fewer)."""
+    top = _weeks(df, period).withColumn("__r", F.row_number().over(Window.orderBy(F.col("__week").desc())))
+    keep = top.filter(F.col("__r") <= n).select("__week")
+    return df.join(F.broadcast(keep), F.col(period).cast("int") == F.col("__week"), "left_semi")

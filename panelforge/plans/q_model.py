@@ -233,23 +233,26 @@ def q_calibration_report(spark, sf):
     return round_doubles(ca.calibration_report(ca.variant_long(ho, ACT, "predicted_points", coeffs)))
 
 
+CSEL_SQL = """
+cand AS (SELECT *, CASE variant WHEN 'none' THEN 0 WHEN 'global' THEN 1 ELSE 2 END AS priority,
+                CASE WHEN variant = 'none' THEN 0.0 ELSE focus_abs_bias END AS fscore
+         FROM rep WHERE variant = 'none' OR (delta_mae <= 0.0 AND delta_rmse <= 0.0)),
+sel AS (SELECT variant FROM cand ORDER BY mae, rmse, abs(bias), fscore, priority LIMIT 1),
+csel AS (
+  SELECT s.variant AS selected_variant,
+         (SELECT focus_abs_bias FROM rep WHERE variant = 'global') AS gk_def_abs_bias_global,
+         (SELECT focus_abs_bias FROM rep WHERE variant = 'position_aware') AS gk_def_abs_bias_position,
+         r.delta_mae AS selected_delta_mae, r.delta_rmse AS selected_delta_rmse, r.delta_bias AS selected_delta_bias,
+         (SELECT focus_abs_bias FROM rep WHERE variant = 'global')
+           - (SELECT focus_abs_bias FROM rep WHERE variant = 'position_aware') AS position_calibration_gain
+  FROM sel s JOIN rep r ON r.variant = s.variant)"""
+
+
 @register(
     "calibration_select",
     "M7",
     rsql(
-        with_panel(CAL_SQL)
-        + """,
-cand AS (SELECT *, CASE variant WHEN 'none' THEN 0 WHEN 'global' THEN 1 ELSE 2 END AS priority,
-                CASE WHEN variant = 'none' THEN 0.0 ELSE focus_abs_bias END AS fscore
-         FROM rep WHERE variant = 'none' OR (delta_mae <= 0.0 AND delta_rmse <= 0.0)),
-sel AS (SELECT variant FROM cand ORDER BY mae, rmse, abs(bias), fscore, priority LIMIT 1)
-SELECT s.variant AS selected_variant,
-       (SELECT focus_abs_bias FROM rep WHERE variant = 'global') AS gk_def_abs_bias_global,
-       (SELECT focus_abs_bias FROM rep WHERE variant = 'position_aware') AS gk_def_abs_bias_position,
-       r.delta_mae AS selected_delta_mae, r.delta_rmse AS selected_delta_rmse, r.delta_bias AS selected_delta_bias,
-       (SELECT focus_abs_bias FROM rep WHERE variant = 'global')
-         - (SELECT focus_abs_bias FROM rep WHERE variant = 'position_aware') AS position_calibration_gain
-FROM sel s JOIN rep r ON r.variant = s.variant""",
+        with_panel(CAL_SQL, CSEL_SQL) + "\nSELECT * FROM csel",
         ["gk_def_abs_bias_global", "gk_def_abs_bias_position", "selected_delta_mae", "selected_delta_rmse",
          "selected_delta_bias", "position_calibration_gain"],
     ),

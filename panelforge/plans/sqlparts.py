@@ -197,3 +197,112 @@ WEEKLY_DOUBLES = (
     "selected_squad_predicted_total selected_squad_actual_total selected_squad_bias selected_xi_actual_total "
     "oracle_xi_actual_total selected_xi_regret top_k_hit_rate rank_correlation"
 ).split()
+
+
+def backtest_by_ctes(src: str, by: str = "predictor", p: str = "b_", flip_threshold: float = 10.0) -> list[str]:
+    """Weekly back-test + summary per ``by`` key over ``src`` with columns
+    (by, player_id, target_gameweek_id, minutes_played, position_id,
+    actual_points, predicted_points).  Produces ``{p}wk`` and ``{p}sum``."""
+    k = f"{by}, target_gameweek_id"
+    return [
+        f"""
+{p}bt AS (SELECT *, actual_points - predicted_points AS error_bias,
+                 abs(actual_points - predicted_points) AS abs_error FROM {src})""",
+        f"""
+{p}base AS (
+  SELECT {k}, count(*) AS n_rows,
+         COALESCE(sum(predicted_points), 0.0) AS prediction_total, COALESCE(sum(actual_points), 0.0) AS actual_total,
+         avg(abs_error) AS mae, sqrt(avg(error_bias * error_bias)) AS rmse, avg(error_bias) AS bias,
+         max(actual_points) - min(actual_points) AS act_range, max(predicted_points) - min(predicted_points) AS pred_range,
+         count_if(minutes_played >= 60) AS n_likely
+  FROM {p}bt GROUP BY {k})""",
+        f"""
+{p}sq AS (
+  SELECT {k}, sum(predicted_points) AS selected_squad_predicted_total,
+         COALESCE(sum(actual_points), 0.0) AS selected_squad_actual_total,
+         COALESCE(sum(CASE WHEN rn <= 11 THEN actual_points END), 0.0) AS selected_xi_actual_total
+  FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY predicted_points DESC, player_id) AS rn
+        FROM {p}bt WHERE predicted_points IS NOT NULL) s
+  WHERE rn <= 15 GROUP BY {k})""",
+        f"""
+{p}orc AS (
+  SELECT {k}, sum(actual_points) AS oracle_xi_actual_total
+  FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY actual_points DESC, player_id) AS rn
+        FROM {p}bt WHERE actual_points IS NOT NULL) s
+  WHERE rn <= 11 GROUP BY {k})""",
+        f"""
+{p}lk AS (SELECT * FROM {p}bt WHERE minutes_played >= 60)""",
+        f"""
+{p}hits AS (
+  SELECT a.{by}, a.target_gameweek_id, count(*) AS hits
+  FROM (SELECT {k}, player_id, row_number() OVER (PARTITION BY {k} ORDER BY predicted_points DESC, player_id) AS rn
+        FROM {p}lk WHERE predicted_points IS NOT NULL) a
+  JOIN (SELECT {k}, player_id, row_number() OVER (PARTITION BY {k} ORDER BY actual_points DESC, player_id) AS rn
+        FROM {p}lk WHERE actual_points IS NOT NULL) b
+    ON a.{by} = b.{by} AND a.target_gameweek_id = b.target_gameweek_id AND a.player_id = b.player_id
+  WHERE a.rn <= 11 AND b.rn <= 11
+  GROUP BY a.{by}, a.target_gameweek_id)""",
+        f"""
+{p}rk AS (
+  SELECT {k},
+         rank() OVER (PARTITION BY {k} ORDER BY predicted_points)
+           + (count(*) OVER (PARTITION BY {k}, predicted_points) - 1) / 2.0 AS rp,
+         rank() OVER (PARTITION BY {k} ORDER BY actual_points)
+           + (count(*) OVER (PARTITION BY {k}, actual_points) - 1) / 2.0 AS ra
+  FROM {p}lk WHERE predicted_points IS NOT NULL AND actual_points IS NOT NULL)""",
+        f"""
+{p}corr AS (
+  SELECT {k}, CASE WHEN count(*) >= 2 AND stddev_pop(rp) * stddev_pop(ra) > 0
+                   THEN covar_pop(rp, ra) / (stddev_pop(rp) * stddev_pop(ra)) END AS rank_correlation
+  FROM {p}rk GROUP BY {k})""",
+        f"""
+{p}wk AS (
+  SELECT b.{by}, CAST(b.target_gameweek_id AS INTEGER) AS gameweek_id, b.n_rows, b.prediction_total, b.actual_total,
+         b.prediction_total / greatest(b.actual_total, 1e-9) AS prediction_to_actual_ratio,
+         b.mae, b.rmse, b.bias, b.pred_range / greatest(b.act_range, 1e-9) AS prediction_range_ratio,
+         s.selected_squad_predicted_total, s.selected_squad_actual_total,
+         s.selected_squad_actual_total - s.selected_squad_predicted_total AS selected_squad_bias,
+         s.selected_xi_actual_total, o.oracle_xi_actual_total,
+         o.oracle_xi_actual_total - s.selected_xi_actual_total AS selected_xi_regret,
+         CASE WHEN least(11, b.n_likely) > 0 THEN CAST(COALESCE(h.hits, 0) AS DOUBLE) / least(11, b.n_likely) END AS top_k_hit_rate,
+         CASE WHEN least(11, b.n_likely) > 0 THEN c.rank_correlation END AS rank_correlation,
+         (b.prediction_total / greatest(b.actual_total, 1e-9) < 0.6
+          OR b.prediction_total / greatest(b.actual_total, 1e-9) > 1.6) AS prediction_collapse
+  FROM {p}base b
+  LEFT JOIN {p}sq s ON s.{by} = b.{by} AND s.target_gameweek_id = b.target_gameweek_id
+  LEFT JOIN {p}orc o ON o.{by} = b.{by} AND o.target_gameweek_id = b.target_gameweek_id
+  LEFT JOIN {p}hits h ON h.{by} = b.{by} AND h.target_gameweek_id = b.target_gameweek_id
+  LEFT JOIN {p}corr c ON c.{by} = b.{by} AND c.target_gameweek_id = b.target_gameweek_id)""",
+        f"""
+{p}flips AS (
+  SELECT {by}, CAST(count_if(pb IS NOT NULL AND sign(pb) <> 0 AND sign(bias) <> 0 AND sign(pb) <> sign(bias)
+                             AND abs(pb) >= {flip_threshold} AND abs(bias) >= {flip_threshold}) AS BIGINT) AS bias_flip_weeks
+  FROM (SELECT {by}, bias, lag(bias) OVER (PARTITION BY {by} ORDER BY gameweek_id) AS pb FROM {p}wk) x
+  GROUP BY {by})""",
+        f"""
+{p}rows AS (
+  SELECT {by}, avg(abs_error) AS mae, sqrt(avg(error_bias * error_bias)) AS rmse, avg(error_bias) AS bias
+  FROM {p}bt GROUP BY {by})""",
+        f"""
+{p}seg AS (
+  SELECT {by}, COALESCE(max(abs(b)), 0.0) AS max_position_bias_abs
+  FROM (SELECT {by}, position_id, avg(error_bias) AS b FROM {p}bt GROUP BY {by}, position_id) x GROUP BY {by})""",
+        f"""
+{p}sum AS (
+  SELECT w.{by}, count(*) AS weekly_count,
+         COALESCE(avg(top_k_hit_rate), 0.0) AS top_k_hit_rate_mean,
+         COALESCE(avg(rank_correlation), 0.0) AS rank_correlation_mean,
+         COALESCE(avg(selected_xi_regret), 0.0) AS selected_xi_regret_mean,
+         COALESCE(avg(selected_xi_actual_total), 0.0) AS selected_xi_actual_total_mean,
+         COALESCE(avg(oracle_xi_actual_total), 0.0) AS oracle_xi_actual_total_mean,
+         COALESCE(avg(abs(selected_squad_bias)), 0.0) AS squad_total_bias_abs_mean,
+         COALESCE(min(prediction_to_actual_ratio), 1.0) AS prediction_to_actual_ratio_min,
+         COALESCE(max(prediction_to_actual_ratio), 1.0) AS prediction_to_actual_ratio_max,
+         CAST(count_if(prediction_collapse) AS BIGINT) AS prediction_collapse_weeks,
+         any_value(r.mae) AS mae, any_value(r.rmse) AS rmse, any_value(r.bias) AS bias,
+         any_value(s.max_position_bias_abs) AS max_position_bias_abs,
+         COALESCE(any_value(f.bias_flip_weeks), 0) AS bias_flip_weeks
+  FROM {p}wk w JOIN {p}rows r ON r.{by} = w.{by} JOIN {p}seg s ON s.{by} = w.{by}
+  LEFT JOIN {p}flips f ON f.{by} = w.{by}
+  GROUP BY w.{by})""",
+    ]

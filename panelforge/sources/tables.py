@@ -156,4 +156,31 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         (size / 20.0).alias("max_position_bias_abs"),
         (F.col("p_size") % 3).cast("int").alias("prediction_collapse_weeks"),
         (F.col("p_size") % 2).cast("int").alias("bias_flip_weeks"),
+        ((F.col("p_size") % 7) / 50.0).alias("position_exceed_rate"),
+        ((F.col("p_size") % 5) / 40.0).alias("player_exceed_rate"),
+        ((size - 25.0) / 100.0).alias("position_calibration_gain"),
+        (0.5 + size / 100.0).alias("prediction_to_actual_ratio_min"),
+        (1.0 + size / 50.0).alias("prediction_to_actual_ratio_max"),
+        (F.col("p_size") % 4 != 0).alias("baseline_gate_passed"),
+        (F.col("p_size") % 3 != 0).alias("gates_passed"),
+        ((F.col("p_size") % 10) / 2.0).alias("actual_std"),
     )
+
+
+def candidate_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part -> long-form proposed hyper-parameters (iteration, param, value),
+    some outside the search-space bounds on purpose."""
+    p = read_table(spark, sf_dir, "part")
+    size, price, k = F.col("p_size").cast("double"), F.col("p_retailprice"), F.col("p_partkey")
+    vals = {
+        "n_estimators": size * 25.0 + (k % 7),
+        "max_depth": size / 4.0,
+        "learning_rate": price / 5000.0,
+        "subsample": 0.3 + size / 50.0,
+        "reg_lambda": (k % 13) - 1.5,
+        "calibration_strength": size / 40.0,
+    }
+    return p.select(
+        k.alias("iteration"),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("param"), v.alias("value")) for n, v in vals.items()])).alias("kv"),
+    ).select("iteration", "kv.param", "kv.value")
