@@ -6,7 +6,7 @@ import importlib
 
 from panelforge.plans.registry import REGISTRY
 
-_MODULES = ("q_panel", "q_split", "q_model", "q_gates")
+_MODULES = ("q_panel", "q_split", "q_model", "q_gates", "q_ingest", "q_sinks")
 
 
 def load_all():
