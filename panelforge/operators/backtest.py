@@ -20,8 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.operators.common import attach_row
-from panelforge.operators.ranking import DEFAULT_BUCKETS, average_rank, pearson, topk
+from panelforge.operators.common import attach_row, materialize
+from panelforge.operators.ranking import DEFAULT_BUCKETS, auto_buckets, average_rank, pearson, topk
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,7 @@ def weekly_backtest(
     rules: BacktestRules = BacktestRules(),
     buckets: int = DEFAULT_BUCKETS,
     by: Sequence[str] = (),
+    materialize_input: bool = True,
 ) -> DataFrame:
     """One row per period with totals, ratio, MAE/RMSE/bias, range ratio,
     top-15 squad totals, XI vs oracle XI regret, top-k hit rate, Spearman and
@@ -68,11 +69,20 @@ def weekly_backtest(
 
     ``by`` adds grouping keys in front of the period (e.g. a predictor name
     on a long-form table), so several predictors are back-tested in one plan.
+
+    The narrow prepared input (keys, entity, minutes, actual, prediction) is
+    read by eight branches; ``materialize_input`` checkpoints it once so the
+    upstream plan is not recomputed per branch.
     """
     by = list(by)
     keys = [*by, period]
     f = _prep(df, actual, pred)
     has_min = minutes in f.columns
+    f = f.select(*keys, entity, *([minutes] if has_min else []), "actual_points", "predicted_points", "error_bias", "abs_error")
+    if materialize_input:
+        f = materialize(f)
+    if buckets is None:
+        buckets = auto_buckets(f)
     likely_cond = F.col(minutes) >= rules.likely_minutes if has_min else F.lit(True)
 
     base = f.groupBy(*keys).agg(

@@ -52,11 +52,14 @@ def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of an intermediate that many branches consume.
 
-    Eager reliable ``checkpoint()`` into the shared folder named by
-    ``spark.checkpoint.dir`` (never a local checkpoint): later stages read the
-    written files, and a lost executor does not force recomputing the lineage.
+    The rows are written once as a parquet table in the shared folder named
+    by ``spark.checkpoint.dir`` (never a machine-local folder) and read back:
+    later stages scan columnar files with exact size statistics (so AQE can
+    pick broadcasts), and a lost executor never forces recomputing the
+    upstream lineage.  (An RDD checkpoint would compute the rows twice.)
     """
-    from panelforge.session import shared_root
+    from panelforge.session import scratch_path
 
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "mat")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.operators.ranking import DEFAULT_BUCKETS, prefix_sums
+from panelforge.operators.ranking import DEFAULT_BUCKETS, auto_buckets, prefix_sums
 
 # Fixed defaults of the reference's drift rules.
 DRIFT_COLUMNS = ("total_points", "minutes_played", "ict_index")
@@ -44,6 +44,8 @@ def ks_two_sample(
         ).select("kv.feature", "kv.value", F.lit(side).alias("side"))
 
     long = longf(a, 0).unionByName(longf(b, 1))
+    if buckets is None:
+        buckets = max(auto_buckets(a), auto_buckets(b))
     counts = long.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).alias("c_a"), F.count_if(F.col("side") == 1).alias("c_b")
     )

@@ -18,7 +18,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 32
+DEFAULT_BUCKETS = None  # None -> chosen from the input size (auto_buckets)
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 64
+
+
+def auto_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
+    """Value-range buckets for the prefix sums: one per ``rows_per_bucket``
+    input rows (at most ``max_buckets``).  Results never depend on it; it
+    only sets how many tasks share one group's running sum.  Call it on a
+    materialised (cheap to count) input."""
+    n = df.count()
+    return max(1, min(max_buckets, -(-n // rows_per_bucket)))
 
 
 def topk(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rn") -> DataFrame:
@@ -42,6 +53,8 @@ def prefix_sums(
     width between the group's min and max), so equal values share a bucket.
     """
     group = list(group)
+    if buckets is None:
+        buckets = auto_buckets(df)
     if buckets <= 1:
         w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({f"{s}{suffix}": F.sum(s).over(w) for s in sums})
@@ -71,6 +84,8 @@ def prefix_sums(
 def value_ranks(df: DataFrame, group: Sequence[str], value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per (group, value) with the pandas average rank of that value."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    if buckets is None:
+        buckets = auto_buckets(df)
     cum = prefix_sums(counts, group, value, ["__n"], buckets)
     return cum.select(
         *group, value, (F.col("__n_cum") - F.col("__n") + (F.col("__n") + 1) / 2.0).alias("avg_rank")
@@ -113,6 +128,8 @@ def prefix_min(
     """
     group = list(group)
     end = -1 if exclusive else 0
+    if buckets is None:
+        buckets = auto_buckets(df)
     if buckets <= 1:
         w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
         return df.withColumn(out, F.min(value).over(w))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import backtest as bt
 from panelforge.operators import features as fe
-from panelforge.operators.common import round_doubles
+from panelforge.operators.common import materialize, round_doubles
 from panelforge.plans.registry import register, rsql
 from panelforge.plans.sqlparts import WEEKLY_DOUBLES, backtest_ctes, with_panel
 from panelforge.sources import tables as tb
@@ -19,8 +19,9 @@ PANEL_DOUBLES = [
 
 
 def panel(spark, sf):
-    """collapse -> rolling -> next-period target over the events projection."""
-    return fe.base_panel(tb.fixture_rows(spark, sf))
+    """collapse -> rolling -> next-period target over the events projection,
+    written once (several branches of each query read it)."""
+    return materialize(fe.base_panel(tb.fixture_rows(spark, sf)))
 
 
 # ------------------------------------------------------------------ slice 0
