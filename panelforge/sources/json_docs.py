@@ -8,6 +8,9 @@ exploded with ``explode`` over ``array<variant>``.  All of it is JVM-side.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,10 +174,6 @@ def redact_json_text(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
 def redact_json_deep(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
     """P31, full recursion (any value type under a sensitive key), as an
     Arrow-batched pandas UDF over the JSON text: a small per-row helper."""
-    import json
-
-    import pandas as pd
-
     pats = tuple(p.upper() for p in patterns)
 
     def red(x):
