@@ -8,15 +8,16 @@ from pyspark.sql import types as T
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table (global statistics, coefficients)
-    to every row of ``df``.
+    """Attach the columns of a one-row table (global statistics, coefficients,
+    an incumbent's metrics) to every row of ``df``.
 
-    The right side is cut to one row, so its size is bounded and it is
-    broadcast; the join is an equi-join on a constant key, never a cross
-    product.
+    The one-row table becomes an uncorrelated scalar subquery (a struct):
+    Spark evaluates it once and inlines the value, so there is no join (and
+    no cross product) in the plan.  An empty table attaches NULLs.
     """
-    right = F.broadcast(one_row.limit(1).withColumn("__one", F.lit(1)))
-    return df.withColumn("__one", F.lit(1)).join(right, "__one").drop("__one")
+    cols = one_row.columns
+    st = one_row.limit(1).select(F.struct(*[F.col(c) for c in cols]).alias("__st")).scalar()
+    return df.withColumn("__st", st).select("*", *[F.col(f"__st.{c}").alias(c) for c in cols]).drop("__st")
 
 
 # Output convention of checked queries: doubles rounded to 6 decimals after a

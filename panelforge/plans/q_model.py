@@ -363,7 +363,7 @@ ks AS (SELECT k.feature, max(abs(k.cum1 / t.n1 - k.cum2 / t.n2)) AS ks_stat,
 
 
 def _ks(spark, sf):
-    s = split5(spark, sf)
+    s = materialize(split5(spark, sf))
     return dr.ks_two_sample(s.filter(F.col("role") == "train"), s.filter(F.col("role") == "holdout"))
 
 
