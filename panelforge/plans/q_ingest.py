@@ -20,8 +20,10 @@ from panelforge.sources import tables as tb
 from panelforge.sources.landing import land_raw_documents
 
 
-def env(spark, sf):
-    return jd.envelope_scan(spark, land_raw_documents(spark, sf))
+def env(spark, sf, kinds=None):
+    """Land (only the needed document kinds) and scan the envelopes."""
+    path = land_raw_documents(spark, sf, kinds=tuple(kinds)) if kinds else land_raw_documents(spark, sf)
+    return jd.envelope_scan(spark, path)
 
 
 VALID_ELEMENTS = "NOT (gameweek_id % 7 = 0 AND floor(player_id / 500) = 0)"
@@ -74,7 +76,7 @@ FROM collapsed WHERE {VALID_ELEMENTS}"""
 
 @register("parse_players", "P1 P5", with_panel() + PLAYER_SQL)
 def q_parse_players(spark, sf):
-    return jd.parse_players(env(spark, sf))
+    return jd.parse_players(env(spark, sf, ("elements",)))
 
 
 @register(
@@ -87,7 +89,7 @@ SELECT n_nationkey AS team_id, n_name AS name, substr(n_name, 1, 3) AS short_nam
 FROM nation""",
 )
 def q_parse_teams(spark, sf):
-    return jd.parse_teams(env(spark, sf))
+    return jd.parse_teams(env(spark, sf, ("teams",)))
 
 
 @register(
@@ -102,7 +104,7 @@ SELECT gw AS gameweek_id, 'Gameweek ' || CAST(gw AS VARCHAR) AS name, date_trunc
 FROM d, m""",
 )
 def q_parse_gameweeks(spark, sf):
-    return jd.parse_gameweeks(env(spark, sf))
+    return jd.parse_gameweeks(env(spark, sf, ("events",)))
 
 
 @register(
@@ -116,7 +118,7 @@ SELECT fixture_id, CAST((year(kickoff_time) - 1995) * 12 + month(kickoff_time) A
 FROM matches""",
 )
 def q_parse_fixtures(spark, sf):
-    return jd.parse_fixtures(env(spark, sf))
+    return jd.parse_fixtures(env(spark, sf, ("fixtures",)))
 
 
 @register(
@@ -151,7 +153,7 @@ def q_safe_timestamp(spark, sf):
 
 @register("extract_ids", "P7", with_panel() + f"\nSELECT DISTINCT player_id FROM collapsed WHERE {VALID_ELEMENTS}")
 def q_extract_ids(spark, sf):
-    return jd.extract_ids(env(spark, sf))
+    return jd.extract_ids(env(spark, sf, ("elements",)))
 
 
 @register(
@@ -160,7 +162,7 @@ def q_extract_ids(spark, sf):
     "SELECT CAST(max(day(ts)) - 3 AS INTEGER) AS current_gameweek_id FROM events",
 )
 def q_current_period(spark, sf):
-    return jd.current_period(env(spark, sf))
+    return jd.current_period(env(spark, sf, ("events",)))
 
 
 @register(
@@ -172,7 +174,7 @@ SELECT player_id, gameweek_id, CAST(round(total_points) AS INTEGER) AS total_poi
        CAST(minutes_played AS INTEGER) AS minutes FROM collapsed""",
 )
 def q_flatten_history(spark, sf):
-    return jd.flatten_history(env(spark, sf))
+    return jd.flatten_history(env(spark, sf, ("history",)))
 
 
 @register(
@@ -185,7 +187,7 @@ SELECT count(DISTINCT player_id) AS distinct_players, count(*) AS element_rows,
 FROM collapsed WHERE {VALID_ELEMENTS}""",
 )
 def q_raw_json_profile(spark, sf):
-    return jd.raw_json_profile(env(spark, sf))
+    return jd.raw_json_profile(env(spark, sf, ("elements",)))
 
 
 @register(

@@ -369,11 +369,22 @@ def _ks(spark, sf):
 
 @register(
     "ks_drift",
-    "A18",
-    rsql(with_panel(KS_SQL) + "\nSELECT *, ks_stat > 0.2 AS breach FROM ks", ["ks_stat"]),
+    "A18 A18b",
+    rsql(
+        with_panel(KS_SQL)
+        + """,
+lam AS (SELECT *, (sqrt(n_a * n_b / (n_a + n_b)) + 0.12 + 0.11 / sqrt(n_a * n_b / (n_a + n_b))) * ks_stat AS l FROM ks)
+SELECT feature, ks_stat, n_a, n_b, ks_stat > 0.2 AS breach,
+       least(1.0, greatest(0.0, 2.0 * (SELECT sum(power(-1.0, k - 1) * exp(-2.0 * k * k * l * l)) FROM range(1, 101) r(k))))
+         AS p_value
+FROM lam""",
+        ["ks_stat", "p_value"],
+    ),
 )
 def q_ks_drift(spark, sf):
-    return round_doubles(_ks(spark, sf))
+    s = materialize(split5(spark, sf))
+    ks = dr.ks_two_sample(s.filter(F.col("role") == "train"), s.filter(F.col("role") == "holdout"), with_p_value=True)
+    return round_doubles(ks)
 
 
 @register(

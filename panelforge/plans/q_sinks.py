@@ -155,7 +155,7 @@ def _typed_players_sql() -> str:
 
 @register("typed_schema_conform", "K1", _typed_players_sql())
 def q_typed_conform(spark, sf):
-    return sk.conform(jd.parse_players(env(spark, sf)), "players", load_ts=_load_ts())
+    return sk.conform(jd.parse_players(env(spark, sf, ("elements",))), "players", load_ts=_load_ts())
 
 
 _MERGE_SQL = """
@@ -192,7 +192,7 @@ SELECT gameweek_id AS gameweek_fetched, count(*) AS n_rows, CAST(sum(CAST(round(
 FROM collapsed WHERE {VALID_ELEMENTS} GROUP BY gameweek_id""",
 )
 def q_append_history(spark, sf):
-    players = jd.parse_players(env(spark, sf))
+    players = jd.parse_players(env(spark, sf, ("elements",)))
     path = scratch_path(spark, "history")
     sk.append_history(players.filter(F.col("gameweek_fetched") <= 15), path, load_ts=_load_ts())
     sk.append_history(players.filter(F.col("gameweek_fetched") > 15), path, load_ts=_load_ts())
@@ -215,7 +215,7 @@ final AS (SELECT gameweek_id, tp FROM p, mx WHERE gameweek_id <> m
 SELECT gameweek_id AS gameweek_fetched, count(*) AS n_rows, CAST(sum(tp) AS BIGINT) AS points FROM final GROUP BY gameweek_id""",
 )
 def q_replace_period(spark, sf):
-    players = jd.parse_players(env(spark, sf)).select("player_id", "total_points", "gameweek_fetched")
+    players = jd.parse_players(env(spark, sf, ("elements",))).select("player_id", "total_points", "gameweek_fetched")
     path = scratch_path(spark, "history")
     players.write.partitionBy("gameweek_fetched").parquet(path)
     h0 = spark.read.parquet(path)

@@ -66,9 +66,14 @@ def bootstrap_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
-    """Write all envelopes (bootstrap elements / teams / events, fixtures,
-    element-summary history) as JSON lines; returns the folder."""
+ALL_KINDS = ("elements", "teams", "events", "fixtures", "history")
+
+
+def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None,
+                       kinds: tuple[str, ...] = ALL_KINDS) -> str:
+    """Write the envelopes (bootstrap elements / teams / events, fixtures,
+    element-summary history) as JSON lines; returns the folder.  ``kinds``
+    lands only the document kinds a caller reads."""
     path = path or scratch_path(spark, "raw_docs")
     el = bootstrap_elements(spark, sf_dir)
     ev_days = tb.read_table(spark, sf_dir, "events").groupBy(F.dayofmonth("ts").cast("int").alias("gw")).agg(
@@ -148,7 +153,10 @@ def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None
         _envelope(F.struct("history"), "element-summary", F.lit("2024-02-01T06:00:00Z"), F.col("pid")).alias("value")
     )
 
-    boot_lines.unionByName(teams_lines).unionByName(events_lines).unionByName(fixtures_lines).unionByName(
-        hist_lines
-    ).write.mode("overwrite").text(path)
+    parts = {"elements": boot_lines, "teams": teams_lines, "events": events_lines, "fixtures": fixtures_lines,
+             "history": hist_lines}
+    out = None
+    for k in kinds:
+        out = parts[k] if out is None else out.unionByName(parts[k])
+    out.write.mode("overwrite").text(path)
     return path
