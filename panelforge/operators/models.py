@@ -169,3 +169,36 @@ def error_row(pred: DataFrame, actual: str = TARGET, col: str = "predicted_point
     e = F.col(actual) - F.col(col)
     return pred.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
                     F.avg(e).alias("bias"))
+
+
+def save_model(bundle, features: Sequence[str], path: str, metadata: dict | None = None) -> str:
+    """Write the fitted pipeline(s) and a metadata record (features,
+    post-processing payload, gates) below ``path`` (shared storage)."""
+    import json
+
+    kind, m = bundle
+    models = {"shared": {"model": m}, "segments": {str(k): v for k, v in (m.items() if kind == "segments" else [])},
+              "two_stage": {"clf": m[0], "reg": m[1]} if kind == "two_stage" else {}}[kind]
+    for name, pm in models.items():
+        pm.write().overwrite().save(f"{path}/{name}")
+    spark = SparkSession.getActiveSession()
+    meta = {"kind": kind, "parts": sorted(models), "feature_cols": list(features), **(metadata or {})}
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "metadata string").coalesce(1).write.mode(
+        "overwrite").text(f"{path}/_metadata")
+    return path
+
+
+def load_model(spark: SparkSession, path: str):
+    """M12 input: the stored bundle and its metadata."""
+    import json
+
+    meta = json.loads(spark.read.text(f"{path}/_metadata").first()[0])
+    parts = {p: PipelineModel.load(f"{path}/{p}") for p in meta["parts"]}
+    kind = meta["kind"]
+    if kind == "segments":
+        bundle = ("segments", {(None if k == "None" else int(k)): v for k, v in parts.items()})
+    elif kind == "two_stage":
+        bundle = ("two_stage", (parts["clf"], parts["reg"]))
+    else:
+        bundle = ("shared", parts["model"])
+    return bundle, meta

@@ -274,3 +274,20 @@ def q_backfill_integrity(spark, sf):
         "backfill_trusted",
         (F.col("train_max_target_gw") < F.col("target_gameweek_id")) & (F.col("inference_max_source_gw") <= F.col("target_gameweek_id") - 1),
     )
+
+
+@register("stored_model_eval", "K13 M12")
+def q_stored_model_eval(spark, sf):
+    """Save the fitted model with its metadata, load it back and evaluate it
+    on the holdout with the stored post-processing (global calibration)."""
+    from panelforge.session import scratch_path
+
+    _, tr, ho, feats, bundle = _fit(spark, sf)
+    coeffs = ca.fit_calibration(mo.predict_variant(bundle, tr, feats), ACT, "predicted_points")
+    g = coeffs.filter(F.col("scope") == "global").first()  # two coefficients for the metadata record
+    path = mo.save_model(bundle, feats, scratch_path(spark, "model"), {"calibration": {"a": g["a"], "b": g["b"]}})
+    loaded, meta = mo.load_model(spark, path)
+    pred = mo.predict_variant(loaded, ho, meta["feature_cols"])
+    cal = meta["calibration"]
+    post = pred.withColumn("final_points", F.greatest(F.lit(0.0), cal["a"] * F.col("predicted_points") + cal["b"]))
+    return round_doubles(mo.error_row(post, col="final_points").select(F.lit(meta["kind"]).alias("kind"), "*"))

@@ -231,3 +231,21 @@ def lower_case_scan(spark: SparkSession, name: str) -> DataFrame:
         raise ValueError(f"invalid table identifier: {name!r}")
     df = spark.table(name)
     return df.toDF(*[c.lower() for c in df.columns])
+
+
+def append_event_log(df: DataFrame, path: str) -> str:
+    """Append event records (run_id, node, state, duration_ms, status,
+    detail JSON) as JSON lines; sensitive keys in ``detail`` are redacted."""
+    from panelforge.sources.json_docs import redact_json_text
+
+    out = df.withColumn("detail", redact_json_text(F.col("detail"))) if "detail" in df.columns else df
+    out.withColumn("timestamp_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).write.mode(
+        "append"
+    ).json(path)
+    return path
+
+
+def write_report(df: DataFrame, path: str) -> str:
+    """A (small, one-row or per-period) report as JSON files."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+    return path

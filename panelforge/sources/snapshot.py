@@ -152,3 +152,50 @@ __all__ = [
     "REQUIRED_COLUMN_FAMILY", "build_manifest", "write_snapshot", "read_manifests", "is_fresh",
     "retention_plan", "accept_snapshot", "Acceptance",
 ]
+
+
+# ------------------------------------------------------------------ source selection
+
+RECOVERABLE_CODES = ("SNAPSHOT_MISSING", "MANIFEST_MISSING", "MANIFEST_MISSING_FIELDS", "SNAPSHOT_STALE",
+                     "SNAPSHOT_HASH_MISMATCH", "CONTRACT_VALIDATION_FAILED", "CONTRACT_HASH_MISMATCH")
+
+
+def load_training_frame(spark: SparkSession, *, source: str, local_root: str | None, now: str,
+                        remote_loader=None, policy: str = "LOCAL_ONLY",
+                        max_age_days: int = DEFAULT_MAX_AGE_DAYS) -> tuple[DataFrame, dict]:
+    """Choose the training source.  ``local``: newest snapshot version
+    that passes acceptance; with policy ``LOCAL_THEN_REMOTE`` a recoverable
+    failure falls back to ``remote_loader()`` (a callable returning a
+    DataFrame); a schema major mismatch never falls back.  Returns the frame
+    and the selection record (S10).  Only the one-row acceptance result is
+    read on the driver."""
+    if source == "remote":
+        if remote_loader is None:
+            raise ValueError("remote source requested without a loader")
+        return remote_loader(), {"data_source_selected": "remote", "fallback_taken": False, "fallback_reason": None}
+    code, meta = "SNAPSHOT_MISSING", {}
+    if local_root:
+        try:
+            manifests = read_manifests(spark, local_root)
+            newest = manifests.orderBy(F.col("created_at_utc").desc()).limit(1)
+            m = newest.first()
+        except Exception:  # noqa: BLE001 - missing folder = missing snapshot
+            m = None
+        if m is not None:
+            data = spark.read.parquet(m["snapshot_path"])
+            acc = accept_snapshot(data, newest, now, Acceptance(max_age_days=max_age_days)).first()
+            if acc["accepted"]:
+                return data, {"data_source_selected": "local", "snapshot_path": m["snapshot_path"],
+                              "snapshot_age_days": float(acc["age_days"]), "fallback_taken": False, "fallback_reason": None}
+            code, meta = acc["code"], {"snapshot_path": m["snapshot_path"]}
+    if code == "SCHEMA_MAJOR_MISMATCH" or policy != "LOCAL_THEN_REMOTE" or remote_loader is None \
+            or code not in RECOVERABLE_CODES:
+        raise RuntimeError(f"local snapshot rejected: {code}")
+    return remote_loader(), {"data_source_selected": "remote", "fallback_taken": True, "fallback_reason": code, **meta}
+
+
+def selection_log_row(spark: SparkSession, context: str, meta: dict) -> DataFrame:
+    """The selection record as a one-row frame for the event log."""
+    import json
+
+    return spark.createDataFrame([(context, json.dumps(meta, sort_keys=True, default=str))], "context string, detail string")

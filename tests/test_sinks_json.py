@@ -95,3 +95,23 @@ def test_validation_report_flags_duplicates(spark):
     assert not rep[("temporal_leakage", "gameweek_id->target_gameweek_id")].ok  # 2 < 3
     assert not rep[("null_ratio", "target_next_gw_points")].ok
     assert not rep[("required", "ict_index")].ok
+
+
+def test_source_selection_fallback_rules(spark):
+    df = spark.createDataFrame([(1, 2, 3, 1.0, 2.0, 3.0, 4.0)],
+                               "player_id long, gameweek_id int, position_id int, total_points double, minutes_played double, ict_index double, now_cost double")
+    root = scratch_path(spark, "t_sel")
+    sn.write_snapshot(df, root, created_at="2024-02-01T06:00:00Z", source="t", query_text="q", run_id="r")
+    got, meta = sn.load_training_frame(spark, source="local", local_root=root, now="2024-02-02 00:00:00")
+    assert meta["data_source_selected"] == "local" and got.count() == 1
+    remote = lambda: df.limit(0)
+    got, meta = sn.load_training_frame(spark, source="local", local_root=root, now="2024-03-02 00:00:00",
+                                       remote_loader=remote, policy="LOCAL_THEN_REMOTE")
+    assert meta["fallback_taken"] and meta["fallback_reason"] == "SNAPSHOT_STALE"
+    import pytest
+    with pytest.raises(RuntimeError):
+        sn.load_training_frame(spark, source="local", local_root=root, now="2024-03-02 00:00:00")
+    log = scratch_path(spark, "t_log")
+    sk.append_event_log(spark.createDataFrame([("r1", "ingest", '{"API_KEY": "x", "rows": 3}')], "run_id string, node string, detail string"), log)
+    txt = spark.read.json(log).first()["detail"]
+    assert "[REDACTED]" in txt and '"x"' not in txt
