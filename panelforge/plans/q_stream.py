@@ -32,7 +32,7 @@ def q_stream_upsert(spark, sf):
     landing = scratch_path(spark, "landing_periods")
     jobs.land_period_files(rows, landing)
     root = jobs.stream_upsert(spark, landing, rows.schema)
-    state = jobs._latest_version(spark, root)
+    state = jobs.read_state(spark, root)
     return round_doubles(state.select("player_id", "gameweek_id", "total_points", "position_id", "team_id"))
 
 

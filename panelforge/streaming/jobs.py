@@ -5,8 +5,8 @@
   stream reads them (one file per trigger), stamps event time, drops
   duplicates inside the watermark and, in ``foreachBatch``, upserts the
   batch into the current-state table (latest period per entity wins, so
-  replays and out-of-order files are harmless) written as a new version
-  folder named by the batch id (idempotent on retry).
+  replays and out-of-order files are harmless); the state is partitioned by
+  entity hash bucket and a batch rewrites only the buckets it touches.
 * ``stream_event_rollup`` (ST2): JSON event-log files -> hourly windows per
   node with a watermark, emitted in *update* mode (state is evicted once the
   watermark passes, unlike complete mode) and upserted in ``foreachBatch``
@@ -27,38 +27,58 @@ from panelforge.operators.asof import latest_per_entity
 from panelforge.session import scratch_path
 
 
-def _latest_version(spark: SparkSession, root: str) -> DataFrame | None:
-    """Current state = the newest ``v=<batch id>`` folder below ``root``
-    (read through Spark, so it works on any shared store; the max version is
-    one scalar and the read is pruned to that partition)."""
+STATE_BUCKETS = 64
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame | None:
+    """The current-state table (all buckets), or None before the first batch."""
     from pyspark.errors import AnalysisException
 
     try:
-        allv = spark.read.parquet(root)
+        return spark.read.parquet(root).drop("__bucket")
     except AnalysisException:
         return None
-    mx = allv.agg(F.max("v")).first()[0]
-    return None if mx is None else allv.filter(F.col("v") == mx).drop("v")
 
 
 def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, entity: str = "player_id",
-                  period: str = "gameweek_id", watermark: str = "2 days") -> str:
-    """ST1: run the incremental upsert to completion; returns the state root
-    (latest version = current state)."""
+                  period: str = "gameweek_id", watermark: str = "2 days", buckets: int = STATE_BUCKETS,
+                  files_per_trigger: int = 5) -> str:
+    """ST1: run the incremental upsert to completion; returns the state root.
+
+    The state table is partitioned by ``pmod(xxhash64(entity), buckets)``;
+    each micro-batch reads only the buckets it touches, merges (latest period
+    per entity wins - idempotent, so a replayed batch is harmless) and
+    replaces just those buckets with a dynamic partition overwrite.
+    """
+    from panelforge.operators.common import materialize
+
     state_root = scratch_path(spark, "stream_state")
     ckpt = scratch_path(spark, "stream_ckpt")
     src = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
         .withColumn("__event_ts", F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + F.col(period) * 86400))
         .withWatermark("__event_ts", watermark)
         .dropDuplicatesWithinWatermark([entity, period])
         .drop("__event_ts")
     )
+    bucket = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        current = _latest_version(spark, state_root)
-        merged = latest_per_entity(batch if current is None else current.unionByName(batch), entity, period)
-        merged.write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
+        b = materialize(batch.withColumn("__bucket", bucket))
+        touched = [r[0] for r in b.select("__bucket").distinct().collect()]  # at most `buckets` ids
+        if not touched:
+            return
+        cur = read_state(spark, state_root)
+        rows = b.drop("__bucket")
+        if cur is not None:
+            cur_b = spark.read.parquet(state_root).filter(F.col("__bucket").isin(touched)).drop("__bucket")
+            rows = cur_b.unionByName(rows)
+        merged = latest_per_entity(rows, entity, period).withColumn("__bucket", bucket)
+        # written to a scratch table first: never overwrite the folder being read
+        merged = materialize(merged)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(
+            state_root
+        )
 
     q = src.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
