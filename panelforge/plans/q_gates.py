@@ -335,7 +335,7 @@ def _failed_sql(names):
 
 @register(
     "promotion_gates",
-    "V4",
+    "V4 F16",
     with_panel(KS_SQL)
     + ",\n" + CANDS_SQL + "," + _INC_SQL + """,
 dd AS (SELECT count_if(ks_stat > 0.2) / 3.0 >= 0.34 AS drift_triggered FROM ks),

@@ -192,7 +192,7 @@ def q_raw_json_profile(spark, sf):
 
 @register(
     "redact_keys",
-    "P31",
+    "P31 F6",
     with_panel(MATCHES_SQL)
     + f"""
 SELECT 'bootstrap-static' AS endpoint_name,

@@ -265,7 +265,7 @@ def q_calibration_select(spark, sf):
 
 @register(
     "postprocess_chain",
-    "P25 P22 J4",
+    "P25 P22 J4 F2 F13",
     rsql(
         with_panel(CAL_SQL)
         + f""",

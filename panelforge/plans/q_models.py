@@ -78,7 +78,7 @@ def q_feature_importance(spark, sf):
     return round_doubles(mo.feature_importance(bundle, feats, spark))
 
 
-@register("score_latest", "M11 M4 P25 W2 P10")
+@register("score_latest", "M11 M4 P25 W2 P10 X3")
 def q_score_latest(spark, sf):
     """Live inference: latest row per player (periods > 3), model prediction,
     post-processing with train calibration and caps; empty when the model is
@@ -125,7 +125,7 @@ def _summary(pred, by=None):
     return bt.backtest_summary(pred, wk)
 
 
-@register("param_search", "M6 P34 A27 A28")
+@register("param_search", "M6 P34 A27 A28 F15 X2")
 def q_param_search(spark, sf, trials: int = 3, seed: int = 42):
     m = model_panel(spark, sf)
     feats = fe.select_features(VARIANT)

@@ -75,7 +75,7 @@ _FAMILY = """CASE WHEN typeof({c}) IN ('TINYINT','SMALLINT','INTEGER','BIGINT','
 
 @register(
     "column_contract",
-    "P33",
+    "P33 F3",
     with_panel()
     + ",\none AS (SELECT * FROM collapsed LIMIT 1)\n"
     + "\nUNION ALL\n".join(
@@ -256,7 +256,7 @@ def q_evolve(spark, sf):
     )
 
 
-@register("table_scan_lower", "S3", "SELECT * FROM customer")
+@register("table_scan_lower", "S3 F7", "SELECT * FROM customer")
 def q_scan_lower(spark, sf):
     c = tb.read_table(spark, sf, "customer")
     view = "pf_customer_upper_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
@@ -305,7 +305,7 @@ def q_manifest(spark, sf):
 
 @register(
     "snapshot_acceptance",
-    "S8 V7 K9",
+    "S8 V7 K9 F9",
     rsql(
         with_panel()
         + ",\nfull_fp AS (" + _fp_sql("collapsed") + "),\npart_fp AS (" + _fp_sql("collapsed WHERE gameweek_id > 1") + ")"

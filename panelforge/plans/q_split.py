@@ -166,7 +166,7 @@ def q_upside(spark, sf):
 
 @register(
     "signed_log_roundtrip",
-    "P15",
+    "P15 F1",
     rsql(
         with_panel()
         + """,
@@ -192,7 +192,7 @@ PANEL_FEATURE_DOUBLES = [
 
 @register(
     "panel_features",
-    "P16 P12 P13 P14 W1 A1 W9",
+    "P16 P12 P13 P14 W1 A1 W9 F5",
     rsql(
         with_panel(null_cost=True)
         + f""",
@@ -225,7 +225,7 @@ _CONFORM = fe.select_features()
 
 @register(
     "conform_features",
-    "P17 P18",
+    "P17 P18 U4",
     rsql(
         with_panel()
         + "\nSELECT player_id, gameweek_id, "

@@ -235,7 +235,7 @@ def q_regret(spark, sf):
 
 @register(
     "squad_summary",
-    "A26 T5",
+    "A26 T5 F8",
     rsql(
         sql()
         + f"""

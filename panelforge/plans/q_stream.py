@@ -58,7 +58,7 @@ def q_stream_rollup(spark, sf):
 
 @register(
     "freshness_report",
-    "A23 U1",
+    "A23 U1 F10",
     """
 SELECT 'events' AS table_name, count(*) AS row_count, max(ts) AS latest FROM events
 UNION ALL SELECT 'orders', count(*), max(o_orderdate) FROM orders
