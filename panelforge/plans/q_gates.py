@@ -72,7 +72,8 @@ def predictor_long(spark, sf):
 
 def predictor_weekly(spark, sf):
     long = predictor_long(spark, sf)
-    return long, bt.weekly_backtest(long, actual="actual_points", by=["predictor"])
+    # ``long`` is an explode over the written scored panel (no shuffle upstream)
+    return long, bt.weekly_backtest(long, actual="actual_points", by=["predictor"], materialize_input=False)
 
 
 def comparison(spark, sf):

@@ -32,7 +32,7 @@ def panel(spark, sf):
     rsql(with_panel(*backtest_ctes("five_week_players_roll_avg_points")) + "\nSELECT * FROM wk", WEEKLY_DOUBLES),
 )
 def q_weekly_backtest(spark, sf):
-    return round_doubles(bt.weekly_backtest(panel(spark, sf), pred="five_week_players_roll_avg_points"))
+    return round_doubles(bt.weekly_backtest(panel(spark, sf), pred="five_week_players_roll_avg_points", materialize_input=False))
 
 
 @register(
@@ -99,7 +99,7 @@ WHERE prev_bias IS NOT NULL AND sign(prev_bias) <> 0 AND sign(bias) <> 0 AND sig
 )
 def q_bias_flips(spark, sf):
     # Threshold 1.0 on this data (the rules' 10.0 finds no flips at this scale).
-    wk = bt.weekly_backtest(panel(spark, sf), pred="five_week_players_roll_avg_points")
+    wk = bt.weekly_backtest(panel(spark, sf), pred="five_week_players_roll_avg_points", materialize_input=False)
     return round_doubles(bt.bias_flips(wk, threshold=1.0))
 
 
@@ -162,7 +162,7 @@ FROM wk, rows_ r, seg s, flips f""",
 )
 def q_backtest_summary(spark, sf):
     p = panel(spark, sf)
-    wk = bt.weekly_backtest(p, pred="five_week_players_roll_avg_points")
+    wk = bt.weekly_backtest(p, pred="five_week_players_roll_avg_points", materialize_input=False)
     s = bt.backtest_summary(p, wk, pred="five_week_players_roll_avg_points")
     return round_doubles(
         s.withColumn("prediction_collapse_gameweeks", F.array_join(F.col("prediction_collapse_gameweeks").cast("array<string>"), ","))

@@ -9,7 +9,7 @@ from panelforge.operators import asof as ao
 from panelforge.operators import features as fe
 from panelforge.operators import metrics as me
 from panelforge.operators import split as sp
-from panelforge.operators.common import maybe_broadcast, round_doubles
+from panelforge.operators.common import materialize, maybe_broadcast, round_doubles
 from panelforge.plans.registry import register, rsql
 from panelforge.plans.sqlparts import with_panel
 from panelforge.sources import tables as tb
@@ -44,7 +44,9 @@ def rolled(spark, sf):
 
 
 def targeted(spark, sf, null_cost=False):
-    return fe.base_panel(tb.fixture_rows(spark, sf, null_cost=null_cost))
+    """The targeted panel, written once: splits and statistics read it several
+    times (distinct periods, the split join, train statistics)."""
+    return materialize(fe.base_panel(tb.fixture_rows(spark, sf, null_cost=null_cost)))
 
 
 def split5(spark, sf):
