@@ -87,7 +87,7 @@ FROM fr f LEFT JOIN pdim p ON f.player_id = p.player_id""",
 def q_feature_enrich_join(spark, sf):
     f = tb.fixture_rows(spark, sf, null_cost=True)
     dim = tb.player_dim(spark, sf).select("player_id", "current_value")
-    j = f.join(maybe_broadcast(dim, 5_000_000), "player_id", "left")
+    j = f.join(maybe_broadcast(dim, 1_000_000), "player_id", "left")  # 2 narrow columns: <= ~16 MB
     out = j.select(*[c for c in f.columns if c != "now_cost"], F.coalesce(F.col("now_cost"), F.col("current_value")).alias("now_cost"))
     return round_doubles(out)
 

@@ -99,11 +99,17 @@ def stream_event_rollup(spark: SparkSession, landing: str, schema: T.StructType,
     """ST2: hourly per-node counts, failures and durations over the event log."""
     out_root = scratch_path(spark, "rollup_out")
     ckpt = scratch_path(spark, "rollup_ckpt")
+    tz = F.lit(spark.conf.get("spark.sql.session.timeZone"))
+    # Event time: the zone-less wall clock read as UTC (watermarks need an
+    # instant); windows are then whole UTC hours whatever the session zone.
     ev = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(landing)
-        .withColumn("event_ts", F.col("ts").cast("timestamp"))
+        .withColumn("event_ts", F.convert_timezone(F.lit("UTC"), tz, F.col("ts")).cast("timestamp"))
         .withWatermark("event_ts", watermark)
     )
+
+    def wall(c):  # instant -> zone-less UTC wall clock
+        return F.convert_timezone(tz, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
     agg = ev.groupBy(F.window("event_ts", window).alias("w"), "node").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.count_if(F.col("status") == "failed").alias("n_failed"),
@@ -112,8 +118,8 @@ def stream_event_rollup(spark: SparkSession, landing: str, schema: T.StructType,
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            wall("w.start").alias("window_start"),
+            wall("w.end").alias("window_end"),
             "node", "n_events", "n_failed", "total_duration_ms", F.lit(batch_id).alias("batch_id"),
         )
         rows.write.mode("append").parquet(out_root)
