@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.common import attach_row
+
 LIST_NAMES = (
     "excluded_gameweeks",
     "backfilled_but_untrusted_gameweeks",
@@ -166,10 +168,13 @@ def policy_split(
     if policy.eligible_training_gameweeks:
         train_ok = wk.isin(list(policy.eligible_training_gameweeks))
     if strict_temporal:
-        first_h = F.min(F.when(is_h, wk)).over(Window.partitionBy())
-        train_ok = train_ok & (wk < first_h)
+        # first holdout period from the small holdout-week table (a scalar), not a
+        # window over all rows
+        first = hw.agg(F.min("__week").alias("__first_h"))
+        out = attach_row(out, first)
+        train_ok = train_ok & (wk < F.col("__first_h"))
     role = F.when(is_h, F.lit("holdout")).when(train_ok, F.lit("train"))
-    return out.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__h")
+    return out.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__h", "__first_h")
 
 
 def split_metadata(split: DataFrame, policy: PeriodPolicy, period: str = "target_gameweek_id") -> DataFrame:

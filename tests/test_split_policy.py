@@ -66,3 +66,13 @@ def test_expanding_folds_shape(spark):
     tests = {r.fold: sorted(x.week for x in f if x.fold == r.fold and x.role == "test") for r in f}
     assert tests[0] == [3, 4] and tests[4] == [11, 12]
     assert max(x.week for x in f if x.fold == 0 and x.role == "train") == 2
+
+
+def test_strict_temporal_drops_train_after_holdout(spark):
+    pol = sp.PeriodPolicy.from_dict({"eligible_holdout_backtest_gameweeks": [3, 4]})
+    out = sp.policy_split(_frame(spark), pol, holdout=1, strict_temporal=True)
+    train = sorted(set(r.target_gameweek_id for r in out.filter(F.col("role") == "train").collect()))
+    hold = sorted(set(r.target_gameweek_id for r in out.filter(F.col("role") == "holdout").collect()))
+    assert hold == [4] and train == [1, 2, 3]
+    loose = sp.policy_split(_frame(spark), pol, holdout=1)
+    assert 6 in set(r.target_gameweek_id for r in loose.filter(F.col("role") == "train").collect())
