@@ -37,10 +37,28 @@ matches AS (
   JOIN supplier s ON s.s_suppkey = l.s_suppkey)"""
 
 
-@register("json_envelope_scan", "S1 D1 F11")
+@register(
+    "json_envelope_scan",
+    "S1 D1 F11",
+    with_panel(MATCHES_SQL)
+    + f""",
+boot AS (SELECT DISTINCT gameweek_id AS e, CAST(floor(player_id / 500) AS BIGINT) AS c FROM collapsed)
+SELECT CASE WHEN bad THEN NULL ELSE 'bootstrap-static' END AS endpoint_name,
+       CASE WHEN bad THEN NULL ELSE 'https://api.example.invalid/bootstrap-static/' || CAST(e AS VARCHAR) || '-' || CAST(c AS VARCHAR) END AS url,
+       CASE WHEN bad THEN NULL ELSE 200 END AS status_code,
+       CASE WHEN bad THEN NULL ELSE '2024-02-01T06:00:' || lpad(CAST(e % 60 AS VARCHAR), 2, '0') || 'Z' END AS fetch_timestamp,
+       NOT bad AS is_valid
+FROM (SELECT *, e % 7 = 0 AND c = 0 AS bad FROM boot) b
+UNION ALL SELECT 'bootstrap-static', 'https://api.example.invalid/bootstrap-static/teams', 200, '2024-02-01T06:00:00Z', true
+UNION ALL SELECT 'bootstrap-static', 'https://api.example.invalid/bootstrap-static/events', 200, '2024-02-01T06:00:00Z', true
+UNION ALL SELECT DISTINCT 'fixtures', 'https://api.example.invalid/fixtures/' || CAST(CAST(floor(fixture_id / 1000) AS BIGINT) AS VARCHAR),
+       200, '2024-02-01T06:00:00Z', true FROM matches
+UNION ALL SELECT DISTINCT 'element-summary', 'https://api.example.invalid/element-summary/' || CAST(player_id AS VARCHAR),
+       200, '2024-02-01T06:00:00Z', true FROM collapsed""",
+)
 def q_envelope_scan(spark, sf):
     e = env(spark, sf)
-    return e.select("endpoint_name", "url", "status_code", "fetch_timestamp", "is_valid", "line_bytes")
+    return e.select("endpoint_name", "url", "status_code", "fetch_timestamp", "is_valid")
 
 
 @register(
