@@ -167,3 +167,64 @@ def q_backtest_summary(spark, sf):
     return round_doubles(
         s.withColumn("prediction_collapse_gameweeks", F.array_join(F.col("prediction_collapse_gameweeks").cast("array<string>"), ","))
     )
+
+
+# ------------------------------------------------------------------ larger panel (orders by customer-month)
+
+@register(
+    "panel_large_backtest",
+    "A9 W1 W9 W4-W6 (orders panel)",
+    rsql(
+        """
+WITH pl AS (
+  SELECT o_custkey AS player_id, CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INTEGER) AS gameweek_id,
+         sum(o_totalprice) / 10000.0 AS total_points
+  FROM orders GROUP BY 1, 2),
+rolled AS (
+  SELECT *, avg(total_points) OVER (PARTITION BY player_id ORDER BY gameweek_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+              AS five_week_players_roll_avg_points
+  FROM pl),
+targeted AS (
+  SELECT * FROM (SELECT *, lead(total_points) OVER w AS target_next_gw_points, lead(gameweek_id) OVER w AS target_gameweek_id
+                 FROM rolled WINDOW w AS (PARTITION BY player_id ORDER BY gameweek_id)) x
+  WHERE target_next_gw_points IS NOT NULL),
+bt AS (SELECT *, target_next_gw_points AS actual_points, five_week_players_roll_avg_points AS predicted_points,
+              target_next_gw_points - five_week_players_roll_avg_points AS error_bias,
+              abs(target_next_gw_points - five_week_players_roll_avg_points) AS abs_error FROM targeted),
+base AS (SELECT target_gameweek_id AS g, count(*) AS n_rows, sum(predicted_points) AS prediction_total,
+                sum(actual_points) AS actual_total, avg(abs_error) AS mae, sqrt(avg(error_bias * error_bias)) AS rmse,
+                avg(error_bias) AS bias FROM bt GROUP BY 1),
+sq AS (SELECT g, sum(CASE WHEN rn <= 11 THEN actual_points END) AS selected_xi_actual_total FROM (
+         SELECT target_gameweek_id AS g, actual_points,
+                row_number() OVER (PARTITION BY target_gameweek_id ORDER BY predicted_points DESC, player_id) AS rn FROM bt) x
+       WHERE rn <= 15 GROUP BY g),
+orc AS (SELECT g, sum(actual_points) AS oracle_xi_actual_total FROM (
+         SELECT target_gameweek_id AS g, actual_points,
+                row_number() OVER (PARTITION BY target_gameweek_id ORDER BY actual_points DESC, player_id) AS rn FROM bt) x
+       WHERE rn <= 11 GROUP BY g),
+hits AS (SELECT p.g, count(*) AS h FROM
+          (SELECT target_gameweek_id AS g, player_id, row_number() OVER (PARTITION BY target_gameweek_id ORDER BY predicted_points DESC, player_id) AS rn FROM bt) p
+          JOIN (SELECT target_gameweek_id AS g, player_id, row_number() OVER (PARTITION BY target_gameweek_id ORDER BY actual_points DESC, player_id) AS rn FROM bt) a
+          ON p.g = a.g AND p.player_id = a.player_id WHERE p.rn <= 11 AND a.rn <= 11 GROUP BY p.g),
+rk AS (SELECT target_gameweek_id AS g,
+              rank() OVER (PARTITION BY target_gameweek_id ORDER BY predicted_points)
+                + (count(*) OVER (PARTITION BY target_gameweek_id, predicted_points) - 1) / 2.0 AS rp,
+              rank() OVER (PARTITION BY target_gameweek_id ORDER BY actual_points)
+                + (count(*) OVER (PARTITION BY target_gameweek_id, actual_points) - 1) / 2.0 AS ra FROM bt),
+cr AS (SELECT g, CASE WHEN count(*) >= 2 AND stddev_pop(rp) * stddev_pop(ra) > 0
+                      THEN covar_pop(rp, ra) / (stddev_pop(rp) * stddev_pop(ra)) END AS rank_correlation FROM rk GROUP BY g)
+SELECT CAST(b.g AS INTEGER) AS gameweek_id, b.n_rows, b.prediction_total, b.actual_total, b.mae, b.rmse, b.bias,
+       s.selected_xi_actual_total, o.oracle_xi_actual_total, o.oracle_xi_actual_total - s.selected_xi_actual_total AS selected_xi_regret,
+       CAST(COALESCE(h.h, 0) AS DOUBLE) / least(11, b.n_rows) AS top_k_hit_rate, c.rank_correlation
+FROM base b LEFT JOIN sq s ON s.g = b.g LEFT JOIN orc o ON o.g = b.g LEFT JOIN hits h ON h.g = b.g LEFT JOIN cr c ON c.g = b.g""",
+        ["prediction_total", "actual_total", "mae", "rmse", "bias", "selected_xi_actual_total", "oracle_xi_actual_total",
+         "selected_xi_regret", "top_k_hit_rate", "rank_correlation"],
+    ),
+)
+def q_panel_large_backtest(spark, sf):
+    p = fe.rolling_features(tb.panel_large(spark, sf), team=None)
+    p = materialize(fe.next_period_target(p, minutes="minutes_played"))
+    wk = bt.weekly_backtest(p, pred="five_week_players_roll_avg_points", materialize_input=False)
+    return round_doubles(wk.select("gameweek_id", "n_rows", "prediction_total", "actual_total", "mae", "rmse", "bias",
+                                   "selected_xi_actual_total", "oracle_xi_actual_total", "selected_xi_regret",
+                                   "top_k_hit_rate", "rank_correlation"))
