@@ -1,8 +1,8 @@
 """Error and distribution metrics.
 
 All are grouped aggregates (partial aggregation map-side).  Exact percentiles
-use ``percentile`` (linear interpolation, same as numpy's default), never the
-approximate version.
+(linear interpolation, numpy's default) come from distributed running counts,
+never from the approximate sketch and never by collecting a group.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.common import attach_row
 from panelforge.operators.features import MINUTES_BANDS, minutes_band_expr
+from panelforge.operators.ranking import exact_percentile
 
 
 def _err(actual: str, pred: str) -> tuple[Column, Column]:
@@ -68,12 +69,11 @@ def focus_bias(df: DataFrame, actual: str, pred: str, segment: str = "position_i
 
 
 def percentile_caps(df: DataFrame, group: str, target: str, min_count: int = 1, q: float = 0.95) -> DataFrame:
-    """A4: exact p95 of the target per group, groups with count >= min_count."""
-    return (
-        df.groupBy(group)
-        .agg(F.percentile(F.col(target).cast("double"), q).alias("cap"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_count)
-    )
+    """A4: exact p95 of the target per group (linear interpolation), groups with
+    count >= min_count.  Computed from distributed running counts
+    (``ranking.exact_percentile``), so a huge group is never collected into
+    one task; rows with a NULL target do not count."""
+    return exact_percentile(df, [group], target, q, "cap").filter(F.col("n") >= min_count)
 
 
 def target_stats(df: DataFrame, target: str = "target_next_gw_points", source_period: str = "gameweek_id", target_period: str = "target_gameweek_id") -> DataFrame:

@@ -148,3 +148,38 @@ def prefix_min(
         out, F.least(F.min(value).over(wi), F.col("__off"))
     )
     return res.drop("__b", "__off")
+
+
+def exact_percentile(df: DataFrame, group: Sequence[str], value: str, q: float, out: str = "percentile",
+                     buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact percentile with linear interpolation (numpy default, SQL
+    ``percentile`` / ``quantile_cont``) per group, without collecting a
+    group's values into one task: distinct-value counts -> bucketed running
+    counts -> the values at 0-based ranks floor(h) and floor(h)+1, h = (n-1) q.
+    Returns one row per group: (group..., out, n).
+    """
+    group = list(group)
+    v = F.col(value).cast("double")
+    counts = df.filter(v.isNotNull()).groupBy(*group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    if buckets is None:
+        buckets = auto_buckets(counts)
+    cum = prefix_sums(counts, group, "__v", ["__c"], buckets)
+    n = counts.groupBy(*group).agg(F.sum("__c").alias("__n"))
+    j = cum.join(n, group) if group else _attach(cum, n)
+    h = (F.col("__n") - 1) * float(q)
+    lo = F.floor(h)
+    agg = (j.groupBy(*group) if group else j.groupBy()).agg(
+        F.min(F.when(F.col("__c_cum") > lo, F.col("__v"))).alias("__vlo"),
+        F.min(F.when(F.col("__c_cum") > lo + 1, F.col("__v"))).alias("__vhi"),
+        F.first(h).alias("__h"),
+        F.first("__n").alias("n"),
+    )
+    frac = F.col("__h") - F.floor(F.col("__h"))
+    hi = F.coalesce(F.col("__vhi"), F.col("__vlo"))
+    return agg.select(*group, (F.col("__vlo") + frac * (hi - F.col("__vlo"))).alias(out), "n")
+
+
+def _attach(df: DataFrame, one: DataFrame) -> DataFrame:
+    from panelforge.operators.common import attach_row
+
+    return attach_row(df, one)

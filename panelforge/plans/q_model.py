@@ -137,13 +137,12 @@ FROM scored WHERE role = 'holdout' GROUP BY position_id""",
     ),
 )
 def q_p95_by_segment(spark, sf):
-    h = _holdout(spark, sf)
-    return round_doubles(
-        h.groupBy(F.col("position_id").cast("int").alias("position_id")).agg(
-            F.percentile(F.col(ACT), 0.95).alias("actual_p95"),
-            F.percentile(F.col("predicted_points"), 0.95).alias("predicted_p95"),
-        )
-    )
+    from panelforge.operators.ranking import exact_percentile
+
+    h = _holdout(spark, sf).withColumn("position_id", F.col("position_id").cast("int"))
+    a = exact_percentile(h, ["position_id"], ACT, 0.95, "actual_p95").drop("n")
+    p = exact_percentile(h, ["position_id"], "predicted_points", 0.95, "predicted_p95").drop("n")
+    return round_doubles(a.join(p, "position_id"))
 
 
 # ------------------------------------------------------------------ calibration

@@ -97,3 +97,15 @@ def test_topk_is_partial_limit(spark):
     t = rk.topk(df, ["g"], [F.col("v").desc()], 2)
     assert "WindowGroupLimit" in t._jdf.queryExecution().executedPlan().toString()
     assert t.count() == 6
+
+
+def test_exact_percentile_matches_numpy(spark):
+    rnd = random.Random(9)
+    rows = [(g, float(rnd.randrange(60)) / 4.0) for g in range(3) for _ in range(rnd.randrange(1, 80))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    for b in (1, 6):
+        for q in (0.0, 0.5, 0.95, 1.0):
+            got = {r.g: (r.p, r.n) for r in rk.exact_percentile(df, ["g"], "v", q, "p", buckets=b).collect()}
+            for g in range(3):
+                xs = [v for gg, v in rows if gg == g]
+                assert math.isclose(got[g][0], float(np.percentile(xs, q * 100)), abs_tol=1e-9) and got[g][1] == len(xs)
