@@ -54,3 +54,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared folder for written tables."""
     root = shared_root(spark).rstrip("/")
     return f"{root}/panelforge/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spill-aware SQL settings for a run reading ``input_bytes`` on ``cores``
+    task slots: scan splits of ~256 MB, shuffle partitions sized so each holds
+    ~256 MB of the (pre-aggregation) input and at least 3 waves of tasks, AQE
+    coalescing toward the same advisory size and skew splitting above 4x the
+    median.  All are runtime SQL settings (``spark.conf.set``)."""
+    by_size = -(-input_bytes // target_partition_bytes)
+    shuffle = max(3 * cores, min(by_size, 200_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, cores: int | None = None) -> dict[str, str]:
+    conf = scale_conf(input_bytes, cores or spark.sparkContext.defaultParallelism)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
