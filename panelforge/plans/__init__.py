@@ -6,7 +6,7 @@ import importlib
 
 from panelforge.plans.registry import REGISTRY
 
-_MODULES = ("q_panel", "q_split", "q_model", "q_gates", "q_ingest", "q_sinks", "q_squad", "q_models", "q_stream")
+_MODULES = ("q_panel", "q_split", "q_model", "q_gates", "q_ingest", "q_sinks", "q_squad", "q_models", "q_stream", "q_flow")
 
 
 def load_all():
