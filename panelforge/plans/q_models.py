@@ -291,3 +291,41 @@ def q_stored_model_eval(spark, sf):
     cal = meta["calibration"]
     post = pred.withColumn("final_points", F.greatest(F.lit(0.0), cal["a"] * F.col("predicted_points") + cal["b"]))
     return round_doubles(mo.error_row(post, col="final_points").select(F.lit(meta["kind"]).alias("kind"), "*"))
+
+
+@register("pit_backfill_model", "M9 M10 J12 O3 O4 (model predictor)")
+def q_pit_backfill_model(spark, sf, n_targets: int = 3):
+    """Point-in-time back-fill with the trained model: for each of the last
+    target periods t, fit on rows whose target period < t, score every
+    player's as-of row (period <= t-1), pick the squad and stamp the trust
+    check.  The per-target fits are the only driver loop."""
+    c = fe.collapse_periods(tb.fixture_rows(spark, sf))
+    feats_all = fe.engineer_panel(tb.fixture_rows(spark, sf))  # rows with targets (training side)
+    panel = materialize(feats_all)
+    # inference side: every row (no target needed) with the same features
+    rows = fe.rolling_features(c)
+    rows = fe.upside_features(fe.minutes_band(fe.segment_one_hot(rows)))
+    rows = materialize(fe.fill_numeric(rows))
+    feats = fe.select_features(VARIANT)
+    targets = [r[0] for r in panel.select("target_gameweek_id").distinct().orderBy(F.col("target_gameweek_id").desc())
+               .limit(n_targets).collect()]  # a handful of period ids
+    outs = []
+    for t in sorted(targets):
+        train = panel.filter(F.col("target_gameweek_id") < t)
+        stats = fe.global_stats(train)
+        model = mo.train_shared(fe.zscore_apply(train, stats), feats, PARAMS)
+        asof = ao.asof_latest(rows, targets=[t]).drop("target_gameweek_id").withColumn("target_gameweek_id", F.lit(t))
+        scored = mo.predict(model, fe.zscore_apply(asof, stats), feats, "score")
+        squad = sq.budgeted_squad(scored, ["target_gameweek_id"], "score")
+        xi = sq.best_xi(squad, ["target_gameweek_id"], "score")
+        integ = train.agg(F.max("target_gameweek_id").alias("__train_max"))
+        src = asof.agg(F.max("source_gameweek_id").alias("__src"))
+        stamped = attach_row(attach_row(xi, integ), src).withColumn(
+            "backfill_trusted", (F.col("__train_max") < t) & (F.col("__src") <= t - 1))
+        outs.append(stamped.select(F.col("target_gameweek_id").cast("int"), "player_id", "is_starter", "is_captain",
+                                   "is_vice_captain", F.col("score").alias("expected_points_next_gw"),
+                                   F.lit("pit_model").alias("backfill_method"), "backfill_trusted"))
+    res = outs[0]
+    for o in outs[1:]:
+        res = res.unionByName(o)
+    return round_doubles(res)
