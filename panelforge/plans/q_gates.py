@@ -384,3 +384,88 @@ def q_reviewer(spark, sf):
     c = tb.candidates(spark, sf)
     g = gt.reviewer_gates(c, _incumbent(c))
     return g.select("iteration", *_V5, "failed_gates", "passed")
+
+
+def _cycle_sql() -> str:
+    from panelforge.plans.q_model import EXCEED_CTES, KS_BODY
+    from panelforge.plans.q_sinks import VALID_CTES
+
+    score = ("mae + 0.05 * squad_total_bias_abs_mean + 0.03 * selected_xi_regret_mean"
+             " + 1.5 * greatest(0.0, 0.30 - top_k_hit_rate_mean) + 1.0 * greatest(0.0, 0.10 - rank_correlation_mean)"
+             " + 2.0 * prediction_collapse_weeks")
+    return rsql(
+        with_panel(CAL_SQL, CSEL_SQL + LONG_SQL, *backtest_by_ctes("plong"), CMP_SQL, EXCEED_CTES, KS_BODY, VALID_CTES)
+        + f""",
+dd AS (SELECT count_if(ks_stat > 0.2) / 3.0 >= 0.34 AS drift_triggered, count_if(ks_stat > 0.2) / 3.0 AS breach_ratio FROM ks),
+val AS (SELECT bool_and(ok) AS validation_ok FROM vrows),
+cs AS (SELECT *, {score} AS candidate_score FROM b_sum WHERE predictor = 'model'),
+inc AS (SELECT mae AS a_mae, rmse AS a_rmse, {score} AS a_score, selected_xi_regret_mean AS a1,
+               top_k_hit_rate_mean AS a2, rank_correlation_mean AS a3
+        FROM b_sum WHERE predictor = 'five_week_players_roll_avg_points'),
+cc AS (SELECT cs.*, pe.position_exceed_rate, ye.player_exceed_rate, csel.position_calibration_gain, bg.baseline_gate_passed
+       FROM cs, pe, ye, csel, (SELECT baseline_gate_passed FROM cmp WHERE baseline_name = 'five_week_players_roll_avg_points') bg),
+g AS (
+  SELECT cc.*, COALESCE(dd.drift_triggered, false) AS drift_context_present, mae <= 6.0 AS max_mae, rmse <= 8.0 AS max_rmse,
+    abs(bias) <= 1.0 AS max_abs_bias, position_exceed_rate <= 0.1 AS position_exceed_cap,
+    player_exceed_rate <= 0.1 AS player_exceed_cap, squad_total_bias_abs_mean <= 16.0 AS max_squad_total_bias,
+    max_position_bias_abs <= 2.5 AS max_position_bias, top_k_hit_rate_mean >= 0.25 AS min_top_k_hit_rate,
+    rank_correlation_mean >= 0.0 AS min_rank_correlation, selected_xi_regret_mean <= 24.0 AS max_selected_xi_regret,
+    prediction_collapse_weeks <= 0 AS max_prediction_collapse_weeks, bias_flip_weeks <= 0 AS max_bias_flip_weeks,
+    prediction_to_actual_ratio_min >= 0.6 AS prediction_ratio_min, prediction_to_actual_ratio_max <= 1.6 AS prediction_ratio_max,
+    COALESCE(position_calibration_gain, 0.0) >= 0.0 AS position_calibration_gain_ok, mae < a_mae AS mae_improves_active,
+    {_PRIO_LT} AS ranking_priority_improves_active,
+    COALESCE(baseline_gate_passed, true) AS baseline_gate_ok, candidate_score < a_score AS balanced_score_improves_active,
+    rmse <= a_rmse * (1.0 + 0.03) AS rmse_within_deterioration
+  FROM cc, inc, dd),
+r AS (SELECT *, concat_ws(',', {", ".join(f"CASE WHEN NOT {c} THEN '{n}' END" for n, c in [(x, {"position_calibration_gain": "position_calibration_gain_ok", "baseline_gate_passed": "baseline_gate_ok"}.get(x, x)) for x in _V4])}) AS failed_gates
+      FROM g)
+SELECT v.validation_ok, d.drift_triggered, d.breach_ratio, r.mae, r.rmse, r.bias, r.top_k_hit_rate_mean,
+       r.selected_xi_regret_mean, r.candidate_score, r.failed_gates = '' AS passed, r.failed_gates,
+       CASE WHEN NOT v.validation_ok THEN 'failed_validation' WHEN NOT d.drift_triggered THEN 'no_action'
+            WHEN r.failed_gates = '' THEN 'promote' ELSE 'reject' END AS decision
+FROM r, val v, dd d""",
+        ["breach_ratio", "mae", "rmse", "bias", "top_k_hit_rate_mean", "selected_xi_regret_mean", "candidate_score"],
+    )
+
+
+@register("autonomous_cycle", "V1 V2 A18 A20 A27 A28 V4 V6 M7 (cycle)", _cycle_sql())
+def q_autonomous_cycle(spark, sf):
+    """The data stages of one autonomous cycle in one result row: validate
+    the panel (V1), drift between train and holdout (A18/V2), evaluate the
+    candidate (heuristic model) against the active model (the 5-appearance
+    baseline) on the recent periods (A9-A11, V6, A20, M7, A27/A28), apply the
+    promotion gates (V4) and decide promote / reject / no_action."""
+    from panelforge.operators import drift as dr
+    from panelforge.operators import metrics as me
+    from panelforge.operators import quality as qu
+    from panelforge.plans.q_split import targeted
+
+    val = qu.validation_report(targeted(spark, sf)).agg(F.bool_and("ok").alias("validation_ok"))
+    sc = scored(spark, sf)
+    tr, ho = sc.filter(F.col("role") == "train"), sc.filter(F.col("role") == "holdout")
+    drift = dr.drift_decision(dr.ks_two_sample(tr, ho)).select("drift_triggered", "breach_ratio")
+    summ, cmp = comparison(spark, sf)
+    cand = summ.filter(F.col("predictor") == "model").drop("predictor", "prediction_collapse_gameweeks")
+    base = summ.filter(F.col("predictor") == "five_week_players_roll_avg_points")
+    inc = base.select(
+        F.col("mae").alias("a_mae"), F.col("rmse").alias("a_rmse"), gt.balanced_score().alias("a_score"),
+        gt.ranking_priority().alias("a_priority"),
+    )
+    sanity = me.sanity_metrics(tr, ho, ACT, "predicted_points").select("position_exceed_rate", "player_exceed_rate")
+    coeffs = ca.fit_calibration(tr, ACT, "predicted_points")
+    gain = ca.select_variant(ca.calibration_report(ca.variant_long(ho, ACT, "predicted_points", coeffs))).select(
+        "position_calibration_gain")
+    bgate = cmp.filter(F.col("baseline_name") == "five_week_players_roll_avg_points").select("baseline_gate_passed")
+    row = attach_row(attach_row(attach_row(cand, sanity), gain), bgate)
+    gates = gt.promotion_gates(row, inc, drift.select("drift_triggered"))
+    out = attach_row(attach_row(gates, val), drift.select("breach_ratio"))
+    decision = (
+        F.when(~F.col("validation_ok"), F.lit("failed_validation"))
+        .when(~F.col("drift_triggered"), F.lit("no_action"))
+        .when(F.col("passed"), F.lit("promote"))
+        .otherwise(F.lit("reject"))
+    )
+    return round_doubles(out.select(
+        "validation_ok", "drift_triggered", "breach_ratio", "mae", "rmse", "bias", "top_k_hit_rate_mean",
+        "selected_xi_regret_mean", "candidate_score", "passed", "failed_gates", decision.alias("decision"),
+    ))

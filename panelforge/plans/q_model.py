@@ -319,6 +319,17 @@ def q_cap_exceed(spark, sf):
     )
 
 
+EXCEED_CTES = f"""
+pc AS (SELECT position_id, quantile_cont({ACT}, 0.95) AS cap FROM scored WHERE role = 'train' GROUP BY position_id),
+yc AS (SELECT player_id, quantile_cont({ACT}, 0.95) AS cap FROM scored WHERE role = 'train'
+       GROUP BY player_id HAVING count(*) >= 10),
+hh AS (SELECT * FROM scored WHERE role = 'holdout'),
+pe AS (SELECT COALESCE(avg(CASE WHEN hh.predicted_points > pc.cap THEN 1.0 ELSE 0.0 END), 0.0) AS position_exceed_rate,
+              count(*) AS position_exceed_n FROM hh JOIN pc ON pc.position_id = hh.position_id),
+ye AS (SELECT COALESCE(avg(CASE WHEN hh.predicted_points > yc.cap THEN 1.0 ELSE 0.0 END), 0.0) AS player_exceed_rate,
+              count(*) AS player_exceed_n FROM hh JOIN yc ON yc.player_id = hh.player_id)"""
+
+
 @register(
     "sanity_metrics",
     "A20",
@@ -348,7 +359,7 @@ def q_sanity(spark, sf):
 
 # ------------------------------------------------------------------ drift
 
-KS_SQL = SPLIT5_SQL + """,
+KS_BODY = """
 kl AS (SELECT 'total_points' AS feature, COALESCE(CAST(total_points AS DOUBLE), 0.0) AS v, role FROM split
        UNION ALL SELECT 'minutes_played', COALESCE(CAST(minutes_played AS DOUBLE), 0.0), role FROM split
        UNION ALL SELECT 'ict_index', COALESCE(CAST(ict_index AS DOUBLE), 0.0), role FROM split),
@@ -359,6 +370,7 @@ kcum AS (SELECT feature, v, sum(c1) OVER (PARTITION BY feature ORDER BY v) AS cu
 ks AS (SELECT k.feature, max(abs(k.cum1 / t.n1 - k.cum2 / t.n2)) AS ks_stat,
               CAST(any_value(t.n1) AS BIGINT) AS n_a, CAST(any_value(t.n2) AS BIGINT) AS n_b
        FROM kcum k JOIN kt t ON t.feature = k.feature GROUP BY k.feature)"""
+KS_SQL = SPLIT5_SQL + ",\n" + KS_BODY
 
 
 def _ks(spark, sf):

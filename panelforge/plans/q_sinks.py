@@ -89,34 +89,33 @@ def q_column_contract(spark, sf):
     return qu.column_contract(collapsed(spark, sf))
 
 
+VALID_CTES = """
+v_one AS (SELECT * FROM targeted LIMIT 1),
+v_agg AS (SELECT count(*) AS n, count_if(target_next_gw_points IS NULL) AS n1, count_if(player_id IS NULL) AS n2,
+                 count_if(gameweek_id IS NULL) AS n3, count_if(target_gameweek_id < gameweek_id) AS leak,
+                 (SELECT count(*) FROM (SELECT 1 FROM targeted GROUP BY player_id, gameweek_id) g) AS groups
+          FROM targeted),
+vrows AS (
+""" + "\nUNION ALL\n".join(
+    [f"SELECT 'required' AS check, '{c}' AS column_name, 1.0 AS observed_value, 1.0 AS limit_value, "
+     f"CAST(NULL AS VARCHAR) AS observed_text, CAST(NULL AS VARCHAR) AS expected_text, true AS ok"
+     for c in qu.SchemaRules().required_columns]
+    + [f"SELECT 'dtype', '{c}', NULL, NULL, {_FAMILY.format(c=c)}, '{e}', "
+       + (f"{_FAMILY.format(c=c)} IN ('integer','number')" if e == "number" else f"{_FAMILY.format(c=c)} = '{e}'")
+       + " FROM v_one"
+       for c, e in qu.SchemaRules().dtypes]
+    + [f"SELECT 'null_ratio', '{c}', CASE WHEN n > 0 THEN {v} / n ELSE 0.0 END, 0.0, NULL, NULL, "
+       f"CASE WHEN n > 0 THEN {v} / n ELSE 0.0 END <= 0.0 FROM v_agg"
+       for c, v in (("target_next_gw_points", "n1"), ("player_id", "n2"), ("gameweek_id", "n3"))]
+    + ["SELECT 'duplicate_ratio', 'player_id,gameweek_id', (n - groups) / n, 0.01, NULL, NULL, (n - groups) / n <= 0.01 FROM v_agg",
+       "SELECT 'temporal_leakage', 'gameweek_id->target_gameweek_id', leak, 0.0, NULL, NULL, leak = 0 FROM v_agg"]
+) + ")"
+
+
 @register(
     "validation_report",
     "V1 A14 A16",
-    rsql(
-        with_panel()
-        + """,
-one AS (SELECT * FROM targeted LIMIT 1),
-agg AS (SELECT count(*) AS n, count_if(target_next_gw_points IS NULL) AS n1, count_if(player_id IS NULL) AS n2,
-               count_if(gameweek_id IS NULL) AS n3, count_if(target_gameweek_id < gameweek_id) AS leak,
-               (SELECT count(*) FROM (SELECT 1 FROM targeted GROUP BY player_id, gameweek_id) g) AS groups
-        FROM targeted)
-"""
-        + "\nUNION ALL\n".join(
-            [f"SELECT 'required' AS check, '{c}' AS column_name, 1.0 AS observed_value, 1.0 AS limit_value, "
-             f"CAST(NULL AS VARCHAR) AS observed_text, CAST(NULL AS VARCHAR) AS expected_text, true AS ok"
-             for c in qu.SchemaRules().required_columns]
-            + [f"SELECT 'dtype', '{c}', NULL, NULL, {_FAMILY.format(c=c)}, '{e}', "
-               + (f"{_FAMILY.format(c=c)} IN ('integer','number')" if e == "number" else f"{_FAMILY.format(c=c)} = '{e}'")
-               + " FROM one"
-               for c, e in qu.SchemaRules().dtypes]
-            + [f"SELECT 'null_ratio', '{c}', CASE WHEN n > 0 THEN {v} / n ELSE 0.0 END, 0.0, NULL, NULL, "
-               f"CASE WHEN n > 0 THEN {v} / n ELSE 0.0 END <= 0.0 FROM agg"
-               for c, v in (("target_next_gw_points", "n1"), ("player_id", "n2"), ("gameweek_id", "n3"))]
-            + ["SELECT 'duplicate_ratio', 'player_id,gameweek_id', (n - groups) / n, 0.01, NULL, NULL, (n - groups) / n <= 0.01 FROM agg",
-               "SELECT 'temporal_leakage', 'gameweek_id->target_gameweek_id', leak, 0.0, NULL, NULL, leak = 0 FROM agg"]
-        ),
-        ["observed_value", "limit_value"],
-    ),
+    rsql(with_panel(VALID_CTES) + "\nSELECT * FROM vrows", ["observed_value", "limit_value"]),
 )
 def q_validation(spark, sf):
     return round_doubles(qu.validation_report(targeted(spark, sf)))
