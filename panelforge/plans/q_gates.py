@@ -438,10 +438,10 @@ def q_autonomous_cycle(spark, sf):
     from panelforge.operators import drift as dr
     from panelforge.operators import metrics as me
     from panelforge.operators import quality as qu
-    from panelforge.plans.q_split import targeted
-
-    val = qu.validation_report(targeted(spark, sf)).agg(F.bool_and("ok").alias("validation_ok"))
     sc = scored(spark, sf)
+    # the scored split holds every panel row: validate it without the added columns
+    panel = sc.drop("role", "predicted_points", "total_points_z_score")
+    val = qu.validation_report(panel).agg(F.bool_and("ok").alias("validation_ok"))
     tr, ho = sc.filter(F.col("role") == "train"), sc.filter(F.col("role") == "holdout")
     drift = dr.drift_decision(dr.ks_two_sample(tr, ho)).select("drift_triggered", "breach_ratio")
     summ, cmp = comparison(spark, sf)
