@@ -314,7 +314,8 @@ def q_pit_backfill_model(spark, sf, n_targets: int = 3):
         train = panel.filter(F.col("target_gameweek_id") < t)
         stats = fe.global_stats(train)
         model = mo.train_shared(fe.zscore_apply(train, stats), feats, PARAMS)
-        asof = ao.asof_latest(rows, targets=[t]).drop("target_gameweek_id").withColumn("target_gameweek_id", F.lit(t))
+        # keep the as-of target column (a literal key would fold the squad joins into nested loops)
+        asof = ao.asof_latest(rows, targets=[t])
         scored = mo.predict(model, fe.zscore_apply(asof, stats), feats, "score")
         squad = sq.budgeted_squad(scored, ["target_gameweek_id"], "score")
         xi = sq.best_xi(squad, ["target_gameweek_id"], "score")
