@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate
+from panelforge.llm import decontaminate, langid, packing, probminhash
 from panelforge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,19 @@ def query(fn):
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
