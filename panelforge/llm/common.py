@@ -31,3 +31,11 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def only_ids(df: DataFrame, ids: DataFrame, on: str = "id") -> DataFrame:
     """Rows of ``df`` whose id is among ``ids`` (one column ``on``)."""
     return df.join(maybe_broadcast(ids, BROADCAST_IDS), on, "left_semi")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a variant of it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import small_batches
+from panelforge.llm.common import fresh, small_batches
 from panelforge.llm.textgrams import LOWER, U64, mix, slices
 
 BUCKETS = 1 << 15
@@ -232,5 +232,5 @@ def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text")
             yield batch.select(range(width)).filter(pa.array(np.concatenate(keep)))
 
     text = F.col(f"`{text_col}`").cast("string")
-    lowered = docs.where(text.rlike(r"\p{L}")).select("*", F.lower(text).alias("lowered " + " ".join(docs.columns)))
+    lowered = docs.where(text.rlike(r"\p{L}")).select("*", F.lower(text).alias(fresh(docs, "lowered")))
     return lowered.mapInArrow(accept, docs.schema)
