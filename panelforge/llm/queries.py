@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, langid, packing, pii, probminhash, secret_scan
+from panelforge.llm import decontaminate, html_extract, langid, packing, pii, probminhash, secret_scan, warc
 from panelforge.llm.common import table
+from panelforge.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +48,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), folder)
+    return warc.page_digests(warc.read(spark, folder))
