@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, html_extract, langid, packing, pii, probminhash, secret_scan, warc
+from panelforge.llm import decontaminate, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
 from panelforge.llm.common import table
 from panelforge.session import scratch_path
 
@@ -60,3 +60,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), folder)
     return warc.page_digests(warc.read(spark, folder))
+
+
+@query
+def op8_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
