@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
+from panelforge.llm import decontaminate, hnsw, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
 from panelforge.llm.common import table
 from panelforge.session import scratch_path
 
@@ -65,3 +65,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
