@@ -13,10 +13,11 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
     The one-row table becomes an uncorrelated scalar subquery (a struct):
     Spark evaluates it once and inlines the value, so there is no join (and
-    no cross product) in the plan.  An empty table attaches NULLs.
+    no cross product) in the plan.  An empty table attaches NULLs, a
+    table of several rows is an error.
     """
     cols = one_row.columns
-    st = one_row.limit(1).select(F.struct(*[F.col(c) for c in cols]).alias("__st")).scalar()
+    st = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("__st")).scalar()
     return df.withColumn("__st", st).select("*", *[F.col(f"__st.{c}").alias(c) for c in cols]).drop("__st")
 
 

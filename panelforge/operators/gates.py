@@ -170,11 +170,11 @@ def promotion_gates(cands: DataFrame, incumbent: DataFrame, drift: DataFrame, ru
         "prediction_ratio_min": F.col("prediction_to_actual_ratio_min") >= r.min_prediction_to_actual_ratio,
         "prediction_ratio_max": F.col("prediction_to_actual_ratio_max") <= r.max_prediction_to_actual_ratio,
         "position_calibration_gain": F.coalesce(F.col("position_calibration_gain"), F.lit(0.0)) >= r.min_position_calibration_gain,
-        "mae_improves_active": F.col("mae") < F.col("a_mae"),
-        "ranking_priority_improves_active": F.col("priority") < F.col("a_priority"),
+        "mae_improves_active": F.col("a_mae").isNull() | (F.col("mae") < F.col("a_mae")),
+        "ranking_priority_improves_active": F.col("a_priority").isNull() | (F.col("priority") < F.col("a_priority")),
         "baseline_gate_passed": F.coalesce(F.col("baseline_gate_passed"), F.lit(True)),
-        "balanced_score_improves_active": F.col("candidate_score") < F.col("a_score"),
-        "rmse_within_deterioration": F.col("rmse") <= F.col("a_rmse") * (1.0 + r.rmse_deterioration_pct),
+        "balanced_score_improves_active": F.col("a_score").isNull() | (F.col("candidate_score") < F.col("a_score")),
+        "rmse_within_deterioration": F.col("a_rmse").isNull() | (F.col("rmse") <= F.col("a_rmse") * (1.0 + r.rmse_deterioration_pct)),
     }
     return _finish(c, g)
 
@@ -191,8 +191,8 @@ def reviewer_gates(cands: DataFrame, incumbent: DataFrame, rules: ModelRules = M
         "bias_gate": F.when(sd > 0, F.abs("bias") <= bias_sd_mult * sd).otherwise(F.lit(True)),
         "pos_cap_gate": F.coalesce(F.col("position_exceed_rate") <= pos_exceed_pct, F.lit(True)),
         "player_cap_gate": F.coalesce(F.col("player_exceed_rate") <= player_exceed_pct, F.lit(True)),
-        "rmse_gate": F.coalesce(F.col("rmse") <= F.col("a_rmse") * (1.0 + rmse_worse_pct), F.lit(True)),
-        "mae_gate": F.coalesce(F.col("mae") <= F.col("a_mae") * 1.01, F.lit(True)),
+        "rmse_gate": F.col("a_rmse").isNull() | (F.col("rmse") <= F.col("a_rmse") * (1.0 + rmse_worse_pct)),
+        "mae_gate": F.col("a_mae").isNull() | (F.col("mae") <= F.col("a_mae") * 1.01),
         "realism_gate": F.col("squad_total_bias_abs_mean") <= r.max_squad_total_bias,
         "position_bias_gate": F.col("max_position_bias_abs") <= r.max_position_bias,
         "ranking_gate": F.col("top_k_hit_rate_mean") >= r.min_top_k_hit_rate,
@@ -201,13 +201,14 @@ def reviewer_gates(cands: DataFrame, incumbent: DataFrame, rules: ModelRules = M
         "collapse_gate": F.col("prediction_collapse_weeks") <= r.max_prediction_collapse_weeks,
         "instability_gate": F.col("bias_flip_weeks") <= r.max_bias_flip_weeks,
         "baseline_gate": F.coalesce(F.col("baseline_gate_passed"), F.lit(True)),
-        "priority_gate": F.coalesce(F.col("priority") <= F.col("a_priority"), F.lit(True)),
+        "priority_gate": F.col("a_priority").isNull() | (F.col("priority") <= F.col("a_priority")),
     }
     return _finish(c, g)
 
 
 def _finish(c: DataFrame, gates: dict[str, Column]) -> DataFrame:
-    out = c.withColumns(gates)
+    """A gate that can't be decided (NULL) is a failed one."""
+    out = c.withColumns({n: F.coalesce(g, F.lit(False)) for n, g in gates.items()})
     names = list(gates)
     failed = F.filter(
         F.array(*[F.when(~F.col(n), F.lit(n)) for n in names]), lambda x: x.isNotNull()

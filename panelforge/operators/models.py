@@ -4,8 +4,8 @@ The reference trains XGBoost in one process; here gradient-boosted trees run
 on the cluster (``GBTRegressor`` / ``GBTClassifier``).  Parameter mapping:
 n_estimators -> maxIter, max_depth -> maxDepth, learning_rate -> stepSize,
 subsample -> subsamplingRate, colsample -> featureSubsetStrategy (fraction),
-gamma -> minInfoGain; L1/L2 regularisation and max_delta_step have no Spark
-equivalent.  Long fits checkpoint their state every ``checkpoint_interval``
+gamma -> minInfoGain, min_child_weight -> minInstancesPerNode (rounded up);
+L1/L2 regularisation and max_delta_step have no Spark equivalent.  Long fits checkpoint their state every ``checkpoint_interval``
 iterations into the shared checkpoint folder, so a lost executor does not
 restart the fit from scratch.  Only the fits loop on the driver (folds,
 segments, candidates); every fit and every prediction is a Spark job.
@@ -13,7 +13,9 @@ segments, candidates); every fit and every prediction is a Spark job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -38,8 +40,12 @@ class GBTParams:
     subsample: float = 0.8
     colsample: float = 0.8
     gamma: float = 0.0
+    min_child_weight: float = 1.0
+    # Post-processing that a search tunes together with the trees.
+    shrinkage_alpha: float = 0.0
+    calibration_strength: float = 0.0
     seed: int = 42
-    checkpoint_interval: int = 10
+    checkpoint_interval: int = 20
 
     @classmethod
     def from_row(cls, row: dict) -> "GBTParams":
@@ -52,17 +58,34 @@ class GBTParams:
             subsample=float(row.get("subsample", base.subsample)),
             colsample=float(row.get("colsample_bytree", base.colsample)),
             gamma=float(row.get("gamma", base.gamma)),
+            min_child_weight=float(row.get("min_child_weight", base.min_child_weight)),
+            shrinkage_alpha=float(row.get("shrinkage_alpha", base.shrinkage_alpha)),
+            calibration_strength=float(row.get("calibration_strength", base.calibration_strength)),
         )
 
 
 TARGET = "target_next_gw_points"
+#: Rows that one task of a fit reads; a fit runs some jobs per tree, so small
+#: inputs in many partitions would pay for scheduling only.
+ROWS_PER_TASK = 250_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as its rows need."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
+
+
+def concurrently(fits: Sequence[Callable], threads: int = 8) -> list:
+    """Independent fits at the same time: the jobs of one fill the gaps of others."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(fits)))) as pool:
+        return list(pool.map(lambda f: f(), fits))
 
 
 def _estimator(p: GBTParams, label: str, classifier: bool = False):
     kw = dict(
         featuresCol="features", labelCol=label, maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
         subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample), minInfoGain=p.gamma, seed=p.seed,
-        checkpointInterval=p.checkpoint_interval,
+        minInstancesPerNode=max(1, math.ceil(p.min_child_weight)), cacheNodeIds=False, checkpointInterval=p.checkpoint_interval,
     )
     return GBTClassifier(**kw) if classifier else GBTRegressor(**kw)
 
@@ -82,7 +105,7 @@ def train_shared(train: DataFrame, features: Sequence[str], params: GBTParams =
     """M1: one regressor on all rows; label = sign(y) log1p|y| when ``log_target``."""
     shared_root(train.sparkSession)
     d = prepare(train, features).withColumn("__label", signed_log1p(target) if log_target else F.col(target).cast("double"))
-    return _pipeline(features, _estimator(params, "__label")).fit(d)
+    return _pipeline(features, _estimator(params, "__label")).fit(sized(d.select(*features, "__label")))
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "predicted_points",
@@ -94,15 +117,13 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], out: s
 
 
 def train_per_segment(train: DataFrame, features: Sequence[str], params: GBTParams = GBTParams(),
-                      segment: str = "position_id", segments: Sequence[int] = (1, 2, 3, 4)) -> dict:
-    """M2: one model per segment (k <= 4 fits on filtered views of one
-    checkpointed input) plus the shared fallback."""
-    models = {None: train_shared(train, features, params)}
-    for s in segments:
-        part = train.filter(F.col(segment) == s)
-        if part.limit(2).count() >= 2:  # bounded probe: is there anything to fit?
-            models[s] = train_shared(part, features, params)
-    return models
+                      segment: str = "position_id") -> dict:
+    """M2: one model per segment that occurs (fits on filtered views of one
+    written input) plus the shared fallback."""
+    segments = sorted(r[0] for r in train.select(segment).where(F.col(segment).isNotNull()).distinct().collect())  # a handful of ids
+    fits = concurrently([lambda: train_shared(train, features, params)]
+                        + [lambda s=s: train_shared(train.filter(F.col(segment) == s), features, params) for s in segments])
+    return dict(zip([None, *segments], fits))
 
 
 def predict_per_segment(models: dict, df: DataFrame, features: Sequence[str], segment: str = "position_id",
@@ -122,8 +143,10 @@ def train_two_stage(train: DataFrame, features: Sequence[str], params: GBTParams
                     minutes_target: str = "target_next_gw_minutes", threshold: float = 60.0):
     """M3: P(next minutes >= 60) classifier x conditional points regressor."""
     d = prepare(train, features).withColumn("__y", (F.col(minutes_target) >= threshold).cast("double"))
-    clf = _pipeline(features, _estimator(params, "__y", classifier=True)).fit(d)
-    reg = train_shared(train.filter(F.col(minutes_target) >= threshold), features, params)
+    shared_root(train.sparkSession)
+    clf, reg = concurrently([
+        lambda: _pipeline(features, _estimator(params, "__y", classifier=True)).fit(sized(d.select(*features, "__y"))),
+        lambda: train_shared(train.filter(F.col(minutes_target) >= threshold), features, params)])
     return clf, reg
 
 

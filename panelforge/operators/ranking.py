@@ -4,10 +4,10 @@
   partial ``WindowGroupLimit`` on the map side, so only k rows per group and
   input partition cross the shuffle, whatever the group size.
 * ``prefix_sums`` - exact cumulative sums over an ordered value inside a
-  group, computed on the distinct-value aggregate and split into equal-width
-  value buckets per group: bucket totals -> offsets (small) -> a window per
-  (group, bucket).  A group holding a third of all rows is spread over
-  ``buckets`` tasks instead of one.
+  group, computed on the distinct-value aggregate and split at quantiles of
+  the group: split totals -> offsets (small) -> a window per (group, split).
+  A group holding a third of all rows is spread over ``buckets`` tasks instead
+  of one.
 * ``average_rank`` - pandas ``rank(method="average")`` from those prefix sums.
 """
 
@@ -18,18 +18,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = None  # None -> chosen from the input size (auto_buckets)
+DEFAULT_BUCKETS = None  # None -> one split for ROWS_PER_BUCKET input rows
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 64
 
 
-def auto_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
-    """Value-range buckets for the prefix sums: one per ``rows_per_bucket``
-    input rows (at most ``max_buckets``).  Results never depend on it; it
-    only sets how many tasks share one group's running sum.  Call it on a
-    materialised (cheap to count) input."""
-    n = df.count()
-    return max(1, min(max_buckets, -(-n // rows_per_bucket)))
+def auto_buckets(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Splits for the running sums: one per ``rows_per_bucket`` input rows,
+    without a bound.  It only sets how many tasks share one group's running
+    sum.  Call it on a materialised (cheap to count) input."""
+    return max(1, -(-df.count() // rows_per_bucket))
+
+
+def _null_safe(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL keys equal each other."""
+    other = b.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return a.join(other, on).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def _split(df: DataFrame, group: Sequence[str], value: str, n: int) -> DataFrame:
+    """``df`` with ``__b``: which of ``n`` splits of its group a row falls in.
+
+    The splits are bounded by quantiles of the group, so they hold about
+    equally many rows however the values are spread.  Equal values share a
+    split; NULLs are in the first and NaNs in the last, as a window orders them.
+    """
+    if n <= 1:
+        return df.withColumn("__b", F.lit(0))
+    v = F.col(value).cast("double")
+    q = F.percentile_approx(v, [k / n for k in range(1, n)], max(10_000, 20 * n)).alias("__q")
+    if group:
+        b = _null_safe(df, df.groupBy(*group).agg(q), group)
+    else:
+        from panelforge.operators.common import attach_row
+
+        b = attach_row(df, df.agg(q))
+    below = F.size(F.filter(F.coalesce(F.col("__q"), F.array().cast("array<double>")), lambda x: x < v))
+    return b.withColumn("__b", F.when(v.isNull(), 0).otherwise(below)).drop("__q")
 
 
 def topk(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank_col: str = "rn") -> DataFrame:
@@ -49,36 +74,28 @@ def prefix_sums(
     """Inclusive running sums of ``sums`` ordered by ``value`` within ``group``.
 
     ``df`` must hold one row per (group, value) (aggregate first).  Values are
-    numeric.  Exact: buckets are a deterministic function of the value (equal
-    width between the group's min and max), so equal values share a bucket.
+    numeric; NULL groups are a group, NULL values come first, NaN last.  The
+    result does not depend on ``buckets``.
     """
     group = list(group)
     if buckets is None:
         buckets = auto_buckets(df)
+    b = _split(df, group, value, buckets)
+    wi = Window.partitionBy(*group, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    inner = b.withColumns({f"{s}{suffix}": F.sum(s).over(wi) for s in sums})
     if buckets <= 1:
-        w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"{s}{suffix}": F.sum(s).over(w) for s in sums})
-
-    rng = df.groupBy(*group).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    v = F.col(value).cast("double")
-    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-    bucket = F.when(
-        hi > lo, F.least(F.lit(buckets - 1), F.floor((v - lo) / (hi - lo) * buckets).cast("int"))
-    ).otherwise(F.lit(0))
-    # The range table has one row per group; AQE turns the join into a
-    # broadcast at run time when its materialised size is small.
-    b = df.join(rng, group).withColumn("__b", bucket).drop("__lo", "__hi")
-
+        return inner.drop("__b")
     totals = b.groupBy(*group, "__b").agg(*[F.sum(s).alias(f"__t_{s}") for s in sums])
     wo = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group, "__b", *[F.coalesce(F.sum(f"__t_{s}").over(wo), F.lit(0)).alias(f"__o_{s}") for s in sums]
-    )
-    wi = Window.partitionBy(*group, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.join(offsets, [*group, "__b"]).withColumns(
-        {f"{s}{suffix}": F.sum(s).over(wi) + F.col(f"__o_{s}") for s in sums}
-    )
-    return out.drop("__b", *[f"__o_{s}" for s in sums])
+    offsets = totals.select(*group, "__b", *[F.sum(f"__t_{s}").over(wo).alias(f"__o_{s}") for s in sums])
+    out = _null_safe(inner, offsets, [*group, "__b"])
+    return out.withColumns({f"{s}{suffix}": _plus(F.col(f"{s}{suffix}"), F.col(f"__o_{s}")) for s in sums}).drop(
+        "__b", *[f"__o_{s}" for s in sums])
+
+
+def _plus(a: Column, b: Column) -> Column:
+    """Sum of two partial sums: NULL only where both are (sums skip NULLs)."""
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
 
 
 def value_ranks(df: DataFrame, group: Sequence[str], value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -122,32 +139,23 @@ def prefix_min(
     """Running minimum of ``value`` in ``order`` within ``group`` (inclusive of
     the current row unless ``exclusive``); ``order`` must be unique per group.
 
-    Same bucketed shape as ``prefix_sums``: per-bucket minima -> prefix over
-    buckets (small) -> window inside each (group, bucket).  With no group the
-    work is still split over ``buckets`` tasks instead of one.
+    Same shape as ``prefix_sums``: minima of the splits -> prefix over splits
+    (small) -> window inside each (group, split).  With no group the work is
+    still shared by ``buckets`` tasks.
     """
     group = list(group)
     end = -1 if exclusive else 0
     if buckets is None:
         buckets = auto_buckets(df)
+    b = _split(df, group, order, buckets)
+    wi = Window.partitionBy(*group, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    inner = b.withColumn(out, F.min(value).over(wi))
     if buckets <= 1:
-        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out, F.min(value).over(w))
-    rng = (df.groupBy(*group) if group else df.groupBy()).agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
-    o = F.col(order).cast("double")
-    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-    bucket = F.when(hi > lo, F.least(F.lit(buckets - 1), F.floor((o - lo) / (hi - lo) * buckets).cast("int"))).otherwise(F.lit(0))
-    from panelforge.operators.common import attach_row
-
-    b = (df.join(rng, group) if group else attach_row(df, rng)).withColumn("__b", bucket).drop("__lo", "__hi")
+        return inner.drop("__b")
     mins = b.groupBy(*group, "__b").agg(F.min(value).alias("__bm"))
     wo = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = mins.select(*group, "__b", F.min("__bm").over(wo).alias("__off"))
-    wi = Window.partitionBy(*group, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-    res = b.join(offsets, [*group, "__b"]).withColumn(
-        out, F.least(F.min(value).over(wi), F.col("__off"))
-    )
-    return res.drop("__b", "__off")
+    return _null_safe(inner, offsets, [*group, "__b"]).withColumn(out, F.least(out, "__off")).drop("__b", "__off")
 
 
 def exact_percentile(df: DataFrame, group: Sequence[str], value: str, q: float, out: str = "percentile",

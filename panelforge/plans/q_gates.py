@@ -331,7 +331,7 @@ _PRIO_LE = _PRIO_LT[:-1] + " OR (selected_xi_regret_mean = a1 AND top_k_hit_rate
 
 
 def _failed_sql(names):
-    return "concat_ws(',', " + ", ".join(f"CASE WHEN NOT {n} THEN '{n}' END" for n in names) + ")"
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN NOT COALESCE({n}, false) THEN '{n}' END" for n in names) + ")"
 
 
 @register(
@@ -371,7 +371,7 @@ g AS (
   SELECT iteration,
     CASE WHEN actual_std > 0 THEN abs(bias) <= 0.25 * actual_std ELSE true END AS bias_gate,
     COALESCE(position_exceed_rate <= 0.05, true) AS pos_cap_gate, COALESCE(player_exceed_rate <= 0.05, true) AS player_cap_gate,
-    COALESCE(rmse <= a_rmse * (1.0 + 0.05), true) AS rmse_gate, COALESCE(mae <= a_mae * 1.01, true) AS mae_gate,
+    (a_rmse IS NULL OR rmse <= a_rmse * (1.0 + 0.05)) AS rmse_gate, (a_mae IS NULL OR mae <= a_mae * 1.01) AS mae_gate,
     squad_total_bias_abs_mean <= 16.0 AS realism_gate, max_position_bias_abs <= 2.5 AS position_bias_gate,
     top_k_hit_rate_mean >= 0.25 AS ranking_gate, rank_correlation_mean >= 0.0 AS rank_corr_gate,
     selected_xi_regret_mean <= 24.0 AS xi_regret_gate, prediction_collapse_weeks <= 0 AS collapse_gate,

@@ -1,9 +1,8 @@
 """Registered queries: model training / scoring (rows-only checks) and the
 point-in-time back-fill (oracle-checked with the heuristic predictor).
 
-The registered model queries fit ``QUERY_TREES`` boosting rounds so the
-whole suite stays quick at check time; the library default is the
-reference's 200 (``GBTParams``).
+Fits use the library's defaults (200 trees); fits that don't need each other
+run at the same time.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ from panelforge.plans.registry import register, rsql
 from panelforge.plans.sqlparts import with_panel
 from panelforge.sources import tables as tb
 
-QUERY_TREES = 10
-PARAMS = mo.GBTParams(n_estimators=QUERY_TREES)
+PARAMS = mo.GBTParams()
+TRIALS = 8
 VARIANT = fe.DEFAULT_VARIANT
 ACT = "target_next_gw_points"
 
@@ -106,13 +105,15 @@ def q_cv_mae(spark, sf):
     tr = m.filter(F.col("role") == "train")
     feats = fe.select_features(VARIANT)
     folds = sp.expanding_folds(tr)
-    rows = []
-    for fold in range(5):  # the fits loop; data never leaves Spark
+
+    def one(fold):
         f = folds.filter(F.col("fold") == fold)
         fit_rows = tr.join(F.broadcast(f.filter(F.col("role") == "train")), tr.target_gameweek_id == F.col("week"), "left_semi")
         test_rows = tr.join(F.broadcast(f.filter(F.col("role") == "test")), tr.target_gameweek_id == F.col("week"), "left_semi")
         model = mo.train_shared(fit_rows, feats, PARAMS)
-        rows.append(mo.error_row(mo.predict(model, test_rows, feats)).select(F.lit(fold).alias("fold"), "*"))
+        return mo.error_row(mo.predict(model, test_rows, feats)).select(F.lit(fold).alias("fold"), "*")
+
+    rows = mo.concurrently([lambda k=k: one(k) for k in range(5)])
     res = rows[0]
     for r in rows[1:]:
         res = res.unionByName(r)
@@ -126,7 +127,7 @@ def _summary(pred, by=None):
 
 
 @register("param_search", "M6 P34 A27 A28 F15 X2")
-def q_param_search(spark, sf, trials: int = 3, seed: int = 42):
+def q_param_search(spark, sf, trials: int = TRIALS, seed: int = 42):
     m = model_panel(spark, sf)
     feats = fe.select_features(VARIANT)
     tr, ho = m.filter(F.col("role") == "train"), m.filter(F.col("role") == "holdout")
@@ -139,14 +140,19 @@ def q_param_search(spark, sf, trials: int = 3, seed: int = 42):
     clamped = gt.clamp_to_bounds(params, F.broadcast(gt.bounds_frame(spark)))
     # One row per trial with its clamped parameters (small: trials x 12).
     table = clamped.groupBy("iteration").agg(F.map_from_entries(F.collect_list(F.struct("param", "clamped"))).alias("p"))
-    results = []
-    for row in table.orderBy("iteration").collect():  # trials x 12 parameters, not data
+    league = tr.agg(F.avg(ACT).alias("__lm"))
+
+    def one(row):
         p = mo.GBTParams.from_row(dict(row["p"]))
-        p = mo.GBTParams(**{**p.__dict__, "n_estimators": min(p.n_estimators, QUERY_TREES)})
-        pred = mo.predict(mo.train_shared(tr, feats, p), ho, feats)
-        summ = _summary(pred)
-        errs = mo.error_row(pred)
-        results.append(attach_row(summ.drop("mae", "rmse", "bias"), errs).select(F.lit(row["iteration"]).alias("iteration"), "*"))
+        model = mo.train_shared(tr, feats, p)
+        # shrinkage and calibration strength are tuned with the trees
+        coeffs = ca.fit_calibration(mo.predict(model, tr, feats), ACT, "predicted_points", strength=p.calibration_strength)
+        pred = materialize(ca.postprocess(attach_row(mo.predict(model, ho, feats), league), "predicted_points", "final_points",
+                                          league_mean=F.col("__lm"), alpha=p.shrinkage_alpha, variant="global", coeffs=coeffs)
+                           .withColumn("predicted_points", F.col("final_points")).drop("final_points", "__lm"))
+        return attach_row(_summary(pred).drop("mae", "rmse", "bias"), mo.error_row(pred)).select(F.lit(row["iteration"]).alias("iteration"), "*")
+
+    results = mo.concurrently([lambda row=row: one(row) for row in table.orderBy("iteration").collect()], 4)  # trials x 12 parameters, not data
     res = results[0]
     for r in results[1:]:
         res = res.unionByName(r)
@@ -183,11 +189,8 @@ def q_variant_sweep(spark, sf):
 
 # ------------------------------------------------------------------ point-in-time back-fill
 
-FIRST_TARGET = 10
-
-
 def pit_candidates(spark, sf):
-    """J12 + per-target train statistics: for every target t >= 10, each
+    """J12 + per-target train statistics: for every target t that any row can train, each
     player's latest row with period <= t-1, scored by the heuristic with
     z-stats of the rows whose target period < t (cumulative weekly sums)."""
     c = fe.collapse_periods(tb.fixture_rows(spark, sf))
@@ -200,8 +203,8 @@ def pit_candidates(spark, sf):
     )
     w = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)  # one row per period
     cum = wk.select("t", F.sum("n").over(w).alias("N"), F.sum("s").over(w).alias("S"), F.sum("ss").over(w).alias("SS"),
-                    F.max("mx").over(w).alias("train_max_target_gw")).filter(F.col("t") >= FIRST_TARGET)
-    std = F.sqrt((F.col("SS") - F.col("S") * F.col("S") / F.col("N")) / (F.col("N") - 1))
+                    F.max("mx").over(w).alias("train_max_target_gw")).filter(F.col("N") > 0)
+    std = F.when(F.col("N") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("SS") - F.col("S") * F.col("S") / F.col("N")) / (F.col("N") - 1)))
     stats = cum.select("t", (F.col("S") / F.col("N")).alias("m"), F.when(std > 0, std).otherwise(F.lit(1.0)).alias("sd"),
                        "train_max_target_gw")
     asof = ao.asof_latest(rolled).withColumnRenamed("target_gameweek_id", "t")
@@ -212,8 +215,8 @@ def pit_candidates(spark, sf):
                     score.alias("score"), F.col("gameweek_id").alias("source_gameweek_id"), "train_max_target_gw")
 
 
-PIT_SQL = f""",
-tg AS (SELECT DISTINCT target_gameweek_id AS t FROM targeted WHERE target_gameweek_id >= {FIRST_TARGET}),
+PIT_SQL = """,
+tg AS (SELECT DISTINCT target_gameweek_id AS t FROM targeted),
 st AS (SELECT tg.t, avg(x.total_points) AS m,
               CASE WHEN stddev_samp(x.total_points) > 0 THEN stddev_samp(x.total_points) ELSE 1.0 END AS sd,
               max(x.target_gameweek_id) AS train_max_target_gw
@@ -294,9 +297,8 @@ def q_stored_model_eval(spark, sf):
 
 
 @register("pit_backfill_model", "M9 M10 J12 O3 O4 (model predictor)")
-def q_pit_backfill_model(spark, sf, n_targets: int = 3):
-    """Point-in-time back-fill with the trained model: for each of the last
-    target periods t, fit on rows whose target period < t, score every
+def q_pit_backfill_model(spark, sf):
+    """Point-in-time back-fill with the trained model: for each target period t, fit on rows whose target period < t, score every
     player's as-of row (period <= t-1), pick the squad and stamp the trust
     check.  The per-target fits are the only driver loop."""
     c = fe.collapse_periods(tb.fixture_rows(spark, sf))
@@ -307,10 +309,9 @@ def q_pit_backfill_model(spark, sf, n_targets: int = 3):
     rows = fe.upside_features(fe.minutes_band(fe.segment_one_hot(rows)))
     rows = materialize(fe.fill_numeric(rows))
     feats = fe.select_features(VARIANT)
-    targets = [r[0] for r in panel.select("target_gameweek_id").distinct().orderBy(F.col("target_gameweek_id").desc())
-               .limit(n_targets).collect()]  # a handful of period ids
-    outs = []
-    for t in sorted(targets):
+    periods = sorted(r[0] for r in panel.select("target_gameweek_id").distinct().collect())  # period ids
+
+    def one(t):
         train = panel.filter(F.col("target_gameweek_id") < t)
         stats = fe.global_stats(train)
         model = mo.train_shared(fe.zscore_apply(train, stats), feats, PARAMS)
@@ -323,9 +324,11 @@ def q_pit_backfill_model(spark, sf, n_targets: int = 3):
         src = asof.agg(F.max("source_gameweek_id").alias("__src"))
         stamped = attach_row(attach_row(xi, integ), src).withColumn(
             "backfill_trusted", (F.col("__train_max") < t) & (F.col("__src") <= t - 1))
-        outs.append(stamped.select(F.col("target_gameweek_id").cast("int"), "player_id", "is_starter", "is_captain",
-                                   "is_vice_captain", F.col("score").alias("expected_points_next_gw"),
-                                   F.lit("pit_model").alias("backfill_method"), "backfill_trusted"))
+        return materialize(stamped.select(F.col("target_gameweek_id").cast("int"), "player_id", "is_starter", "is_captain",
+                                          "is_vice_captain", F.col("score").alias("expected_points_next_gw"),
+                                          F.lit("pit_model").alias("backfill_method"), "backfill_trusted"))
+
+    outs = mo.concurrently([lambda t=t: one(t) for t in periods[1:]])  # nothing to train on before the first
     res = outs[0]
     for o in outs[1:]:
         res = res.unionByName(o)

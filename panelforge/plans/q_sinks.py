@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from panelforge.operators import features as fe
 from panelforge.operators import quality as qu
 from panelforge.operators.common import attach_row, materialize, round_doubles
-from panelforge.plans.q_ingest import PLAYER_SQL, VALID_ELEMENTS, env
+from panelforge.plans.q_ingest import PLAYER_SQL, env
 from panelforge.plans.q_split import targeted
 from panelforge.plans.registry import register, rsql
 from panelforge.plans.sqlparts import with_panel
@@ -185,10 +185,10 @@ def q_merge(spark, sf):
     "append_history",
     "K5",
     with_panel()
-    + f"""
+    + """
 SELECT gameweek_id AS gameweek_fetched, count(*) AS n_rows, CAST(sum(CAST(round(total_points) AS INTEGER)) AS BIGINT) AS points,
        count(DISTINCT player_id) AS n_players
-FROM collapsed WHERE {VALID_ELEMENTS} GROUP BY gameweek_id""",
+FROM collapsed GROUP BY gameweek_id""",
 )
 def q_append_history(spark, sf):
     players = jd.parse_players(env(spark, sf, ("elements",)))
@@ -206,8 +206,8 @@ def q_append_history(spark, sf):
     "replace_period",
     "K6",
     with_panel()
-    + f""",
-p AS (SELECT gameweek_id, player_id, CAST(round(total_points) AS INTEGER) AS tp FROM collapsed WHERE {VALID_ELEMENTS}),
+    + """,
+p AS (SELECT gameweek_id, player_id, CAST(round(total_points) AS INTEGER) AS tp FROM collapsed),
 mx AS (SELECT max(gameweek_id) AS m FROM p),
 final AS (SELECT gameweek_id, tp FROM p, mx WHERE gameweek_id <> m
           UNION ALL SELECT gameweek_id, tp * 2 FROM p, mx WHERE gameweek_id = m AND player_id % 2 = 0)

@@ -30,7 +30,7 @@ def q_stream_upsert(spark, sf):
         "player_id", "gameweek_id", "total_points", "position_id", "team_id"
     )
     landing = scratch_path(spark, "landing_periods")
-    jobs.land_period_files(rows, landing)
+    jobs.land_files(rows, landing, "gameweek_id")
     root = jobs.stream_upsert(spark, landing, rows.schema)
     state = jobs.read_state(spark, root)
     return round_doubles(state.select("player_id", "gameweek_id", "total_points", "position_id", "team_id"))
@@ -48,9 +48,7 @@ FROM events GROUP BY 1, 2, 3""", ["total_duration_ms"]),
 def q_stream_rollup(spark, sf):
     log = tb.event_log(spark, sf).withColumn("day", F.dayofmonth("ts"))
     landing = scratch_path(spark, "landing_events")
-    days = [r[0] for r in log.select("day").distinct().orderBy("day").collect()]  # #days scalars
-    for d in days:  # arrive in time order: one file per day
-        log.filter(F.col("day") == d).drop("day").coalesce(1).write.mode("append").json(landing)
+    jobs.land_files(log, landing, "day", "json")
     schema = log.drop("day").schema
     out = jobs.stream_event_rollup(spark, landing, schema)
     return round_doubles(out)

@@ -36,8 +36,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared store the cluster configures; it is only
-    set here when it is unset (local tests), to a fresh scratch folder.
+    On a cluster this is the shared store the cluster configures, and it is
+    an error if none is: executors don't see each other's or the driver's
+    local folders.  Only a local session gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -45,6 +46,8 @@ def shared_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="panelforge-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

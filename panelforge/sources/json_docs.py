@@ -173,7 +173,8 @@ def redact_json_text(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
 
 def redact_json_deep(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
     """P31, full recursion (any value type under a sensitive key), as an
-    Arrow-batched pandas UDF over the JSON text: a small per-row helper."""
+    Arrow-batched pandas UDF over the JSON text: a small per-row helper.  Text
+    that is no JSON can't be trusted to hold no secret: it goes as a whole."""
     pats = tuple(p.upper() for p in patterns)
 
     def red(x):
@@ -183,8 +184,14 @@ def redact_json_deep(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
             return [red(v) for v in x]
         return x
 
+    def one(t):
+        try:
+            return None if t is None else json.dumps(red(json.loads(t)))
+        except ValueError:
+            return '"[UNPARSED]"'
+
     @F.pandas_udf("string")
     def _udf(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else json.dumps(red(json.loads(t))))
+        return s.map(one)
 
     return _udf(col)

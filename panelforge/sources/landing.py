@@ -5,8 +5,8 @@ derived from the tables with Spark and written as JSON-lines text (one
 envelope per line) below the shared folder.  Every document is bounded in
 size: player elements are chunked by ``player_id div 500`` (one row per
 player and period after the collapse), fixtures by ``fixture_id div 1000``,
-history documents hold one player's periods.  Some bootstrap documents are
-truncated on purpose (malformed input for the quarantine path).
+history documents hold one player's periods.  Documents are whole; only on
+demand some bootstrap documents are truncated (input for the quarantine path).
 """
 
 from __future__ import annotations
@@ -36,9 +36,8 @@ def _envelope(data: F.Column, endpoint: str, fetched: F.Column, key: F.Column) -
         fetched.alias("fetch_timestamp"),
         F.lit(200).alias("status_code"),
         F.octet_length(body).alias("response_size_bytes"),
-        F.struct(F.lit("application/json").alias("accept"), F.concat(F.lit("k-"), key.cast("string")).alias("x_api_key")).alias(
-            "request_headers"
-        ),
+        F.struct(F.lit("application/json").alias("accept"), F.concat(F.lit("k-"), key.cast("string")).alias("x_api_key"),
+                 F.struct(F.array(F.concat(F.lit("s3cr-"), key.cast("string"))).alias("a")).alias("auth_tokens")).alias("request_headers"),
     )
     return F.to_json(F.struct(data.alias("data"), meta.alias("metadata")))
 
@@ -70,10 +69,11 @@ ALL_KINDS = ("elements", "teams", "events", "fixtures", "history")
 
 
 def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None,
-                       kinds: tuple[str, ...] = ALL_KINDS) -> str:
+                       kinds: tuple[str, ...] = ALL_KINDS, malformed: bool = False) -> str:
     """Write the envelopes (bootstrap elements / teams / events, fixtures,
     element-summary history) as JSON lines; returns the folder.  ``kinds``
-    lands only the document kinds a caller reads."""
+    lands only the document kinds a caller reads; ``malformed`` truncates the
+    first chunk of every seventh period's elements."""
     path = path or scratch_path(spark, "raw_docs")
     el = bootstrap_elements(spark, sf_dir)
     ev_days = tb.read_table(spark, sf_dir, "events").groupBy(F.dayofmonth("ts").cast("int").alias("gw")).agg(
@@ -84,7 +84,7 @@ def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None
     boot = el.groupBy("event", "chunk").agg(F.sort_array(F.collect_list("el")).alias("elements"))
     line = _envelope(F.struct("event", "chunk", "elements"), "bootstrap-static", fetched,
                      F.concat_ws("-", F.col("event").cast("string"), F.col("chunk").cast("string")))
-    bad = (F.col("event") % MALFORMED_EVERY == 0) & (F.col("chunk") == 0)
+    bad = F.lit(malformed) & (F.col("event") % MALFORMED_EVERY == 0) & (F.col("chunk") == 0)
     boot_lines = boot.select(F.when(bad, F.substring(line, 1, 60)).otherwise(line).alias("value"))
 
     t = tb.team_dim(spark, sf_dir).select(

@@ -235,10 +235,11 @@ def lower_case_scan(spark: SparkSession, name: str) -> DataFrame:
 
 def append_event_log(df: DataFrame, path: str) -> str:
     """Append event records (run_id, node, state, duration_ms, status,
-    detail JSON) as JSON lines; sensitive keys in ``detail`` are redacted."""
-    from panelforge.sources.json_docs import redact_json_text
+    detail JSON) as JSON lines; sensitive keys in ``detail`` are redacted at any
+    depth, with all that is nested under them."""
+    from panelforge.sources.json_docs import redact_json_deep
 
-    out = df.withColumn("detail", redact_json_text(F.col("detail"))) if "detail" in df.columns else df
+    out = df.withColumn("detail", redact_json_deep(F.col("detail"))) if "detail" in df.columns else df
     out.withColumn("timestamp_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).write.mode(
         "append"
     ).json(path)

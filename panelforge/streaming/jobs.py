@@ -1,20 +1,21 @@
 """Structured Streaming re-aims of the two incremental batch behaviours
 (ST1, ST2).
 
-* ``stream_upsert`` (ST1): period files arrive in a landing folder; the
-  stream reads them (one file per trigger), stamps event time, drops
-  duplicates inside the watermark and, in ``foreachBatch``, upserts the
-  batch into the current-state table (latest period per entity wins, so
-  replays and out-of-order files are harmless); the state is partitioned by
-  entity hash bucket and a batch rewrites only the buckets it touches.
+* ``stream_upsert`` (ST1): period files arrive in a landing folder; in
+  ``foreachBatch`` each batch is merged into the current-state table.  The row
+  with the greatest (period, version) of an entity wins; the version is a
+  column of the documents or else the time its file was written, so a
+  corrected document of a live period replaces the first one, a late document
+  never overwrites a newer period but does add entities that have no newer
+  row, and replays change nothing.  The state is partitioned by entity hash
+  bucket and a batch rewrites only the buckets it touches.
 * ``stream_event_rollup`` (ST2): JSON event-log files -> hourly windows per
-  node with a watermark, emitted in *update* mode (state is evicted once the
-  watermark passes, unlike complete mode) and upserted in ``foreachBatch``
-  into the result table keyed by (window, node).
+  node.  Each batch writes its own partial counts (a replayed batch replaces
+  them); the result is their sum, so events count whenever they arrive.
 
 Both run with ``trigger(availableNow=True)`` and a fresh checkpoint folder
 below the shared checkpoint directory, and the result equals the batch
-computation on the same input.
+computation on the same input, in whatever order the files come.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.operators.asof import latest_per_entity
 from panelforge.session import scratch_path
 
 
-STATE_BUCKETS = 64
+#: Rows that a state bucket is meant to hold.
+ROWS_PER_BUCKET = 2_000_000
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame | None:
@@ -35,102 +36,81 @@ def read_state(spark: SparkSession, root: str) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(root).drop("__bucket")
+        return spark.read.parquet(root).drop("__bucket", "__version")
     except AnalysisException:
         return None
 
 
 def stream_upsert(spark: SparkSession, landing: str, schema: T.StructType, entity: str = "player_id",
-                  period: str = "gameweek_id", watermark: str = "2 days", buckets: int = STATE_BUCKETS,
-                  files_per_trigger: int = 5) -> str:
+                  period: str = "gameweek_id", version: str | None = None, buckets: int | None = None,
+                  files_per_trigger: int = 50) -> str:
     """ST1: run the incremental upsert to completion; returns the state root.
 
-    The state table is partitioned by ``pmod(xxhash64(entity), buckets)``;
-    each micro-batch reads only the buckets it touches, merges (latest period
-    per entity wins - idempotent, so a replayed batch is harmless) and
-    replaces just those buckets with a dynamic partition overwrite.
+    ``version`` names the column that tells a correction from what it corrects
+    (default: the file's modification time).  The state table is partitioned by
+    ``pmod(xxhash64(entity), buckets)``, by default one bucket for
+    ``ROWS_PER_BUCKET`` rows of the first batch's size times the files to come.
     """
+    from panelforge.operators.asof import _latest
     from panelforge.operators.common import materialize
 
     state_root = scratch_path(spark, "stream_state")
     ckpt = scratch_path(spark, "stream_ckpt")
-    src = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-        .withColumn("__event_ts", F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01 00:00:00")) + F.col(period) * 86400))
-        .withWatermark("__event_ts", watermark)
-        .dropDuplicatesWithinWatermark([entity, period])
-        .drop("__event_ts")
-    )
-    bucket = F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).cast("int")
+    stamp = F.col(version).cast("string") if version else F.date_format(F.col("_metadata.file_modification_time"), "yyyyMMddHHmmssSSS")
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
+           .select(*schema.fieldNames(), stamp.alias("__version")))
+    fixed = [buckets]
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        b = materialize(batch.withColumn("__bucket", bucket))
-        touched = [r[0] for r in b.select("__bucket").distinct().collect()]  # at most `buckets` ids
+        b = materialize(batch)
+        if fixed[0] is None:
+            fixed[0] = max(1, -(-b.count() * max(1, files_per_trigger) // ROWS_PER_BUCKET))
+        bucket = F.pmod(F.xxhash64(F.col(entity)), F.lit(fixed[0])).cast("int")
+        rows = b.withColumn("__bucket", bucket)
+        touched = [r[0] for r in rows.select("__bucket").distinct().collect()]  # at most `buckets` ids
         if not touched:
             return
-        cur = read_state(spark, state_root)
-        rows = b.drop("__bucket")
-        if cur is not None:
-            cur_b = spark.read.parquet(state_root).filter(F.col("__bucket").isin(touched)).drop("__bucket")
-            rows = cur_b.unionByName(rows)
-        merged = latest_per_entity(rows, entity, period).withColumn("__bucket", bucket)
+        if read_state(spark, state_root) is not None:
+            rows = spark.read.parquet(state_root).filter(F.col("__bucket").isin(touched)).unionByName(rows)
         # written to a scratch table first: never overwrite the folder being read
-        merged = materialize(merged)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(
-            state_root
-        )
+        merged = materialize(_latest(rows, [entity], [period, "__version"]))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(state_root)
 
     q = src.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
     return state_root
 
 
-def land_period_files(df: DataFrame, landing: str, period: str = "gameweek_id") -> list[int]:
-    """Test-input helper: write each period's rows as its own folder (one
-    write per period, in period order) so they arrive as separate files."""
-    periods = [r[0] for r in df.select(period).distinct().orderBy(period).collect()]  # #periods scalars
-    for p in periods:
-        df.filter(F.col(period) == p).coalesce(1).write.mode("append").parquet(landing)
-    return periods
+def land_files(df: DataFrame, landing: str, by: str, fmt: str = "parquet") -> None:
+    """Test-input helper: one write that lands the rows as separate folders by
+    the value of ``by``."""
+    df.withColumn("landed", F.col(by)).write.mode("append").partitionBy("landed").format(fmt).save(landing)
 
 
 def stream_event_rollup(spark: SparkSession, landing: str, schema: T.StructType, window: str = "1 hour",
-                        watermark: str = "1 hour") -> DataFrame:
+                        files_per_trigger: int = 50) -> DataFrame:
     """ST2: hourly per-node counts, failures and durations over the event log."""
     out_root = scratch_path(spark, "rollup_out")
     ckpt = scratch_path(spark, "rollup_ckpt")
     tz = F.lit(spark.conf.get("spark.sql.session.timeZone"))
-    # Event time: the zone-less wall clock read as UTC (watermarks need an
-    # instant); windows are then whole UTC hours whatever the session zone.
-    ev = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(landing)
-        .withColumn("event_ts", F.convert_timezone(F.lit("UTC"), tz, F.col("ts")).cast("timestamp"))
-        .withWatermark("event_ts", watermark)
-    )
+    # Windows are whole hours of the zone-less wall clock, whatever the session zone.
+    ev = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing).withColumn(
+        "event_ts", F.convert_timezone(F.lit("UTC"), tz, F.col("ts")).cast("timestamp"))
 
     def wall(c):  # instant -> zone-less UTC wall clock
         return F.convert_timezone(tz, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
-    agg = ev.groupBy(F.window("event_ts", window).alias("w"), "node").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(F.col("status") == "failed").alias("n_failed"),
-        F.sum("duration_ms").alias("total_duration_ms"),
-    )
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(
-            wall("w.start").alias("window_start"),
-            wall("w.end").alias("window_end"),
-            "node", "n_events", "n_failed", "total_duration_ms", F.lit(batch_id).alias("batch_id"),
+    def partial(batch: DataFrame, batch_id: int) -> None:
+        agg = batch.groupBy(F.window("event_ts", window).alias("w"), "node").agg(
+            F.count(F.lit(1)).alias("n_events"),
+            F.count_if(F.col("status") == "failed").alias("n_failed"),
+            F.sum("duration_ms").alias("total_duration_ms"),
         )
-        rows.write.mode("append").parquet(out_root)
+        rows = agg.select(wall("w.start").alias("window_start"), wall("w.end").alias("window_end"), "node", "n_events", "n_failed",
+                          "total_duration_ms")
+        rows.write.mode("overwrite").parquet(f"{out_root}/batch={batch_id}")
 
-    q = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", ckpt).trigger(
-        availableNow=True
-    ).start()
+    q = ev.writeStream.foreachBatch(partial).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    # Updates of one (window, node) supersede earlier ones: keep the last batch.
-    res = spark.read.parquet(out_root)
-    best = res.groupBy("window_start", "window_end", "node").agg(
-        F.max_by(F.struct("n_events", "n_failed", "total_duration_ms"), "batch_id").alias("r")
-    )
-    return best.select("window_start", "window_end", "node", "r.n_events", "r.n_failed", "r.total_duration_ms")
+    return spark.read.parquet(out_root).groupBy("window_start", "window_end", "node").agg(
+        F.sum("n_events").alias("n_events"), F.sum("n_failed").alias("n_failed"), F.sum("total_duration_ms").alias("total_duration_ms"))
