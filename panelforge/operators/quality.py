@@ -188,32 +188,31 @@ def duplicate_key_ratio(df: DataFrame, keys: Sequence[str], max_ratio: float = 0
     )
 
 
-def canonical_row(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
-    """A row as text: ints/strings as-is, doubles as round(x * 1e6) integers,
-    NULL as '\\N' - identical in Spark and DuckDB."""
+def canonical_row(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> Column:
+    """A row as text that no other row has: every field with its length in
+    front, NULL as '-'.  Doubles are written exactly; with ``digits`` they are
+    rounded to so many decimals first (for values that two engines add up in
+    different orders)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     parts = []
     for c in cols or df.columns:
-        t = types[c]
-        if isinstance(t, _NUM):
-            v = F.round(F.col(c).cast("double") * 1e6).cast("bigint").cast("string")
-        else:
-            v = F.col(c).cast("string")
-        parts.append(F.coalesce(v, F.lit("\\N")))
-    return F.concat_ws("|", *parts)
+        v = F.col(c).cast("string")
+        if digits is not None and isinstance(types[c], _NUM):
+            d = F.col(c).cast("double")
+            v = F.when(F.isnan(d) | (F.abs(d) >= 1e30), d.cast("string")).otherwise(F.round(d * 10**digits).cast("decimal(38,0)").cast("string"))
+        parts.append(F.coalesce(F.concat(F.char_length(v).cast("string"), F.lit(":"), v), F.lit("-")))
+    return F.concat(*parts)
 
 
-def row_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
+def row_fingerprint(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> Column:
     """SHA-256 of the canonical row text."""
-    return F.sha2(canonical_row(df, cols), 256)
+    return F.sha2(canonical_row(df, cols, digits), 256)
 
 
-def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Order-independent content hash: sha256 of 'count:sum(first 48 bits
-    of each row hash)'; the sum is DECIMAL(38,0), so it cannot overflow."""
-    h = F.conv(F.substring(row_fingerprint(df, cols), 1, 12), 16, 10).cast("decimal(38,0)")
-    agg = df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("__s"))
-    return agg.select(
-        "row_count",
-        F.sha2(F.concat(F.col("row_count").cast("string"), F.lit(":"), F.col("__s").cast("string")), 256).alias("content_hash"),
-    )
+def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
+    """Order-independent content hash: sha256 of the row count and the
+    sums of two 60-bit parts of each row's hash (DECIMAL(38,0): no overflow)."""
+    h = row_fingerprint(df, cols, digits)
+    part = lambda at: F.coalesce(F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    agg = df.agg(F.count(F.lit(1)).alias("row_count"), part(1).alias("__a"), part(16).alias("__b"))
+    return agg.select("row_count", F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in ("row_count", "__a", "__b")]), 256).alias("content_hash"))

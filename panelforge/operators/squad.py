@@ -8,10 +8,11 @@ with set operations:
   per-segment quota, both as ``row_number() <= k`` windows directly under a
   filter, so Spark applies a partial (map-side) group limit before the
   shuffle and a huge group never ships all of its rows to one task;
-* ``budgeted_squad`` (O3): a fixed grid of cost penalties lambda (score - lambda *
+* ``budgeted_squad`` (O3): a grid of cost penalties lambda (score - lambda *
   cost) is exploded per row (no join), O2 runs per (group, lambda), and the
   feasible lambda (full quotas, cost <= budget) with the best total score wins -
-  a Lagrangian heuristic, exact when lambda = 0 is feasible;
+  a Lagrangian heuristic, exact when lambda = 0 is feasible; groups for which
+  the grid finds nothing are solved by cheapest flows with a bisected penalty;
 * ``best_xi`` (O4): exact for a given squad: all legal formations are scored
   from per-segment cumulative sums in one aggregate per group;
 * captain / vice (O5), bench order (O6), transfers (O7), checks (O1) and
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelforge.operators.common import materialize
 from panelforge.operators.ranking import topk
 
 
@@ -83,22 +85,142 @@ def quota_topk(df: DataFrame, group: Sequence[str], score: str, rules: SquadRule
 
 def budgeted_squad(df: DataFrame, group: Sequence[str], score: str, cost: str = "now_cost",
                    rules: SquadRules = SquadRules(), grid: Sequence[float] = LAMBDA_GRID,
-                   entity: str = "player_id") -> DataFrame:
+                   entity: str = "player_id", team: str = "team_id", segment: str = "position_id") -> DataFrame:
     """O3: squad per group under the budget.  Returns the chosen squad rows
-    with ``lam`` (the penalty used)."""
+    with ``lam`` (the penalty used).
+
+    A group for which no penalty of the grid gives a legal squad is solved by
+    itself (``_legal_squads``), so a group is missing only if it has no legal
+    squad within the budget; ``squad_status`` names those.
+    """
     group = list(group)
+    cols = df.columns
     lam = df.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in grid])))
     lam = lam.withColumn("__adj", F.col(score) - F.col("lam") * F.col(cost))
-    sq = quota_topk(lam, [*group, "lam"], "__adj", rules, entity)
+    sq = quota_topk(lam, [*group, "lam"], "__adj", rules, entity, team, segment)
     per = sq.groupBy(*group, "lam").agg(
-        F.count(F.lit(1)).alias("__n"), F.sum(cost).alias("__cost"), F.sum(score).alias("__total")
-    )
-    feasible = per.filter((F.col("__n") == rules.squad_size) & (F.col("__cost") <= rules.budget + 1e-9))
-    best = feasible.groupBy(*group).agg(
-        # totals compared at 1e-9: several penalties often give the same squad
-        F.max_by(F.col("lam"), F.struct(F.round("__total", 9), -F.col("lam"))).alias("lam")
+        F.count(F.lit(1)).alias("__n"), F.sum(cost).alias("__cost"), F.sum(score).alias("__total"),
+        F.collect_list(F.struct(*cols)).alias("__rows"),  # at most squad_size rows
     )
-    return sq.join(best, [*group, "lam"], "left_semi").drop("__adj")
+    legal = (F.col("__n") == rules.squad_size) & (F.col("__cost") <= rules.budget + 1e-9)
+    # totals compared at 1e-9: several penalties often give the same squad
+    best = materialize(per.groupBy(*group).agg(
+        F.max_by(F.struct("__rows", "lam"), F.when(legal, F.struct(F.round("__total", 9), -F.col("lam")))).alias("__best")))
+    found = best.where("__best IS NOT NULL").select(F.explode("__best.__rows").alias("__r"), F.col("__best.lam").alias("lam")).select("__r.*", "lam")
+    missing = best.where("__best IS NULL").select(*group)
+    if missing.isEmpty():
+        return found
+    return found.unionByName(_legal_squads(df.join(missing, group, "left_semi"), group, score, cost, rules, entity, team, segment))
+
+
+def _legal_squads(df: DataFrame, group: list[str], score: str, cost: str, rules: SquadRules, entity: str, team: str, segment: str) -> DataFrame:
+    """Squads of groups that the grid leaves empty: legal squads are flows from
+    segments to teams, so for any penalty the best one is a cheapest flow; the
+    penalty is bisected between none and "cheapest squad" until the budget
+    holds.  Only candidates that can be among a team's best three of a segment
+    (by score, cost or a mix of them) reach the group's task."""
+    orders = [F.col(score).desc(), F.col(cost).asc()] + [(F.col(score) - k * F.col(cost)).desc() for k in (0.25, 1.0, 4.0)]
+    w = Window.partitionBy(*group, team, segment)
+    near = None
+    for order in orders:
+        rows = df.withColumn("__k", F.row_number().over(w.orderBy(order, F.col(entity).asc()))).where(F.col("__k") <= rules.max_per_team).drop("__k")
+        near = rows if near is None else near.unionByName(rows)
+    near = near.where(F.col(score).isNotNull() & F.col(cost).isNotNull()).dropDuplicates([*group, entity])
+
+    def solve(pdf):
+        pdf = pdf.sort_values(entity, ignore_index=True)
+        picked, lam = _bisected(pdf[score].tolist(), pdf[cost].tolist(), pdf[segment].tolist(), pdf[team].tolist(), rules)
+        return pdf.iloc[picked].assign(lam=lam)
+
+    return near.groupBy(*group).applyInPandas(solve, near.withColumn("lam", F.lit(0.0)).schema)
+
+
+def _bisected(score: list[float], cost: list[float], segment: list, team: list, rules: SquadRules) -> tuple[list[int], float]:
+    def at(lam: float | None):
+        weight = cost if lam is None else [lam * c - s for s, c in zip(score, cost)]
+        squad = _cheapest_flow(weight, segment, team, rules)
+        return squad, sum(cost[i] for i in squad) <= rules.budget + 1e-9
+
+    squad, fits = at(0.0)
+    if not squad or fits:
+        return squad, 0.0
+    squad, fits = at(None)
+    if not fits:
+        return [], 0.0
+    best, low, high = (squad, float("inf")), 0.0, 1.0
+    while not at(high)[1] and high < 1e9:
+        high *= 4
+    for _ in range(30):
+        mid = (low + high) / 2
+        squad, fits = at(mid)
+        if fits:
+            high = mid
+            if best[1] == float("inf") or sum(score[i] for i in squad) >= sum(score[i] for i in best[0]):
+                best = (squad, mid)
+        else:
+            low = mid
+    return _swapped(best[0], score, cost, segment, team, rules), best[1] if best[1] < float("inf") else high
+
+
+def _swapped(squad: list[int], score: list[float], cost: list[float], segment: list, team: list, rules: SquadRules) -> list[int]:
+    """The squad after the best single swaps within a segment, as long as one gains points and fits."""
+    squad = list(squad)
+    while True:
+        spent, load = sum(cost[i] for i in squad), {}
+        for i in squad:
+            load[team[i]] = load.get(team[i], 0) + 1
+        gains = [(score[j] - score[i], -j, i) for i in squad for j in range(len(score))
+                 if j not in squad and segment[j] == segment[i] and score[j] > score[i] and spent - cost[i] + cost[j] <= rules.budget + 1e-9
+                 and (team[j] == team[i] or load.get(team[j], 0) < rules.max_per_team)]
+        if not gains:
+            return sorted(squad)
+        _, j, i = max(gains)
+        squad[squad.index(i)] = -j
+
+
+def _cheapest_flow(weight: list[float], segment: list, team: list, rules: SquadRules) -> list[int]:
+    """Rows of the lightest legal squad (quota per segment, cap per team), or
+    none; one unit after the other along the lightest augmenting path."""
+    quotas = dict(rules.quotas)
+    rows = [i for i in range(len(weight)) if segment[i] in quotas]
+    used, left, load = set(), dict(quotas), {}
+    while any(left.values()):
+        # distance of a team over paths segment -> team -> (taken row back) segment -> ...
+        dist = {("s", s): 0.0 for s in left if left[s]}
+        via: dict = {}
+        for _ in range(2 * (len(quotas) + len(set(team))) + 2):
+            changed = False
+            for i in rows:
+                a, b, w = ("s", segment[i]), ("t", team[i]), weight[i]
+                if i in used:
+                    a, b, w = b, a, -w
+                if a in dist and dist[a] + w < dist.get(b, float("inf")) - 1e-12:
+                    dist[b], via[b], changed = dist[a] + w, (a, i), True
+            if not changed:
+                break
+        ends = [(d, str(n), n) for n, d in dist.items() if n[0] == "t" and load.get(n[1], 0) < rules.max_per_team]
+        if not ends:
+            return []
+        node = min(ends)[2]
+        load[node[1]] = load.get(node[1], 0) + 1
+        while node in via:
+            node, i = via[node]
+            used ^= {i}
+        left[node[1]] -= 1
+    return sorted(used)
+
+
+def squad_status(df: DataFrame, squad: DataFrame, group: Sequence[str], rules: SquadRules = SquadRules(),
+                 segment: str = "position_id", entity: str = "player_id") -> DataFrame:
+    """One row per group of candidates: ``status`` is 'ok' or why it has no squad."""
+    group = list(group)
+    short = [F.count_distinct(F.when(F.col(segment) == s, F.col(entity))) < n for s, n in rules.quotas]
+    few = short[0]
+    for s in short[1:]:
+        few = few | s
+    have = squad.select(*group).distinct().withColumn("__ok", F.lit(True))
+    return df.groupBy(*group).agg(few.alias("__few")).join(have, group, "left").select(
+        *group, F.when(F.col("__ok"), "ok").when(F.col("__few"), "too few candidates").otherwise("no legal squad within the budget").alias("status"))
 
 
 def best_xi(squad: DataFrame, group: Sequence[str], score: str, rules: SquadRules = SquadRules(),

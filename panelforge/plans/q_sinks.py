@@ -36,16 +36,16 @@ def _load_ts():
 def _canon_sql(cols=COLLAPSED_COLS, doubles=COLLAPSED_DOUBLES) -> str:
     parts = []
     for c in cols:
-        v = f"CAST(CAST(round({c} * 1e6) AS BIGINT) AS VARCHAR)" if c in doubles else f"CAST({c} AS VARCHAR)"
-        parts.append(f"COALESCE({v}, '\\N')")
-    return "concat_ws('|', " + ", ".join(parts) + ")"
+        v = f"CAST(CAST(round({c} * 1e6) AS DECIMAL(38, 0)) AS VARCHAR)" if c in doubles else f"CAST({c} AS VARCHAR)"
+        parts.append(f"COALESCE(CAST(length({v}) AS VARCHAR) || ':' || {v}, '-')")
+    return " || ".join(parts)
 
 
 def _fp_sql(src: str) -> str:
+    part = "CAST(COALESCE(sum(CAST(CAST(('0x' || substr(h, {at}, 15)) AS BIGINT) AS DECIMAL(38, 0))), 0) AS VARCHAR)"
     return f"""SELECT count(*) AS row_count,
-       sha256(CAST(count(*) AS VARCHAR) || ':' || CAST(COALESCE(sum(CAST(CAST(('0x' || substr(sha256({_canon_sql()}), 1, 12)) AS BIGINT)
-              AS DECIMAL(38, 0))), 0) AS VARCHAR)) AS content_hash
-FROM {src}"""
+       sha256(CAST(count(*) AS VARCHAR) || ':' || {part.format(at=1)} || ':' || {part.format(at=16)}) AS content_hash
+FROM (SELECT sha256({_canon_sql()}) AS h FROM {src}) x"""
 
 
 @register(
@@ -54,7 +54,7 @@ FROM {src}"""
     with_panel() + "\n" + _fp_sql("collapsed"),
 )
 def q_fingerprint(spark, sf):
-    return qu.dataset_fingerprint(collapsed(spark, sf))
+    return qu.dataset_fingerprint(collapsed(spark, sf), digits=6)
 
 
 @register(
@@ -64,7 +64,7 @@ def q_fingerprint(spark, sf):
 )
 def q_row_fingerprint(spark, sf):
     c = collapsed(spark, sf)
-    return c.select("player_id", "gameweek_id", qu.row_fingerprint(c).alias("row_hash"))
+    return c.select("player_id", "gameweek_id", qu.row_fingerprint(c, digits=6).alias("row_hash"))
 
 
 _FAMILY = """CASE WHEN typeof({c}) IN ('TINYINT','SMALLINT','INTEGER','BIGINT','HUGEINT') THEN 'integer'

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -179,7 +180,9 @@ def load_training_frame(spark: SparkSession, *, source: str, local_root: str | N
             manifests = read_manifests(spark, local_root)
             newest = manifests.orderBy(F.col("created_at_utc").desc()).limit(1)
             m = newest.first()
-        except Exception:  # noqa: BLE001 - missing folder = missing snapshot
+        except AnalysisException as e:  # a missing or empty folder is a missing snapshot, nothing else is
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             m = None
         if m is not None:
             data = spark.read.parquet(m["snapshot_path"])

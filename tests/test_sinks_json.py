@@ -115,3 +115,21 @@ def test_source_selection_fallback_rules(spark):
     sk.append_event_log(spark.createDataFrame([("r1", "ingest", '{"API_KEY": "x", "rows": 3}')], "run_id string, node string, detail string"), log)
     txt = spark.read.json(log).first()["detail"]
     assert "[REDACTED]" in txt and '"x"' not in txt
+
+
+def test_fingerprints_tell_apart_what_looks_alike(spark):
+    rows = [("a|b", "c", 1.0), ("a", "b|c", 1.0), ("a", "b|c", 1.0 + 1e-9), ("a", "b|c", 1e300), ("a", None, 1.0), ("a", "-", 1.0), (None, "a", float("nan"))]
+    frames = [spark.createDataFrame([r], "x string, y string, z double") for r in rows]
+    assert len({qu.dataset_fingerprint(f).first().content_hash for f in frames}) == len(rows)
+    assert len({qu.dataset_fingerprint(f, digits=6).first().content_hash for f in frames}) == len(rows) - 1
+    two = spark.createDataFrame(rows[:2], frames[0].schema)
+    assert qu.dataset_fingerprint(two).first() == qu.dataset_fingerprint(two.orderBy(F.desc("x")).repartition(2)).first()
+
+
+def test_redaction_of_objects_lists_and_broken_text(spark):
+    texts = ['{"api_key":{"a":"s3cr"},"tokens":["t1"],"x":1}', '{"api_key": "s3cr', None]
+    df = spark.createDataFrame([(t,) for t in texts], "detail string")
+    path = scratch_path(spark, "events")
+    sk.append_event_log(df, path)
+    kept = [r.value for r in spark.read.text(path).collect()]
+    assert len(kept) == 3 and not any("s3cr" in v or "t1" in v for v in kept)
