@@ -77,26 +77,76 @@ def q_feature_importance(spark, sf):
     return round_doubles(mo.feature_importance(bundle, feats, spark))
 
 
+def inference_rows(spark, sf):
+    """Every row with the model's features, the last one of each player too
+    (training rows need a next target, scoring rows don't)."""
+    rows = fe.rolling_features(fe.collapse_periods(tb.fixture_rows(spark, sf)))
+    return fe.fill_numeric(fe.upside_features(fe.minutes_band(fe.segment_one_hot(rows))))
+
+
+def live_rows(spark, sf):
+    """Latest row of every player (periods > 3) and the period to be scored:
+    the last one of the unfiltered data plus one."""
+    rows = inference_rows(spark, sf)
+    live = ao.latest_per_entity(rows.filter(F.col("gameweek_id") > 3))
+    return attach_row(live, rows.agg((F.max("gameweek_id") + 1).cast("int").alias("target_period")))
+
+
+def evaluated(pred_train, pred_holdout):
+    """Back-test summary, required-baseline comparison, selected calibration
+    and publication gates of a model's predictions (M13, V3)."""
+    pred_holdout = materialize(pred_holdout)
+    summ = _summary(pred_holdout)
+    base = _summary(pred_holdout.withColumn("predicted_points", F.coalesce(F.col(gt.ModelRules().required_baseline), F.lit(0.0))))
+    m = summ.select(F.col("top_k_hit_rate_mean").alias("m_hit"), F.col("selected_xi_regret_mean").alias("m_regret"))
+    b = base.select(F.col("top_k_hit_rate_mean").alias("b_hit"), F.col("selected_xi_regret_mean").alias("b_regret"))
+    better = (F.round("m_hit", 9) > F.round("b_hit", 9)) & (F.round("m_regret", 9) < F.round("b_regret", 9))
+    coeffs = materialize(ca.fit_calibration(pred_train, ACT, "predicted_points"))
+    selected = materialize(ca.select_variant(ca.calibration_report(ca.variant_long(pred_holdout, ACT, "predicted_points", coeffs))))
+    gates = gt.publication_gates(summ, attach_row(m, b).withColumn("baseline_gate_passed", better), selected.select("selected_delta_mae", "selected_delta_rmse"))
+    return summ, coeffs, selected, gates
+
+
+@register(
+    "live_rows",
+    "M11 W2 P10",
+    rsql(
+        with_panel()
+        + """
+SELECT player_id, web_name, position_id, team_id, COALESCE(now_cost, 0.0) AS now_cost, gameweek_id AS source_gameweek_id,
+       CAST((SELECT max(gameweek_id) FROM collapsed) + 1 AS INTEGER) AS target_gameweek_id
+FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY gameweek_id DESC) AS rn FROM collapsed WHERE gameweek_id > 3) x
+WHERE rn = 1""",
+        ["now_cost"],
+    ),
+)
+def q_live_rows(spark, sf):
+    """The rows that ``score_latest`` scores, without the prediction."""
+    live = live_rows(spark, sf)
+    return round_doubles(live.select("player_id", "web_name", "position_id", "team_id", "now_cost",
+                                     F.col("gameweek_id").alias("source_gameweek_id"), F.col("target_period").alias("target_gameweek_id")))
+
+
 @register("score_latest", "M11 M4 P25 W2 P10 X3")
 def q_score_latest(spark, sf):
-    """Live inference: latest row per player (periods > 3), model prediction,
-    post-processing with train calibration and caps; empty when the model is
-    not publishable."""
+    """Live inference: the latest row of every player (periods > 3), z-scored
+    with the training statistics and scored by the model with its selected
+    calibration and the training caps; the heuristic forecast instead when
+    the model does not pass the publication check."""
     m, tr, ho, feats, bundle = _fit(spark, sf)
-    tr_pred = mo.predict_variant(bundle, tr, feats)
-    coeffs = ca.fit_calibration(tr_pred, ACT, "predicted_points")
-    caps = me.percentile_caps(tr, "position_id", ACT)
-    live = ao.latest_per_entity(m.filter(F.col("gameweek_id") > 3).drop("role"))
-    tgt = m.agg((F.max("gameweek_id") + 1).cast("int").alias("__target"))
-    scored_live = mo.predict_variant(bundle, live, feats)
-    lm = tr.agg(F.avg(ACT).alias("__lm"))
-    post = ca.postprocess(attach_row(scored_live, lm), "predicted_points", "expected_points_next_gw",
-                          league_mean=F.col("__lm"), alpha=0.0, variant="global", coeffs=coeffs, caps=caps)
-    out = attach_row(post, tgt).select(
-        "player_id", "web_name", "position_id", "team_id", "now_cost",
-        F.col("__target").alias("gameweek_id"), "expected_points_next_gw",
-    )
-    return round_doubles(out)
+    _, coeffs, selected, gates = evaluated(mo.predict_variant(bundle, tr, feats), mo.predict_variant(bundle, ho, feats))
+    variant = selected.first()["selected_variant"]  # one row
+    ready = bool(gates.select("ready").first()[0])
+    live = fe.zscore_apply(live_rows(spark, sf), fe.global_stats(tr))
+    if ready:
+        live = attach_row(mo.predict_variant(bundle, live, feats), tr.agg(F.avg(ACT).alias("__lm")))
+        out = ca.postprocess(live, "predicted_points", "expected_points_next_gw", league_mean=F.col("__lm"), alpha=0.0, variant=variant,
+                             coeffs=coeffs, caps=me.percentile_caps(tr, "position_id", ACT))
+    else:
+        out = live.withColumn("expected_points_next_gw", fe.heuristic_forecast(live))
+    return round_doubles(out.select("player_id", "web_name", "position_id", "team_id", "now_cost", F.col("target_period").alias("gameweek_id"),
+                                    F.col("gameweek_id").alias("source_gameweek_id"), "expected_points_next_gw",
+                                    F.lit("model" if ready else "heuristic").alias("method")))
 
 
 @register("cv_mae", "M5 W13")
@@ -165,20 +215,17 @@ def q_param_search(spark, sf, trials: int = TRIALS, seed: int = 42):
 def q_variant_sweep(spark, sf):
     m = model_panel(spark, sf)
     tr, ho = m.filter(F.col("role") == "train"), m.filter(F.col("role") == "holdout")
-    res = []
-    for i, v in enumerate(fe.EXPERIMENT_VARIANTS):
+
+    def one(i, v):
         feats = fe.select_features(v)
         bundle = mo.fit_variant(v, tr, feats, PARAMS)
-        pred = mo.predict_variant(bundle, ho, feats)
-        summ = _summary(pred)
-        raw_ready = (
-            (F.col("prediction_collapse_weeks") <= 0) & (F.col("bias_flip_weeks") <= 0)
-            & (F.col("top_k_hit_rate_mean") >= 0.25) & (F.col("rank_correlation_mean") >= 0.0)
-            & (F.col("selected_xi_regret_mean") <= 24.0)
-        )
-        res.append(summ.select(F.lit(i).alias("order"), F.lit(v).alias("variant"), "mae", "rmse", "bias",
-                               "top_k_hit_rate_mean", "rank_correlation_mean", "selected_xi_regret_mean",
-                               raw_ready.alias("gates_passed")))
+        summ, _, selected, gates = evaluated(mo.predict_variant(bundle, tr, feats), mo.predict_variant(bundle, ho, feats))
+        row = summ.select(F.lit(i).alias("order"), F.lit(v).alias("variant"), "mae", "rmse", "bias",
+                          "top_k_hit_rate_mean", "rank_correlation_mean", "selected_xi_regret_mean")
+        row = attach_row(attach_row(row, selected.select("selected_variant")), gates.select("reasons"))
+        return materialize(row.withColumn("gates_passed", F.col("reasons") == ""))
+
+    res = mo.concurrently([lambda i=i, v=v: one(i, v) for i, v in enumerate(fe.EXPERIMENT_VARIANTS)])
     out = res[0]
     for r in res[1:]:
         out = out.unionByName(r)
@@ -301,13 +348,9 @@ def q_pit_backfill_model(spark, sf):
     """Point-in-time back-fill with the trained model: for each target period t, fit on rows whose target period < t, score every
     player's as-of row (period <= t-1), pick the squad and stamp the trust
     check.  The per-target fits are the only driver loop."""
-    c = fe.collapse_periods(tb.fixture_rows(spark, sf))
     feats_all = fe.engineer_panel(tb.fixture_rows(spark, sf))  # rows with targets (training side)
     panel = materialize(feats_all)
-    # inference side: every row (no target needed) with the same features
-    rows = fe.rolling_features(c)
-    rows = fe.upside_features(fe.minutes_band(fe.segment_one_hot(rows)))
-    rows = materialize(fe.fill_numeric(rows))
+    rows = materialize(inference_rows(spark, sf))
     feats = fe.select_features(VARIANT)
     periods = sorted(r[0] for r in panel.select("target_gameweek_id").distinct().collect())  # period ids
 

@@ -294,7 +294,7 @@ FROM fp""",
 def q_manifest(spark, sf):
     root = scratch_path(spark, "snap")
     _, m = sn.write_snapshot(collapsed(spark, sf), root, created_at="2024-02-01T06:00:00Z", source="events",
-                             query_text="collapse(events)", run_id="run-1")
+                             query_text="collapse(events)", run_id="run-1", digits=6)
     return m.select(
         "manifest_version", "schema_version", "created_at_utc", "source", "row_count",
         F.col("column_count").cast("int"), F.col("min_gameweek").cast("int"), F.col("max_gameweek").cast("int"),

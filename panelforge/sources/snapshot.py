@@ -37,11 +37,12 @@ REQUIRED_MANIFEST_FIELDS = (
 
 
 def build_manifest(df: DataFrame, *, created_at: str, source: str, query_text: str, run_id: str,
-                   period: str = "gameweek_id") -> DataFrame:
+                   period: str = "gameweek_id", digits: int | None = None) -> DataFrame:
     """One-row manifest from aggregates over the snapshot data.
-    ``file_sha256`` carries the content hash (order-independent)."""
+    ``file_sha256`` carries the content hash (order-independent; of values
+    rounded to ``digits`` decimals if given)."""
     stats = df.agg(F.min(period).cast("int").alias("min_gameweek"), F.max(period).cast("int").alias("max_gameweek"))
-    fp = dataset_fingerprint(df)
+    fp = dataset_fingerprint(df, digits=digits)
     present = column_contract(df).agg(F.bool_and("ok").alias("required_columns_present"))
     m = attach_row(attach_row(fp, stats), present)
     return m.select(
@@ -68,7 +69,7 @@ def stamp_of(created_at: str) -> str:
 
 
 def write_snapshot(df: DataFrame, root: str, *, created_at: str, source: str, query_text: str, run_id: str,
-                   period: str = "gameweek_id") -> tuple[str, DataFrame]:
+                   period: str = "gameweek_id", digits: int | None = None) -> tuple[str, DataFrame]:
     """K8: write the data version, then the manifest computed from the
     written files (so it describes what a reader will see)."""
     spark = df.sparkSession
@@ -76,7 +77,7 @@ def write_snapshot(df: DataFrame, root: str, *, created_at: str, source: str, qu
     df.write.mode("errorifexists").parquet(vpath)
     written = spark.read.parquet(vpath)
     manifest = build_manifest(written, created_at=created_at, source=source, query_text=query_text, run_id=run_id,
-                              period=period).withColumn("snapshot_path", F.lit(vpath))
+                              period=period, digits=digits).withColumn("snapshot_path", F.lit(vpath))
     manifest.coalesce(1).write.mode("errorifexists").json(f"{root}/_manifests/v={stamp_of(created_at)}")
     return vpath, spark.read.json(f"{root}/_manifests/v={stamp_of(created_at)}")
 
@@ -116,14 +117,15 @@ class Acceptance:
     schema_version: str = SCHEMA_VERSION
 
 
-def accept_snapshot(data: DataFrame, manifest: DataFrame, now: str, rules: Acceptance = Acceptance()) -> DataFrame:
+def accept_snapshot(data: DataFrame, manifest: DataFrame, now: str, rules: Acceptance = Acceptance(),
+                    digits: int | None = None) -> DataFrame:
     """One row of checks on a (data, manifest) pair: required fields,
     schema major version, age, content hash, contract and contract hash;
     ``code`` names the first failure (the major-version failure is the one
     that must never fall back to another source)."""
     fields_ok = F.lit(all(f in manifest.columns for f in REQUIRED_MANIFEST_FIELDS))
     major = rules.schema_version.split(".")[0]
-    fp = dataset_fingerprint(data).select(F.col("content_hash").alias("__actual_hash"))
+    fp = dataset_fingerprint(data, digits=digits).select(F.col("content_hash").alias("__actual_hash"))
     contract = column_contract(data).agg(F.bool_and("ok").alias("__contract_ok"))
     m = attach_row(attach_row(manifest, fp), contract)
     age = age_days(F.col("created_at_utc"), F.to_timestamp(F.lit(now)))
