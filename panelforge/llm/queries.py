@@ -26,9 +26,9 @@ _MARK = "chr(64976)"
 def _spans_sql(kind: str, rank: int, regex: str, valid: str = "true") -> str:
     """List of {start, rank, stop, kind} of the valid matches in ``t``."""
     cut = f"string_split(regexp_replace(t, '{regex}', {_MARK} || '\\0' || {_MARK}, 'g'), {_MARK})"
-    return f"""list_transform(list_filter(list_transform(range(2, len({cut}) + 1, 2), i -> {{'m': ({cut})[i],
-      'start': COALESCE(list_sum(list_transform(({cut})[1:i - 1], x -> length(x))), 0)}}), x -> {valid}),
-    x -> {{'start': x.start, 'rank': {rank}, 'stop': x.start + length(x.m), 'kind': '{kind}'}})"""
+    return f"""list_transform(list_filter(list_transform(range(2, len({cut}) + 1, 2), lambda i: {{'m': ({cut})[i],
+      'start': COALESCE(list_sum(list_transform(({cut})[1:i - 1], lambda x: length(x))), 0)}}), lambda x: {valid}),
+    lambda x: {{'start': x.start, 'rank': {rank}, 'stop': x.start + length(x.m), 'kind': '{kind}'}})"""
 
 
 def _any_case(word: str) -> str:
@@ -42,9 +42,9 @@ def _secrets_sql() -> str:
     rules = [("assign", assign, f"length(regexp_extract(x.m, '{assign}', 2)) >= 6"), ("access", "AKIA[A-Z0-9]+", "length(x.m) >= 20"), ("hex", "[0-9a-f]{24,}", "true")]
     rules += [(r.kind, r.regex, "true") for r in secret_scan.ADDED]
     lists = ", ".join(_spans_sql(k, i, rx, ok) for i, (k, rx, ok) in enumerate(rules))
-    text = "array_to_string(list_transform({}, x -> x.kind || ':' || x.start || ':' || x.stop), ',')"
-    base = "list_filter(f, x -> x.rank < 3)"
-    n = ", ".join(f"CAST(len(list_filter(f, x -> x.kind = '{k}')) AS BIGINT) AS n_{k}" for k, _, _ in rules[:3])
+    text = "array_to_string(list_transform({}, lambda x: x.kind || ':' || x.start || ':' || x.stop), ',')"
+    base = "list_filter(f, lambda x: x.rank < 3)"
+    n = ", ".join(f"CAST(len(list_filter(f, lambda x: x.kind = '{k}')) AS BIGINT) AS n_{k}" for k, _, _ in rules[:3])
     return f"""SELECT doc_id, {n}, sha256({text.format(base)}) AS base_sha256, {text.format('f')} AS spans
 FROM (SELECT doc_id, list_sort(flatten([{lists}])) AS f FROM (SELECT doc_id, COALESCE(text, '') AS t FROM documents) d) s"""
 
@@ -71,10 +71,10 @@ ORACLES["op4_secret_scan"] = _secrets_sql()
 
 ORACLES["op1_embedding_near_dedup"] = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS n
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n
   FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) y
-  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
       WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
 r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
