@@ -236,13 +236,20 @@ def largest_misses(
     period: str = "target_gameweek_id",
     entity: str = "player_id",
     n: int = 5,
+    overall: bool = False,
 ) -> DataFrame:
-    """Top-n absolute errors per period (ties: entity asc)."""
+    """Top-n absolute errors per period, or over all of them (ties: entity
+    asc, then period asc)."""
     f = _prep(df, actual, pred).filter(F.col("abs_error").isNotNull())
     cols = [F.col(period).cast("int").alias("gameweek_id"), F.col("rn").cast("int").alias("miss_rank"), entity]
     if "web_name" in f.columns:
         cols.append("web_name")
-    t = topk(f, [period], [F.col("abs_error").desc(), F.col(entity).asc()], n)
+    order = [F.col("abs_error").desc(), F.col(entity).asc(), F.col(period).asc()]
+    if overall:
+        worst = f.orderBy(*order).limit(n)  # TakeOrderedAndProject: n rows per task
+        t = worst.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+    else:
+        t = topk(f, [period], order, n)
     return t.select(*cols, "actual_points", "predicted_points", "abs_error")
 
 

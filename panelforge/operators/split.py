@@ -177,6 +177,16 @@ def policy_split(
     return out.withColumn("role", role).filter(F.col("role").isNotNull()).drop("__h", "__first_h")
 
 
+def require_both_sides(split: DataFrame) -> DataFrame:
+    """``split`` itself, or an error if the policy has left no train or no
+    holdout rows (W11)."""
+    roles = {r[0] for r in split.select("role").distinct().collect()}  # at most two values
+    for role in ("train", "holdout"):
+        if role not in roles:
+            raise ValueError("no rows left after exclusion" if not roles else f"the policy leaves no {role} rows")
+    return split
+
+
 def split_metadata(split: DataFrame, policy: PeriodPolicy, period: str = "target_gameweek_id") -> DataFrame:
     """W11 metadata: one row with sorted week lists per role."""
     wk = F.col(period).cast("int")

@@ -121,6 +121,24 @@ def q_largest_misses(spark, sf):
     return round_doubles(bt.largest_misses(panel(spark, sf), pred="five_week_players_roll_avg_points"))
 
 
+@register(
+    "largest_misses_overall",
+    "W8",
+    rsql(
+        with_panel(*backtest_ctes("five_week_players_roll_avg_points"))
+        + """
+SELECT CAST(target_gameweek_id AS INTEGER) AS gameweek_id, CAST(rn AS INTEGER) AS miss_rank, player_id, web_name,
+       actual_points, predicted_points, abs_error
+FROM (SELECT *, row_number() OVER (ORDER BY abs_error DESC, player_id, target_gameweek_id) AS rn
+      FROM bt WHERE abs_error IS NOT NULL) x
+WHERE rn <= 5""",
+        ["actual_points", "predicted_points", "abs_error"],
+    ),
+)
+def q_largest_misses_overall(spark, sf):
+    return round_doubles(bt.largest_misses(panel(spark, sf), pred="five_week_players_roll_avg_points", overall=True))
+
+
 @register(
     "backtest_summary",
     "A11",

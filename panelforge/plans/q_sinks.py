@@ -356,3 +356,71 @@ def q_retention(spark, sf):
         F.sum("n").over(Window.orderBy("gameweek_id").rowsBetween(Window.unboundedPreceding, 0)).alias("row_count"),
     )
     return sn.retention_plan(v, keep=12, preserve="v01").withColumn("rank_newest", F.col("rank_newest").cast("int"))
+
+
+@register(
+    "event_log_append",
+    "K12 P31",
+    """
+SELECT event_type AS node, count(*) AS n_rows, CAST(count_if(event_type = 'error') AS BIGINT) AS n_failed,
+       CAST(0 AS BIGINT) AS leaked, 2 * count(*) AS redacted_values
+FROM events GROUP BY event_type""",
+)
+def q_event_log_append(spark, sf):
+    """The event log with secrets in its payload (plain and nested), appended
+    as JSON lines in two loads and read back."""
+    log = tb.event_log(spark, sf)
+    detail = F.to_json(F.struct(F.col("node"), F.concat(F.lit("k-"), F.col("run_id").cast("string")).alias("api_key"),
+                                F.struct(F.array(F.concat(F.lit("s3cr-"), F.col("node"))).alias("list")).alias("auth_tokens")))
+    rows = log.select("run_id", "node", "status", "duration_ms", detail.alias("detail"))
+    path = scratch_path(spark, "event_log")
+    sk.append_event_log(rows.filter(F.col("run_id") % 2 == 0), path)
+    sk.append_event_log(rows.filter(F.col("run_id") % 2 == 1), path)
+    back = spark.read.schema("node string, status string, detail string").json(path)
+    return back.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("status") == "failed").alias("n_failed"),
+        F.count_if(F.col("detail").rlike("k-[0-9]|s3cr")).alias("leaked"),
+        F.sum(F.size(F.split("detail", r"\[REDACTED\]")) - 1).cast("bigint").alias("redacted_values"))
+
+
+@register(
+    "report_sink",
+    "K11",
+    rsql(with_panel() + """
+SELECT gameweek_id, count(*) AS n_rows, sum(total_points) AS points FROM collapsed GROUP BY gameweek_id""", ["points"]),
+)
+def q_report_sink(spark, sf):
+    """A per-period report written as JSON and read back."""
+    c = collapsed(spark, sf)
+    report = round_doubles(c.groupBy("gameweek_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("total_points").alias("points")))
+    path = sk.write_report(report, scratch_path(spark, "report"))
+    return spark.read.schema(report.schema).json(path)
+
+
+@register(
+    "source_selection",
+    "S9 S10 X1",
+    with_panel() + """,
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE gameweek_id > 1) AS m FROM collapsed)
+SELECT 'local' AS scenario, 'local' AS data_source_selected, false AS fallback_taken, CAST(NULL AS VARCHAR) AS fallback_reason, n AS n_rows FROM n
+UNION ALL SELECT 'stale', 'remote', true, 'SNAPSHOT_STALE', m FROM n
+UNION ALL SELECT 'missing', 'remote', true, 'SNAPSHOT_MISSING', m FROM n
+UNION ALL SELECT 'remote', 'remote', false, NULL, m FROM n""",
+)
+def q_source_selection(spark, sf):
+    """Which source a training run reads, by snapshot state, and the logged
+    record of it; the remote rows are told apart by lacking the first period."""
+    c = materialize(collapsed(spark, sf))
+    root = scratch_path(spark, "snap")
+    sn.write_snapshot(c, root, created_at="2024-02-01T06:00:00Z", source="events", query_text="collapse(events)", run_id="run-1")
+    remote = lambda: c.filter(F.col("gameweek_id") > 1)
+    out = None
+    for scenario, source, where, now in (("local", "local", root, "2024-02-03 06:00:00"), ("stale", "local", root, "2024-03-03 06:00:00"),
+                                         ("missing", "local", scratch_path(spark, "none"), "2024-02-03 06:00:00"), ("remote", "remote", None, "2024-02-03 06:00:00")):
+        frame, meta = sn.load_training_frame(spark, source=source, local_root=where, now=now, remote_loader=remote, policy="LOCAL_THEN_REMOTE")
+        log = sn.selection_log_row(spark, scenario, meta).select(
+            F.col("context").alias("scenario"), *[F.get_json_object("detail", f"$.{k}").cast(t).alias(k) for k, t in
+                                                  (("data_source_selected", "string"), ("fallback_taken", "boolean"), ("fallback_reason", "string"))])
+        row = attach_row(log, frame.agg(F.count(F.lit(1)).alias("n_rows")))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -92,3 +92,15 @@ def test_clamp_rounds_half_even(spark):
     params = spark.createDataFrame([(0, "max_depth", 4.5), (0, "max_depth", 40.0), (0, "subsample", 0.1)], "iteration int, param string, value double")
     out = [r.clamped for r in gt.clamp_to_bounds(params, gt.bounds_frame(spark)).collect()]
     assert out == [4.0, 10.0, 0.5]
+
+
+def test_a_candidate_without_metrics_does_not_pass(spark):
+    drift = spark.createDataFrame([(True,)], "drift_triggered boolean")
+    none = _inc(spark).select(*[F.lit(None).cast(t).alias(c) for c, t in _inc(spark).dtypes])
+    for metric in ("mae", "rmse"):
+        c = _cands(spark).withColumn(metric, F.lit(None).cast("double"))
+        for gates in (gt.promotion_gates(c, _inc(spark), drift), gt.reviewer_gates(c, _inc(spark))):
+            assert not gates.first().passed
+    # no model to beat yet: only that is no reason to fail
+    assert gt.promotion_gates(_cands(spark), none, drift).first().passed
+    assert gt.reviewer_gates(_cands(spark), none).first().passed

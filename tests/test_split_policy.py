@@ -76,3 +76,15 @@ def test_strict_temporal_drops_train_after_holdout(spark):
     assert hold == [4] and train == [1, 2, 3]
     loose = sp.policy_split(_frame(spark), pol, holdout=1)
     assert 6 in set(r.target_gameweek_id for r in loose.filter(F.col("role") == "train").collect())
+
+
+def test_a_split_with_an_empty_side_is_an_error(spark):
+    import pytest
+
+    from panelforge.operators import split as sp
+
+    both = spark.createDataFrame([(1, "train"), (2, "holdout")], "w int, role string")
+    assert sp.require_both_sides(both) is both
+    for part, text in (("w = 1", "holdout"), ("w = 2", "train"), ("w = 3", "after exclusion")):
+        with pytest.raises(ValueError, match=text):
+            sp.require_both_sides(both.where(part))
