@@ -5,10 +5,10 @@ import re
 import corpus_pipeline as C
 from panelforge.operators.common import materialize
 from conftest import SF001
-from test_decontaminate import brute as hits
-from test_packing import check
-from test_pii import brute as pii_of
-from test_probminhash import brute_groups
+from llm.test_decontaminate import brute as hits
+from llm.test_packing import check
+from llm.test_pii import brute as pii_of
+from llm.test_probminhash import brute_groups
 
 
 def test_stages(spark):
