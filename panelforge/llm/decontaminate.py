@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import id_text, small_batches
+from panelforge.llm.common import fresh, id_text, small_batches
 from panelforge.llm.textgrams import U64, byte_view, mix, ngrams, slices, words_of
+from panelforge.operators.common import materialize
 
 WINDOW = 10
 #: Benchmark text that may be collected and broadcast as a hash set.
@@ -181,26 +182,29 @@ def _joined(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                  max_share: float = 0.5) -> DataFrame:
+                  max_share: float = 0.5, broadcast: bool | None = None) -> DataFrame:
     """Documents without benchmark passages, all columns kept.
 
     Hit words are cut out of the text (with what stands between two hit words
     of one passage); a document goes altogether when more than ``max_share``
     of its words are hit.  ``n_chars`` follows the text where there is one.
-    With a benchmark too large to broadcast, every contaminated document goes.
+    Ids play no part: every row is judged on its own text.  ``broadcast``
+    forces one of the two forms (None: by the benchmark's size).
     """
     small_batches(docs.sparkSession)
-    windows = window_set(benchmark, n)
-    if windows is None:
-        found = hits(docs, benchmark, n, id_col, text_col, broadcast=False).where("contaminated").select(id_col)
-        return docs.join(found, id_col, "left_anti")
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+    windows = window_set(benchmark, n) if broadcast is not False else None
     at = docs.columns.index(text_col)
+    if windows is None:
+        rows, scan = _with_hits(docs, benchmark, n, text_col), lambda batch: _marked(batch, at)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(windows)
+        rows, scan = docs, lambda batch: ((lo, hi, w, hit) for lo, hi, w, hit, _ in _scan(shared.value, batch.column(at)))
+    width = len(docs.columns)
 
     def clean(batches):
         for batch in batches:
             texts, keep = batch.column(at).to_pylist(), []
-            for lo, hi, w, hit, items in _scan(shared.value, batch.column(at)):
+            for lo, hi, w, hit in scan(batch):
                 for r in range(lo, hi):
                     i, j = np.searchsorted(w.row, [r - lo, r - lo + 1])
                     mine = hit[i:j]
@@ -209,13 +213,40 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col
                     elif mine.mean() <= max_share:
                         texts[r] = _cut(texts[r].encode(), w.start[i:j] - (raw_at := _row_start(batch.column(at), lo, r)), w.end[i:j] - raw_at, mine)
                         keep.append(r)
-            columns = [pa.array(texts, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).take(pa.array(keep, pa.int64()))
+            columns = [pa.array(texts, batch.schema.field(at).type) if k == at else batch.column(k) for k in range(width)]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([batch.schema.field(k) for k in range(width)])).take(pa.array(keep, pa.int64()))
 
-    out = docs.mapInArrow(clean, docs.schema)
+    out = rows.mapInArrow(clean, docs.schema)
     return out.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+def _with_hits(docs: DataFrame, benchmark: DataFrame, n: int, text_col: str) -> DataFrame:
+    """The rows and, as last columns, the first word and the number of words
+    of every hit window: the window join on a key of the row's own."""
+    key, other, hit, first, size = (fresh(docs, name) for name in ("row_key", "hit_key", "hit", "hit_first", "hit_size"))
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()))
+    index = materialize(_windows(id_text(benchmark, "item_id"), None, n).select("size", "k1", "k2").distinct())
+    sizes = sorted(r[0] for r in index.select("size").distinct().collect()) or [n]
+    found = (_windows(id_text(rows, key, text_col), sizes, n).join(index, ["size", "k1", "k2"], "left_semi")
+             .groupBy(F.col("id").alias(other)).agg(F.collect_list(F.struct("first", "size")).alias(hit)))
+    joined = rows.join(found, F.col(f"`{key}`") == F.col(other), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{hit}.first").alias(first), F.col(f"{hit}.size").alias(size))
+
+
+def _marked(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, object, np.ndarray]]:
+    """Like ``_scan`` for rows with their hit windows in the last two columns."""
+    for lo, hi, data, offsets in slices(batch.column(at)):
+        w = words_of(data, offsets)
+        start = np.searchsorted(w.row, np.arange(hi - lo))
+        cover = np.zeros(len(w.start) + 1, np.int64)
+        firsts, sizes = (batch.column(batch.num_columns - k).slice(lo, hi - lo) for k in (2, 1))
+        for r in np.flatnonzero(firsts.is_valid().to_numpy(zero_copy_only=False)):
+            first = start[r] + np.asarray(firsts[int(r)].values, np.int64)
+            np.add.at(cover, first, 1)
+            np.add.at(cover, first + np.asarray(sizes[int(r)].values, np.int64), -1)
+        yield lo, hi, w, np.cumsum(cover[:-1]) > 0
+
+
 def _row_start(column: pa.Array, lo: int, r: int) -> int:
     """Where row ``r`` begins in the slice that begins with row ``lo``."""
     _, offsets = byte_view(column.slice(lo, r - lo + 1))

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelforge.llm import decontaminate as D
 
@@ -72,3 +73,19 @@ def test_decontaminate_cuts_passages_and_drops_mostly_copied_documents(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in D.decontaminate(docs, spark.createDataFrame(ITEMS, "item_id long, text string")).collect()}
     left = "one two three four five. ! six seven eight nine ten eleven"
     assert got == {1: (left, len(left)), 3: ("clean", 5), 4: (None, None)}
+
+
+def test_decontaminate_is_the_same_in_both_forms(spark):
+    clean = "lorem ipsum dolor " * 6000
+    rows = [(1, "one two three four five. A b c d e f g h i j k! six seven eight nine ten eleven", 3), (1, "clean row of the same id", 3), (2, "a b c d e f g h i j k", 3), (3, "clean", 3),
+            (4, None, None), (None, "short one here", 3), (None, "é short ONE here and ü more words", 3), (5, clean + "a b c d e f g h i j " + clean, 3), (6, "short one here " * 3 + "x " * 30, 3)]
+    rows += [(d + 10, t, 7) for d, t in CASES]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("row_key", F.lit("x")).repartition(3)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = [sorted(map(repr, D.decontaminate(docs, items, broadcast=b).collect())) for b in (True, False)]
+    assert got[0] == got[1]
+    texts = [(r.doc_id, r.text) for r in D.decontaminate(docs, items, broadcast=False).collect()]
+    assert (1, "clean row of the same id") in texts and (5, clean + " " + clean) in texts and (None, "é  and ü more words") in texts and len([t for d, t in texts if d == 5]) == 1
+    assert not [d for d, t in texts if d == 2 or t == "short one here"]
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert D.decontaminate(docs, empty, broadcast=False).count() == len(rows) and D.decontaminate(docs.limit(0), items, broadcast=False).count() == 0
