@@ -98,3 +98,21 @@ def test_query_keeps_good_and_drops_bad_documents(spark):
     rows = queries()["op8_quality_kneser_ney"](spark, SF01).join(spark.read.parquet(f"{SF01}/labels.parquet"), "doc_id").collect()
     good, bad = [r.kept for r in rows if r.quality == 1 and r.toxic == 0], [r.kept for r in rows if r.quality == 0]
     assert sum(good) / len(good) >= 0.98 and sum(bad) / len(bad) <= 0.4
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_held_out_perplexity_lacks_what_only_the_text_itself_has(spark, broadcast):
+    rows = spark.createDataFrame([(1, "the cat sat", "en", True), (2, "the cat sat", "en", True), (3, "zebra quartz", "en", True), (4, None, "en", False)], "id long, text string, lang string, trusted boolean")
+    got = {r.id: r for r in K._scored(rows, broadcast).collect()}
+    assert got[1].held == pytest.approx(got[1].perplexity) and got[3].held > 2 * got[3].perplexity
+    assert got[4].held is None and [got[i].size for i in (1, 3, 4)] == [11, 12, 0]
+
+
+def test_bounds_hold_on_more_documents(spark):
+    folder = SF01.replace("sf0.01", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    rows = K.quality(docs, labels).join(labels, "doc_id", "left").collect()
+    share = lambda rows: sum(r.kept for r in rows) / len(rows)
+    assert share([r for r in rows if r.quality == 1 and r.toxic == 0]) >= 0.995
+    assert share([r for r in rows if r.quality == 0]) <= 0.05
+    assert share([r for r in rows if r.quality is None]) >= 0.84
