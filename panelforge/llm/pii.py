@@ -9,7 +9,9 @@ are always reported; the kinds that the method adds only from
 The expressions give the leftmost non-overlapping matches of the plain forms
 in their comments, written so that long runs of their characters cost linear
 time and no recursion.  A match that fails its check is dropped and not tried
-again.
+again, except that account numbers are tried wherever one can start.  An account
+number is as long as its country says; codes without a known length may have
+any length up to the next other character.
 
 Defined cases: null texts are empty; spans of different kinds may overlap and
 are all reported; masking turns overlapping spans into the first one.
@@ -65,6 +67,7 @@ class Kind:
     score: float
     context: str
     raised: float
+    anywhere: bool = False
 
 
 def _between(n: Column, low: int, high: int) -> Column:
@@ -82,8 +85,22 @@ BASE = (
     # \+[0-9][\x20().0-9-]+[0-9], 9 to 15 digits
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: _between(F.char_length(_digits(m)), 9, 15), 0.7, r"phone|call|tel|fax|mobile", 1.0),
 )
+#: Account numbers' lengths by country: the registry's, and those in use beside it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    known = [f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()]
+    other = f"(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11,30}}+"
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})({'|'.join(known)}|{other})(?![A-Za-z0-9])"
+
+
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", mod97, 0.9, r"iban|account|konto|compte|cuenta", 1.0),
+    Kind("iban", _iban(), mod97, 0.9, r"iban|account|konto|compte|cuenta", 1.0, anywhere=True),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", None, 0.3, r"\bssn\b|social security", 0.9),
 )
 KINDS = BASE + ADDED
@@ -93,8 +110,9 @@ def find(docs: DataFrame, text_col: str = "text", name: str = "found") -> DataFr
     """All columns and ``name``: an array of spans (start, rank, end, kind, score) by start."""
 
     def found(rank: int, kind: Kind) -> Column:
-        score = lambda m, before: F.when(F.regexp_like(F.lower(F.right(before, F.lit(NEAR))), F.lit(kind.context)), kind.raised).otherwise(kind.score)
-        return spans.spans(spans.parts(F.col(f"`{plain}`"), kind.regex), kind.name, rank, kind.valid, score, 0.0 if kind in BASE else ADDED_SCORE)
+        score = lambda m, before: F.when(F.regexp_like(F.lower(before), F.lit(kind.context)), kind.raised).otherwise(kind.score)
+        cut = spans.starts if kind.anywhere else spans.parts
+        return spans.spans(cut(F.col(f"`{plain}`"), kind.regex), kind.name, rank, kind.valid, score, 0.0 if kind in BASE else ADDED_SCORE, NEAR, kind.anywhere)
 
     plain, each = fresh(docs, "plain"), [fresh(docs, f"spans{i}") for i in range(len(KINDS))]
     named = docs.withColumn(plain, spans.plain(F.col(f"`{text_col}`")))

@@ -29,20 +29,30 @@ def parts(text: Column, regex: str) -> Column:
     return F.split(F.regexp_replace(text, F.lit(regex), F.lit(f"{MARK}$0{MARK}")), MARK, -1)
 
 
+def starts(text: Column, regex: str) -> Column:
+    """Like ``parts`` with a match of ``regex`` (one group around it) wherever one
+    starts, overlapping ones too: the matches are copies, the text outside is whole."""
+    return F.split(F.regexp_replace(text, F.lit(f"(?={regex})"), F.lit(f"{MARK}$1{MARK}")), MARK, -1)
+
+
 def spans(cut: Column, kind: str, rank: int, valid: Callable[[Column], Column] | None = None,
-          score: Callable[[Column, Column], Column] | None = None, at_least: float = 0.0) -> Column:
-    """Spans of the valid matches in ``parts``.  ``valid`` sees the match,
-    ``score`` the match and the text since the match before."""
+          score: Callable[[Column, Column], Column] | None = None, at_least: float = 0.0, near: int = 0, copies: bool = False) -> Column:
+    """Spans of the valid matches in ``parts`` (``copies``: in ``starts``).  ``valid``
+    sees the match, ``score`` the match and the ``near`` characters before it,
+    with what matched there."""
     none = F.lit(None).cast(SPAN)
     start = F.struct(F.lit(False).alias("inside"), F.lit(0).alias("pos"), F.lit("").alias("before"), F.coalesce(none, F.array().cast(SPAN)).alias("out"))
 
     def step(acc: Column, part: Column) -> Column:
         pos, end = acc["pos"], acc["pos"] + F.char_length(part)
+        seen = F.right(F.concat(acc["before"], part), F.lit(near)) if near else acc["before"]
         points = score(part, acc["before"]) if score else F.lit(1.0)
         span = F.struct(pos.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), points.alias("score"))
         found = F.filter(F.array(span), lambda s: s["score"] >= at_least)
         good = acc["inside"] & valid(part) if valid else acc["inside"]
-        return F.struct((~acc["inside"]).alias("inside"), end.alias("pos"), F.when(acc["inside"], "").otherwise(part).alias("before"),
+        if copies:
+            end, seen = F.when(acc["inside"], pos).otherwise(end), F.when(acc["inside"], acc["before"]).otherwise(seen)
+        return F.struct((~acc["inside"]).alias("inside"), end.alias("pos"), seen.alias("before"),
                         F.when(good, F.concat(acc["out"], found)).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(cut, start, step, lambda acc: acc["out"])

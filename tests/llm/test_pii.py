@@ -63,6 +63,22 @@ def test_added_kinds_need_checks_or_context(spark, text, spans):
     assert [s for s in got.split(",") if s] == spans
 
 
+IBAN = "DE89 3704 0044 0532 0130 00"
+PROSE = [(IBAN + " Please", ["iban:0:27"]), (IBAN + " 2024", ["iban:0:27"]), ("DE89370400440532013000 BIC COBADEFF", ["iban:0:22"]), (IBAN + "x", []),
+         ("To " + IBAN + " GB82 WEST 1234 5698 7654 32 NOW", ["iban:3:30", "iban:31:58"]), ("BE12 " + IBAN, ["iban:5:32"]), ("ID12 " + IBAN, ["iban:5:32"]),
+         ("é\U0001F600 FR14 2004 1010 0505 0001 3M02 606 A", ["iban:3:36"]), ("NO9386011117947 and BE68 5390 0754 7034 OK", ["iban:0:15", "iban:20:39"]), ("DE893704004405320130 00 0", ["iban:0:23"]), ("DE893704004405320130000", []),
+         ("SSN 123-45-6789, 123-45-6780", ["ssn:4:15", "ssn:17:28"]), ("ssn" + " " * 46 + "123-45-6789 123-45-6780", []), ("ssn" + " " * 45 + "123-45-6789 123-45-6780", ["ssn:48:59"]),
+         ("AA11 " * 5000 + IBAN, ["iban:25000:25027"])]
+
+
+def test_added_kinds_in_prose(spark):
+    got = {r.doc_id: r.spans for r in pii.digest(spark.createDataFrame(list(enumerate(t for t, _ in PROSE)), "doc_id long, text string")).collect()}
+    for i, (text, spans) in enumerate(PROSE):
+        assert [s for s in got[i].split(",") if s.startswith(("iban", "ssn"))] == spans, text[:80]
+    masked = pii.mask(spark.createDataFrame([(1, IBAN + " Please")], "doc_id long, text string")).first().text
+    assert masked == "[IBAN] Please"
+
+
 def test_scores_follow_context(spark):
     rows = pii.find(spark.createDataFrame([(1, "server 10.0.0.1 and then, a good deal of text after which stands 10.0.0.2")], "doc_id long, text string")).first().found
     assert [s.score for s in rows] == [0.9, 0.6]
