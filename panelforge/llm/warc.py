@@ -273,7 +273,7 @@ def page_records(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     rows = rows.withColumns({"sha": F.unhex(F.sha1("payload")), "bytes": F.octet_length("payload").cast("long")})
     first = rows.where(F.col("bytes") >= min_bytes).select("sha", "id").groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha", "first")
     found = rows.join(maybe_broadcast(materialize(first), BROADCAST_IDS), "sha", "left")
-    again = F.col("first").isNotNull() & (F.col("id") != F.col("first")) & (F.col("bytes") >= min_bytes)
+    again = F.col("first").isNotNull() & F.coalesce(F.col("id") != F.col("first"), F.lit(False)) & (F.col("bytes") >= min_bytes)
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     return found.select(
         F.when(again, "revisit").otherwise("response").alias("record_type"), urn(F.col("id")).alias("record_id"), F.col("url").alias("target_uri"),

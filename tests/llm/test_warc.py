@@ -106,3 +106,9 @@ def test_min_bytes_and_empty_table(spark):
     path = scratch_path(spark, "warc-empty")
     W.write_pages(df.limit(0), path)
     assert W.read(spark, path).collect() == []
+
+
+def test_null_id_beside_an_equal_payload_keeps_its_bytes(spark):
+    df = spark.createDataFrame([(1, "u", "<p>same</p>"), (2, "v", "<p>same</p>"), (None, "w", "<p>same</p>")], "page_id long, url string, html string")
+    got = {r.target_uri: (r.record_type, bytes(r.payload) if r.payload is not None else None) for r in W.page_records(df).collect()}
+    assert got == {"u": ("response", b"<p>same</p>"), "v": ("revisit", None), "w": ("response", b"<p>same</p>")}
