@@ -9,7 +9,7 @@ benchmark windows meet on a 128-bit key.
 
 Defined cases: a null or empty text has no words and no hits; a null or empty
 item is no window; equal items count each by their own id; a repeated row is
-answered once per row by the broadcast form; other columns of the tables are
+answered once per row; other columns of the tables are
 ignored by ``hits`` and kept untouched by ``decontaminate``.
 """
 
@@ -136,8 +136,8 @@ def _windows(df: DataFrame, sizes: list[int] | None, n: int) -> DataFrame:
     None: of items (one window if shorter than n)."""
 
     def emit(batches):
-        schema = pa.schema([("id", pa.int64()), ("first", pa.int32()), ("size", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64())])
         for batch in batches:
+            schema = pa.schema([("id", batch.column("id").type), ("first", pa.int32()), ("size", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64())])
             for lo, hi, data, offsets in slices(batch.column("text")):
                 w = words_of(data, offsets)
                 count = np.bincount(w.row, minlength=hi - lo)
@@ -153,28 +153,29 @@ def _windows(df: DataFrame, sizes: list[int] | None, n: int) -> DataFrame:
                         pa.array(np.full(int(keep.sum()), size, np.int32)),
                         pa.array(h[keep].view(np.int64)), pa.array(h2[keep].view(np.int64))], schema=schema)
 
-    return df.mapInArrow(emit, "id long, first int, size int, k1 long, k2 long")
+    return df.mapInArrow(emit, f"id {df.schema['id'].dataType.simpleString()}, first int, size int, k1 long, k2 long")
 
 
 def _joined(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same result by a join of windows, for benchmarks of any size (ids must be unique)."""
-    text = id_text(docs, id_col, text_col)
-    index = _windows(id_text(benchmark, "item_id"), None, n).select(F.col("id").alias("item"), "size", "k1", "k2").distinct()
+    """The same result by a join of windows on a key of the row's own, for benchmarks of any size."""
+    text = materialize(id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("None")).alias("id"), F.col("text").cast("string").alias("text"))
+    index = _windows(named, None, n).select(F.col("id").alias("item"), "size", "k1", "k2").distinct()
     sizes = sorted(r[0] for r in index.select("size").distinct().collect())
     if not sizes:
         sizes = [n]
-    found = _windows(text, sizes, n).join(index, ["size", "k1", "k2"]).select("id", "first", "size", "item")
-    words = found.select("id", F.explode(F.sequence("first", F.col("first") + F.col("size") - 1)).alias("word")).distinct()
-    hit = words.groupBy("id").agg(F.count("*").alias("n_hit"))
-    items = found.select("id", F.col("item").cast("string").alias("item")).distinct().groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    found = _windows(text.select(F.col("row").alias("id"), "text"), sizes, n).join(index, ["size", "k1", "k2"]).select(F.col("id").alias("row"), "first", "size", "item")
+    words = found.select("row", F.explode(F.sequence("first", F.col("first") + F.col("size") - 1)).alias("word")).distinct()
+    hit = words.groupBy("row").agg(F.count("*").alias("n_hit"))
+    items = found.select("row", "item").distinct().groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
 
     def count(batches):
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(lo, hi - lo),
-                                                  pa.array(np.bincount(words_of(data, offsets).row, minlength=hi - lo))], names=["id", "n_words"])
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), batch.column("id").slice(lo, hi - lo),
+                                                  pa.array(np.bincount(words_of(data, offsets).row, minlength=hi - lo))], names=["row", "id", "n_words"])
 
-    return (text.mapInArrow(count, "id long, n_words long").join(hit, "id", "left").join(items, "id", "left")
+    return (text.mapInArrow(count, "row long, id long, n_words long").join(hit, "row", "left").join(items, "row", "left")
             .select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
@@ -225,7 +226,7 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, n: int, text_col: str) ->
     of every hit window: the window join on a key of the row's own."""
     key, other, hit, first, size = (fresh(docs, name) for name in ("row_key", "hit_key", "hit", "hit_first", "hit_size"))
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()))
-    index = materialize(_windows(id_text(benchmark, "item_id"), None, n).select("size", "k1", "k2").distinct())
+    index = materialize(_windows(benchmark.select(F.lit(0).alias("id"), F.col("text").cast("string").alias("text")), None, n).select("size", "k1", "k2").distinct())
     sizes = sorted(r[0] for r in index.select("size").distinct().collect()) or [n]
     found = (_windows(id_text(rows, key, text_col), sizes, n).join(index, ["size", "k1", "k2"], "left_semi")
              .groupBy(F.col("id").alias(other)).agg(F.collect_list(F.struct("first", "size")).alias(hit)))

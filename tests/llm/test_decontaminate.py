@@ -89,3 +89,12 @@ def test_decontaminate_is_the_same_in_both_forms(spark):
     assert not [d for d, t in texts if d == 2 or t == "short one here"]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert D.decontaminate(docs, empty, broadcast=False).count() == len(rows) and D.decontaminate(docs.limit(0), items, broadcast=False).count() == 0
+
+
+def test_both_forms_agree_on_text_ids_null_ids_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "short one here"), (1, "a b c d e f g h i j k"), (None, "short one here and more"), (None, "clean"), (2, "short one here")], "doc_id long, text string")
+    items = spark.createDataFrame([("x-1", "short one here"), ("é2", "A b c d e f g h i j k"), (None, "short one here")], "item_id string, text string")
+    got = [sorted(map(repr, D.hits(docs, items, broadcast=b).collect())) for b in (True, False)]
+    assert got[0] == got[1] and len(got[0]) == 5 and sum("contaminated=True" in r for r in got[0]) == 4
+    cut = [sorted(map(repr, D.decontaminate(docs, items, broadcast=b).collect())) for b in (True, False)]
+    assert cut[0] == cut[1]
