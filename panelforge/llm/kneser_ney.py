@@ -48,7 +48,7 @@ FLUSH = 2_000_000
 
 
 def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of ``BITS`` bits (rare code points share some) and row offsets in code points."""
+    """Symbols of ``BITS`` bits (code points from U+0800 on share 2,048 of them) and row offsets in code points."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
     shared = np.uint32(2048) + ((points * np.uint32(2654435761)) >> np.uint32(21))
