@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import decontaminate, hnsw, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
+from panelforge.llm import bpe, decontaminate, hnsw, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
 from panelforge.llm.common import table
 from panelforge.session import scratch_path
 
@@ -135,3 +135,8 @@ def op8_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"))
