@@ -4,7 +4,7 @@
 word numbers of every document by position, and the block's distinct words,
 dealt into hash parts.  ``word_ids`` meets the words of one part from all
 blocks and encodes each distinct word once.  ``encode`` joins the ids back to
-the blocks and puts them together by position.  ``decode`` joins ids with the
+the blocks (written in buckets, so that they aren't shuffled) and puts them together by position.  ``decode`` joins ids with the
 table of pieces and reads the bytes as UTF-8.  What travels is numbers and
 distinct words of blocks, never a row per word; a frequent word comes once
 from each block, whatever its share of the text.
@@ -38,12 +38,14 @@ from pyspark.sql import types as T
 
 from panelforge.llm.common import fresh
 from panelforge.llm.textgrams import byte_view
-from panelforge.operators.common import materialize
+from panelforge.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 BLOCK = 32 << 20
 #: Bytes of text for each hash part of the distinct words, and the least number of parts.
 PART_BYTES, LEAST_PARTS = 64 << 20, 64
+#: Spark's limit of buckets; a bucket's blocks are put together one at a time, however many it has.
+MOST_BUCKETS = 100_000
 #: Words that the tokenizer takes in one call, bytes that are searched for cuts and words that are put together at a time.
 CALL, SLICE, TOGETHER = 50_000, 4 << 20, 1 << 20
 
@@ -250,11 +252,22 @@ def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
 
 
+def _bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The blocks written once, bucketed by their number, so that word numbers stay
+    where they are when ids come back.  The table is not kept in the catalog."""
+    spark, path = blocks.sparkSession, scratch_path(blocks.sparkSession, "bpe")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    blocks.write.bucketBy(buckets, "block").option("path", path).format("parquet").saveAsTable(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE `{name}`")
+    return written
+
+
 def _each_block(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, block: int, make, schema: T.StructType) -> DataFrame:
     """Rows that ``make(keys, ids, offsets)`` gives for the encoded documents of each block."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = materialize(split(rows, max(LEAST_PARTS, -(-size // PART_BYTES)), tokenizer, block))
+    blocks = _bucketed(split(rows, max(LEAST_PARTS, -(-size // PART_BYTES)), tokenizer, block), min(MOST_BUCKETS, max(LEAST_PARTS, -(-2 * size // block))))
     words = word_ids(blocks, tokenizer)
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -28,7 +28,7 @@ def test_query_equals_the_library(spark):
     assert all(tuple(r)[1:] == expected(texts[r.doc_id]) for r in rows)
 
 
-@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+@pytest.mark.parametrize("block", [900, 20_000, 1 << 20])
 def test_odd_texts_ids_and_columns_in_blocks_of_any_size(spark, block):
     rows = [(k if k % 3 else None, t, "x", 1) for k, t in enumerate(CASES * 2)]
     df = spark.createDataFrame(rows, "doc_id int, text string, ids string, block int").repartition(3)
