@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, decontaminate, hnsw, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc
+from panelforge.llm import bpe, conversations, decontaminate, hnsw, html_extract, kneser_ney, langid, packing, pii, probminhash, secret_scan, warc, whitening
 from panelforge.llm.common import table
 from panelforge.session import scratch_path
 
@@ -140,3 +140,13 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digest(table(spark, sf_dir, "conversations"))
