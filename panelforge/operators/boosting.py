@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.operators.common import materialize
+from panelforge.operators.common import materialize, spread
 
 MAX_BINS = 64
 ROWS_IN_TASK = 500_000
@@ -110,7 +110,8 @@ class Tree:
 def leaf(g, h, p: BoostParams):
     """Weight of a leaf with these sums, before the learning rate."""
     g, h = np.asarray(g, float), np.asarray(h, float)
-    w = -np.sign(g) * np.maximum(np.abs(g) - p.reg_alpha, 0.0) / (h + p.reg_lambda)
+    w = -np.sign(g) * np.maximum(np.abs(g) - p.reg_alpha, 0.0)
+    w = np.divide(w, h + p.reg_lambda, out=np.zeros(np.broadcast(w, h).shape), where=h + p.reg_lambda > 0)
     return np.clip(w, -p.max_delta_step, p.max_delta_step) if p.max_delta_step > 0 else w
 
 
@@ -186,7 +187,7 @@ class Growth:
             g, h, gain, feature, at, left_g, left_h = best.get(slot, (0.0, 0.0, None, -1, 0, 0.0, 0.0))
             if node == 0:
                 t.value[0] = float(leaf(g, h, p)) * p.learning_rate
-            if gain is None or gain <= LEAST_GAIN or gain < p.gamma:
+            if gain is None or gain <= LEAST_GAIN or gain < p.gamma or self.level >= p.max_depth:
                 continue
             child = len(t.feature)
             t.feature[node], t.bin[node], t.child[node], t.gain[node] = feature, at, child, gain
@@ -238,10 +239,27 @@ def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base
 
 # ---------------------------------------------------------------- fits
 
-_TREES = "array<struct<feature: array<int>, cut: array<double>, child: array<int>, value: array<double>>>"
+#: Trees are stored complete, a step of ``depth`` for every row: node k has the children 2k + 1 (below the
+#: cut) and 2k + 2, nodes below a leaf lead left (an infinite cut), ``value`` has the lowest level.
+_TREES = "array<struct<feature: array<int>, cut: array<double>, value: array<double>>>"
 FOREST = f"model string, objective string, base double, depth int, n_rows long, gain array<double>, splits array<long>, trees {_TREES}"
 
 
+def _complete(t: Tree, depth: int, cuts: Sequence[Sequence[float]]) -> dict:
+    """A tree of all nodes down to ``depth``."""
+    inner = 2**depth - 1
+    at, feature, cut = np.zeros(2 * inner + 1, np.int64), [0] * inner, [math.inf] * inner
+    for k in range(inner):
+        node = at[k]
+        f = t.feature[node]
+        if f >= 0:
+            feature[k], cut[k] = int(f), float(cuts[f][t.bin[node]])
+            at[2 * k + 1], at[2 * k + 2] = t.child[node], t.child[node] + 1
+        else:
+            at[2 * k + 1] = at[2 * k + 2] = node
+    return {"feature": feature, "cut": cut, "value": np.array(t.value)[at[inner:]].tolist()}
+
+
 def _forest_row(job: Job, base: float, n: int, trees: Sequence[Tree], cuts: Sequence[Sequence[float]]) -> dict:
     gain, splits, nodes = np.zeros(len(cuts)), np.zeros(len(cuts), np.int64), []
     for t in trees:
@@ -249,15 +267,14 @@ def _forest_row(job: Job, base: float, n: int, trees: Sequence[Tree], cuts: Sequ
             if f >= 0:
                 gain[f] += g
                 splits[f] += 1
-        cut = [float(cuts[f][b]) if f >= 0 else 0.0 for f, b in zip(t.feature, t.bin)]
-        nodes.append({"feature": t.feature, "cut": cut, "child": t.child, "value": t.value})
-    return {"model": job.model, "objective": job.objective, "base": base, "depth": job.params.max_depth, "n_rows": n, "gain": gain.tolist(), "splits": splits.tolist(),
+        nodes.append(_complete(t, max(1, job.params.max_depth), cuts))
+    return {"model": job.model, "objective": job.objective, "base": base, "depth": max(1, job.params.max_depth), "n_rows": n, "gain": gain.tolist(), "splits": splits.tolist(),
             "trees": nodes}
 
 
 _ARROW_FOREST = pa.schema([("model", pa.string()), ("objective", pa.string()), ("base", pa.float64()), ("depth", pa.int32()), ("n_rows", pa.int64()),
                            ("gain", pa.list_(pa.float64())), ("splits", pa.list_(pa.int64())),
-                           ("trees", pa.list_(pa.struct([("feature", pa.list_(pa.int32())), ("cut", pa.list_(pa.float64())), ("child", pa.list_(pa.int32())), ("value", pa.list_(pa.float64()))])))])
+                           ("trees", pa.list_(pa.struct([("feature", pa.list_(pa.int32())), ("cut", pa.list_(pa.float64())), ("value", pa.list_(pa.float64()))])))])
 
 
 def _bins(column, features: int) -> np.ndarray:
@@ -456,7 +473,7 @@ def _native_splits(table: DataFrame, params: Mapping[int, tuple[BoostParams, flo
     alpha, lam, step, least, scale = (of(n) for n in ("reg_alpha", "reg_lambda", "max_delta_step", "min_child_weight", "scale"))
 
     def gained(g: Column, h: Column) -> Column:
-        w = -F.signum(g) * F.greatest(F.abs(g) - alpha, F.lit(0.0)) / (h + lam)
+        w = F.when(h + lam > 0, -F.signum(g) * F.greatest(F.abs(g) - alpha, F.lit(0.0)) / (h + lam)).otherwise(F.lit(0.0))
         w = F.when(step > 0, F.greatest(-step, F.least(step, w))).otherwise(w)
         return -(2.0 * g * w + (h + lam) * w * w + 2.0 * alpha * F.abs(w))
 
@@ -474,31 +491,31 @@ def _native_splits(table: DataFrame, params: Mapping[int, tuple[BoostParams, flo
 
 # ---------------------------------------------------------------- forests as columns
 
-def forest_margin(x: Column, trees: Column, base: Column, depth: Column) -> Column:
+def forest_margin(x: Column, trees: Column, base: Column, steps: Column, inner: Column) -> Column:
     """Base plus the leaf that ``x`` (array of double) reaches in each tree: a fold
-    over the trees, and in each a walk of ``depth`` steps over its node arrays."""
+    over the trees, and in each a walk of ``steps`` from the root past the ``inner`` nodes.
+    ``x`` is bound once; as a plain expression the walk would build it anew for every node."""
 
-    def reached(tree: Column) -> Column:
+    def reached(tree: Column, v: Column) -> Column:
         def step(node: Column, _: Column) -> Column:
-            f = F.get(tree["feature"], node)
-            right = F.when(F.get(x, f) < F.get(tree["cut"], node), F.lit(0)).otherwise(F.lit(1))
-            return F.when(f < 0, node).otherwise(F.get(tree["child"], node) + right)
+            return 2 * node + F.when(F.get(v, F.get(tree["feature"], node)) < F.get(tree["cut"], node), F.lit(1)).otherwise(F.lit(2))
 
-        return F.get(tree["value"], F.aggregate(F.sequence(F.lit(1), depth), F.lit(0), step))
+        return F.get(tree["value"], F.aggregate(steps, F.lit(0), step) - inner)
 
-    return F.aggregate(trees, base, lambda total, tree: total + reached(tree))
+    return F.get(F.transform(F.array(x), lambda v: F.aggregate(trees, base, lambda total, tree: total + reached(tree, v))), 0)
 
 
 def score_forests(df: DataFrame, forests: DataFrame, features: Sequence[str], model: Column, out: str) -> DataFrame:
     """``df`` with the score of the model that each row names (null if there is no
     such model): one scan, one join on the model's name, no Python."""
-    nodes = forests.agg(F.sum(F.aggregate("trees", F.lit(0).cast("long"), lambda n, t: n + F.size(t["feature"])))).first()[0] or 0
-    small = nodes * 24 <= BROADCAST_BYTES
-    own = forests.select(F.col("model").alias("__m"), "objective", "base", "depth", "trees")
-    own = own.select("__m", F.struct("objective", "base", "depth", "trees").alias("__f"))
-    rows = df.withColumn("__key", model).join(F.broadcast(own) if small else own, F.col("__key") == F.col("__m"), "left")
+    nodes = forests.agg(F.sum(F.aggregate("trees", F.lit(0).cast("long"), lambda n, t: n + F.size(t["value"])))).first()[0] or 0
+    small = nodes * 20 <= BROADCAST_BYTES
+    own = forests.select(F.col("model").alias("__forest_name"), "objective", "base", F.sequence(F.lit(1), "depth").alias("steps"),
+                         (F.pow(F.lit(2), F.col("depth")) - 1).cast("int").alias("inner"), "trees")
+    own = own.select("__forest_name", F.struct("objective", "base", "steps", "inner", "trees").alias("__forest"))
+    rows = spread(df).withColumn("__forest_key", model).join(F.broadcast(own) if small else own, F.col("__forest_key") == F.col("__forest_name"), "left")
     x = F.array(*[F.col(f).cast("double") for f in features])
-    margin = forest_margin(x, F.col("__f.trees"), F.col("__f.base"), F.greatest(F.col("__f.depth"), F.lit(1)))
+    margin = forest_margin(x, F.col("__forest.trees"), F.col("__forest.base"), F.col("__forest.steps"), F.col("__forest.inner"))
     rows = rows.withColumn(out, margin)
     chance = 1.0 / (1.0 + F.exp(-F.col(out)))
-    return rows.withColumn(out, F.when(F.col("__f.objective") == "logistic", chance).otherwise(F.col(out))).drop("__key", "__m", "__f")
+    return rows.withColumn(out, F.when(F.col("__forest.objective") == "logistic", chance).otherwise(F.col(out))).drop("__forest_key", "__forest_name", "__forest")

@@ -65,3 +65,10 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "mat")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are task slots, for work that
+    costs much more than moving its rows; larger inputs are left as they are."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)

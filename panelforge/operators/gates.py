@@ -223,12 +223,12 @@ def stack_gates(wide: DataFrame, keys: Sequence[str], gates: Sequence[str]) -> D
 
 
 def publication_gates(summary: DataFrame, baseline: DataFrame, calib: DataFrame, rules: ModelRules = ModelRules(),
-                      tolerance: float = 0.0) -> DataFrame:
-    """V3: 12 publication gates from the back-test summary (one row), the
-    required-baseline comparison (one row: b_hit, b_regret, gate) and the
-    selected calibration deltas (one row); ready = all or override."""
-    r = rules
-    row = attach_row(attach_row(summary, baseline), calib)
+                      tolerance: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
+    """V3: 12 publication gates from the back-test summary, the required-baseline
+    comparison (b_hit, b_regret, gate) and the selected calibration deltas (one
+    row each, or one for every ``by`` key); ready = all or override."""
+    r, by = rules, list(by)
+    row = summary.join(baseline, by, "left").join(calib, by, "left") if by else attach_row(attach_row(summary, baseline), calib)
     g = {
         "max_prediction_collapse_weeks": F.col("prediction_collapse_weeks") <= r.max_prediction_collapse_weeks,
         "max_bias_flip_weeks": F.col("bias_flip_weeks") <= r.max_bias_flip_weeks,
@@ -246,6 +246,7 @@ def publication_gates(summary: DataFrame, baseline: DataFrame, calib: DataFrame,
     out = _finish(row.select("*"), g)
     raw = F.col("passed")
     return out.select(
+        *by,
         *g.keys(),
         F.col("failed_gates").alias("reasons"),
         (raw | F.lit(r.allow_forward_publish_override)).alias("ready"),

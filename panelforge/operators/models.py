@@ -1,93 +1,52 @@
-"""Distributed model training and scoring on Spark ML.
-
-The reference trains XGBoost in one process; here gradient-boosted trees run
-on the cluster (``GBTRegressor`` / ``GBTClassifier``).  Parameter mapping:
-n_estimators -> maxIter, max_depth -> maxDepth, learning_rate -> stepSize,
-subsample -> subsamplingRate, colsample -> featureSubsetStrategy (fraction),
-gamma -> minInfoGain, min_child_weight -> minInstancesPerNode (rounded up);
-L1/L2 regularisation and max_delta_step have no Spark equivalent.  Long fits checkpoint their state every ``checkpoint_interval``
-iterations into the shared checkpoint folder, so a lost executor does not
-restart the fit from scratch.  Only the fits loop on the driver (folds,
-segments, candidates); every fit and every prediction is a Spark job.
+"""Model training and scoring.
+
+Fits are jobs of ``boosting.fit_many``: one plan grows the shared model, the
+models of all segments and both stages at once.  A fitted model is a row of a
+written forest table; scoring is a column expression over it, so rows of all
+segments find their model by its name in one scan (``boosting.score_forests``).
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import signed_expm1, signed_log1p
+from panelforge.operators import boosting as bo
 from panelforge.operators.features import conform_features
-from panelforge.session import shared_root
 
 
 @dataclass(frozen=True)
-class GBTParams:
-    # Fixed defaults of the reference's regressor.
-    n_estimators: int = 200
-    max_depth: int = 5
-    learning_rate: float = 0.1
-    subsample: float = 0.8
-    colsample: float = 0.8
-    gamma: float = 0.0
-    min_child_weight: float = 1.0
-    # Post-processing that a search tunes together with the trees.
+class GBTParams(bo.BoostParams):
+    """The booster's parameters and the post-processing that a search tunes with them."""
+
     shrinkage_alpha: float = 0.0
     calibration_strength: float = 0.0
-    seed: int = 42
-    checkpoint_interval: int = 20
 
     @classmethod
-    def from_row(cls, row: dict) -> "GBTParams":
-        base = cls()
-        return replace(
-            base,
-            n_estimators=int(row.get("n_estimators", base.n_estimators)),
-            max_depth=int(row.get("max_depth", base.max_depth)),
-            learning_rate=float(row.get("learning_rate", base.learning_rate)),
-            subsample=float(row.get("subsample", base.subsample)),
-            colsample=float(row.get("colsample_bytree", base.colsample)),
-            gamma=float(row.get("gamma", base.gamma)),
-            min_child_weight=float(row.get("min_child_weight", base.min_child_weight)),
-            shrinkage_alpha=float(row.get("shrinkage_alpha", base.shrinkage_alpha)),
-            calibration_strength=float(row.get("calibration_strength", base.calibration_strength)),
-        )
+    def from_row(cls, row: Mapping) -> "GBTParams":
+        """From a parameter table's names; absent ones keep their defaults."""
+        known = {f: row["colsample_bytree" if f == "colsample" else f] for f in cls.__dataclass_fields__
+                 if row.get("colsample_bytree" if f == "colsample" else f) is not None}
+        return replace(cls(), **{k: int(v) if k in ("n_estimators", "max_depth", "seed") else float(v) for k, v in known.items()})
 
 
 TARGET = "target_next_gw_points"
-#: Rows that one task of a fit reads; a fit runs some jobs per tree, so small
-#: inputs in many partitions would pay for scheduling only.
-ROWS_PER_TASK = 250_000
-
-
-def sized(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as its rows need."""
-    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
+MINUTES_TARGET = "target_next_gw_minutes"
+LONG_MINUTES = 60.0
 
 
-def concurrently(fits: Sequence[Callable], threads: int = 8) -> list:
-    """Independent fits at the same time: the jobs of one fill the gaps of others."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(fits)))) as pool:
-        return list(pool.map(lambda f: f(), fits))
-
+@dataclass(frozen=True)
+class Model:
+    """A forest of a written table by its name."""
 
-def _estimator(p: GBTParams, label: str, classifier: bool = False):
-    kw = dict(
-        featuresCol="features", labelCol=label, maxIter=p.n_estimators, maxDepth=p.max_depth, stepSize=p.learning_rate,
-        subsamplingRate=p.subsample, featureSubsetStrategy=str(p.colsample), minInfoGain=p.gamma, seed=p.seed,
-        minInstancesPerNode=max(1, math.ceil(p.min_child_weight)), cacheNodeIds=False, checkpointInterval=p.checkpoint_interval,
-    )
-    return GBTClassifier(**kw) if classifier else GBTRegressor(**kw)
+    forests: DataFrame
+    name: str
+    log_target: bool = True
 
 
 def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -96,132 +55,164 @@ def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return d.withColumns({f: F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(0.0)), F.lit(0.0)) for f in features})
 
 
-def _pipeline(features: Sequence[str], est) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), est])
+def _key(df: DataFrame, features: Sequence[str]) -> list[str]:
+    """What tells rows apart when they are sampled."""
+    return [c for c in ("player_id", "gameweek_id") if c in df.columns] or list(features)
+
+
+def _target(target: str, log_target: bool) -> Column:
+    return signed_log1p(target) if log_target else F.col(target).cast("double")
 
 
-def train_shared(train: DataFrame, features: Sequence[str], params: GBTParams = GBTParams(), target: str = TARGET,
-                 log_target: bool = True) -> PipelineModel:
+def fit_named(train: DataFrame, features: Sequence[str], jobs: Sequence[bo.Job], views: Mapping[str, Column], target: str = TARGET, log_target: bool = True,
+              minutes_target: str = MINUTES_TARGET, rows_in_task: int = bo.ROWS_IN_TASK) -> DataFrame:
+    """Forest table of jobs whose labels are "points" (the target) or "p60" (next minutes of 60 and more)."""
+    labels = {"points": _target(target, log_target)}
+    if any(j.label == "p60" for j in jobs):
+        labels["p60"] = (F.col(minutes_target) >= LONG_MINUTES).cast("double")
+    return bo.fit_many(prepare(train, features), features, jobs, views, labels, _key(train, features), rows_in_task)
+
+
+def train_shared(train: DataFrame, features: Sequence[str], params: bo.BoostParams = GBTParams(), target: str = TARGET,
+                 log_target: bool = True) -> Model:
     """M1: one regressor on all rows; label = sign(y) log1p|y| when ``log_target``."""
-    shared_root(train.sparkSession)
-    d = prepare(train, features).withColumn("__label", signed_log1p(target) if log_target else F.col(target).cast("double"))
-    return _pipeline(features, _estimator(params, "__label")).fit(sized(d.select(*features, "__label")))
-
-
-def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "predicted_points",
-            log_target: bool = True) -> DataFrame:
-    """M4: transform + inverse target transform."""
-    p = model.transform(prepare(df, features))
-    val = signed_expm1("prediction") if log_target else F.col("prediction")
-    return p.withColumn(out, val).drop("features", "prediction")
-
-
-def train_per_segment(train: DataFrame, features: Sequence[str], params: GBTParams = GBTParams(),
-                      segment: str = "position_id") -> dict:
-    """M2: one model per segment that occurs (fits on filtered views of one
-    written input) plus the shared fallback."""
-    segments = sorted(r[0] for r in train.select(segment).where(F.col(segment).isNotNull()).distinct().collect())  # a handful of ids
-    fits = concurrently([lambda: train_shared(train, features, params)]
-                        + [lambda s=s: train_shared(train.filter(F.col(segment) == s), features, params) for s in segments])
-    return dict(zip([None, *segments], fits))
-
-
-def predict_per_segment(models: dict, df: DataFrame, features: Sequence[str], segment: str = "position_id",
-                        out: str = "predicted_points") -> DataFrame:
-    """M2 scoring: filter per segment + union; other segments -> fallback."""
-    known = [s for s in models if s is not None]
-    parts = [predict(models[s], df.filter(F.col(segment) == s), features, out) for s in known]
-    rest = df.filter(~F.col(segment).isin(known) | F.col(segment).isNull())
-    parts.append(predict(models[None], rest, features, out))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
-
-
-def train_two_stage(train: DataFrame, features: Sequence[str], params: GBTParams = GBTParams(),
-                    minutes_target: str = "target_next_gw_minutes", threshold: float = 60.0):
-    """M3: P(next minutes >= 60) classifier x conditional points regressor."""
-    d = prepare(train, features).withColumn("__y", (F.col(minutes_target) >= threshold).cast("double"))
-    shared_root(train.sparkSession)
-    clf, reg = concurrently([
-        lambda: _pipeline(features, _estimator(params, "__y", classifier=True)).fit(sized(d.select(*features, "__y"))),
-        lambda: train_shared(train.filter(F.col(minutes_target) >= threshold), features, params)])
-    return clf, reg
-
-
-def predict_two_stage(models, df: DataFrame, features: Sequence[str], out: str = "predicted_points") -> DataFrame:
-    clf, reg = models
-    p = clf.transform(prepare(df, features)).withColumn("__p60", vector_to_array("probability")[1]).drop(
-        "features", "prediction", "rawPrediction", "probability"
-    )
-    r = predict(reg, p, features, "__pts")
-    return r.withColumn(out, F.col("__p60") * F.col("__pts")).drop("__p60", "__pts")
-
-
-def fit_variant(variant: str, train: DataFrame, features: Sequence[str], params: GBTParams):
+    return Model(fit_named(train, features, [bo.Job("all", "all", "points", params)], {"all": F.lit(True)}, target, log_target), "all", log_target)
+
+
+def _inverse(margin: str, log_target: bool) -> Column:
+    return signed_expm1(margin) if log_target else F.col(margin)
+
+
+def predict(model: Model, df: DataFrame, features: Sequence[str], out: str = "predicted_points") -> DataFrame:
+    """M4: score and inverse target transform."""
+    scored = bo.score_forests(prepare(df, features), model.forests, features, F.lit(model.name), out)
+    return scored.withColumn(out, _inverse(out, model.log_target))
+
+
+# ---------------------------------------------------------------- variants (M2, M3, M8)
+
+def segments_of(train: DataFrame, segment: str = "position_id") -> list:
+    return sorted(r[0] for r in train.select(segment).where(F.col(segment).isNotNull()).distinct().collect())  # a handful of ids
+
+
+def variant_jobs(variant: str, params: bo.BoostParams, segments: Sequence = (), segment: str = "position_id", prefix: str = "",
+                 columns: tuple[int, ...] | None = None, minutes_target: str = MINUTES_TARGET) -> tuple[list[bo.Job], dict[str, Column]]:
+    """Jobs and views of a variant: the shared model, also one a segment, or the two stages."""
+    job = lambda name, view, label="points", objective="squared": bo.Job(prefix + name, view, label, params, objective, columns)
+    if variant == "two_stage_minutes_points":
+        return [job("p60", "all", "p60", "logistic"), job("long", "long")], {"all": F.lit(True), "long": F.col(minutes_target) >= LONG_MINUTES}
+    views, jobs = {"all": F.lit(True)}, [job("all", "all")]
     if variant == "per_position_models":
-        return ("segments", train_per_segment(train, features, params))
+        for s in segments:
+            views[f"segment {s}"] = F.col(segment) == s
+            jobs.append(job(f"segment {s}", f"segment {s}"))
+    return jobs, views
+
+
+def _bundle(variant: str, forests: DataFrame, segments: Sequence, prefix: str = "", log_target: bool = True):
+    model = lambda name, log=log_target: Model(forests, prefix + name, log)
+    if variant == "per_position_models":
+        return "segments", {None: model("all"), **{s: model(f"segment {s}") for s in segments}}
     if variant == "two_stage_minutes_points":
-        return ("two_stage", train_two_stage(train, features, params))
-    return ("shared", train_shared(train, features, params))
+        return "two_stage", (model("p60", False), model("long"))
+    return "shared", model("all")
+
 
+def fit_variant(variant: str, train: DataFrame, features: Sequence[str], params: bo.BoostParams):
+    segments = segments_of(train) if variant == "per_position_models" else []
+    jobs, views = variant_jobs(variant, params, segments)
+    return _bundle(variant, fit_named(train, features, jobs, views), segments)
 
-def predict_variant(bundle, df: DataFrame, features: Sequence[str], out: str = "predicted_points") -> DataFrame:
+
+def fit_variants(variants: Mapping[str, Sequence[str]], train: DataFrame, params: bo.BoostParams) -> dict:
+    """Bundles of several variants, each with its own features, from one fit."""
+    features = list(dict.fromkeys(f for own in variants.values() for f in own))
+    segments, jobs, views = segments_of(train), [], {}
+    for v, own in variants.items():
+        more, seen = variant_jobs(v, params, segments, prefix=f"{v}/", columns=tuple(features.index(f) for f in own))
+        jobs += more
+        views |= seen
+    forests = fit_named(train, features, jobs, views)
+    return {v: _bundle(v, forests, segments, f"{v}/") for v in variants}, features
+
+
+def predict_variant(bundle, df: DataFrame, features: Sequence[str], out: str = "predicted_points", segment: str = "position_id") -> DataFrame:
+    """M2, M3: rows take their segment's model (the shared one where there is
+    none), or chance of long minutes times the points of those who play long."""
     kind, m = bundle
     if kind == "segments":
-        return predict_per_segment(m, df, features, out=out)
+        rest = m[None]
+        known = [s for s in m if s is not None]
+        name = F.coalesce(F.when(F.col(segment).isin(known), F.concat(F.lit(rest.name[:-len("all")] + "segment "), F.col(segment).cast("string"))), F.lit(rest.name))
+        scored = bo.score_forests(prepare(df, features), rest.forests, features, name, out)
+        return scored.withColumn(out, _inverse(out, rest.log_target))
     if kind == "two_stage":
-        return predict_two_stage(m, df, features, out)
+        chance, points = m
+        return predict(points, predict(chance, df, features, "__p60"), features, out).withColumn(out, F.col("__p60") * F.col(out)).drop("__p60")
     return predict(m, df, features, out)
 
 
-def feature_importance(bundle, features: Sequence[str], spark: SparkSession) -> DataFrame:
-    """Importances as rows; mean over segment models / the two stages."""
+def predict_variants(bundles: Mapping, df: DataFrame, features: Sequence[str], out: str = "predicted_points", segment: str = "position_id") -> DataFrame:
+    """Every row once for each variant (column ``model``), scored by that variant's
+    bundle of ``fit_variants``: rows name their models, so one scan serves all."""
+    rows = prepare(df, features).withColumn("model", F.explode(F.array(*map(F.lit, bundles))))
+    points, chance, forests = F.lit(None).cast("string"), F.lit(None).cast("string"), None
+    for v, (kind, m) in bundles.items():
+        mine = F.col("model") == v
+        if kind == "two_stage":
+            chance, points, forests = F.when(mine, F.lit(m[0].name)).otherwise(chance), F.when(mine, F.lit(m[1].name)).otherwise(points), m[1].forests
+        elif kind == "segments":
+            name = F.lit(m[None].name)
+            for s in m:
+                name = F.when(F.col(segment) == s, F.lit(m[s].name)).otherwise(name) if s is not None else name
+            points, forests = F.when(mine, name).otherwise(points), m[None].forests
+        else:
+            points, forests = F.when(mine, F.lit(m.name)).otherwise(points), m.forests
+    rows = bo.score_forests(bo.score_forests(rows, forests, features, chance, "__chance"), forests, features, points, out)
+    return rows.withColumn(out, signed_expm1(out) * F.coalesce(F.col("__chance"), F.lit(1.0))).drop("__chance")
+
+
+def _models(bundle) -> list[Model]:
     kind, m = bundle
-    models = list(m.values()) if kind == "segments" else (list(m) if kind == "two_stage" else [m])
-    rows = []
-    for i, pm in enumerate(models):
-        imp = pm.stages[-1].featureImportances.toArray()
-        rows += [(i, f, float(v)) for f, v in zip(features, imp)]
-    df = spark.createDataFrame(rows, "model int, feature string, importance double")
-    return df.groupBy("feature").agg(F.avg("importance").alias("importance"))
+    return list(m.values()) if kind == "segments" else list(m) if kind == "two_stage" else [m]
 
 
-def error_row(pred: DataFrame, actual: str = TARGET, col: str = "predicted_points") -> DataFrame:
+def feature_importance(bundle, features: Sequence[str], spark: SparkSession) -> DataFrame:
+    """Mean gain of a feature's splits, as a share; the mean over segment models or both stages."""
+    models = _models(bundle)
+    own = models[0].forests.filter(F.col("model").isin([m.name for m in models]))
+    names = F.array(*[F.lit(f) for f in features])
+    gain = F.transform(F.arrays_zip("gain", "splits"), lambda z: F.when(z["splits"] > 0, z["gain"] / z["splits"]).otherwise(0.0))
+    rows = own.select("model", F.posexplode(gain).alias("at", "g"))
+    total = rows.groupBy("model").agg(F.sum("g").alias("total"))
+    share = F.when(F.col("total") > 0, F.col("g") / F.col("total")).otherwise(0.0)
+    return rows.join(total, "model").groupBy(F.get(names, F.col("at")).alias("feature")).agg(F.avg(share).alias("importance"))
+
+
+def error_row(pred: DataFrame, actual: str = TARGET, col: str = "predicted_points", by: Sequence[str] = ()) -> DataFrame:
     e = F.col(actual) - F.col(col)
-    return pred.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                    F.avg(e).alias("bias"))
+    return pred.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"))
 
 
 def save_model(bundle, features: Sequence[str], path: str, metadata: dict | None = None) -> str:
-    """Write the fitted pipeline(s) and a metadata record (features,
+    """Write the forests of a bundle and a metadata record (features,
     post-processing payload, gates) below ``path`` (shared storage)."""
-    import json
-
     kind, m = bundle
-    models = {"shared": {"model": m}, "segments": {str(k): v for k, v in (m.items() if kind == "segments" else [])},
-              "two_stage": {"clf": m[0], "reg": m[1]} if kind == "two_stage" else {}}[kind]
-    for name, pm in models.items():
-        pm.write().overwrite().save(f"{path}/{name}")
-    spark = SparkSession.getActiveSession()
-    meta = {"kind": kind, "parts": sorted(models), "feature_cols": list(features), **(metadata or {})}
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "metadata string").coalesce(1).write.mode(
-        "overwrite").text(f"{path}/_metadata")
+    models = _models(bundle)
+    spark = models[0].forests.sparkSession
+    models[0].forests.filter(F.col("model").isin([x.name for x in models])).write.mode("overwrite").parquet(f"{path}/forests")
+    keys = [[k, x.name] for k, x in m.items()] if kind == "segments" else [x.name for x in models]
+    meta = {"kind": kind, "models": keys, "log_target": models[-1].log_target, "feature_cols": list(features), **(metadata or {})}
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "metadata string").coalesce(1).write.mode("overwrite").text(f"{path}/_metadata")
     return path
 
 
 def load_model(spark: SparkSession, path: str):
     """M12 input: the stored bundle and its metadata."""
-    import json
-
     meta = json.loads(spark.read.text(f"{path}/_metadata").first()[0])
-    parts = {p: PipelineModel.load(f"{path}/{p}") for p in meta["parts"]}
-    kind = meta["kind"]
-    if kind == "segments":
-        bundle = ("segments", {(None if k == "None" else int(k)): v for k, v in parts.items()})
-    elif kind == "two_stage":
-        bundle = ("two_stage", (parts["clf"], parts["reg"]))
-    else:
-        bundle = ("shared", parts["model"])
-    return bundle, meta
+    forests, log = spark.read.parquet(f"{path}/forests"), meta["log_target"]
+    if meta["kind"] == "segments":
+        return ("segments", {k: Model(forests, name, log) for k, name in meta["models"]}), meta
+    if meta["kind"] == "two_stage":
+        return ("two_stage", (Model(forests, meta["models"][0], False), Model(forests, meta["models"][1], log))), meta
+    return ("shared", Model(forests, meta["models"][0], log)), meta

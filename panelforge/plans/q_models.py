@@ -1,24 +1,26 @@
-"""Registered queries: model training / scoring (rows-only checks) and the
-point-in-time back-fill (oracle-checked with the heuristic predictor).
+"""Registered queries: model training / scoring (rows-only checks and brute-force
+tests) and the point-in-time back-fill (oracle-checked with the heuristic predictor).
 
-Fits use the library's defaults (200 trees); fits that don't need each other
-run at the same time.
+Fits use the library's defaults (200 trees).  All models of a query (segments,
+stages, folds, variants, trials, targets) are jobs of one fit, rows name their
+model and are scored in one scan, and evaluations group by the model.
 """
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelforge.functions import signed_expm1
 from panelforge.operators import asof as ao
 from panelforge.operators import backtest as bt
+from panelforge.operators import boosting as bo
 from panelforge.operators import calibration as ca
 from panelforge.operators import features as fe
 from panelforge.operators import gates as gt
 from panelforge.operators import metrics as me
 from panelforge.operators import models as mo
+from panelforge.operators import search as se
 from panelforge.operators import split as sp
 from panelforge.operators import squad as sq
 from panelforge.operators.common import attach_row, materialize, round_doubles
@@ -71,6 +73,27 @@ def q_train_two_stage(spark, sf):
     return _pred_rows(mo.predict_variant(bundle, ho, feats))
 
 
+#: Trees of the fit that is grown level by level, some Spark jobs a tree.
+LEVEL_PARAMS = bo.BoostParams(n_estimators=12, max_depth=4)
+
+
+@register("train_by_levels", "M1 M5 (level-wise form)")
+def q_train_by_levels(spark, sf):
+    """The orders panel: a model of all but the last ten periods and one of all but the
+    last twenty, grown together by (model, node, feature, bin); errors by period behind each."""
+    rolled = fe.rolling_features(tb.panel_large(spark, sf), team=None)
+    rows = materialize(fe.next_period_target(rolled, minutes="minutes_played"))
+    last = rows.agg(F.max("target_gameweek_id")).first()[0] or 0  # one row
+    feats = ["total_points", "three_week_players_roll_avg_points", "five_week_players_roll_avg_points", "gameweek_id"]
+    before = {f"less_{k}": F.col("target_gameweek_id") <= last - k for k in (10, 20)}
+    jobs = [bo.Job(v, v, "points", LEVEL_PARAMS) for v in before]
+    forests = mo.fit_named(rows, feats, jobs, before, rows_in_task=0)
+    named = rows.withColumn("model", F.explode(F.array(*map(F.lit, before))))
+    named = named.filter(F.col("target_gameweek_id") > last - F.regexp_extract("model", r"\d+", 0).cast("int"))
+    scored = bo.score_forests(mo.prepare(named, feats), forests, feats, F.col("model"), "__m").withColumn("predicted_points", signed_expm1("__m"))
+    return round_doubles(mo.error_row(scored, by=["model", "target_gameweek_id"]))
+
+
 @register("feature_importance", "A29")
 def q_feature_importance(spark, sf):
     _, _, _, feats, bundle = _fit(spark, sf)
@@ -92,19 +115,31 @@ def live_rows(spark, sf):
     return attach_row(live, rows.agg((F.max("gameweek_id") + 1).cast("int").alias("target_period")))
 
 
-def evaluated(pred_train, pred_holdout):
-    """Back-test summary, required-baseline comparison, selected calibration
-    and publication gates of a model's predictions (M13, V3)."""
-    pred_holdout = materialize(pred_holdout)
-    summ = _summary(pred_holdout)
-    base = _summary(pred_holdout.withColumn("predicted_points", F.coalesce(F.col(gt.ModelRules().required_baseline), F.lit(0.0))))
-    m = summ.select(F.col("top_k_hit_rate_mean").alias("m_hit"), F.col("selected_xi_regret_mean").alias("m_regret"))
-    b = base.select(F.col("top_k_hit_rate_mean").alias("b_hit"), F.col("selected_xi_regret_mean").alias("b_regret"))
+def evaluated(train, holdout, key: str = "model", strength=ca.CALIBRATION_STRENGTH, tolerance=ca.CALIBRATION_TOLERANCE):
+    """Back-test summary, required-baseline comparison, selected calibration and
+    publication gates of the predictions of each model that ``key`` names (M13, V3).
+
+    ``train`` and ``holdout`` are scored rows (``predicted_points``); returns
+    (summary, coefficients, selected calibration, gates), one row or set of rows a model."""
+    by = [key]
+    train, holdout = materialize(train), materialize(holdout)
+    coeffs = materialize(ca.fit_calibration(train, ACT, "predicted_points", strength=strength, by=by))
+    long = ca.variant_long(holdout, ACT, "predicted_points", coeffs, by=by)
+    selected = materialize(ca.select_variant(ca.calibration_report(long, by=by), tolerance, by=by))
+    picked = holdout.join(selected.select(key, "selected_variant"), key)
+    final = materialize(ca.postprocess(picked, "predicted_points", "__final", variant=F.col("selected_variant"), coeffs=coeffs, by=by)
+                        .withColumn("predicted_points", F.col("__final")).drop("__final", "selected_variant"))
+    rule = gt.ModelRules().required_baseline
+    base = final.filter(F.col(key).isNotNull()).withColumn("predicted_points", F.coalesce(F.col(rule), F.lit(0.0)))
+    both = materialize(final.withColumn("__who", F.lit("m")).unionByName(base.withColumn("__who", F.lit("b"))))
+    wk = bt.weekly_backtest(both, by=[key, "__who"], materialize_input=False)
+    summ = materialize(bt.backtest_summary(both, wk, by=[key, "__who"]))
+    own = summ.filter("__who = 'm'").drop("__who")
+    side = lambda who: summ.filter(F.col("__who") == who).select(key, F.col("top_k_hit_rate_mean").alias(f"{who}_hit"), F.col("selected_xi_regret_mean").alias(f"{who}_regret"))
     better = (F.round("m_hit", 9) > F.round("b_hit", 9)) & (F.round("m_regret", 9) < F.round("b_regret", 9))
-    coeffs = materialize(ca.fit_calibration(pred_train, ACT, "predicted_points"))
-    selected = materialize(ca.select_variant(ca.calibration_report(ca.variant_long(pred_holdout, ACT, "predicted_points", coeffs))))
-    gates = gt.publication_gates(summ, attach_row(m, b).withColumn("baseline_gate_passed", better), selected.select("selected_delta_mae", "selected_delta_rmse"))
-    return summ, coeffs, selected, gates
+    baseline = side("m").join(side("b"), key).withColumn("baseline_gate_passed", better)
+    gates = gt.publication_gates(own, baseline, selected.select(key, "selected_delta_mae", "selected_delta_rmse"), by=by)
+    return own, coeffs, selected, gates
 
 
 @register(
@@ -134,101 +169,85 @@ def q_score_latest(spark, sf):
     calibration and the training caps; the heuristic forecast instead when
     the model does not pass the publication check."""
     m, tr, ho, feats, bundle = _fit(spark, sf)
-    _, coeffs, selected, gates = evaluated(mo.predict_variant(bundle, tr, feats), mo.predict_variant(bundle, ho, feats))
-    variant = selected.first()["selected_variant"]  # one row
-    ready = bool(gates.select("ready").first()[0])
-    live = fe.zscore_apply(live_rows(spark, sf), fe.global_stats(tr))
-    if ready:
-        live = attach_row(mo.predict_variant(bundle, live, feats), tr.agg(F.avg(ACT).alias("__lm")))
-        out = ca.postprocess(live, "predicted_points", "expected_points_next_gw", league_mean=F.col("__lm"), alpha=0.0, variant=variant,
-                             coeffs=coeffs, caps=me.percentile_caps(tr, "position_id", ACT))
-    else:
-        out = live.withColumn("expected_points_next_gw", fe.heuristic_forecast(live))
+    named = lambda df: mo.predict_variant(bundle, df, feats).withColumn("model", F.lit(VARIANT))
+    _, coeffs, selected, gates = evaluated(named(tr), named(ho))
+    live = named(fe.zscore_apply(live_rows(spark, sf), fe.global_stats(tr)))
+    live = live.withColumn("__heuristic", fe.heuristic_forecast(live))
+    verdict = selected.join(gates, "model").select("selected_variant", "ready")  # one row
+    live = attach_row(attach_row(live, verdict), tr.agg(F.avg(ACT).alias("__lm")))
+    out = ca.postprocess(live, "predicted_points", "__model", league_mean=F.col("__lm"), alpha=0.0, variant=F.col("selected_variant"),
+                         coeffs=coeffs, caps=me.percentile_caps(tr, "position_id", ACT), by=["model"])
     return round_doubles(out.select("player_id", "web_name", "position_id", "team_id", "now_cost", F.col("target_period").alias("gameweek_id"),
-                                    F.col("gameweek_id").alias("source_gameweek_id"), "expected_points_next_gw",
-                                    F.lit("model" if ready else "heuristic").alias("method")))
+                                    F.col("gameweek_id").alias("source_gameweek_id"), F.when(F.col("ready"), F.col("__model")).otherwise(F.col("__heuristic")).alias("expected_points_next_gw"),
+                                    F.when(F.col("ready"), "model").otherwise("heuristic").alias("method")))
 
 
 @register("cv_mae", "M5 W13")
 def q_cv_mae(spark, sf):
-    m = model_panel(spark, sf)
-    tr = m.filter(F.col("role") == "train")
+    """All folds are grown and scored together: a fold's rows are a view, test rows name their fold."""
+    tr = model_panel(spark, sf).filter(F.col("role") == "train")
     feats = fe.select_features(VARIANT)
-    folds = sp.expanding_folds(tr)
-
-    def one(fold):
-        f = folds.filter(F.col("fold") == fold)
-        fit_rows = tr.join(F.broadcast(f.filter(F.col("role") == "train")), tr.target_gameweek_id == F.col("week"), "left_semi")
-        test_rows = tr.join(F.broadcast(f.filter(F.col("role") == "test")), tr.target_gameweek_id == F.col("week"), "left_semi")
-        model = mo.train_shared(fit_rows, feats, PARAMS)
-        return mo.error_row(mo.predict(model, test_rows, feats)).select(F.lit(fold).alias("fold"), "*")
-
-    rows = mo.concurrently([lambda k=k: one(k) for k in range(5)])
-    res = rows[0]
-    for r in rows[1:]:
-        res = res.unionByName(r)
+    folds = materialize(sp.expanding_folds(tr))
+    weeks = {}
+    for r in folds.filter("role = 'train'").collect():  # folds x periods
+        weeks.setdefault(r["fold"], []).append(r["week"])
+    views = {f"fold {k}": F.col("target_gameweek_id").isin(w) for k, w in sorted(weeks.items())}
+    forests = mo.fit_named(tr, feats, [bo.Job(v, v, "points", PARAMS) for v in views], views)
+    test = folds.filter("role = 'test'").select("fold", F.col("week").alias("target_gameweek_id"))
+    rows = mo.prepare(tr, feats).join(F.broadcast(test), "target_gameweek_id")  # folds x periods rows
+    scored = bo.score_forests(rows, forests, feats, F.concat(F.lit("fold "), F.col("fold").cast("string")), "__m").withColumn("predicted_points", signed_expm1("__m"))
     w = Window.partitionBy()  # 5 fold rows
-    return round_doubles(res.withColumns({"cv_mae_mean": F.avg("mae").over(w), "cv_mae_std": F.stddev_pop("mae").over(w)}))
+    return round_doubles(mo.error_row(scored, by=["fold"]).withColumns({"cv_mae_mean": F.avg("mae").over(w), "cv_mae_std": F.stddev_pop("mae").over(w)}))
+
 
+def trial_results(m, params, feats):
+    """Evaluation of every trial of ``params`` (iteration, param, value): all trials are grown in
+    one fit, all rows scored in one scan, and the metrics group by the trial (X2, M6)."""
+    tr, ho = m.filter(F.col("role") == "train"), m.filter(F.col("role") == "holdout")
+    table = params.groupBy("iteration").agg(F.map_from_entries(F.collect_list(F.struct("param", "value"))).alias("p")).collect()  # trials x 12
+    own = {r["iteration"]: mo.GBTParams.from_row(dict(r["p"])) for r in table}
+    forests = mo.fit_named(tr, feats, [bo.Job(f"trial {i}", "all", "points", p) for i, p in own.items()], {"all": F.lit(True)})
+    of = lambda name: F.create_map(*[x for i, p in own.items() for x in (F.lit(i), F.lit(float(getattr(p, name))))])[F.col("iteration")]
+    league = tr.agg(F.avg(ACT).alias("__lm"))
 
-def _summary(pred, by=None):
-    wk = bt.weekly_backtest(pred)
-    return bt.backtest_summary(pred, wk)
+    def scored(df):
+        rows = mo.prepare(df, feats).withColumn("iteration", F.explode(F.array(*map(F.lit, own))))
+        rows = bo.score_forests(rows, forests, feats, F.concat(F.lit("trial "), F.col("iteration").cast("string")), "__m")
+        shrunk = (1.0 - of("shrinkage_alpha")) * signed_expm1("__m") + of("shrinkage_alpha") * F.col("__lm")
+        return attach_row(rows, league).withColumn("predicted_points", shrunk).drop("__m", "__lm")
+
+    summ, _, selected, _ = evaluated(scored(tr), scored(ho), "iteration", strength=of("calibration_strength"))
+    return summ.join(selected.select("iteration", "selected_variant"), "iteration")
 
 
 @register("param_search", "M6 P34 A27 A28 F15 X2")
 def q_param_search(spark, sf, trials: int = TRIALS, seed: int = 42):
-    m = model_panel(spark, sf)
-    feats = fe.select_features(VARIANT)
-    tr, ho = m.filter(F.col("role") == "train"), m.filter(F.col("role") == "holdout")
-    rnd = random.Random(seed)
-    proposals = []
-    for i in range(trials):
-        for name, lo, hi, is_int in gt.SEARCH_SPACE:
-            proposals.append((i, name, rnd.uniform(lo - 0.1 * (hi - lo), hi + 0.1 * (hi - lo))))
-    params = spark.createDataFrame(proposals, "iteration int, param string, value double")
-    clamped = gt.clamp_to_bounds(params, F.broadcast(gt.bounds_frame(spark)))
-    # One row per trial with its clamped parameters (small: trials x 12).
-    table = clamped.groupBy("iteration").agg(F.map_from_entries(F.collect_list(F.struct("param", "clamped"))).alias("p"))
-    league = tr.agg(F.avg(ACT).alias("__lm"))
-
-    def one(row):
-        p = mo.GBTParams.from_row(dict(row["p"]))
-        model = mo.train_shared(tr, feats, p)
-        # shrinkage and calibration strength are tuned with the trees
-        coeffs = ca.fit_calibration(mo.predict(model, tr, feats), ACT, "predicted_points", strength=p.calibration_strength)
-        pred = materialize(ca.postprocess(attach_row(mo.predict(model, ho, feats), league), "predicted_points", "final_points",
-                                          league_mean=F.col("__lm"), alpha=p.shrinkage_alpha, variant="global", coeffs=coeffs)
-                           .withColumn("predicted_points", F.col("final_points")).drop("final_points", "__lm"))
-        return attach_row(_summary(pred).drop("mae", "rmse", "bias"), mo.error_row(pred)).select(F.lit(row["iteration"]).alias("iteration"), "*")
-
-    results = mo.concurrently([lambda row=row: one(row) for row in table.orderBy("iteration").collect()], 4)  # trials x 12 parameters, not data
-    res = results[0]
-    for r in results[1:]:
-        res = res.unionByName(r)
-    lb = gt.leaderboard(res.drop("prediction_collapse_gameweeks"))
-    return round_doubles(lb.select("iteration", "n", "mae", "rmse", "bias", "top_k_hit_rate_mean", "rank_correlation_mean",
-                                   "selected_xi_regret_mean", "candidate_score", "is_best_priority", "is_best_score"))
+    """Half of the trials are uniform draws; the others are proposed from their results."""
+    m, feats, space = model_panel(spark, sf), fe.select_features(VARIANT), se.space_frame(spark)
+    early = trials // 2
+    params = materialize(se.first_proposals(space, early, seed))
+    results = materialize(trial_results(m, params, feats))
+    history = params.join(results.select("iteration", gt.balanced_score().alias("score")), "iteration")
+    later = materialize(se.propose(history, space, trials - early, seed, first=early))
+    results = materialize(results.unionByName(trial_results(m, later, feats)))
+    lb = gt.leaderboard(results.drop("prediction_collapse_gameweeks"))
+    rows = params.unionByName(later).groupBy("iteration").agg(*[F.max(F.when(F.col("param") == n, F.col("value"))).alias(n) for n, *_ in se.SEARCH_RANGES])
+    return round_doubles(lb.select("iteration", "mae", "rmse", "bias", "top_k_hit_rate_mean", "rank_correlation_mean", "selected_xi_regret_mean",
+                                   "selected_variant", "candidate_score", "is_best_priority", "is_best_score").join(rows, "iteration"))
 
 
 @register("variant_sweep", "M8 M13 V3")
 def q_variant_sweep(spark, sf):
+    """All variants from one fit and one scan; the first in order whose gates pass is selected."""
     m = model_panel(spark, sf)
     tr, ho = m.filter(F.col("role") == "train"), m.filter(F.col("role") == "holdout")
-
-    def one(i, v):
-        feats = fe.select_features(v)
-        bundle = mo.fit_variant(v, tr, feats, PARAMS)
-        summ, _, selected, gates = evaluated(mo.predict_variant(bundle, tr, feats), mo.predict_variant(bundle, ho, feats))
-        row = summ.select(F.lit(i).alias("order"), F.lit(v).alias("variant"), "mae", "rmse", "bias",
-                          "top_k_hit_rate_mean", "rank_correlation_mean", "selected_xi_regret_mean")
-        row = attach_row(attach_row(row, selected.select("selected_variant")), gates.select("reasons"))
-        return materialize(row.withColumn("gates_passed", F.col("reasons") == ""))
-
-    res = mo.concurrently([lambda i=i, v=v: one(i, v) for i, v in enumerate(fe.EXPERIMENT_VARIANTS)])
-    out = res[0]
-    for r in res[1:]:
-        out = out.unionByName(r)
+    order = {v: i for i, v in enumerate(fe.EXPERIMENT_VARIANTS)}
+    bundles, feats = mo.fit_variants({v: fe.select_features(v) for v in order}, tr, PARAMS)
+    summ, _, selected, gates = evaluated(mo.predict_variants(bundles, tr, feats), mo.predict_variants(bundles, ho, feats))
+    place = F.create_map(*[x for v, i in order.items() for x in (F.lit(v), F.lit(i))])[F.col("model")]
+    out = materialize(summ.join(selected.select("model", "selected_variant"), "model").join(gates.select("model", "reasons"), "model")
+                      .select(place.alias("order"), F.col("model").alias("variant"), "mae", "rmse", "bias", "top_k_hit_rate_mean", "rank_correlation_mean", "selected_xi_regret_mean",
+                              "selected_variant", "reasons", (F.col("reasons") == "").alias("gates_passed")))
     first = out.filter("gates_passed").agg(F.min("order").alias("__first"))
     return round_doubles(attach_row(out, first).withColumn(
         "selected", F.coalesce(F.col("order") == F.col("__first"), F.lit(False))).drop("__first"))
@@ -328,51 +347,72 @@ def q_backfill_integrity(spark, sf):
 
 @register("stored_model_eval", "K13 M12")
 def q_stored_model_eval(spark, sf):
-    """Save the fitted model with its metadata, load it back and evaluate it
-    on the holdout with the stored post-processing (global calibration)."""
+    """Save the fitted model with its whole post-processing payload, load it back and
+    evaluate it on the holdout as it was stored: shrinkage, selected calibration, caps,
+    weekly back-test, required-baseline comparison and publication gates."""
     from panelforge.session import scratch_path
 
     _, tr, ho, feats, bundle = _fit(spark, sf)
-    coeffs = ca.fit_calibration(mo.predict_variant(bundle, tr, feats), ACT, "predicted_points")
-    g = coeffs.filter(F.col("scope") == "global").first()  # two coefficients for the metadata record
-    path = mo.save_model(bundle, feats, scratch_path(spark, "model"), {"calibration": {"a": g["a"], "b": g["b"]}})
-    loaded, meta = mo.load_model(spark, path)
-    pred = mo.predict_variant(loaded, ho, meta["feature_cols"])
-    cal = meta["calibration"]
-    post = pred.withColumn("final_points", F.greatest(F.lit(0.0), cal["a"] * F.col("predicted_points") + cal["b"]))
-    return round_doubles(mo.error_row(post, col="final_points").select(F.lit(meta["kind"]).alias("kind"), "*"))
+    named = lambda b, df, cols: mo.predict_variant(b, df, cols).withColumn("model", F.lit(VARIANT))
+    _, coeffs, selected, _ = evaluated(named(bundle, tr, feats), named(bundle, ho, feats))
+    rows = lambda df: [r.asDict() for r in df.collect()]  # noqa: E731  a row a segment
+    payload = {"variant": VARIANT, "shrinkage_alpha": 0.0, "league_mean": tr.agg(F.avg(ACT)).first()[0], "calibration": rows(coeffs),
+               "selected": rows(selected), "caps": rows(me.percentile_caps(tr, "position_id", ACT).select("position_id", "cap"))}
+    path = mo.save_model(bundle, feats, scratch_path(spark, "model"), payload)
+    return round_doubles(evaluate_stored(spark, path, ho))
+
+
+def evaluate_stored(spark, path: str, holdout):
+    """One row of errors, back-test summary and gates of a stored model on ``holdout``."""
+    bundle, meta = mo.load_model(spark, path)
+    pred = mo.predict_variant(bundle, holdout, meta["feature_cols"]).withColumn("model", F.lit(meta["variant"]))
+    coeffs = spark.createDataFrame(meta["calibration"], "model string, scope string, position_id int, a double, b double, count long, fallback string")
+    caps = spark.createDataFrame(meta["caps"], "position_id int, cap double")
+    selected = meta["selected"][0]
+    final = ca.postprocess(pred, "predicted_points", "__final", league_mean=meta["league_mean"], alpha=meta["shrinkage_alpha"],
+                           variant=F.lit(selected["selected_variant"]), coeffs=coeffs, caps=caps, by=["model"])
+    final = materialize(final.withColumn("predicted_points", F.col("__final")).drop("__final"))
+    wk = bt.weekly_backtest(final, materialize_input=False)
+    summ = bt.backtest_summary(final, wk)
+    base = final.withColumn("predicted_points", F.coalesce(F.col(gt.ModelRules().required_baseline), F.lit(0.0)))
+    other = bt.backtest_summary(base, bt.weekly_backtest(base, materialize_input=False))
+    m = summ.select(F.col("top_k_hit_rate_mean").alias("m_hit"), F.col("selected_xi_regret_mean").alias("m_regret"))
+    b = other.select(F.col("top_k_hit_rate_mean").alias("b_hit"), F.col("selected_xi_regret_mean").alias("b_regret"))
+    better = (F.round("m_hit", 9) > F.round("b_hit", 9)) & (F.round("m_regret", 9) < F.round("b_regret", 9))
+    deltas = spark.createDataFrame([(float(selected["selected_delta_mae"]), float(selected["selected_delta_rmse"]))], "selected_delta_mae double, selected_delta_rmse double")
+    gates = gt.publication_gates(summ, attach_row(m, b).withColumn("baseline_gate_passed", better), deltas)
+    n = final.agg(F.count(F.lit(1)).alias("n"))
+    row = attach_row(attach_row(summ.drop("prediction_collapse_gameweeks"), n), attach_row(m, b).select("b_hit", "b_regret"))
+    row = attach_row(row, gates.select("reasons", "ready"))
+    return row.select(F.lit(meta["kind"]).alias("kind"), F.lit(selected["selected_variant"]).alias("selected_variant"), "*")
 
 
 @register("pit_backfill_model", "M9 M10 J12 O3 O4 (model predictor)")
 def q_pit_backfill_model(spark, sf):
-    """Point-in-time back-fill with the trained model: for each target period t, fit on rows whose target period < t, score every
-    player's as-of row (period <= t-1), pick the squad and stamp the trust
-    check.  The per-target fits are the only driver loop."""
-    feats_all = fe.engineer_panel(tb.fixture_rows(spark, sf))  # rows with targets (training side)
-    panel = materialize(feats_all)
-    rows = materialize(inference_rows(spark, sf))
+    """Point-in-time back-fill with the trained model: for each target period t a
+    model of the rows whose target period < t scores every player's as-of row
+    (period <= t-1); squads are picked and the trust check is stamped.  All
+    targets are grown in one fit, scored in one scan and picked in one plan.
+
+    The z-scored columns are the raw ones here: trees don't change when a
+    feature is shifted and scaled for training and scoring alike."""
+    raw = {f"{c}_z_score": F.col(c) for c in fe.FEATURES_TO_SCALE}
+    panel = materialize(fe.engineer_panel(tb.fixture_rows(spark, sf)).withColumns(raw))
     feats = fe.select_features(VARIANT)
-    periods = sorted(r[0] for r in panel.select("target_gameweek_id").distinct().collect())  # period ids
-
-    def one(t):
-        train = panel.filter(F.col("target_gameweek_id") < t)
-        stats = fe.global_stats(train)
-        model = mo.train_shared(fe.zscore_apply(train, stats), feats, PARAMS)
-        # keep the as-of target column (a literal key would fold the squad joins into nested loops)
-        asof = ao.asof_latest(rows, targets=[t])
-        scored = mo.predict(model, fe.zscore_apply(asof, stats), feats, "score")
-        squad = sq.budgeted_squad(scored, ["target_gameweek_id"], "score")
-        xi = sq.best_xi(squad, ["target_gameweek_id"], "score")
-        integ = train.agg(F.max("target_gameweek_id").alias("__train_max"))
-        src = asof.agg(F.max("source_gameweek_id").alias("__src"))
-        stamped = attach_row(attach_row(xi, integ), src).withColumn(
-            "backfill_trusted", (F.col("__train_max") < t) & (F.col("__src") <= t - 1))
-        return materialize(stamped.select(F.col("target_gameweek_id").cast("int"), "player_id", "is_starter", "is_captain",
-                                          "is_vice_captain", F.col("score").alias("expected_points_next_gw"),
-                                          F.lit("pit_model").alias("backfill_method"), "backfill_trusted"))
-
-    outs = mo.concurrently([lambda t=t: one(t) for t in periods[1:]])  # nothing to train on before the first
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return round_doubles(res)
+    periods = sorted(r[0] for r in panel.select("target_gameweek_id").distinct().collect())[1:]  # nothing to train on before the first
+    views = {f"target {t}": F.col("target_gameweek_id") < t for t in periods}
+    forests = mo.fit_named(panel, feats, [bo.Job(v, v, "points", PARAMS) for v in views], views)
+    asof = ao.asof_latest(inference_rows(spark, sf).withColumns(raw), targets=periods)
+    key = F.concat(F.lit("target "), F.col("target_gameweek_id").cast("string"))
+    scored = bo.score_forests(mo.prepare(asof, feats), forests, feats, key, "__m").withColumn("score", signed_expm1("__m")).drop("__m")
+    scored = materialize(scored)
+    xi = sq.best_xi(sq.budgeted_squad(scored, ["target_gameweek_id"], "score"), ["target_gameweek_id"], "score")
+    # What the models and the scored rows have seen, by target
+    weeks = panel.groupBy(F.col("target_gameweek_id").alias("__week")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__week").rowsBetween(Window.unboundedPreceding, -1)  # one row per period
+    seen = weeks.select(F.col("__week").alias("target_gameweek_id"), F.max("__week").over(before).alias("__train_max"))
+    src = scored.groupBy("target_gameweek_id").agg(F.max("source_gameweek_id").alias("__src"))
+    stamped = xi.join(seen, "target_gameweek_id", "left").join(src, "target_gameweek_id", "left").withColumn(
+        "backfill_trusted", (F.col("__train_max") < F.col("target_gameweek_id")) & (F.col("__src") <= F.col("target_gameweek_id") - 1))
+    return round_doubles(stamped.select(F.col("target_gameweek_id").cast("int"), "player_id", "is_starter", "is_captain", "is_vice_captain",
+                                        F.col("score").alias("expected_points_next_gw"), F.lit("pit_model").alias("backfill_method"), "backfill_trusted"))

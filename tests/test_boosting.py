@@ -63,10 +63,12 @@ def brute(rows, y, cuts, job, base, keys, scale):
 
 
 def nested(tree, k=0):
-    if tree.feature[k] < 0:
-        return round(tree.value[k], 9)
-    c = tree.child[k]
-    return tree.feature[k], round(tree.cut[k], 9), nested(tree, c), nested(tree, c + 1)
+    inner = len(tree.feature)
+    if k >= inner:
+        return round(tree.value[k - inner], 9)
+    if tree.cut[k] == math.inf:
+        return nested(tree, 2 * k + 1)
+    return tree.feature[k], round(tree.cut[k], 9), nested(tree, 2 * k + 1), nested(tree, 2 * k + 2)
 
 
 PARAMS = [
@@ -139,7 +141,7 @@ def test_rows_choose_their_model_in_one_scan(spark):
     model = F.when(F.col("seg") == 1, "seg1").when(F.col("seg") == 2, "odds").when(F.col("k") > 100, "gone").otherwise("m0")
     out = bo.score_forests(df, forests, FEATURES, model, "p")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Union" not in plan and plan.count("FileScan") <= 1
+    assert "Python" not in plan and "Arrow" not in plan and "Union" not in plan and plan.count("FileScan") <= 1  # the forest table's
     each = {m: {r.k: r.p for r in bo.score_forests(df, forests, FEATURES, F.lit(m), "p").collect()} for m in ("seg1", "odds", "m0")}
     for r in out.withColumn("m", model).collect():
         assert r.p == (None if r.m == "gone" else each[r.m][r.k])
