@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.operators import squad as sq
+from panelforge.operators.joint_squad import joint_squad
 from panelforge.operators.common import materialize, round_doubles
 from panelforge.plans.q_model import ACT, SCORED_SQL, scored
 from panelforge.plans.registry import register, rsql
@@ -270,3 +271,11 @@ def q_recommendation(spark, sf):
     at = F.concat(F.lit("2024-01-"), F.lpad(F.col(G).cast("string"), 2, "0"), F.lit("T00:00:00"))
     details = F.concat(F.lit("trusted: train<"), F.col(G).cast("string"), F.lit(" "), F.repeat(F.lit("x"), 600))
     return round_doubles(sq.recommendation_rows(p, at, G, "score", details))
+
+
+@register("joint_squad", "O3 O4 O5 O7 O8")
+def q_joint_squad(spark, sf):
+    """The exact squad of every period: starters, captain and bench chosen together (the budgeted
+    squad maximises all fifteen first), with its certificate."""
+    best = joint_squad(candidates(spark, sf), [G], "score")
+    return round_doubles(best.select(F.col(G).cast("int").alias(G), "player_id", "is_starter", "is_captain", "is_vice_captain", "score", "objective", "gap"))
