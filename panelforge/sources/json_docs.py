@@ -8,9 +8,6 @@ exploded with ``explode`` over ``array<variant>``.  All of it is JVM-side.
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,27 +168,41 @@ def redact_json_text(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
     return F.regexp_replace(col, redact_pattern(patterns), '$1"[REDACTED]"')
 
 
+#: Code points that no text uses; they stand for escapes while a text is cut into tokens.
+_BACKSLASH, _QUOTE = "\ufdd1", "\ufdd2"
+
+
 def redact_json_deep(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
-    """P31, full recursion (any value type under a sensitive key), as an
-    Arrow-batched pandas UDF over the JSON text: a small per-row helper.  Text
-    that is no JSON can't be trusted to hold no secret: it goes as a whole."""
-    pats = tuple(p.upper() for p in patterns)
-
-    def red(x):
-        if isinstance(x, dict):
-            return {k: ("[REDACTED]" if any(p in str(k).upper() for p in pats) else red(v)) for k, v in x.items()}
-        if isinstance(x, list):
-            return [red(v) for v in x]
-        return x
-
-    def one(t):
-        try:
-            return None if t is None else json.dumps(red(json.loads(t)))
-        except ValueError:
-            return '"[UNPARSED]"'
-
-    @F.pandas_udf("string")
-    def _udf(s: pd.Series) -> pd.Series:
-        return s.map(one)
-
-    return _udf(col)
+    """P31, full depth: the value under a sensitive key goes as a whole, whatever
+    is nested in it.  Native: VARIANT brings the text into one form (no spaces, plain
+    escapes), it is cut into tokens, a fold over them keeps the depth and notes
+    the token ranges under sensitive keys, and the rest is joined again.  Text
+    that is no JSON (or repeats a key) can't be trusted to hold no secret: it
+    goes as a whole; what stands behind a whole value is dropped."""
+    plain = F.to_json(F.try_parse_json(col))
+    text = F.replace(F.replace(plain, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    tokens = F.regexp_extract_all(text, F.lit(r'"[^"]*+"|[{}\[\],:]|[^{}\[\],:"]++'), F.lit(0))
+    sensitive = lambda t: F.upper(t).rlike("|".join(p.upper() for p in patterns))
+    empty = F.array().cast("array<struct<lo: int, hi: int>>")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(-1).alias("lo"), F.lit(0).alias("floor"), F.lit("").alias("last"), empty.alias("cuts"))
+
+    def step(s: Column, t: Column) -> Column:
+        depth = s["depth"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0)
+        # the token behind a sensitive key's colon begins a range, which ends where the depth is back
+        begins = (s["lo"] < 0) & (t == ":") & s["last"].startswith('"') & sensitive(s["last"])
+        inside = (s["lo"] >= 0) & (s["at"] >= s["lo"])
+        ends = inside & (depth == s["floor"])
+        return F.struct((s["at"] + 1).alias("at"), depth.alias("depth"), F.when(begins, s["at"] + 1).when(ends, F.lit(-1)).otherwise(s["lo"]).alias("lo"),
+                        F.when(begins, s["depth"]).otherwise(s["floor"]).alias("floor"), t.alias("last"),
+                        F.when(ends, F.concat(s["cuts"], F.array(F.struct(s["lo"].alias("lo"), s["at"].alias("hi"))))).otherwise(s["cuts"]).alias("cuts"))
+
+    def shown(pair: Column) -> Column:
+        """The tokens that stay; a range's first one becomes the mark."""
+        cuts = pair["cuts"]
+        return F.transform(pair["tokens"], lambda t, i: F.when(F.exists(cuts, lambda c: c["lo"] == i), F.lit('"[REDACTED]"'))
+                           .when(F.exists(cuts, lambda c: (c["lo"] < i) & (i <= c["hi"])), F.lit("")).otherwise(t))
+
+    bound = F.transform(F.array(tokens), lambda ts: F.struct(ts.alias("tokens"), F.aggregate(ts, start, step, lambda s: s["cuts"]).alias("cuts")))
+    out = F.array_join(F.get(F.transform(bound, shown), 0), "")
+    out = F.replace(F.replace(out, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(col.isNull(), F.lit(None)).when(plain.isNull(), F.lit('"[UNPARSED]"')).otherwise(out)
