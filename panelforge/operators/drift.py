@@ -59,13 +59,25 @@ def ks_two_sample(
     )
     out = d.withColumn("breach", F.col("ks_stat") > threshold)
     if with_p_value:
-        out = out.withColumn("p_value", ks_p_value(F.col("ks_stat"), F.col("n_a"), F.col("n_b")))
-    return out.select("feature", "ks_stat", "n_a", "n_b", "breach", *(["p_value"] if with_p_value else []))
+        out = out.withColumns({"p_value": ks_p_value(F.col("ks_stat"), F.col("n_a"), F.col("n_b")), "p_value_method": ks_method(F.col("n_a"), F.col("n_b"))})
+    return out.select("feature", "ks_stat", "n_a", "n_b", "breach", *(["p_value", "p_value_method"] if with_p_value else []))
 
 
-def ks_p_value(d, n_a, n_b, terms: int = 100):
-    """Asymptotic Kolmogorov p-value (reported only; differs from an
-    exact small-sample p-value)."""
+#: Samples whose sizes multiply to at most this have an exact p-value.
+EXACT_PATHS = 10_000
+
+
+def ks_method(n_a, n_b):
+    return F.when(n_a * n_b <= EXACT_PATHS, "exact").otherwise("asymptotic")
+
+
+def ks_p_value(d, n_a, n_b):
+    """P(D >= d) of two samples without ties: exact up to ``EXACT_PATHS``, asymptotic beyond."""
+    return F.when(n_a * n_b <= EXACT_PATHS, ks_exact(d, n_a, n_b)).otherwise(ks_asymptotic(d, n_a, n_b))
+
+
+def ks_asymptotic(d, n_a, n_b, terms: int = 100):
+    """Kolmogorov's series with the usual small-sample correction."""
     en = F.sqrt(n_a * n_b / (n_a + n_b))
     lam = (en + 0.12 + 0.11 / en) * d
     series = F.aggregate(
@@ -76,6 +88,27 @@ def ks_p_value(d, n_a, n_b, terms: int = 100):
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))
 
 
+def ks_exact(d, n_a, n_b):
+    """Share of the lattice paths from (0, 0) to (n_a, n_b) that get as far as ``d`` from the
+    diagonal: a fold over the rows of the lattice, in each a fold along the row.  A cell
+    holds the share of the paths to it that have stayed nearer."""
+    both = (n_a * n_b).cast("double")
+    near = (F.floor(d * both - 1e-7) + 0.5) / both  # distances are whole multiples of 1 / (n_a n_b)
+
+    def cell(i, j, below, left):
+        steps = (i + j).cast("double")
+        share = F.when(steps == 0, F.lit(1.0)).otherwise(
+            F.when(i > 0, below * i / F.greatest(steps, F.lit(1.0))).otherwise(0.0) + F.when(j > 0, left * j / F.greatest(steps, F.lit(1.0))).otherwise(0.0))
+        return F.when(F.abs(i / n_a - j / n_b) > near, F.lit(0.0)).otherwise(share)
+
+    def row(before, i):
+        return F.aggregate(F.sequence(F.lit(0), n_b.cast("int")), F.array().cast("array<double>"),
+                           lambda out, j: F.concat(out, F.array(cell(i, j, F.coalesce(F.get(before, j), F.lit(0.0)), F.coalesce(F.get(out, j - 1), F.lit(0.0))))))
+
+    last = F.aggregate(F.sequence(F.lit(0), n_a.cast("int")), F.array().cast("array<double>"), row)
+    return F.when((n_a > 0) & (n_b > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - F.element_at(last, -1))))
+
+
 def drift_decision(
     ks: DataFrame,
     n_configured: int = len(DRIFT_COLUMNS),

@@ -387,7 +387,7 @@ def _ks(spark, sf):
 lam AS (SELECT *, (sqrt(n_a * n_b / (n_a + n_b)) + 0.12 + 0.11 / sqrt(n_a * n_b / (n_a + n_b))) * ks_stat AS l FROM ks)
 SELECT feature, ks_stat, n_a, n_b, ks_stat > 0.2 AS breach,
        least(1.0, greatest(0.0, 2.0 * (SELECT sum(power(-1.0, k - 1) * exp(-2.0 * k * k * l * l)) FROM range(1, 101) r(k))))
-         AS p_value
+         AS p_value, CASE WHEN n_a * n_b <= 10000 THEN 'exact' ELSE 'asymptotic' END AS p_value_method
 FROM lam""",
         ["ks_stat", "p_value"],
     ),

@@ -358,6 +358,36 @@ def q_retention(spark, sf):
     return sn.retention_plan(v, keep=12, preserve="v01").withColumn("rank_newest", F.col("rank_newest").cast("int"))
 
 
+@register(
+    "retention_applied",
+    "K10 K9 W14",
+    with_panel()
+    + """,
+v AS (SELECT k, 'v=202402' || lpad(CAST(6 - k AS VARCHAR), 2, '0') || 'T060000' AS version,
+             (SELECT count(*) FROM collapsed WHERE gameweek_id <= (SELECT max(gameweek_id) FROM collapsed) - k) AS row_count
+      FROM range(0, 5) r(k))
+SELECT version, CAST(row_count AS BIGINT) AS row_count, true AS refresh_skipped FROM v WHERE k < 2 OR k = 4""",
+)
+def q_retention_applied(spark, sf):
+    """Five snapshots of the panel as it grew, the newest two and the preserved oldest kept:
+    what is on disk afterwards. A second run removes nothing, and a refresh of the fresh
+    newest one is skipped."""
+    root, panel = scratch_path(spark, "versions"), materialize(collapsed(spark, sf))
+    last = panel.agg(F.max("gameweek_id")).first()[0]  # one row
+    for k in range(4, -1, -1):
+        sn.write_snapshot(panel.filter(F.col("gameweek_id") <= last - k), root, created_at=f"2024-02-{6 - k:02d}T06:00:00Z", source="events",
+                          query_text="collapse(events)", run_id=f"run-{k}")
+    stamp = F.regexp_replace("created_at_utc", "[-:Z]", "")
+    versions = sn.read_manifests(spark, root).select(F.concat(F.lit("v="), stamp).alias("version"), "created_at_utc")
+    plan = materialize(sn.retention_plan(versions, keep=2, preserve="v=20240202T060000"))
+    sn.apply_retention(spark, root, plan, preserve="v=20240202T060000")
+    again = sn.apply_retention(spark, root, plan, preserve="v=20240202T060000")
+    skipped = not sn.refresh_snapshot(spark, root, "2024-02-07 06:00:00", lambda: None) and not again
+    left = F.regexp_extract(F.input_file_name(), "(v=[0-9T]+)", 1)
+    files = spark.read.parquet(*[f"{root}/{v}" for v in sn.versions_on_disk(spark, root)])
+    return files.groupBy(left.alias("version")).agg(F.count(F.lit(1)).alias("row_count")).withColumn("refresh_skipped", F.lit(skipped))
+
+
 @register(
     "event_log_append",
     "K12 P31",

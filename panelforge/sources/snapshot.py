@@ -111,6 +111,53 @@ def retention_plan(versions: DataFrame, keep: int = DEFAULT_RETENTION, preserve:
     return r.withColumn("keep", keep_c)
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def versions_on_disk(spark: SparkSession, root: str) -> list[str]:
+    """Names of the version folders below the snapshot root."""
+    fs, at = _files(spark, root)
+    if not fs.exists(at):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory() and not s.getPath().getName().startswith(("_", ".")))
+
+
+def apply_retention(spark: SparkSession, root: str, plan: DataFrame, preserve: str | None = None, key: str = "version", dry_run: bool = False) -> list[str]:
+    """Remove the version folders that ``plan`` (``retention_plan``) doesn't keep;
+    returns their names.
+
+    The plan is written below the root first, so a run that stops in the middle can be
+    repeated: folders that are gone are skipped.  Only names that are direct
+    folders of the root are removed, never ``preserve`` and never a version that
+    the plan doesn't know; a plan that keeps nothing is refused.  ``dry_run`` removes nothing.
+    """
+    rows = plan.select(key, "keep").collect()  # one row a version
+    if not any(r["keep"] for r in rows):
+        raise ValueError("a retention plan must keep a version")
+    there = set(versions_on_disk(spark, root))
+    there |= set(versions_on_disk(spark, f"{root}/_manifests"))
+    gone = sorted(r[key] for r in rows if not r["keep"] and r[key] in there and r[key] != preserve)
+    if dry_run or not gone:
+        return gone
+    plan.coalesce(1).write.mode("overwrite").json(f"{root}/_retention")
+    fs, _ = _files(spark, root)
+    for name in gone:
+        for folder in (root, f"{root}/_manifests"):  # the data first: a manifest without data is found again, data without one is not
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"), True)
+    return gone
+
+
+def refresh_snapshot(spark: SparkSession, root: str, now: str, write, max_age_days: int = DEFAULT_MAX_AGE_DAYS) -> bool:
+    """K9: call ``write()`` unless the newest snapshot below ``root`` is still fresh; whether it was called."""
+    if versions_on_disk(spark, root) and is_fresh(read_manifests(spark, root), now, max_age_days).first()["skip_refresh"]:
+        return False
+    write()
+    return True
+
+
 @dataclass(frozen=True)
 class Acceptance:
     max_age_days: int = DEFAULT_MAX_AGE_DAYS
