@@ -54,6 +54,41 @@ def q_stream_rollup(spark, sf):
     return round_doubles(out)
 
 
+@register(
+    "stream_documents",
+    "ST1 K3",
+    with_panel()
+    + """
+SELECT gameweek_id, count(*) AS documents, CAST(0 AS BIGINT) AS late FROM collapsed GROUP BY gameweek_id""",
+)
+def q_stream_documents(spark, sf):
+    """Every (player, period) document lands twice, the copies in files of their own: taken once."""
+    rows = fe.collapse_periods(tb.fixture_rows(spark, sf)).select(
+        "player_id", "gameweek_id", F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.col("gameweek_id"), F.lit(6), F.lit(0), F.lit(0)).alias("fetched_at"))
+    landing = scratch_path(spark, "landing_docs")
+    for _ in range(2):
+        jobs.land_files(rows, landing, "gameweek_id")
+    docs, figures = jobs.stream_documents(spark, landing, rows.schema, ["player_id", "gameweek_id"], delay="60 days")
+    return docs.groupBy("gameweek_id").agg(F.count(F.lit(1)).alias("documents")).withColumn("late", F.lit(figures["late"]).cast("long"))
+
+
+@register(
+    "stream_event_windows",
+    "ST2 D12",
+    rsql("""
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type AS node, count(*) AS n_events, CAST(count_if(event_type = 'error') AS BIGINT) AS n_failed,
+       sum(value) AS total_duration_ms
+FROM events GROUP BY 1, 2, 3""", ["total_duration_ms"]),
+)
+def q_stream_windows(spark, sf):
+    log = tb.event_log(spark, sf).withColumn("day", F.dayofmonth("ts"))
+    landing = scratch_path(spark, "landing_windows")
+    jobs.land_files(log, landing, "day", "json")
+    out, _ = jobs.stream_event_windows(spark, landing, log.drop("day").schema, delay="60 days")  # files are read in any order
+    return round_doubles(out.drop("closed"))
+
+
 @register(
     "freshness_report",
     "A23 U1 F10",

@@ -13,7 +13,16 @@
   node.  Each batch writes its own partial counts (a replayed batch replaces
   them); the result is their sum, so events count whenever they arrive.
 
-Both run with ``trigger(availableNow=True)`` and a fresh checkpoint folder
+* ``stream_documents`` (ST1, keyed state): documents are taken once, whatever their
+  copies and files; the keys seen within the watermark are the state.
+* ``stream_event_windows`` (ST2, event time): windows in update mode; a
+  window closes and its state goes when the watermark passes its end.  Rows
+  behind the watermark are late: they are left out and counted.
+
+Checkpoint and output of these two can be named, so that a stopped run goes on
+where it was; a batch that is run again replaces its own output.
+
+The first two run with ``trigger(availableNow=True)`` and a fresh checkpoint folder
 below the shared checkpoint directory, and the result equals the batch
 computation on the same input, in whatever order the files come.
 """
@@ -114,3 +123,62 @@ def stream_event_rollup(spark: SparkSession, landing: str, schema: T.StructType,
     q.awaitTermination()
     return spark.read.parquet(out_root).groupBy("window_start", "window_end", "node").agg(
         F.sum("n_events").alias("n_events"), F.sum("n_failed").alias("n_failed"), F.sum("total_duration_ms").alias("total_duration_ms"))
+
+
+def _finished(query) -> dict:
+    """What a run has read, left out as late, and kept as state (its largest and last size)."""
+    query.awaitTermination()
+    progress = query.recentProgress
+    state = [o for p in progress for o in p["stateOperators"]]
+    return {"rows": sum(p["numInputRows"] for p in progress), "late": sum(o["numRowsDroppedByWatermark"] for o in state),
+            "most_state": max((o["numRowsTotal"] for o in state), default=0), "last_state": state[-1]["numRowsTotal"] if state else 0,
+            "watermark": progress[-1]["eventTime"].get("watermark") if progress else None}
+
+
+def _instant(spark: SparkSession, column: str):
+    """A zone-less UTC wall clock as an instant, whatever the session zone."""
+    tz = F.lit(spark.conf.get("spark.sql.session.timeZone"))
+    return F.convert_timezone(F.lit("UTC"), tz, F.col(column)).cast("timestamp")
+
+
+def stream_documents(spark: SparkSession, landing: str, schema: T.StructType, keys: list[str], event_time: str = "fetched_at", delay: str = "7 days",
+                     out_root: str | None = None, checkpoint: str | None = None, files_per_trigger: int = 50, fmt: str = "parquet") -> tuple[DataFrame, dict]:
+    """ST1: the landed documents without repeats of ``keys``; returns (documents, figures of the run).
+
+    A document is a repeat if its keys came within ``delay`` of event time before;
+    documents older than the watermark are late, as are rows without an event time
+    once the watermark has moved.  The sink writes every document exactly once."""
+    out_root, checkpoint = out_root or scratch_path(spark, "stream_docs"), checkpoint or scratch_path(spark, "stream_ckpt")
+    docs = (spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_trigger).load(landing)
+            .withColumn("__at", _instant(spark, event_time)).withWatermark("__at", delay).dropDuplicatesWithinWatermark(keys).drop("__at"))
+    query = docs.writeStream.format("parquet").option("path", out_root).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    figures = _finished(query)
+    return spark.read.schema(schema).parquet(out_root), figures
+
+
+def stream_event_windows(spark: SparkSession, landing: str, schema: T.StructType, window: str = "1 hour", delay: str = "2 hours",
+                         out_root: str | None = None, checkpoint: str | None = None, files_per_trigger: int = 50) -> tuple[DataFrame, dict]:
+    """ST2: counts, failures and durations by window and node; returns (windows, figures of the run).
+
+    Every batch writes the windows that it changed, under its own number; a window's
+    row is the one of its last batch.  ``closed`` says that the watermark has passed it."""
+    out_root, checkpoint = out_root or scratch_path(spark, "windows_out"), checkpoint or scratch_path(spark, "windows_ckpt")
+    tz = F.lit(spark.conf.get("spark.sql.session.timeZone"))
+    wall = lambda c: F.convert_timezone(tz, F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+    events = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(landing)
+              .withColumn("__at", _instant(spark, "ts")).withWatermark("__at", delay))
+    counts = events.groupBy(F.window("__at", window).alias("w"), "node").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("status") == "failed").alias("n_failed"), F.sum("duration_ms").alias("total_duration_ms"))
+
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(wall("w.start").alias("window_start"), wall("w.end").alias("window_end"), "node", "n_events", "n_failed", "total_duration_ms")
+        rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_root}/{batch_id}")
+
+    query = counts.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    figures = _finished(query)
+    shape = T.StructType.fromDDL("window_start timestamp_ntz, window_end timestamp_ntz, node string, n_events long, n_failed long, total_duration_ms double, batch int")
+    last = spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(out_root).groupBy("window_start", "window_end", "node").agg(
+        F.max_by(F.struct("n_events", "n_failed", "total_duration_ms"), "batch").alias("r")).select("window_start", "window_end", "node", "r.*")
+    mark = figures["watermark"]
+    closed = F.col("window_end") <= F.to_timestamp_ntz(F.lit(mark[:19]), F.lit("yyyy-MM-dd'T'HH:mm:ss")) if mark else F.lit(False)
+    return last.withColumn("closed", closed), figures
