@@ -88,7 +88,14 @@ PLAYER_SQL = """
 SELECT player_id, web_name, team_id, position_id, CAST(round(now_cost * 10) AS INTEGER) AS now_cost,
        CASE WHEN (player_id + gameweek_id) % 9 = 0 THEN NULL ELSE CAST(goals_scored + assists AS DOUBLE) + 0.5 END AS form,
        CAST(round(total_points) AS INTEGER) AS total_points, CAST(minutes_played AS INTEGER) AS minutes,
-       goals_scored, assists, clean_sheets, bonus, gameweek_id AS gameweek_fetched
+       goals_scored, assists, clean_sheets, bonus, gameweek_id AS gameweek_fetched,
+       'F' || CAST(player_id AS VARCHAR) AS first_name, 'S' || CAST(player_id AS VARCHAR) AS second_name,
+       CASE WHEN player_id % 7 <> 0 THEN CAST(player_id % 100 AS DOUBLE) + 0.5 END AS selected_by_percent,
+       CAST(player_id % 13 AS DOUBLE) + 0.25 AS value_season,
+       CASE WHEN player_id % 11 <> 0 THEN CAST(player_id % 5 AS DOUBLE) + 0.75 END AS value_form,
+       CAST(minutes_played AS INTEGER) % 4 AS goals_conceded, CAST(minutes_played AS INTEGER) * 2 + gameweek_id AS bps,
+       CASE WHEN player_id % 5 = 0 THEN 'i' ELSE 'a' END AS status,
+       CASE WHEN player_id % 3 <> 0 THEN CAST(player_id % 4 AS INTEGER) * 25 END AS chance_of_playing_next_round
 FROM collapsed"""
 
 
@@ -103,7 +110,10 @@ def q_parse_players(spark, sf):
     """
 SELECT n_nationkey AS team_id, n_name AS name, substr(n_name, 1, 3) AS short_name, n_regionkey AS strength,
        CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_regionkey AS DOUBLE) END AS form,
-       n_nationkey * 3 AS points, n_nationkey + 1 AS position
+       n_nationkey * 3 AS points, n_nationkey + 1 AS position,
+       n_nationkey + 1000 AS strength_overall_home, n_nationkey * 2 + 1000 AS strength_overall_away,
+       n_nationkey * 3 + 1000 AS strength_attack_home, n_nationkey * 4 + 1000 AS strength_attack_away,
+       n_nationkey * 5 + 1000 AS strength_defence_home, n_nationkey * 6 + 1000 AS strength_defence_away
 FROM nation""",
 )
 def q_parse_teams(spark, sf):
@@ -118,7 +128,8 @@ WITH d AS (SELECT CAST(day(ts) AS INTEGER) AS gw, min(ts) AS first_ts FROM event
 m AS (SELECT max(gw) AS mx FROM d)
 SELECT gw AS gameweek_id, 'Gameweek ' || CAST(gw AS VARCHAR) AS name, date_trunc('second', first_ts) AS deadline_time,
        gw < mx - 3 AS finished, gw = mx - 3 AS is_current, gw = mx - 2 AS is_next, gw = mx - 4 AS is_previous,
-       gw * 7 AS highest_score
+       gw * 7 AS highest_score, CASE WHEN gw < mx - 3 THEN gw * 3 END AS average_entry_score,
+       gw * 11 AS most_selected, gw * 12 AS most_transferred_in, gw * 13 AS most_captained, gw * 14 AS most_vice_captained
 FROM d, m""",
 )
 def q_parse_gameweeks(spark, sf):

@@ -144,7 +144,8 @@ def _typed_players_sql() -> str:
     src = {"player_id": "CAST(player_id AS INTEGER)", "web_name": "web_name", "team_id": "team_id",
            "position_id": "position_id", "now_cost": "now_cost", "form": "form", "total_points": "total_points",
            "minutes": "minutes", "goals_scored": "goals_scored", "assists": "assists", "clean_sheets": "clean_sheets",
-           "bonus": "bonus", "gameweek_fetched": "gameweek_fetched",
+           "bonus": "bonus", **{c: c for c in ("first_name", "second_name", "selected_by_percent", "value_season", "value_form", "goals_conceded", "bps", "status",
+                                              "chance_of_playing_next_round")}, "gameweek_fetched": "gameweek_fetched",
            "ingestion_timestamp": f"TIMESTAMP '{LOAD_TS}'"}
     for f in sk.table_schema("players").fields:
         t = {"int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}[f.dataType.simpleString()]

@@ -62,6 +62,9 @@ def parse_players(env: DataFrame) -> DataFrame:
         _g("assists", "int").alias("assists"),
         _g("clean_sheets", "int").alias("clean_sheets"),
         _g("bonus", "int").alias("bonus"),
+        *[_g(c, "string").alias(c) for c in ("first_name", "second_name", "status")],
+        *[safe_float(_g(c, "string")).alias(c) for c in ("selected_by_percent", "value_season", "value_form")],
+        *[_g(c, "int").alias(c) for c in ("goals_conceded", "bps", "chance_of_playing_next_round")],
         "gameweek_fetched",
     )
 
@@ -73,6 +76,7 @@ def parse_teams(env: DataFrame) -> DataFrame:
         _g("id", "int").alias("team_id"), _g("name", "string").alias("name"), _g("short_name", "string").alias("short_name"),
         _g("strength", "int").alias("strength"), safe_float(_g("form", "string")).alias("form"),
         _g("points", "int").alias("points"), _g("position", "int").alias("position"),
+        *[_g(f"strength_{part}_{side}", "int").alias(f"strength_{part}_{side}") for part in ("overall", "attack", "defence") for side in ("home", "away")],
     )
 
 
@@ -84,7 +88,7 @@ def parse_gameweeks(env: DataFrame) -> DataFrame:
         safe_timestamp(_g("deadline_time", "string")).alias("deadline_time"),
         _g("finished", "boolean").alias("finished"), _g("is_current", "boolean").alias("is_current"),
         _g("is_next", "boolean").alias("is_next"), _g("is_previous", "boolean").alias("is_previous"),
-        _g("highest_score", "int").alias("highest_score"),
+        *[_g(c, "int").alias(c) for c in ("average_entry_score", "highest_score", "most_selected", "most_transferred_in", "most_captained", "most_vice_captained")],
     )
 
 

@@ -48,6 +48,7 @@ def bootstrap_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = F.when((F.col("player_id") + F.col("gameweek_id")) % 9 == 0, F.lit("")).otherwise(
         F.concat((F.col("goals_scored") + F.col("assists")).cast("string"), F.lit(".5"))
     )
+    key = F.col("player_id")
     return c.select(
         F.col("gameweek_id").alias("event"),
         F.floor(F.col("player_id") / ELEMENT_CHUNK).cast("bigint").alias("chunk"),
@@ -61,10 +62,24 @@ def bootstrap_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.col("total_points")).cast("int").alias("total_points"),
             F.col("minutes_played").cast("int").alias("minutes"),
             "goals_scored", "assists", "clean_sheets", "bonus",
+            F.concat(F.lit("F"), key.cast("string")).alias("first_name"),
+            F.concat(F.lit("S"), key.cast("string")).alias("second_name"),
+            F.when(key % 7 == 0, F.lit("")).otherwise(F.concat((key % 100).cast("string"), F.lit(".5"))).alias("selected_by_percent"),
+            F.concat((key % 13).cast("string"), F.lit(".25")).alias("value_season"),
+            F.when(key % 11 == 0, F.lit("n/a")).otherwise(F.concat((key % 5).cast("string"), F.lit(".75"))).alias("value_form"),
+            (F.col("minutes_played").cast("int") % 4).alias("goals_conceded"),
+            (F.col("minutes_played").cast("int") * 2 + F.col("gameweek_id")).alias("bps"),
+            F.when(key % 5 == 0, F.lit("i")).otherwise(F.lit("a")).alias("status"),
+            F.when(key % 3 != 0, (key % 4).cast("int") * 25).alias("chance_of_playing_next_round"),
         ).alias("el"),
     )
 
 
+# Fixed field names of the API's teams and events.
+TEAM_STRENGTHS = ("strength_overall_home", "strength_overall_away", "strength_attack_home", "strength_attack_away",
+                  "strength_defence_home", "strength_defence_away")
+PERIOD_PICKS = ("most_selected", "most_transferred_in", "most_captained", "most_vice_captained")
+
 ALL_KINDS = ("elements", "teams", "events", "fixtures", "history")
 
 
@@ -93,6 +108,7 @@ def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None
             F.when(F.col("team_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.col("strength").cast("string"), F.lit(".0"))).alias("form"),
             (F.col("team_id") * 3).alias("points"),
             (F.col("team_id") + 1).alias("position"),
+            *[(F.col("team_id") * k + 1000).alias(c) for k, c in enumerate(TEAM_STRENGTHS, 1)],
         ).alias("t")
     )
     teams_lines = t.agg(F.sort_array(F.collect_list("t")).alias("teams")).select(
@@ -110,6 +126,8 @@ def land_raw_documents(spark: SparkSession, sf_dir: str, path: str | None = None
             (F.col("gw") == F.col("mx") - 2).alias("is_next"),
             (F.col("gw") == F.col("mx") - 4).alias("is_previous"),
             (F.col("gw") * 7).alias("highest_score"),
+            F.when(F.col("gw") < F.col("mx") - 3, F.col("gw") * 3).alias("average_entry_score"),
+            *[(F.col("gw") * k).alias(c) for k, c in enumerate(PERIOD_PICKS, 11)],
         ).alias("e")
     )
     events_lines = evs.agg(F.sort_array(F.collect_list("e")).alias("events")).select(
