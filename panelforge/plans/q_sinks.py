@@ -160,7 +160,7 @@ def q_typed_conform(spark, sf):
 
 _MERGE_SQL = """
 WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal * 0.9 AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
-s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)
+s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0)
 SELECT COALESCE(s.c_custkey, t.c_custkey) AS c_custkey,
        CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
        CASE WHEN s.c_custkey IS NOT NULL THEN s.c_nationkey ELSE t.c_nationkey END AS c_nationkey,
@@ -175,7 +175,7 @@ FROM t FULL OUTER JOIN s ON s.c_custkey = t.c_custkey"""
 def q_merge(spark, sf):
     c = tb.read_table(spark, sf, "customer")
     tgt = c.filter(F.col("c_custkey") % 3 != 0).withColumn("c_acctbal", F.col("c_acctbal") * 0.9)
-    src = c.filter(F.col("c_custkey") % 2 == 0)
+    src = c.filter((F.col("c_custkey") % 2 == 0) | (F.col("c_custkey") % 3 == 0))  # every key is in one of them at least
     merged = sk.merge_upsert(tgt, src, ["c_custkey"])
     path = scratch_path(spark, "merge_v")
     merged.write.parquet(path)  # new version folder; the inputs are never overwritten

@@ -78,7 +78,7 @@ def q_training_filter(spark, sf):
         with_panel(null_cost=True)
         + """,
 pdim AS (SELECT c_custkey AS player_id, 4.0 + CAST(c_custkey % 90 AS DOUBLE) / 10.0 AS current_value
-         FROM customer WHERE c_custkey % 7 <> 0)
+         FROM customer)
 SELECT f.* EXCLUDE (now_cost), COALESCE(f.now_cost, p.current_value) AS now_cost
 FROM fr f LEFT JOIN pdim p ON f.player_id = p.player_id""",
         ["total_points", "minutes_played", "ict_index", "now_cost"],

@@ -57,10 +57,10 @@ def fixture_rows(spark: SparkSession, sf_dir: str, null_cost: bool = False) -> D
 
 
 def player_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> player dimension (every 7th key missing on purpose)."""
+    """customer -> player dimension."""
     c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return c.filter(k % 7 != 0).select(
+    return c.select(
         k.alias("player_id"),
         (4.0 + (k % 90) / 10.0).alias("current_value"),
         (k % 4 + 1).cast("int").alias("position_id"),
