@@ -16,7 +16,8 @@ unwanted payloads are inflated to find the next record but not decoded.
 Payload records of equal digest are stored once: the one with the smallest
 page id is the ``response``, others ``revisit`` it and name it.
 
-Defined cases: a null payload is empty; a null url leaves the target header
+Defined cases: control characters in header values are percent-encoded;
+a null payload is empty; a null url leaves the target header
 out; equal payloads shorter than ``min_bytes`` are all responses; repeated rows
 are records of their own (those with the smallest id all responses); an empty
 table gives no archive.
@@ -27,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -42,6 +44,7 @@ from panelforge.llm.common import BROADCAST_IDS
 from panelforge.operators.common import materialize, maybe_broadcast
 
 FIELD = b"PL"
+_CONTROL = re.compile("[\\x00-\\x1F\\x7F]")
 COMMITTED = "_committed.json"
 SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, refers_to string, content_length long, headers map<string,string>, payload binary, file string, offset long"
 #: Columns whose filters are tested on the headers, before the payload.
@@ -60,9 +63,14 @@ def digest_text(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def header_text(value: str) -> str:
+    """A value that stays one header: control characters are percent-encoded."""
+    return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def member(headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One record as a gzip member that knows its own length."""
-    head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers) + f"Content-Length: {len(block)}\r\n\r\n"
+    head = "WARC/1.1\r\n" + "".join(f"{header_text(k)}: {header_text(v)}\r\n" for k, v in headers) + f"Content-Length: {len(block)}\r\n\r\n"
     data = head.encode() + block + b"\r\n\r\n"
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
     body = packer.compress(data) + packer.flush()

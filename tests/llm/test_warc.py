@@ -112,3 +112,15 @@ def test_null_id_beside_an_equal_payload_keeps_its_bytes(spark):
     df = spark.createDataFrame([(1, "u", "<p>same</p>"), (2, "v", "<p>same</p>"), (None, "w", "<p>same</p>")], "page_id long, url string, html string")
     got = {r.target_uri: (r.record_type, bytes(r.payload) if r.payload is not None else None) for r in W.page_records(df).collect()}
     assert got == {"u": ("response", b"<p>same</p>"), "v": ("revisit", None), "w": ("response", b"<p>same</p>")}
+
+
+def test_urls_with_line_breaks_stay_one_header():
+    urls = ["u\r\nWARC-Type: revisit", "u\r\n\r\nbody", "u\n x\x7f\0", "é \u2028 %0D"]
+    data = b"".join(W.member([("WARC-Type", "response"), ("WARC-Target-URI", u)], b"payload") for u in urls)
+
+    class File(io.BytesIO):
+        def size(self):
+            return len(self.getbuffer())
+
+    got = [(h["warc-type"], h["warc-target-uri"], p) for _, h, p in W.records(File(data), lambda h: True, True)]
+    assert got == [("response", u, b"payload") for u in ("u%0D%0AWARC-Type: revisit", "u%0D%0A%0D%0Abody", "u%0A x%7F%00", "é \u2028 %0D")]
