@@ -3,7 +3,9 @@
 A page is read into a tree of elements (missing end tags are closed as
 browsers do).  Elements that never hold the main text (scripts, styles, forms,
 navigation, headers and footers of the page, and elements whose class or id
-names an advert, a sidebar, a notice or comments) are cut.  Each paragraph
+names an advert, a sidebar, a notice or comments) are cut; a paragraph or
+heading inside an ``article`` or ``main`` goes only if its class or id names
+nothing else (``ad-box`` goes, ``tag-line`` stays).  Each paragraph
 then gives points for its length and its commas to its ancestors, the nearer
 the more; a container's points are discounted by the share of its text that
 stands in links.  The best container is kept, together with the siblings that
@@ -51,7 +53,10 @@ UNWANTED = set("ad advert advertisement advertising sponsor sponsored promo prom
                "navigation menu breadcrumb header masthead footer footnav widget related recommended recommendation share sharing social pagination pager tag toolbar skip search complementary contentinfo".split())
 WANTED = set("article body content main entry post story text".split())
 ALWAYS = set("comment disqus respond reply sidebar side".split())
+#: Words that only tell the shape of what the others name.
+SHAPES = set("area bar block box container inner item link links list outer wrap wrapper".split())
 CONTAINERS = {"article", "main"}
+READING = {"p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"}
 PARAGRAPHS = {"p", "pre", "blockquote", "td", "li", "dd"}
 
 
@@ -137,15 +142,19 @@ def _cut(e: Element, inside_article: bool) -> bool:
         return not inside_article
     if not e.label or e.name in ("html", "body") or e.name in CONTAINERS:
         return False
-    return any(_names_other(name.lower(), inside_article) for name in e.label.split())
+    reads = inside_article and e.name in READING
+    return any(_names_other(name.lower(), inside_article, reads) for name in e.label.split())
 
 
-def _names_other(name: str, inside_article: bool) -> bool:
-    """A class, id or role names something else than the main text."""
+def _names_other(name: str, inside_article: bool, reads: bool = False) -> bool:
+    """A class, id or role names something else than the main text; that of an
+    article's own paragraph or heading (``reads``) only if no other word is in it."""
     words = [w[:-1] if w.endswith("s") and w[:-1] in UNWANTED | ALWAYS else "reply" if w == "replies" else w for w in re.split(r"[-_:]+", name) if w]
     if not words or any(w in ALWAYS for w in words):
         return bool(words)
     found = [w for w in words if w in UNWANTED and not (inside_article and w == "header")]
+    if reads and any(w not in UNWANTED | SHAPES for w in words):
+        return False
     return bool(found) and words[-1] not in WANTED
 
 

@@ -36,6 +36,8 @@ BODY = "One, two, three long paragraph of the main article text, here it goes on
     (f"<div><p>a<b>b</b>c &nbsp; d<br>e</p><p>{BODY}</p></div>", f"abc d e {BODY}"),
     (f"<nav><a href='/x'>{BODY}</a></nav><table><tr><td>{BODY}<td>x, y</table>", f"{BODY} x, y"),
     ("<article><p title='a > b'>t</p><script>if (a < b) '</p>'</script><p>u", "t u"),
+    (f"<article><p>{BODY}</p><p class='tag-line'>A tagline, it is.</p><p class='alert-level x'>Level two.</p><h2 id=search-for-meaning>S</h2><p class='ad-box'>buy</p><p class=cookie-notice>ok</p><p class='user-comment'>c</p></article>",
+     f"{BODY} A tagline, it is. Level two. S"),
     ("<main><p>in<textarea>no</textarea></p></main><p>out", "in"),
 ])
 def test_pages(page, text):
