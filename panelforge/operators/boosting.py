@@ -6,19 +6,20 @@ Second-order gradient boosting over histograms.  A fit is a list of ``Job``s
 that it learns from), a label, an objective, columns and parameters.
 
 * One pass cuts every feature of every view into bins by its quantiles
-  (``percentile_approx``), one writes the binned rows.
+  (``percentile_approx``), one writes the binned rows in blocks of ``BLOCK`` rows of a
+  view: a byte a feature and row, all rows of a feature together.
 * Gradients are whole multiples of a power of two, chosen so that sums
   of all rows stay exact in a double.  Sums don't depend on their order,
   so the result doesn't depend on partitions or on the form that ran.
-* Views of more than ``ROWS_IN_TASK`` rows grow by levels: tasks turn rows into
-  sums by (model, node, feature, bin), Spark adds them up (map-side sums are made by
-  the task already), windows over the bins give both sides of each split, and the
+* Views of more than ``ROWS_IN_TASK`` rows grow by levels: tasks turn their blocks into
+  sums by (feature, bin) for each node, one shuffle by (model, node) adds them up, and the
   best split of each node comes to the driver: a few rows a model and level,
   whatever the data.  All models grow a level in the same job.  Margins are
-  written with the rows every ``KEEP`` trees, which also cuts the lineage.
-* Views that fit one task are sent to one task for each model, where the same
-  sums and splits are taken in numpy: all models grow at the same time
-  without a job for each level.  Both forms give the same trees (tested).
+  written with the blocks every ``KEEP`` trees, which also cuts the lineage.
+* Views that fit one task (some 60 bytes a row) are sent to one task for each model,
+  where the same sums and splits are taken: all models grow at the same time
+  without a job for each level.  Of two sisters only the smaller one is added up there, the
+  other is what is left of their parent.  Both forms give the same trees (tested).
 
 Gain and leaves (alpha L1, lambda L2, G and H sums of first and second derivatives):
 
@@ -38,18 +39,22 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators.common import materialize, spread
 
 MAX_BINS = 64
-ROWS_IN_TASK = 500_000
+ROWS_IN_TASK = 2_500_000
+BLOCK = 1 << 14
 KEEP = 10
 #: Bytes of a forest table that are broadcast at most; beyond it the plain join runs.
 BROADCAST_BYTES = 64 << 20
 LEAST_GAIN = 1e-6
-_CHUNK = 1 << 16
+_CHUNK = 1 << 15
+_WALKED = 1 << 13
+#: Nodes up to which all conditions of a tree are taken for all rows; deeper trees are walked.
+_FLAT_NODES = 256
 
 
 @dataclass(frozen=True)
@@ -93,15 +98,30 @@ class Tree:
     def arrays(self):
         return np.array(self.feature), np.array(self.bin), np.array(self.child), np.array(self.value)
 
-    def nodes(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        """The node that each row has come to."""
+    def nodes(self, bins: np.ndarray) -> np.ndarray:
+        """The node that each row of ``bins`` ([feature, row]) has come to."""
+        n = bins.shape[1]
+        if len(self.feature) > _FLAT_NODES:
+            return self._walked(bins)
+
+        def below(k: int):
+            f, c = self.feature[k], self.child[k]
+            if f < 0:
+                return np.uint8(k)
+            right = (bins[f] > self.bin[k]).view(np.uint8)
+            if self.feature[c] < 0 and self.feature[c + 1] < 0:
+                return right + np.uint8(c)
+            a, b = below(c), below(c + 1)
+            return a ^ ((a ^ b) & -right)
+
+        return np.broadcast_to(below(0), n)
+
+    def _walked(self, bins: np.ndarray) -> np.ndarray:
         feature, at, child, _ = self.arrays()
-        node = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(depth):
+        node, rows, f = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1]), feature[:1]
+        while (f >= 0).any():
             f = feature[node]
-            right = bins[rows, np.maximum(f, 0)] > at[node]
-            node = np.where(f >= 0, child[node] + right, node)
+            node = np.where(f >= 0, child[node] + (bins[np.maximum(f, 0), rows] > at[node]), node)
         return node
 
 
@@ -141,26 +161,28 @@ def sampled(key: np.ndarray, p: BoostParams, tree: int) -> np.ndarray:
     return (_mixed(key.view(np.uint64) ^ salt) >> np.uint64(11)).astype(float) / 2.0**53 < p.subsample
 
 
-def gradients(y: np.ndarray, margin: np.ndarray, objective: str, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """First and second derivatives as whole multiples of 1 / scale."""
+def gradients(y: np.ndarray, margin: np.ndarray, objective: str, scale: float) -> tuple[np.ndarray, np.ndarray | float]:
+    """First and second derivatives as whole multiples of 1 / scale; one number where all rows have the same."""
     if objective == "logistic":
         q = 1.0 / (1.0 + np.exp(-margin))
-        g, h = q - y, np.maximum(q * (1.0 - q), 1e-16)
-    else:
-        g, h = margin - y, np.ones(len(y))
-    return np.rint(g * scale), np.rint(h * scale)
+        return np.rint((q - y) * scale), np.rint(np.maximum(q * (1.0 - q), 1e-16) * scale)
+    return np.rint((margin - y) * scale), float(np.rint(scale))
 
 
-def sums(bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, width: int) -> np.ndarray:
-    """[g or h, slot, feature, bin] sums of the rows with a slot."""
-    f = bins.shape[1]
-    out = np.zeros((2, slots * f * width))
-    for lo in range(0, len(bins), _CHUNK):
-        own = np.flatnonzero(slot[lo:lo + _CHUNK] >= 0) + lo
-        at = ((slot[own][:, None] * f + np.arange(f)) * width + bins[own]).ravel()
-        for k, v in enumerate((g, h)):
-            out[k] += np.bincount(at, np.repeat(v[own], f), out.shape[1])
-    return out.reshape(2, slots, f, width)
+def sums(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray | float, slots: int, width: int) -> np.ndarray:
+    """[g or h, slot, column, bin] sums of the rows with a slot; ``bins`` is [feature, row],
+    ``h`` one number if all rows have the same."""
+    out = np.zeros((2, slots, len(columns), width))
+    own = np.flatnonzero(slot >= 0)
+    if not len(own):
+        return out
+    first, size = slot[own].astype(np.intp) * width, slots * width
+    g, each = g[own], None if np.isscalar(h) else h[own]
+    for c, f in enumerate(columns):
+        at = first + bins[f][own]
+        out[0, :, c] = np.bincount(at, g, size).reshape(slots, width)
+        out[1, :, c] = (np.bincount(at, None, size) * h if each is None else np.bincount(at, each, size)).reshape(slots, width)
+    return out
 
 
 @dataclass
@@ -172,6 +194,8 @@ class Growth:
     tree: Tree = field(default_factory=Tree)
     active: list[int] = field(default_factory=lambda: [0])
     level: int = 0
+    parents: list[int] = field(default_factory=list)  # for each pair of active sisters the slot that they come from
+    left_lighter: list[bool] = field(default_factory=list)
 
     def slots(self) -> np.ndarray:
         """Slot of each node: its number among the active ones, or -1."""
@@ -179,10 +203,16 @@ class Growth:
         out[self.active] = np.arange(len(self.active))
         return out
 
+    def lighter(self) -> np.ndarray:
+        """For each active node below the root whether it is the lighter of its pair."""
+        left = np.array(self.left_lighter, bool)
+        return np.column_stack([left, ~left]).ravel()
+
     def grow(self, best: Mapping[int, tuple]) -> None:
         """Split the active nodes; ``best`` has for each slot with rows the node's sums and its
         best split: (g, h, gain, feature, bin, left g, left h), gain None without one."""
         p, t, below = self.job.params, self.tree, []
+        self.parents, self.left_lighter = [], []
         for slot, node in enumerate(self.active):
             g, h, gain, feature, at, left_g, left_h = best.get(slot, (0.0, 0.0, None, -1, 0, 0.0, 0.0))
             if node == 0:
@@ -195,6 +225,8 @@ class Growth:
                 t.feature.append(-1), t.bin.append(0), t.child.append(0), t.gain.append(0.0)
                 t.value.append(float(leaf(a, b, p)) * p.learning_rate)
             below += [child, child + 1]
+            self.parents.append(slot)
+            self.left_lighter.append(2 * left_h <= h)
         self.level += 1
         self.active = below if self.level < p.max_depth else []
 
@@ -219,20 +251,30 @@ def best_splits(table: np.ndarray, columns: np.ndarray, p: BoostParams, scale: f
 
 
 def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float) -> list[Tree]:
-    """All trees of a model whose rows are at hand."""
-    p, margin, trees = job.params, np.full(len(y), base), []
+    """All trees of a model whose rows are at hand; ``bins`` is [feature, row]."""
+    p, margin, trees, width = job.params, np.full(len(y), base), [], MAX_BINS + 1
+    parts = [slice(lo, lo + _CHUNK) for lo in range(0, len(y), _CHUNK)]
     for k in range(p.n_estimators):
-        g, h = gradients(y, margin, job.objective, scale)
-        mine, columns = sampled(key, p, k), tree_columns(job, bins.shape[1], k)
-        own = bins[:, columns]
-        growth, node = Growth(job, scale), np.zeros(len(y), np.int64)
+        columns, growth = tree_columns(job, len(bins), k), Growth(job, scale)
+        drawn = [(sampled(key[o], p, k), *gradients(y[o], margin[o], job.objective, scale)) for o in parts]
+        before = None  # sums of the level above, and for each pair its parent's slot
         while growth.active:
-            slot = np.where(mine, growth.slots()[node], -1)
-            growth.grow(best_splits(sums(own, slot, g, h, len(growth.active), MAX_BINS + 1), columns, p, scale))
-            feature, at, child, value = growth.tree.arrays()
-            f = feature[node]
-            node = np.where(f >= 0, child[node] + (bins[np.arange(len(node)), np.maximum(f, 0)] > at[node]), node)
-        margin = margin + np.array(growth.tree.value)[node]
+            # of two sisters the one with fewer rows is added up, the other is the rest of their parent
+            wanted = growth.slots()
+            if before is not None:
+                wanted[growth.active] = np.where(growth.lighter(), wanted[growth.active], -1)
+            table = np.zeros((2, len(growth.active), len(columns), width))
+            for o, (mine, g, h) in zip(parts, drawn):
+                slot = np.where(mine, wanted[growth.tree.nodes(bins[:, o])], -1)
+                table += sums(bins[:, o], columns, slot, g, h, len(growth.active), width)
+            if before is not None:
+                added = np.flatnonzero(growth.lighter())
+                table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
+            before = table
+            growth.grow(best_splits(table, columns, p, scale))
+        value = np.array(growth.tree.value)
+        for o in parts:
+            margin[o] += value[growth.tree.nodes(bins[:, o])]
         trees.append(growth.tree)
     return trees
 
@@ -277,18 +319,21 @@ _ARROW_FOREST = pa.schema([("model", pa.string()), ("objective", pa.string()), (
                            ("trees", pa.list_(pa.struct([("feature", pa.list_(pa.int32())), ("cut", pa.list_(pa.float64())), ("value", pa.list_(pa.float64()))])))])
 
 
-def _bins(column, features: int) -> np.ndarray:
-    """[row, feature] of a column of one byte a feature."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if not len(column):
-        return np.empty((0, features), np.uint8)
-    first = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
-    return np.frombuffer(column.buffers()[2], np.uint8)[first: first + len(column) * features].reshape(-1, features)
+_BLOCKS = "view int, n int, key binary, bins binary, y binary, margin binary"
+_ARROW_BLOCKS = pa.schema([("view", pa.int32()), ("n", pa.int32()), *((c, pa.binary()) for c in ("key", "bins", "y", "margin"))])
+
+
+def _block_row(view: int, key: np.ndarray, bins: np.ndarray, y: np.ndarray, margin: np.ndarray) -> dict:
+    """A block of rows of one view: key [row], bins [feature, row], y [label, row], margin [model, row]."""
+    return {"view": view, "n": len(key), **{c: np.ascontiguousarray(v).tobytes() for c, v in (("key", key), ("bins", bins), ("y", y), ("margin", margin))}}
 
 
-def _labels(column, k: int, n: int) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)[:, k]
+def _blocks(batch):
+    """(view, key, bins, y, margin) of each block."""
+    for r in batch.to_pylist():
+        n = r["n"]
+        yield (r["view"], np.frombuffer(r["key"], np.int64), np.frombuffer(r["bins"], np.uint8).reshape(-1, n),
+               np.frombuffer(r["y"]).reshape(-1, n), np.frombuffer(r["margin"]).reshape(-1, n))
 
 
 def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views: Mapping[str, Column], labels: Mapping[str, Column],
@@ -317,18 +362,34 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
 
     by_view = {i: cuts.get(v) for i, v in enumerate(view_names)}
 
-    def bin_rows(batches):
+    def blocks_of(batches):
+        held: dict[int, list] = {}
+
+        def cut(view: int, least: int):
+            key, x, y = (np.concatenate(v) for v in zip(*held[view]))
+            whole = len(key) // least * least
+            for lo in range(0, whole, BLOCK):
+                o = slice(lo, min(lo + BLOCK, whole))
+                bins = np.empty((n_features, len(key[o])), np.uint8)
+                for f, c in enumerate(by_view[view]):
+                    bins[f] = np.searchsorted(c, x[o, f], side="right")
+                yield pa.RecordBatch.from_pylist([_block_row(view, key[o], bins, y[o].T, np.empty(0))], schema=_ARROW_BLOCKS)
+            held[view] = [(key[whole:], x[whole:], y[whole:])]
+
         for batch in batches:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
-            view, out = batch.column("view").to_numpy(), np.empty(x.shape, np.uint8)
-            for v in np.unique(view):
+            n = batch.num_rows
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            y = batch.column("y").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
+            view, key = batch.column("view").to_numpy(), batch.column("key").to_numpy()
+            for v in np.unique(view).tolist():
                 own = view == v
-                for f, c in enumerate(by_view[int(v)]):
-                    out[own, f] = np.searchsorted(c, x[own, f], side="right")
-            data = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(0, out.size + 1, max(1, n_features), dtype=np.int32)), pa.py_buffer(out)])
-            yield pa.RecordBatch.from_arrays([batch.column("view"), batch.column("key"), data, batch.column("y")], names=["view", "key", "bins", "y"])
+                held.setdefault(v, []).append((key[own], x[own], y[own]))
+                if sum(len(k) for k, _, _ in held[v]) >= BLOCK:
+                    yield from cut(v, BLOCK)
+        for v in held:
+            yield from cut(v, 1)
 
-    binned = materialize(rows.mapInArrow(bin_rows, "view int, key long, bins binary, y array<double>"))
+    blocks = materialize(spread(base).select("key", "x", "y", F.explode("views").alias("view")).mapInArrow(blocks_of, _BLOCKS))
 
     plan: dict[int, tuple[Job, int, float, float, int]] = {}
     empty = []
@@ -346,61 +407,60 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     large = {i: v for i, v in plan.items() if i not in small}
     forests = df.sparkSession.createDataFrame(empty, FOREST)
     if small:
-        forests = forests.unionByName(_in_tasks(binned, small, view_names, cuts, n_features))
+        forests = forests.unionByName(_in_tasks(blocks, small, view_names, cuts, n_features))
     if large:
-        grown = _by_levels(binned, large, view_names, n_features)
+        grown = _by_levels(blocks, large, view_names, n_features)
         done = [_forest_row(job, start, n, grown[i], cuts[job.view]) for i, (job, _, start, _, n) in large.items()]
         forests = forests.unionByName(df.sparkSession.createDataFrame(done, FOREST))
     return materialize(forests)
 
 
-def _in_tasks(binned: DataFrame, plan, view_names, cuts, n_features) -> DataFrame:
+def _in_tasks(blocks: DataFrame, plan, view_names, cuts, n_features) -> DataFrame:
     """Each model in a task of its own, all at the same time."""
     models_of: dict[int, list[int]] = {}
     for i, (job, *_) in plan.items():
         models_of.setdefault(view_names.index(job.view), []).append(i)
     lists = F.create_map(*[x for v, own in models_of.items() for x in (F.lit(v), F.array(*map(F.lit, own)))])
-    rows = binned.filter(F.col("view").isin(list(models_of))).withColumn("model", F.explode(lists[F.col("view")]))
-
+    rows = blocks.filter(F.col("view").isin(list(models_of))).withColumn("model", F.explode(lists[F.col("view")]))
     def train(table: pa.Table) -> pa.Table:
         job, k, start, scale, n = plan[table["model"][0].as_py()]
-        y = _labels(table["y"], k, table.num_rows).astype(float)
-        has = ~np.isnan(y)
-        key, bins = table["key"].to_numpy(), _bins(table["bins"], n_features)
-        trees = grow_forest(key[has], bins[has], y[has], job, start, scale)
+        parts = []
+        for batch in table.to_batches():
+            for _, key, bins, y, _ in _blocks(batch):
+                has = ~np.isnan(y[k])
+                parts.append((key[has], bins[:, has], y[k][has]))
+        keys, bins, y = zip(*parts)
+        trees = grow_forest(np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y), job, start, scale)
         return pa.Table.from_pylist([_forest_row(job, start, n, trees, cuts[job.view])], schema=_ARROW_FOREST)
 
     return rows.groupBy("model").applyInArrow(train, FOREST)
 
 
-def _by_levels(binned: DataFrame, plan, view_names, n_features) -> dict[int, list[Tree]]:
-    """All models level by level; sums are grouped by (model, node, feature, bin)."""
-    spark = binned.sparkSession
+def _by_levels(blocks: DataFrame, plan, view_names, n_features) -> dict[int, list[Tree]]:
+    """All models level by level; sums are grouped by (model, node)."""
+    spark = blocks.sparkSession
     place: dict[int, tuple[int, int]] = {}  # model -> (view, position of its margin)
     start_of: dict[int, list[float]] = {}
     for i, (job, _, start, _, _) in plan.items():
         v = view_names.index(job.view)
         place[i] = (v, len(start_of.setdefault(v, [])))
         start_of[v].append(start)
-    lists = F.create_map(*[x for v, own in start_of.items() for x in (F.lit(v), F.array(*map(F.lit, own)))])
-    state = materialize(binned.filter(F.col("view").isin(list(start_of))).withColumn("margin", lists[F.col("view")]))
     trees: dict[int, list[Tree]] = {i: [] for i in plan}
     kept = 0  # trees that the written margins hold
 
-    def margins(bins, margin, recent, own):
+    def first_margins(batches):
+        for batch in batches:
+            rows = [_block_row(v, key, bins, y, np.repeat(start_of[v], len(key))) for v, key, bins, y, _ in _blocks(batch)]
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_BLOCKS)
+
+    state = materialize(blocks.filter(F.col("view").isin(list(start_of))).mapInArrow(first_margins, _BLOCKS))
+
+    def margins(bins, margin, recent):
         """Margins of one model's rows, with the trees that are not in the table yet."""
         for t in recent:
-            margin = margin + np.array(t.value)[t.nodes(bins, own.params.max_depth)]
+            margin = margin + np.array(t.value)[t.nodes(bins)]
         return margin
 
-    def each_view(batch):
-        view = batch.column("view").to_numpy()
-        for v in np.unique(view):
-            own = np.flatnonzero(view == v)
-            part = batch.take(pa.array(own))
-            m = part.column("margin").flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1)
-            yield int(v), own, part, _bins(part.column("bins"), n_features), m
-
     def level(k: int, under_way: dict[int, Growth]) -> dict[int, dict[int, tuple]]:
         recent = spark.sparkContext.broadcast({i: trees[i][kept:] for i in under_way})
         columns = {i: tree_columns(plan[i][0], n_features, k) for i in under_way}
@@ -408,43 +468,46 @@ def _by_levels(binned: DataFrame, plan, view_names, n_features) -> dict[int, lis
         def add_up(batches):
             total: dict[int, np.ndarray] = {}
             for batch in batches:
-                for v, _, part, bins, margin in each_view(batch):
+                for v, key, bins, ys, margin in _blocks(batch):
                     for i, growth in under_way.items():
                         if place[i][0] != v:
                             continue
                         job, label, _, scale, _ = plan[i]
-                        y = _labels(part.column("y"), label, len(bins)).astype(float)
-                        mine = sampled(part.column("key").to_numpy(), job.params, k) & ~np.isnan(y)
-                        at = margins(bins, margin[:, place[i][1]], recent.value[i], job)
-                        g, h = gradients(np.where(mine, y, 0.0), at, job.objective, scale)
-                        slot = np.where(mine, growth.slots()[growth.tree.nodes(bins, growth.level)], -1)
-                        own = sums(bins[:, columns[i]], slot, g, h, len(growth.active), MAX_BINS + 1)
+                        y = ys[label]
+                        mine = sampled(key, job.params, k) & ~np.isnan(y)
+                        g, h = gradients(np.where(mine, y, 0.0), margins(bins, margin[place[i][1]], recent.value[i]), job.objective, scale)
+                        slot = np.where(mine, growth.slots()[growth.tree.nodes(bins)], -1)
+                        own = sums(bins, columns[i], slot, g, h, len(growth.active), MAX_BINS + 1)
                         total[i] = total[i] + own if i in total else own
             for i, t in total.items():
-                slot, f, b = np.nonzero(t[1])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), i, np.int32)), pa.array(slot.astype(np.int32)), pa.array(columns[i][f].astype(np.int32)),
-                                                  pa.array(b.astype(np.int32)), pa.array(t[0][slot, f, b]), pa.array(t[1][slot, f, b])], names=["model", "slot", "feature", "bin", "g", "h"])
-
-        parts = state.mapInArrow(add_up, "model int, slot int, feature int, bin int, g double, h double")
-        found = _native_splits(parts.groupBy("model", "slot", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")), {i: (plan[i][0].params, plan[i][3]) for i in under_way})
+                some = np.flatnonzero(t[1].any(axis=(1, 2)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), i, np.int32)), pa.array(some.astype(np.int32)),
+                                                  pa.array([t[:, s].tobytes() for s in some], pa.binary())], names=["model", "slot", "sums"])
+
+        def pick(table: pa.Table) -> pa.Table:
+            i, slot = table["model"][0].as_py(), table["slot"][0].as_py()
+            whole = sum(np.frombuffer(s.as_py()) for s in table["sums"]).reshape(2, 1, len(columns[i]), -1)
+            names = ("g", "h", "gain", "feature", "bin", "lg", "lh")
+            row = dict(zip(names, best_splits(whole, columns[i], plan[i][0].params, plan[i][3])[0]))
+            return pa.Table.from_pylist([{"model": i, "slot": slot, **row}], schema=_ARROW_SPLITS)
+
+        parts = state.mapInArrow(add_up, "model int, slot int, sums binary")
         out: dict[int, dict[int, tuple]] = {i: {} for i in under_way}
-        for r in found.collect():  # one row a node of the level
-            b = r["best"]
-            out[r["model"]][r["slot"]] = (r["g"], r["h"], *((None, -1, 0, 0.0, 0.0) if b is None else (b["gain"], b["feature"], b["bin"], b["lg"], b["lh"])))
+        for r in parts.groupBy("model", "slot").applyInArrow(pick, _SPLITS).collect():  # one row a node of the level
+            out[r["model"]][r["slot"]] = (r["g"], r["h"], r["gain"], r["feature"], r["bin"], r["lg"], r["lh"])
         recent.unpersist()
         return out
 
     def with_margins(batches):
         for batch in batches:
-            fresh = [None] * batch.num_rows
-            for v, own, _, bins, margin in each_view(batch):
-                margin = margin.copy()
+            rows = []
+            for v, key, bins, y, margin in _blocks(batch):
+                fresh = np.array(margin)
                 for i, (at, col) in place.items():
                     if at == v:
-                        margin[:, col] = margins(bins, margin[:, col], trees[i][kept:], plan[i][0])
-                for j, row in zip(own.tolist(), margin.tolist()):
-                    fresh[j] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fresh, pa.list_(pa.float64()))], names=batch.schema.names)
+                        fresh[col] = margins(bins, fresh[col], trees[i][kept:])
+                rows.append(_block_row(v, key, bins, y, fresh))
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_BLOCKS)
 
     for k in range(max(job.params.n_estimators for job, *_ in plan.values())):
         growing = {i: Growth(v[0], v[3]) for i, v in plan.items() if k < v[0].params.n_estimators}
@@ -457,36 +520,14 @@ def _by_levels(binned: DataFrame, plan, view_names, n_features) -> dict[int, lis
         for i, growth in growing.items():
             trees[i].append(growth.tree)
         if k + 1 - kept >= KEEP:
-            state = materialize(state.mapInArrow(with_margins, state.schema))
+            state = materialize(state.mapInArrow(with_margins, _BLOCKS))
             kept = k + 1
     return trees
 
 
-def _native_splits(table: DataFrame, params: Mapping[int, tuple[BoostParams, float]]) -> DataFrame:
-    """Best split of every (model, slot) from the sums by (model, slot, feature, bin):
-    columns g, h (of the node) and best (gain, feature, bin, lg, lh; null without one)."""
-
-    def of(name: str) -> Column:
-        values = [x for i, (p, scale) in params.items() for x in (F.lit(i), F.lit(float(scale if name == "scale" else getattr(p, name))))]
-        return F.create_map(*values)[F.col("model")]
-
-    alpha, lam, step, least, scale = (of(n) for n in ("reg_alpha", "reg_lambda", "max_delta_step", "min_child_weight", "scale"))
-
-    def gained(g: Column, h: Column) -> Column:
-        w = F.when(h + lam > 0, -F.signum(g) * F.greatest(F.abs(g) - alpha, F.lit(0.0)) / (h + lam)).otherwise(F.lit(0.0))
-        w = F.when(step > 0, F.greatest(-step, F.least(step, w))).otherwise(w)
-        return -(2.0 * g * w + (h + lam) * w * w + 2.0 * alpha * F.abs(w))
-
-    left = Window.partitionBy("model", "slot", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most MAX_BINS + 1 rows
-    whole = Window.partitionBy("model", "slot", "feature")
-    rows = table.select("model", "slot", "feature", "bin", (F.sum("g").over(left) / scale).alias("lg"), (F.sum("h").over(left) / scale).alias("lh"),
-                        (F.sum("g").over(whole) / scale).alias("g"), (F.sum("h").over(whole) / scale).alias("h"))
-    rg, rh = F.col("g") - F.col("lg"), F.col("h") - F.col("lh")
-    ok = (F.col("lh") > 0) & (rh > 0) & (F.col("lh") >= least) & (rh >= least)
-    gain = F.when(ok, gained(F.col("lg"), F.col("lh")) + gained(rg, rh) - gained(F.col("g"), F.col("h")))
-    rows = rows.withColumn("gain", gain)
-    order = F.when(F.col("gain").isNotNull(), F.struct("gain", -F.col("feature"), -F.col("bin")))
-    return rows.groupBy("model", "slot").agg(F.max("g").alias("g"), F.max("h").alias("h"), F.max_by(F.struct("gain", "feature", "bin", "lg", "lh"), order).alias("best"))
+_SPLITS = "model int, slot int, g double, h double, gain double, feature int, bin int, lg double, lh double"
+_ARROW_SPLITS = pa.schema([("model", pa.int32()), ("slot", pa.int32()), ("g", pa.float64()), ("h", pa.float64()), ("gain", pa.float64()),
+                           ("feature", pa.int32()), ("bin", pa.int32()), ("lg", pa.float64()), ("lh", pa.float64())])
 
 
 # ---------------------------------------------------------------- forests as columns
@@ -519,3 +560,47 @@ def score_forests(df: DataFrame, forests: DataFrame, features: Sequence[str], mo
     rows = rows.withColumn(out, margin)
     chance = 1.0 / (1.0 + F.exp(-F.col(out)))
     return rows.withColumn(out, F.when(F.col("__forest.objective") == "logistic", chance).otherwise(F.col(out))).drop("__forest_key", "__forest_name", "__forest")
+
+
+def score_rows(df: DataFrame, forests: DataFrame, features: Sequence[str], model: Column, out: str) -> DataFrame:
+    """What ``score_forests`` gives, to the bit, with the trees walked by batches of rows in numpy (some
+    40 nanoseconds a tree and row); forests above ``BROADCAST_BYTES`` take the join of ``score_forests``."""
+    nodes = forests.agg(F.sum(F.aggregate("trees", F.lit(0).cast("long"), lambda n, t: n + F.size(t["value"])))).first()[0] or 0
+    if nodes * 20 > BROADCAST_BYTES or not features:
+        return score_forests(df, forests, features, model, out)
+    own, logistic = {}, []
+    for r in forests.select("model", "objective", "base", "depth", "trees").collect():  # bounded as above
+        trees = [(np.array(t["feature"], np.int32), np.array(t["cut"], float), np.array(t["value"], float)) for t in r["trees"]]
+        own[r["model"]] = (r["base"], r["depth"], trees)
+        logistic += [r["model"]] * (r["objective"] == "logistic")
+    shared = df.sparkSession.sparkContext.broadcast(own)
+
+    def margin(x: np.ndarray, name: str) -> np.ndarray:
+        base, depth, trees = shared.value[name]
+        total, rows = np.full(x.shape[1], base), np.arange(x.shape[1])
+        for feature, cut, value in trees:
+            node = np.zeros(x.shape[1], np.int64)
+            for _ in range(depth):
+                node = 2 * node + 2 - (x[feature[node], rows] < cut[node])
+            total += value[node - (2**depth - 1)]
+        return total
+
+    def score(key: pa.Array, *columns: pa.Array) -> pa.Array:
+        x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
+        total, scored, names = np.zeros(len(key)), np.zeros(len(key), bool), key.dictionary_encode()
+        at = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        for k, name in enumerate(names.dictionary.to_pylist()):
+            if name in shared.value:
+                mine = np.flatnonzero(at == k)
+                for lo in range(0, len(mine), _WALKED):
+                    own_rows = mine[lo: lo + _WALKED]
+                    total[own_rows] = margin(x[:, own_rows], name)
+                    scored[own_rows] = True
+        return pa.array(total, mask=~scored)
+
+    walked = F.arrow_udf(score, "double")
+    key = model.cast("string")
+    rows = spread(df).withColumn(out, walked(key, *[F.col(f).cast("double") for f in features]))
+    if not logistic:
+        return rows
+    return rows.withColumn(out, F.when(key.isin(logistic), 1.0 / (1.0 + F.exp(-F.col(out)))).otherwise(F.col(out)))

@@ -3,7 +3,7 @@
 Fits are jobs of ``boosting.fit_many``: one plan grows the shared model, the
 models of all segments and both stages at once.  A fitted model is a row of a
 written forest table; scoring is a column expression over it, so rows of all
-segments find their model by its name in one scan (``boosting.score_forests``).
+segments find their model by its name in one scan (``boosting.score_rows``).
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def _inverse(margin: str, log_target: bool) -> Column:
 
 def predict(model: Model, df: DataFrame, features: Sequence[str], out: str = "predicted_points") -> DataFrame:
     """M4: score and inverse target transform."""
-    scored = bo.score_forests(prepare(df, features), model.forests, features, F.lit(model.name), out)
+    scored = bo.score_rows(prepare(df, features), model.forests, features, F.lit(model.name), out)
     return scored.withColumn(out, _inverse(out, model.log_target))
 
 
@@ -144,7 +144,7 @@ def predict_variant(bundle, df: DataFrame, features: Sequence[str], out: str = "
         rest = m[None]
         known = [s for s in m if s is not None]
         name = F.coalesce(F.when(F.col(segment).isin(known), F.concat(F.lit(rest.name[:-len("all")] + "segment "), F.col(segment).cast("string"))), F.lit(rest.name))
-        scored = bo.score_forests(prepare(df, features), rest.forests, features, name, out)
+        scored = bo.score_rows(prepare(df, features), rest.forests, features, name, out)
         return scored.withColumn(out, _inverse(out, rest.log_target))
     if kind == "two_stage":
         chance, points = m
@@ -168,7 +168,7 @@ def predict_variants(bundles: Mapping, df: DataFrame, features: Sequence[str], o
             points, forests = F.when(mine, name).otherwise(points), m[None].forests
         else:
             points, forests = F.when(mine, F.lit(m.name)).otherwise(points), m.forests
-    rows = bo.score_forests(bo.score_forests(rows, forests, features, chance, "__chance"), forests, features, points, out)
+    rows = bo.score_rows(bo.score_rows(rows, forests, features, chance, "__chance"), forests, features, points, out)
     return rows.withColumn(out, signed_expm1(out) * F.coalesce(F.col("__chance"), F.lit(1.0))).drop("__chance")
 
 

@@ -90,7 +90,7 @@ def q_train_by_levels(spark, sf):
     forests = mo.fit_named(rows, feats, jobs, before, rows_in_task=0)
     named = rows.withColumn("model", F.explode(F.array(*map(F.lit, before))))
     named = named.filter(F.col("target_gameweek_id") > last - F.regexp_extract("model", r"\d+", 0).cast("int"))
-    scored = bo.score_forests(mo.prepare(named, feats), forests, feats, F.col("model"), "__m").withColumn("predicted_points", signed_expm1("__m"))
+    scored = bo.score_rows(mo.prepare(named, feats), forests, feats, F.col("model"), "__m").withColumn("predicted_points", signed_expm1("__m"))
     return round_doubles(mo.error_row(scored, by=["model", "target_gameweek_id"]))
 
 
@@ -195,7 +195,7 @@ def q_cv_mae(spark, sf):
     forests = mo.fit_named(tr, feats, [bo.Job(v, v, "points", PARAMS) for v in views], views)
     test = folds.filter("role = 'test'").select("fold", F.col("week").alias("target_gameweek_id"))
     rows = mo.prepare(tr, feats).join(F.broadcast(test), "target_gameweek_id")  # folds x periods rows
-    scored = bo.score_forests(rows, forests, feats, F.concat(F.lit("fold "), F.col("fold").cast("string")), "__m").withColumn("predicted_points", signed_expm1("__m"))
+    scored = bo.score_rows(rows, forests, feats, F.concat(F.lit("fold "), F.col("fold").cast("string")), "__m").withColumn("predicted_points", signed_expm1("__m"))
     w = Window.partitionBy()  # 5 fold rows
     return round_doubles(mo.error_row(scored, by=["fold"]).withColumns({"cv_mae_mean": F.avg("mae").over(w), "cv_mae_std": F.stddev_pop("mae").over(w)}))
 
@@ -212,7 +212,7 @@ def trial_results(m, params, feats):
 
     def scored(df):
         rows = mo.prepare(df, feats).withColumn("iteration", F.explode(F.array(*map(F.lit, own))))
-        rows = bo.score_forests(rows, forests, feats, F.concat(F.lit("trial "), F.col("iteration").cast("string")), "__m")
+        rows = bo.score_rows(rows, forests, feats, F.concat(F.lit("trial "), F.col("iteration").cast("string")), "__m")
         shrunk = (1.0 - of("shrinkage_alpha")) * signed_expm1("__m") + of("shrinkage_alpha") * F.col("__lm")
         return attach_row(rows, league).withColumn("predicted_points", shrunk).drop("__m", "__lm")
 
@@ -404,7 +404,7 @@ def q_pit_backfill_model(spark, sf):
     forests = mo.fit_named(panel, feats, [bo.Job(v, v, "points", PARAMS) for v in views], views)
     asof = ao.asof_latest(inference_rows(spark, sf).withColumns(raw), targets=periods)
     key = F.concat(F.lit("target "), F.col("target_gameweek_id").cast("string"))
-    scored = bo.score_forests(mo.prepare(asof, feats), forests, feats, key, "__m").withColumn("score", signed_expm1("__m")).drop("__m")
+    scored = bo.score_rows(mo.prepare(asof, feats), forests, feats, key, "__m").withColumn("score", signed_expm1("__m")).drop("__m")
     scored = materialize(scored)
     xi = sq.best_xi(sq.budgeted_squad(scored, ["target_gameweek_id"], "score"), ["target_gameweek_id"], "score")
     # What the models and the scored rows have seen, by target
