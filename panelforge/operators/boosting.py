@@ -417,13 +417,17 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
 
 def _in_tasks(blocks: DataFrame, plan, view_names, cuts, n_features) -> DataFrame:
     """Each model in a task of its own, all at the same time."""
+    # the longest first, the blocks dealt out by ranges of models: large models get a task each
+    order = sorted(plan, key=lambda i: -plan[i][4] * plan[i][0].params.n_estimators * plan[i][0].params.max_depth)
     models_of: dict[int, list[int]] = {}
-    for i, (job, *_) in plan.items():
-        models_of.setdefault(view_names.index(job.view), []).append(i)
+    for at, i in enumerate(order):
+        models_of.setdefault(view_names.index(plan[i][0].view), []).append(at)
     lists = F.create_map(*[x for v, own in models_of.items() for x in (F.lit(v), F.array(*map(F.lit, own)))])
     rows = blocks.filter(F.col("view").isin(list(models_of))).withColumn("model", F.explode(lists[F.col("view")]))
+    rows = rows.repartitionByRange(2 * len(plan), "model")
+
     def train(table: pa.Table) -> pa.Table:
-        job, k, start, scale, n = plan[table["model"][0].as_py()]
+        job, k, start, scale, n = plan[order[table["model"][0].as_py()]]
         parts = []
         for batch in table.to_batches():
             for _, key, bins, y, _ in _blocks(batch):
