@@ -8,14 +8,14 @@ is later than every register's.  Two documents agree in a register with the
 probability Jaccard similarity of their weights.
 
 Sketches are cut into bands; documents that agree in a band share a bucket.
-Inside a bucket nobody is compared with everybody: in the first few bands each
-member meets its bucket's smallest id, then in all bands the smallest and the
-largest where they are not linked yet.  Buckets that the verified links leave
-in several components are met again, first whole, then divided by more and more
-registers: members meet the one that has most company in all its buckets (a
-text in the middle of its likes) and a random one, and in parts of at most
-``SMALL`` members each other.  So candidates grow with the members, never with
-their square; a group may lose a text whose only partner is none of those.
+In the first few bands each member meets its bucket's smallest id, then in all bands
+the smallest and the largest where they are not linked yet: that links nearly all.
+Members of buckets that are still in several components are compared with
+all members of the others, in blocks of bounded size (``_pairs_of_blocks``): first by their
+sketches, which leaves a forest of candidates, then each tree of that forest by its
+texts, which leaves a forest of links.  So no pair that shares a bucket is left out,
+and what leaves the tasks grows with the members; the comparisons alone grow with the square of
+texts that share a bucket without being linked.
 Candidates whose registers agree too rarely are dropped (4.5 standard
 deviations), the rest is verified on the exact probability Jaccard of the texts.
 Copies of one word sequence count as one document throughout, so thousands of
@@ -33,7 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import fresh, id_text, only_ids, small_batches
@@ -46,8 +46,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 7
 REGISTERS = BANDS * ROWS
 FIRST_BANDS = 8
-#: Registers that divide buckets further, by rounds; parts of at most SMALL members are compared in full.
-MEETINGS, SMALL = ((0,), (3, 7, 14)), 8
+#: Members of a block that are compared by sketches, and by texts.
+SKETCHES, TEXTS = 2048, 256
+#: Shingles that a task keeps weighed at once (16 bytes each).
+WEIGHED = 4_000_000
 #: Share of equal registers below which a candidate can't reach the threshold.
 ESTIMATE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 
@@ -99,7 +101,7 @@ def probminhash(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int,
 def _features(batches):
     for batch in batches:
         texts = batch.column("text")
-        for lo, hi, data, offsets in slices(texts, 1 << 20):
+        for lo, hi, data, offsets in slices(texts, 1 << 18):
             rows = hi - lo
             w = words_of(data, offsets)
             n_words = np.bincount(w.row, minlength=rows)
@@ -203,8 +205,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     text = id_text(docs, id_col, text_col).withColumn("text", F.lower("text"))
     features = materialize(text.mapInArrow(_features, _FEATURES))
     classes = materialize(features.where("not blank").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
-    reps = materialize(features.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-                       .where(F.size("bands") > 0).dropDuplicates(["id"]).select("id", "bands", "sketch"))
+    reps = materialize(only_ids(features.where(F.size("bands") > 0), classes.select(F.col("rep").alias("id"))).select("id", "bands", "sketch"))
     sketches = reps.select("id", "sketch")
     banded = reps.select("id", F.posexplode("bands").alias("k", "band"))
     buckets = materialize(banded.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).where("lo < hi"))
@@ -225,14 +226,13 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> Da
     found = components(links)
     links = links.union(verified(materialize(with_sketch(_hubs(members, found)))))
     found = components(links)
-    for extras in MEETINGS:
-        apart = _apart(members.where("n > 3"), found, sketches)
-        if apart.isEmpty():
-            break
-        more = verified(materialize(with_sketch(_meetings(apart, extras))))
-        if not more.isEmpty():
-            links = links.union(more)
-            found = components(links)
+    apart = _apart(members.where("n > 3"), found)  # of up to three members the smallest and the largest have met all
+    if not apart.isEmpty():
+        near = components(materialize(_sketched(_pairs_of_blocks(apart, SKETCHES), sketches)))
+        named = _component(near.toDF("id", "group"), found, "id", "c")
+        own = materialize(only_ids(text, near.select("id")))
+        links = links.union(materialize(_compared(_pairs_of_blocks(named, TEXTS), sketches, own, threshold)))
+        found = components(links)
     group = classes.join(found.toDF("rep", "component"), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("g"))
     labelled = features.where("not blank").select("id", "k1", "k2").join(materialize(group), ["k1", "k2"]).select("id", "g")
     return labelled.select("id", "g", F.lit(False).alias("blank")).union(features.where("blank").select("id", "id", F.lit(True)))
@@ -256,31 +256,115 @@ def _hubs(members: DataFrame, found: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.array_compact(F.array(low, high))).alias("p")).select("p.*").distinct()
 
 
-def _apart(members: DataFrame, found: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(k, band, id, c, weight, sketch) of the buckets that the links have left in several components;
-    ``weight``, the members of all buckets of the id, is the higher the nearer a text is to the middle of its likes."""
-    rows = materialize(_component(members.select("k", "band", "id", "n"), found, "id", "c"))
-    open_ = materialize(rows.groupBy("band").agg(F.min("c").alias("c"), F.max("c").alias("d")).where("c < d").select("band"))
-    weight = rows.groupBy("id").agg(F.sum("n").alias("weight"))
-    left = rows.join(open_, "band", "left_semi").drop("n")
-    return materialize(left.join(weight, "id").join(sketches, "id"))
-
-
-def _meetings(rows: DataFrame, extras: tuple[int, ...]) -> DataFrame:
-    """Candidates of buckets divided by so many more registers: all members meet the bucket's
-    heaviest and one random member, those of at most ``SMALL`` members meet each other."""
-    twice = F.concat("sketch", "sketch")
-    key = F.explode(F.array(*[F.xxhash64(F.lit(e), "band", F.slice(twice, (F.col("k") + 1) * ROWS + 1, e)) for e in extras])).alias("key")
-    at = materialize(rows.select("id", "c", "weight", key))
-    order = {"mid": F.struct("weight", "id", "c"), "any": F.struct(F.xxhash64("id", "key").alias("draw"), "id", "c")}
-    buckets = materialize(at.groupBy("key").agg(*[F.max(v).alias(k) for k, v in order.items()], F.min("c").alias("first"), F.max("c").alias("last"), F.count("*").alias("n"))
-                          .where("first < last").select("key", "n", *[F.struct(f"{k}.id", f"{k}.c").alias(k) for k in order]))
-    at = at.join(buckets, "key")
-    met = at.select(F.explode(F.array_compact(F.array(*[F.when(F.col(f"{h}.c") != F.col("c"), _pair(F.col(f"{h}.id"), F.col("id"))) for h in order]))).alias("p")).select("p.*")
-    few = materialize(at.where(F.col("n") <= SMALL).select("key", "id", "c"))
-    x, y = few.alias("x"), few.alias("y")
-    each = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    return met.union(each).distinct()
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(group, id, c) of the buckets that the links have left in several components."""
+    rows = materialize(_component(members.select(F.col("band").alias("group"), "id"), found, "id", "c"))
+    open_ = rows.groupBy("group").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("group")
+    return materialize(rows.join(open_, "group", "left_semi"))
+
+
+def _pairs_of_blocks(rows: DataFrame, size: int) -> DataFrame:
+    """(group, i, j, block, id, c): the members of ``rows`` (group, id, c) in blocks of ``size``, for
+    every two blocks i <= j of a group both together, unless all are of one component."""
+    order = Window.partitionBy("group").orderBy("c", "id")
+    dealt = materialize(rows.withColumn("block", ((F.row_number().over(order) - 1) / size).cast("int")))
+    blocks = materialize(dealt.groupBy("group", "block").agg(F.min("c").alias("least"), F.max("c").alias("most")))
+    i, j = (blocks.select("group", *[F.col(c).alias(f"{k}_{c}") for c in ("block", "least", "most")]) for k in "ij")
+    pairs = i.join(j, "group").where("i_block <= j_block AND least(i_least, j_least) < greatest(i_most, j_most)")
+    sides = pairs.select("group", F.col("i_block").alias("i"), F.col("j_block").alias("j"), F.explode(F.array_distinct(F.array("i_block", "j_block"))).alias("block"))
+    return dealt.join(sides, ["group", "block"])
+
+
+def _by_work(rows: DataFrame) -> DataFrame:
+    """The rows of each pair of blocks in a row in one partition."""
+    return rows.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "block")
+
+
+def _works(batches):
+    """The tables of the pairs of blocks, from batches in which their rows follow each other."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        work = np.stack([batch.column(c).to_numpy() for c in ("group", "i", "j")])
+        new = np.flatnonzero((work[:, 1:] != work[:, :-1]).any(0)) + 1
+        for lo, hi in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
+            if held and tuple(work[:, lo]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = tuple(work[:, lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _candidates(table: pa.Table):
+    """(row, its candidates): rows of other components whose sketches are alike; of two blocks one row of each."""
+    sketch = table["sketch"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, REGISTERS)
+    c, block = table["c"].to_numpy(), table["block"].to_numpy()
+    for a in range(table.num_rows - 1):
+        other = np.flatnonzero((c[a + 1:] != c[a]) & ((block[a + 1:] != block[a]) | (block[0] == block[-1]))) + a + 1
+        if len(other):
+            yield a, other[(sketch[other] == sketch[a]).sum(1) >= int(ESTIMATE * REGISTERS)].tolist()
+
+
+class _Forest(dict):
+    """Disjoint sets."""
+
+    def top(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = self.get(up, up)
+            x = up
+        return x
+
+
+def _edges(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _sketched(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links (a, b) under which all candidates of the blocks hang together."""
+
+    def compare(batches):
+        for table in _works(batches):
+            ids, forest, found = table["id"].to_pylist(), _Forest(), []
+            for a, others in _candidates(table):
+                for b in others:
+                    x, y = forest.top(a), forest.top(b)
+                    if x != y:
+                        forest[x] = y
+                        found.append((ids[a], ids[b]))
+            if found:
+                yield _edges(found)
+
+    return _by_work(rows.join(sketches, "id")).mapInArrow(compare, "a long, b long")
+
+
+def _compared(rows: DataFrame, sketches: DataFrame, text: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of the candidates that reach the threshold, where the components are not linked by others."""
+
+    def compare(batches):
+        for table in _works(batches):
+            ids, c, forest, found = table["id"].to_pylist(), table["c"].to_pylist(), _Forest(), []
+            texts, weighed, held = table["text"], {}, 0
+            for a, others in _candidates(table):
+                for b in others:
+                    x, y = forest.top(c[a]), forest.top(c[b])
+                    if x == y:
+                        continue
+                    for k in (a, b):
+                        if k not in weighed:
+                            if held > WEIGHED:
+                                weighed, held = {k: v for k, v in weighed.items() if k == a}, 0
+                            weighed[k] = _weights(texts[k].as_py())
+                            held += len(weighed[k][0])
+                    if probability_jaccard(weighed[a], weighed[b]) >= threshold - 1e-9:
+                        forest[x] = y
+                        found.append((ids[a], ids[b]))
+            if found:
+                yield _edges(found)
+
+    return _by_work(rows.join(sketches, "id").join(text, "id")).mapInArrow(compare, "a long, b long")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
