@@ -51,7 +51,11 @@ KEEP = 10
 #: Bytes of a forest table that are broadcast at most; beyond it the plain join runs.
 BROADCAST_BYTES = 64 << 20
 LEAST_GAIN = 1e-6
-_CHUNK = 1 << 15
+_CHUNK = 1 << 19
+#: Codes of a group of features that are added up together (a table of them and of a level's nodes stays in a core's cache).
+_CELLS = 65 * 65
+#: Split nodes of a level up to which all its conditions are taken for all rows.
+_FLAT_LEVEL = 32
 _WALKED = 1 << 13
 #: Nodes up to which all conditions of a tree are taken for all rows; deeper trees are walked.
 _FLAT_NODES = 256
@@ -169,19 +173,27 @@ def gradients(y: np.ndarray, margin: np.ndarray, objective: str, scale: float) -
     return np.rint((margin - y) * scale), float(np.rint(scale))
 
 
-def sums(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray | float, slots: int, width: int) -> np.ndarray:
+def sums(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray | float, slots: int, width: int, groups=None) -> np.ndarray:
     """[g or h, slot, column, bin] sums of the rows with a slot; ``bins`` is [feature, row],
-    ``h`` one number if all rows have the same."""
+    ``h`` one number if all rows have the same, ``groups`` what ``packed`` gives for these rows, if known:
+    the rows are then added up once a group, not once a feature."""
     out = np.zeros((2, slots, len(columns), width))
     own = np.flatnonzero(slot >= 0)
     if not len(own):
         return out
-    first, size = slot[own].astype(np.intp) * width, slots * width
-    g, each = g[own], None if np.isscalar(h) else h[own]
-    for c, f in enumerate(columns):
-        at = first + bins[f][own]
-        out[0, :, c] = np.bincount(at, g, size).reshape(slots, width)
-        out[1, :, c] = (np.bincount(at, None, size) * h if each is None else np.bincount(at, each, size)).reshape(slots, width)
+    first, g, each = slot[own].astype(np.intp), g[own], None if np.isscalar(h) else h[own]
+    place = {int(f): c for c, f in enumerate(columns)}
+    for features, widths, code in groups or [([f], [width], bins[f]) for f in place]:
+        if place.keys().isdisjoint(features):
+            continue
+        cells = math.prod(widths)
+        at, size = first * cells + code[own], slots * cells
+        whole = np.bincount(at, g, size), np.bincount(at, None, size) * h if each is None else np.bincount(at, each, size)
+        for one, table in zip(out, whole):
+            table = table.reshape(slots, *widths)
+            for k, f in enumerate(features):
+                if f in place:
+                    one[:, place[f], : widths[k]] = table.sum(axis=tuple(1 + j for j in range(len(features)) if j != k))
     return out
 
 
@@ -250,31 +262,75 @@ def best_splits(table: np.ndarray, columns: np.ndarray, p: BoostParams, scale: f
     return out
 
 
+def packed(bins: np.ndarray) -> list[tuple[list[int], list[int], np.ndarray]]:
+    """(features, their numbers of bins, code) of groups of features that are added up together: a row's
+    code names its bins of all features of the group, at most ``_CELLS`` codes a group."""
+    width = bins.max(axis=1, initial=0).astype(int) + 1
+    groups: list[list[int]] = []
+    cells: list[int] = []
+    for f in np.argsort(-width, kind="stable").tolist():
+        k = next((k for k, c in enumerate(cells) if c * width[f] <= _CELLS), len(cells))
+        if k == len(cells):
+            groups.append([])
+            cells.append(1)
+        groups[k].append(f)
+        cells[k] *= int(width[f])
+    out = []
+    for own in groups:
+        code = np.zeros(bins.shape[1], np.uint16)
+        for f in own:
+            code *= np.uint16(width[f])
+            code += bins[f]
+        out.append((own, width[own].tolist(), code))
+    return out
+
+
+def _stepped(node: np.ndarray, bins: np.ndarray, tree: Tree, level: Sequence[int]) -> None:
+    """Move rows at split nodes of ``level`` to the child that they belong to."""
+    split = [k for k in level if tree.feature[k] >= 0]
+    if len(split) > _FLAT_LEVEL:
+        feature, at, child, _ = tree.arrays()
+        rows = np.flatnonzero((feature >= 0)[node])
+        k = node[rows]
+        node[rows] = child[k] + (bins[feature[k], rows] > at[k])
+        return
+    before, kind = node.copy(), node.dtype.type
+    number = lambda yes: yes.view(np.uint8) if kind is np.uint8 else yes.astype(kind)
+    for k in split:
+        step = number(bins[tree.feature[k]] > tree.bin[k])
+        step += kind(tree.child[k] - k)
+        step *= number(before == kind(k))
+        node += step
+
+
 def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float) -> list[Tree]:
     """All trees of a model whose rows are at hand; ``bins`` is [feature, row]."""
     p, margin, trees, width = job.params, np.full(len(y), base), [], MAX_BINS + 1
     parts = [slice(lo, lo + _CHUNK) for lo in range(0, len(y), _CHUNK)]
+    groups = packed(bins)
+    kind = np.uint8 if 2 ** (p.max_depth + 1) - 1 <= 256 else np.int32
     for k in range(p.n_estimators):
-        columns, growth = tree_columns(job, len(bins), k), Growth(job, scale)
+        columns, growth, node = tree_columns(job, len(bins), k), Growth(job, scale), np.zeros(len(y), kind)
         drawn = [(sampled(key[o], p, k), *gradients(y[o], margin[o], job.objective, scale)) for o in parts]
         before = None  # sums of the level above, and for each pair its parent's slot
         while growth.active:
             # of two sisters the one with fewer rows is added up, the other is the rest of their parent
-            wanted = growth.slots()
-            if before is not None:
-                wanted[growth.active] = np.where(growth.lighter(), wanted[growth.active], -1)
+            added = np.arange(1) if before is None else np.flatnonzero(growth.lighter())
+            slot_of = np.full(len(growth.tree.feature), -1, np.int16)
+            slot_of[np.array(growth.active)[added]] = np.arange(len(added))
             table = np.zeros((2, len(growth.active), len(columns), width))
             for o, (mine, g, h) in zip(parts, drawn):
-                slot = np.where(mine, wanted[growth.tree.nodes(bins[:, o])], -1)
-                table += sums(bins[:, o], columns, slot, g, h, len(growth.active), width)
+                slot = np.where(mine, slot_of[node[o]], np.int16(-1))
+                table[:, added] += sums(bins[:, o], columns, slot, g, h, len(added), width, [(f, w, code[o]) for f, w, code in groups])
             if before is not None:
-                added = np.flatnonzero(growth.lighter())
                 table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
-            before = table
+            before, level = table, growth.active
             growth.grow(best_splits(table, columns, p, scale))
+            for o in parts:
+                _stepped(node[o], bins[:, o], growth.tree, level)
         value = np.array(growth.tree.value)
         for o in parts:
-            margin[o] += value[growth.tree.nodes(bins[:, o])]
+            margin[o] += value[node[o]]
         trees.append(growth.tree)
     return trees
 
@@ -432,7 +488,7 @@ def _in_tasks(blocks: DataFrame, plan, view_names, cuts, n_features) -> DataFram
         for batch in table.to_batches():
             for _, key, bins, y, _ in _blocks(batch):
                 has = ~np.isnan(y[k])
-                parts.append((key[has], bins[:, has], y[k][has]))
+                parts.append((key[has], bins.compress(has, axis=1), y[k][has]))  # rows of a feature together
         keys, bins, y = zip(*parts)
         trees = grow_forest(np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y), job, start, scale)
         return pa.Table.from_pylist([_forest_row(job, start, n, trees, cuts[job.view])], schema=_ARROW_FOREST)

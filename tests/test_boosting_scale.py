@@ -40,3 +40,32 @@ def test_views_of_several_blocks_grow_the_same_trees_in_both_forms(spark):
     jobs = [bo.Job(v, v, "y", bo.BoostParams(n_estimators=2, max_depth=3)) for v in views]
     forests = [{r.model: r for r in bo.fit_many(df, FEATURES, jobs, views, {"y": F.col("y")}, key=["k"], rows_in_task=n).collect()} for n in (bo.ROWS_IN_TASK, 0)]
     assert forests[0] == forests[1] and all(any(c < float("inf") for c in t.cut) for r in forests[0].values() for t in r.trees)
+
+
+def test_features_added_up_together_give_the_same_sums():
+    rng = np.random.default_rng(3)
+    bins = np.stack([rng.integers(0, w, 900) for w in (65, 1, 3, 64, 2, 65, 1, 40)]).astype(np.uint8)
+    groups = bo.packed(bins)
+    assert sorted(f for own, _, _ in groups for f in own) == list(range(8)) and len(groups) < 8
+    columns, slot, g = np.array([0, 1, 2, 5, 7]), rng.integers(-1, 4, 900), rng.integers(-99, 99, 900).astype(float)
+    for h in (8.0, rng.integers(1, 9, 900).astype(float)):
+        assert (bo.sums(bins, columns, slot, g, h, 4, 65, groups) == bo.sums(bins, columns, slot, g, h, 4, 65)).all()
+
+
+def test_rows_move_to_the_child_that_a_walk_gives():
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 64, (6, 2000)).astype(np.uint8)
+    for depth, kind in ((5, np.uint8), (9, np.int32)):
+        tree, node, level = bo.Tree(), np.zeros(2000, kind), [0]
+        for _ in range(depth):
+            below = []
+            for k in level:
+                if rng.random() < 0.9:
+                    child = len(tree.feature)
+                    tree.feature[k], tree.bin[k], tree.child[k] = int(rng.integers(6)), int(rng.integers(64)), child
+                    for column, v in ((tree.feature, -1), (tree.bin, 0), (tree.child, 0), (tree.value, 0.0), (tree.gain, 0.0)):
+                        column += [v, v]
+                    below += [child, child + 1]
+            bo._stepped(node, bins, tree, level)
+            level = below
+        assert (node == tree._walked(bins)).all()
