@@ -9,7 +9,7 @@ with set operations:
   filter, so Spark applies a partial (map-side) group limit before the
   shuffle and a huge group never ships all of its rows to one task;
 * ``budgeted_squad`` (O3): a grid of cost penalties lambda (score - lambda *
-  cost) is exploded per row (no join), O2 runs per (group, lambda), and the
+  cost) is exploded per row that some penalty can pick (``undominated``; no join), O2 runs per (group, lambda), and the
   feasible lambda (full quotas, cost <= budget) with the best total score wins -
   a Lagrangian heuristic, exact when lambda = 0 is feasible; groups for which
   the grid finds nothing are solved by cheapest flows with a bisected penalty;
@@ -45,6 +45,8 @@ class SquadRules:
     max_transfers: int = 15
 
 
+#: Shares of a group's entities that are looked through by themselves before the group is.
+SALTS = 16
 # Cost penalty grid for the budget search (points per unit of cost).
 LAMBDA_GRID = tuple(round(0.05 * i, 2) for i in range(0, 41))
 
@@ -95,7 +97,8 @@ def budgeted_squad(df: DataFrame, group: Sequence[str], score: str, cost: str =
     """
     group = list(group)
     cols = df.columns
-    lam = df.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in grid])))
+    near = undominated(df, group, score, cost, rules.max_per_team, max(grid), entity, team) if min(grid) >= 0 else df
+    lam = near.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in grid])))
     lam = lam.withColumn("__adj", F.col(score) - F.col("lam") * F.col(cost))
     sq = quota_topk(lam, [*group, "lam"], "__adj", rules, entity, team, segment)
     per = sq.groupBy(*group, "lam").agg(
@@ -113,6 +116,31 @@ def budgeted_squad(df: DataFrame, group: Sequence[str], score: str, cost: str =
     return found.unionByName(_legal_squads(df.join(missing, group, "left_semi"), group, score, cost, rules, entity, team, segment))
 
 
+def undominated(df: DataFrame, group: Sequence[str], score: str, cost: str, k: int, most: float, entity: str = "player_id", team: str = "team_id",
+                salts: int = SALTS) -> DataFrame:
+    """``df`` without rows that are not among the best ``k`` of their (group, team) by score - lam * cost (ties:
+    entity asc) for any lam from 0 to ``most``: ``k`` others score more and cost no more, or have the same score and
+    cost and come before.  Scores that differ by rounding only are kept.  First within shares of the entities, so no
+    task gets a whole group, then among what is left."""
+    s, c = F.col(score).cast("double"), F.col(cost).cast("double")
+    endless = F.lit(float("inf"))
+    # 0: numbers; a null or NaN makes the same of every penalty; infinite ones are only compared with their likes
+    kind = F.when(s.isNull() | c.isNull(), 1).when(F.isnan(s) | F.isnan(c), 2).when((F.abs(s) == endless) | (F.abs(c) == endless), 3).otherwise(0)
+    rows = df.withColumns({"__kind": kind, "__salt": F.pmod(F.xxhash64(entity), F.lit(salts))})
+    rows = rows.withColumns({"__s": F.when(F.col("__kind").isin(0, 3), s), "__c": F.when(F.col("__kind").isin(0, 3), c)})
+    for parts in ([*group, team, "__kind", "__salt"], [*group, team, "__kind"]):
+        rows = topk(rows, [*parts, "__c", "__s"], [F.col(entity).asc()], k, "__same").drop("__same")
+        cheaper = Window.partitionBy(*parts).orderBy(F.col("__c").asc(), F.col("__s").desc(), F.col(entity).asc()).rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("__left", F.col("__s"))
+        for _ in range(k - 1):
+            # those above all cheaper ones make a layer; the best of the k-th layer has k - 1 others above it
+            rows = rows.withColumn("__top", F.max("__left").over(cheaper)).withColumn("__left", F.when(F.col("__left") <= F.col("__top"), F.col("__left")))
+        rows = rows.withColumn("__top", F.max("__left").over(cheaper))
+        slack = 1e-12 * (1.0 + F.abs("__s") + most * F.abs("__c"))
+        rows = rows.where((F.col("__kind") != 0) | F.col("__top").isNull() | (F.col("__s") + slack > F.col("__top")))
+    return rows.select(*df.columns)
+
+
 def _legal_squads(df: DataFrame, group: list[str], score: str, cost: str, rules: SquadRules, entity: str, team: str, segment: str) -> DataFrame:
     """Squads of groups that the grid leaves empty: legal squads are flows from
     segments to teams, so for any penalty the best one is a cheapest flow; the

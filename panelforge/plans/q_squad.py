@@ -23,9 +23,9 @@ def candidates(spark, sf):
                     F.col("predicted_points").alias("score"), F.col(ACT).alias("actual"))
 
 
-def picked(spark, sf, score="score"):
+def picked(spark, sf, score="score", c=None):
     """Budgeted squad + XI + captain per period (materialised: many consumers)."""
-    c = candidates(spark, sf)
+    c = candidates(spark, sf) if c is None else c
     squad = sq.budgeted_squad(c, [G], score)
     return materialize(sq.best_xi(squad, [G], score))
 
@@ -220,8 +220,9 @@ FROM sel s JOIN orc o ON o.g = s.g""",
     ),
 )
 def q_regret(spark, sf):
-    sel = picked(spark, sf, "score")
-    orc = picked(spark, sf, "actual")
+    c = materialize(candidates(spark, sf))
+    sel = picked(spark, sf, "score", c)
+    orc = picked(spark, sf, "actual", c)
 
     def tot(df, col):
         return F.sum(F.when(F.col("is_starter"), F.col(col)).otherwise(0.0)) + F.sum(

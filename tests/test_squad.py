@@ -90,3 +90,21 @@ def test_cheapest_flow_equals_brute_force():
                 best = w if best is None else min(best, w)
         got = sq._cheapest_flow([r[2] for r in rows], [r[0] for r in rows], [r[1] for r in rows], rules)
         assert (not got) if best is None else abs(sum(rows[i][2] for i in got) - best) < 1e-9
+
+
+def test_penalties_pick_the_same_rows_without_dominated_ones(spark):
+    rnd = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+    odd = [None, nan, inf, -inf]
+    rows = [(g, p, p % 4 + 1, rnd.randrange(3), rnd.choice([4.0, 4.5, 5.0, rnd.random() * 9]), rnd.choice([1.0, 2.0, rnd.random() * 8])) for g in range(2) for p in range(400)]
+    rows += [(2, p, p % 4 + 1, 0, *(rnd.choice([5.0, *odd]) for _ in range(2))) for p in range(60)]
+    rows += rows[:20]  # repeated rows
+    df = spark.createDataFrame(rows, "g int, player_id int, position_id int, team_id int, now_cost double, score double").repartition(4)
+    near = sq.undominated(df, ["g"], "score", "now_cost", 3, max(sq.LAMBDA_GRID), salts=4)
+    assert near.columns == df.columns and near.count() < len(rows) / 4
+
+    def picked(d):
+        d = d.withColumn("lam", F.explode(F.array(*map(F.lit, sq.LAMBDA_GRID)))).withColumn("adj", F.col("score") - F.col("lam") * F.col("now_cost"))
+        return sorted(map(str, sq.quota_topk(d, ["g", "lam"], "adj").collect()))
+
+    assert picked(near) == picked(df)
