@@ -179,34 +179,42 @@ _BACKSLASH, _QUOTE = "\ufdd1", "\ufdd2"
 def redact_json_deep(col: Column, patterns=SENSITIVE_KEY_PATTERN) -> Column:
     """P31, full depth: the value under a sensitive key goes as a whole, whatever
     is nested in it.  Native: VARIANT brings the text into one form (no spaces, plain
-    escapes), it is cut into tokens, a fold over them keeps the depth and notes
-    the token ranges under sensitive keys, and the rest is joined again.  Text
+    escapes), it is cut into brackets, sensitive keys and runs of anything between them, a fold
+    over these keeps the depth and notes the ranges under sensitive keys, and the rest is joined again.  Text
     that is no JSON (or repeats a key) can't be trusted to hold no secret: it
     goes as a whole; what stands behind a whole value is dropped."""
-    plain = F.to_json(F.try_parse_json(col))
-    text = F.replace(F.replace(plain, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    tokens = F.regexp_extract_all(text, F.lit(r'"[^"]*+"|[{}\[\],:]|[^{}\[\],:"]++'), F.lit(0))
-    sensitive = lambda t: F.upper(t).rlike("|".join(p.upper() for p in patterns))
+    cut = lambda plain: F.replace(F.replace(plain, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    # a token: a bracket, a key that may be sensitive with its colon and plain value, or a run of anything else
+    words = "|".join(p.lower() for p in patterns)
+    key = rf'"(?=[^"]*?(?:(?i:{words})|[^\x00-\x7f]))[^"]*+":'
+    run = rf'(?:[^"{{}}\[\]]++|(?!{key})"[^"]*+"){{1,1000}}+'
+    tokens = lambda plain: F.regexp_extract_all(cut(plain), F.lit(rf'{run}|[{{}}\[\]]|{key}(?:"[^"]*+"|[^"{{}}\[\],]++)?'), F.lit(0))
+    sensitive = lambda t: F.upper(F.regexp_extract(t, r'^"[^"]*+"(?=:)', 0)).rlike("|".join(p.upper() for p in patterns))
     empty = F.array().cast("array<struct<lo: int, hi: int>>")
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(-1).alias("lo"), F.lit(0).alias("floor"), F.lit("").alias("last"), empty.alias("cuts"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(-1).alias("lo"), F.lit(0).alias("floor"), empty.alias("cuts"))
 
     def step(s: Column, t: Column) -> Column:
         depth = s["depth"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0)
-        # the token behind a sensitive key's colon begins a range, which ends where the depth is back
-        begins = (s["lo"] < 0) & (t == ":") & s["last"].startswith('"') & sensitive(s["last"])
-        inside = (s["lo"] >= 0) & (s["at"] >= s["lo"])
-        ends = inside & (depth == s["floor"])
+        # the bracket behind a sensitive key begins a range, which ends where the depth is back
+        begins = (s["lo"] < 0) & t.endswith('":') & sensitive(t)
+        ends = (s["lo"] >= 0) & (s["at"] >= s["lo"]) & (depth == s["floor"])
         return F.struct((s["at"] + 1).alias("at"), depth.alias("depth"), F.when(begins, s["at"] + 1).when(ends, F.lit(-1)).otherwise(s["lo"]).alias("lo"),
-                        F.when(begins, s["depth"]).otherwise(s["floor"]).alias("floor"), t.alias("last"),
+                        F.when(begins, s["depth"]).otherwise(s["floor"]).alias("floor"),
                         F.when(ends, F.concat(s["cuts"], F.array(F.struct(s["lo"].alias("lo"), s["at"].alias("hi"))))).otherwise(s["cuts"]).alias("cuts"))
 
     def shown(pair: Column) -> Column:
-        """The tokens that stay; a range's first one becomes the mark."""
+        """The tokens that stay; a range's first one and a plain value become the mark."""
         cuts = pair["cuts"]
+        plain_value = lambda t: F.regexp_replace(t, r'(?s)^("[^"]*+":).+$', '$1"[REDACTED]"')
         return F.transform(pair["tokens"], lambda t, i: F.when(F.exists(cuts, lambda c: c["lo"] == i), F.lit('"[REDACTED]"'))
-                           .when(F.exists(cuts, lambda c: (c["lo"] < i) & (i <= c["hi"])), F.lit("")).otherwise(t))
+                           .when(F.exists(cuts, lambda c: (c["lo"] < i) & (i <= c["hi"])), F.lit("")).when(sensitive(t), plain_value(t)).otherwise(t))
 
-    bound = F.transform(F.array(tokens), lambda ts: F.struct(ts.alias("tokens"), F.aggregate(ts, start, step, lambda s: s["cuts"]).alias("cuts")))
-    out = F.array_join(F.get(F.transform(bound, shown), 0), "")
-    out = F.replace(F.replace(out, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-    return F.when(col.isNull(), F.lit(None)).when(plain.isNull(), F.lit('"[UNPARSED]"')).otherwise(out)
+    def redacted(plain: Column) -> Column:
+        bound = F.transform(F.array(tokens(plain)), lambda ts: F.struct(ts.alias("tokens"), F.aggregate(ts, start, step, lambda s: s["cuts"]).alias("cuts")))
+        out = F.array_join(F.get(F.transform(bound, shown), 0), "")
+        out = F.replace(F.replace(out, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+        return F.when(plain.isNull(), F.lit('"[UNPARSED]"')).otherwise(out)
+
+    # bound once: as a plain expression the text would be parsed for each use
+    whole = F.get(F.transform(F.array(F.to_json(F.try_parse_json(col))), redacted), 0)
+    return F.when(col.isNotNull(), whole)

@@ -39,3 +39,14 @@ def test_what_is_no_json_goes_as_a_whole(spark):
     assert [r.r for r in df.select(jd.redact_json_deep(F.col("j")).alias("r")).collect()] == [None] + ['"[UNPARSED]"'] * 4
     behind = spark.createDataFrame([('{"key": 1} token',)], "j string").select(jd.redact_json_deep(F.col("j")).alias("r")).first()
     assert behind.r == '{"key":"[REDACTED]"}'  # what follows the value is dropped
+
+
+def test_long_runs_keep_their_text_and_all_plain_values_go(spark):
+    wide = {f"n{k}": [k, f"a:{k}", {"token": k, "plain": "the key: \\" , "müll\u2028": "\u2028"}] for k in range(900)}
+    texts = [json.dumps(wide), json.dumps({"ßecret": 1, "é": [2, {"x:KEY": "a\"b:"}], "": ":", "key": [], "a": {"keys": {"b": {}}, "c": None}}), '[1,"key",{"k":"key"}]', '"key"']
+    df = spark.createDataFrame([(t,) for t in texts], "j string")
+    for t, r in zip(texts, df.select(jd.redact_json_deep(F.col("j")).alias("r")).collect()):
+        assert json.loads(r.r) == recursion(json.loads(t))
+    # strings and marks between sensitive keys are one token, not one each
+    run = df.limit(1).select(jd.redact_json_deep(F.lit(json.dumps({"a": list(range(5000))}))).alias("r")).first().r
+    assert json.loads(run) == {"a": list(range(5000))}
