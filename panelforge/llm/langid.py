@@ -33,9 +33,10 @@ from panelforge.llm.textgrams import LOWER, U64, mix, slices
 BUCKETS = 1 << 15
 DIM = 8
 SIZES = (2, 3, 4)
-#: Bounds of the sample the classifier is fitted on.
-SAMPLE_PER_LANG = 600
-MAX_LANGS = 200
+#: Expected rows of the sample the classifier is fitted on, a language; with more than ``MANY_LANGS`` languages
+#: each has its share of those of ``MANY_LANGS``, but at least ``LEAST_PER_LANG``.  Every language is learned.
+SAMPLE_PER_LANG, LEAST_PER_LANG = 600, 20
+MANY_LANGS = 200
 REJECT_BELOW = 0.5
 EPOCHS, BATCH, RATE = 6, 64, 1.5
 
@@ -74,17 +75,19 @@ class Model:
     table: np.ndarray
     bias: np.ndarray
     temperature: float
+    weight: np.ndarray | None = None  # with many languages: of the embeddings, which ``table`` has then
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         rows = len(offsets) - 1
-        total, count = np.zeros((rows, len(self.langs))), np.zeros(rows)
+        total, count = np.zeros((rows, len(self.table))), np.zeros(rows)
         for row, bucket in subwords(data, offsets):
             if len(row):
                 start = np.flatnonzero(np.diff(row, prepend=-1))
                 count[row[start]] += np.diff(np.append(start, len(row)))
-                for k in range(len(self.langs)):
+                for k in range(len(self.table)):
                     total[row[start], k] += np.add.reduceat(self.table[k][bucket], start)
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        mean = total / np.maximum(count, 1)[:, None]
+        return (mean if self.weight is None else mean @ self.weight) + self.bias
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         return softmax(logits / self.temperature)
@@ -128,7 +131,8 @@ def train(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, langs: list[str
             for k in range(DIM):
                 embed[:, k] -= rate * np.bincount(idx, share * dh[row, k], BUCKETS)
     embed[~seen] = 0
-    model = Model(langs, np.ascontiguousarray((embed @ weight).T), bias, 1.0)
+    many = len(langs) > MANY_LANGS
+    model = Model(langs, np.ascontiguousarray((embed if many else embed @ weight).T), bias, 1.0, weight if many else None)
     check = np.flatnonzero(calibrate)
     if len(check):
         z = hidden(*gather(check), len(check)) @ weight + bias
@@ -167,20 +171,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     known = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.lower(F.col(f"`{text_col}`").cast("string")).alias("text"),
                          F.col(f"`{lang_col}`").cast("string").alias("lang"))
              .where(~held_out("id") & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = known.groupBy("lang").count().collect()  # a row a language
     if not counts:
         return None
     draw = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (draw < F.lit(min(1 << 30, (SAMPLE_PER_LANG << 30) // r["count"]))))
-    sample = known.where(chosen).mapInArrow(_histograms, "id long, lang string, bucket array<int>, n array<int>").toArrow().sort_by("id")
+    per_lang = max(LEAST_PER_LANG, SAMPLE_PER_LANG * MANY_LANGS // max(MANY_LANGS, len(counts)))
+    share = docs.sparkSession.createDataFrame([(r["lang"], min(1 << 30, (per_lang << 30) // r["count"])) for r in counts], "lang string, share long")
+    drawn = known.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("id", "text", "lang")
+    sample = drawn.mapInArrow(_histograms, "id long, lang string, bucket array<int>, n array<int>").toArrow().sort_by("id")
     langs = sorted(set(sample["lang"].to_pylist()))
     if not langs:
         return None
     ids = sample["id"].to_numpy()
     x = [(np.asarray(b.values), np.asarray(n.values)) for b, n in zip(sample["bucket"], sample["n"])]
-    y = np.array([langs.index(v) for v in sample["lang"].to_pylist()])
+    number = {v: k for k, v in enumerate(langs)}
+    y = np.array([number[v] for v in sample["lang"].to_pylist()])
     return train(x, y, langs, mix(ids.view(U64)) % U64(5) == 0)
 
 

@@ -44,3 +44,14 @@ def test_nothing_to_learn_from(spark):
     assert [r.lang_pred for r in L.predict(df, None).collect()] == ["und"] * 3
     assert [r.doc_id for r in L.keep_accepted(df, None).collect()] == [1]
     assert L.predict(df.limit(0), None).collect() == []
+
+
+def test_every_language_is_learned(spark):
+    langs = [f"l{k:03d}" for k in range(L.MANY_LANGS + 4)]
+    docs = [(10 * k + i, " ".join([chr(0x4E00 + 7 * k + j) * 3 for j in range(7)] * 3), v) for k, v in enumerate(langs) for i in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = L.fit(df)
+    learned = {v for i, _, v in docs if zlib.crc32(str(i).encode()) % 5}
+    assert set(model.langs) == learned == set(langs)
+    got = L.predict(df, model).collect()
+    assert len(got) == len(docs) and {r.lang_pred for r in got} <= set(langs) and all(0 <= r.score <= 1 for r in got)
