@@ -8,6 +8,7 @@ distinct word is encoded once (and remembered by the Python worker, up to
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -17,6 +18,33 @@ import pyarrow.compute as pc
 
 REMEMBER = 400_000
 
+#: A splitter that never joins an ASCII letter and a mark other than an apostrophe.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Bytes: 1 an ASCII letter, 2 an ASCII mark but the apostrophe, 0 any other.
+_KIND = np.array([1 if chr(b).isalpha() else 2 if 32 < b < 127 and not chr(b).isdigit() and b != 39 else 0 for b in range(128)] + [0] * 128, np.uint8)
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+
+
+def apart(column: pa.Array) -> pa.Array:
+    """Texts without nulls, with a space wherever an ASCII letter and a mark meet, and ASCII letters in lower case
+    but where a combining character may follow."""
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset: column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]]
+    offsets = offsets.astype(np.int64) - offsets[0]
+    kind = _KIND[data]
+    meet = np.zeros(len(data), bool)
+    meet[1:] = kind[1:] + kind[:-1] == 3
+    meet[1:] &= kind[1:] != kind[:-1]  # 1 and 2, never 0 and 3
+    low = _LOWER[data]
+    before = np.flatnonzero(data[1:] >= 128)
+    low[before] = data[before]
+    place = np.cumsum(meet)
+    out = np.full(len(data) + int(place[-1] if len(place) else 0), 32, np.uint8)
+    out[np.arange(len(data)) + place] = low
+    moved = offsets + np.concatenate([[0], place])[np.minimum(offsets + 1, len(data))]
+    return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(moved), pa.py_buffer(out))
+
 
 class Encoder:
     def __init__(self, file: str):
@@ -31,11 +59,30 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
         self.by_word = bool(self.tokenizer.normalizer and self.tokenizer.pre_tokenizer) and ids(" a\né, \t") == ids("a") + ids("é,")
+        self.by_marks = self.by_word and self._splits_at_marks()
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _splits_at_marks(self) -> bool:
+        """Whether the file's normaliser lowers case (behind NFC alone) and ``_SPLIT`` is its splitter."""
+        spec = json.loads(self.tokenizer.to_str())
+        normal = [n["type"] for n in spec["normalizer"].get("normalizers", [])]
+        split = spec["pre_tokenizer"].get("pretokenizers", [{}])
+        bytes_ = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        return (normal == ["NFC", "Replace", "Lowercase"] and split[0].get("pattern") == {"Regex": _SPLIT} and split[0]["behavior"] == "Removed" and split[0]["invert"]
+                and len(split) == 2 and bytes_.items() <= split[1].items())
+
     def _learn(self, new: list[str]) -> None:
         """Ids of words, from the tokenizer's own normaliser, splitter and model."""
+        if self.by_marks:
+            plain = [w for w in new if w.isascii() and w.isalpha() and w.islower()]
+            self._learn_split([w for w in new if not (w.isascii() and w.isalpha() and w.islower())])
+            tokenize = self.tokenizer.model.tokenize  # one piece each
+            self.words.update((w, np.array([t.id for t in tokenize(w)], "<u4").tobytes()) for w in plain)
+        else:
+            self._learn_split(new)
+
+    def _learn_split(self, new: list[str]) -> None:
         if len(self.words) > REMEMBER:
             self.words.clear()
         if len(self.pieces) > REMEMBER:
@@ -62,7 +109,7 @@ class Encoder:
         if not self.by_word or ((data >= 0x1C) & (data <= 0x1F)).any():
             each = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in column.to_pylist()]
             return np.fromiter((i for e in each for i in e), np.uint32), np.cumsum([0, *map(len, each)])
-        words = pc.utf8_split_whitespace(column)
+        words = pc.utf8_split_whitespace(apart(column) if self.by_marks else column)
         coded = words.values.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.words]

@@ -89,3 +89,14 @@ def test_every_capacity_holds(rule):
         else:
             left.append(100 - n)
     assert seq.max() + 1 <= len(left) + 2
+
+
+def test_words_are_cut_at_marks_and_keep_their_ids():
+    import pyarrow as pa
+
+    texts = ["Word, word; WORD!", "don't x'.s ''s a.'tis 'VE", "J\u030c! A\u030a. <\u0338b a<\u0338", "", "É.a«!b a.«", "12a3.4 a1,2 ...a", "<|endoftext|> a\u00a0.b", ".", "ΑΣ.a İ'm", "a", "é"]
+    e = encoder(K.TOKENIZER)
+    for column in (pa.array(texts), pa.array(["zz.", *texts]).slice(1), pa.array(texts, pa.large_string())):
+        ids, bounds = e.encode(column)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "word" in e.words and not {"Word,", "word;", "WORD!"} & e.words.keys()
