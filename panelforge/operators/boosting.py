@@ -34,7 +34,8 @@ tree.  Missing values are the caller's business (``models.prepare`` makes them 0
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,8 +53,12 @@ KEEP = 10
 BROADCAST_BYTES = 64 << 20
 LEAST_GAIN = 1e-6
 _CHUNK = 1 << 19
+#: Threads of a model's task at most, where the fit leaves task slots idle.
+_THREADS = 4
 #: Codes of a group of features that are added up together (a table of them and of a level's nodes stays in a core's cache).
 _CELLS = 65 * 65
+#: Rows that are added up at a time (what belongs to them stays in a core's cache).
+_ADDED = 1 << 18
 #: Split nodes of a level up to which all its conditions are taken for all rows.
 _FLAT_LEVEL = 32
 _WALKED = 1 << 13
@@ -181,19 +186,28 @@ def sums(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, g: np.ndarray,
     own = np.flatnonzero(slot >= 0)
     if not len(own):
         return out
-    first, g, each = slot[own].astype(np.intp), g[own], None if np.isscalar(h) else h[own]
     place = {int(f): c for c, f in enumerate(columns)}
-    for features, widths, code in groups or [([f], [width], bins[f]) for f in place]:
-        if place.keys().isdisjoint(features):
-            continue
-        cells = math.prod(widths)
-        at, size = first * cells + code[own], slots * cells
-        whole = np.bincount(at, g, size), np.bincount(at, None, size) * h if each is None else np.bincount(at, each, size)
-        for one, table in zip(out, whole):
-            table = table.reshape(slots, *widths)
-            for k, f in enumerate(features):
-                if f in place:
-                    one[:, place[f], : widths[k]] = table.sum(axis=tuple(1 + j for j in range(len(features)) if j != k))
+    wanted = [x for x in groups or [([f], [(0, np.arange(width))], bins[f]) for f in place] if not place.keys().isdisjoint(x[0])]
+    shapes = [[len(used) for _, used in sorted({axis: used for axis, used in axes}.items())] for _, axes, _ in wanted]
+    whole = [np.zeros((2, slots * math.prod(shape))) for shape in shapes]
+    for lo in range(0, len(own), _ADDED):
+        rows = own[lo: lo + _ADDED]
+        first, some = slot.take(rows).astype(np.intp), g.take(rows)
+        each = None if np.isscalar(h) else h.take(rows)
+        for (_, _, code), total in zip(wanted, whole):
+            size = total.shape[1]
+            at = first * (size // slots)
+            at += code.take(rows)
+            total[0] += np.bincount(at, some, size)
+            total[1] += np.bincount(at, each, size)
+    for (features, axes, _), shape, total in zip(wanted, shapes, whole):
+        if np.isscalar(h):
+            total[1] *= h
+        table, every = total.reshape(2, slots, *shape), range(len(shape))
+        lines = [table.sum(axis=tuple(2 + j for j in every if j != k)) for k in every]
+        for f, (axis, used) in zip(features, axes):
+            if f in place:
+                out[:, :, place[f], used] = lines[axis]
     return out
 
 
@@ -262,26 +276,36 @@ def best_splits(table: np.ndarray, columns: np.ndarray, p: BoostParams, scale: f
     return out
 
 
-def packed(bins: np.ndarray) -> list[tuple[list[int], list[int], np.ndarray]]:
-    """(features, their numbers of bins, code) of groups of features that are added up together: a row's
-    code names its bins of all features of the group, at most ``_CELLS`` codes a group."""
-    width = bins.max(axis=1, initial=0).astype(int) + 1
+def packed(bins: np.ndarray) -> list[tuple[list[int], list[tuple[int, np.ndarray]], np.ndarray]]:
+    """(features, their axes and bins, code) of groups of features that are added up together: a row's code
+    names its place on all axes of the group, at most ``_CELLS`` codes a group.  An axis has the bins that
+    occur; features that cut the rows into the same parts (a column and its z-score) share one."""
+    used, parts, same = [], {}, {}
+    for f, row in enumerate(bins):
+        used.append(np.flatnonzero(np.bincount(row, minlength=1)))
+        place = np.zeros(256, np.uint8)
+        place[used[f]] = np.arange(len(used[f]))
+        part = place.take(row)
+        twin = next((k for k in same if len(used[k]) == len(used[f]) and np.array_equal(parts[k], part)), f)
+        if twin == f:
+            parts[f] = part
+        same.setdefault(twin, []).append(f)
     groups: list[list[int]] = []
     cells: list[int] = []
-    for f in np.argsort(-width, kind="stable").tolist():
-        k = next((k for k, c in enumerate(cells) if c * width[f] <= _CELLS), len(cells))
+    for f in sorted(same, key=lambda f: -len(used[f])):
+        k = next((k for k, c in enumerate(cells) if c * len(used[f]) <= _CELLS), len(cells))
         if k == len(cells):
             groups.append([])
             cells.append(1)
         groups[k].append(f)
-        cells[k] *= int(width[f])
+        cells[k] *= max(1, len(used[f]))
     out = []
     for own in groups:
         code = np.zeros(bins.shape[1], np.uint16)
         for f in own:
-            code *= np.uint16(width[f])
-            code += bins[f]
-        out.append((own, width[own].tolist(), code))
+            code *= np.uint16(len(used[f]))
+            code += parts[f]
+        out.append(([f for k in own for f in same[k]], [(axis, used[f]) for axis, k in enumerate(own) for f in same[k]], code))
     return out
 
 
@@ -303,35 +327,43 @@ def _stepped(node: np.ndarray, bins: np.ndarray, tree: Tree, level: Sequence[int
         node += step
 
 
-def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float) -> list[Tree]:
-    """All trees of a model whose rows are at hand; ``bins`` is [feature, row]."""
+def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float, threads: int = 1) -> list[Tree]:
+    """All trees of a model whose rows are at hand; ``bins`` is [feature, row].  Parts of the rows are
+    added up by ``threads`` threads (numpy lets go of the interpreter), in any order with the same sums."""
     p, margin, trees, width = job.params, np.full(len(y), base), [], MAX_BINS + 1
-    parts = [slice(lo, lo + _CHUNK) for lo in range(0, len(y), _CHUNK)]
+    most = threads * max(1, -(-len(y) // (threads * _CHUNK)))
+    size = max(1, -(-len(y) // most))
+    parts = [slice(lo, lo + size) for lo in range(0, len(y), size)]
     groups = packed(bins)
     kind = np.uint8 if 2 ** (p.max_depth + 1) - 1 <= 256 else np.int32
-    for k in range(p.n_estimators):
-        columns, growth, node = tree_columns(job, len(bins), k), Growth(job, scale), np.zeros(len(y), kind)
-        drawn = [(sampled(key[o], p, k), *gradients(y[o], margin[o], job.objective, scale)) for o in parts]
-        before = None  # sums of the level above, and for each pair its parent's slot
-        while growth.active:
-            # of two sisters the one with fewer rows is added up, the other is the rest of their parent
-            added = np.arange(1) if before is None else np.flatnonzero(growth.lighter())
-            slot_of = np.full(len(growth.tree.feature), -1, np.int16)
-            slot_of[np.array(growth.active)[added]] = np.arange(len(added))
-            table = np.zeros((2, len(growth.active), len(columns), width))
-            for o, (mine, g, h) in zip(parts, drawn):
-                slot = np.where(mine, slot_of[node[o]], np.int16(-1))
-                table[:, added] += sums(bins[:, o], columns, slot, g, h, len(added), width, [(f, w, code[o]) for f, w, code in groups])
-            if before is not None:
-                table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
-            before, level = table, growth.active
-            growth.grow(best_splits(table, columns, p, scale))
-            for o in parts:
-                _stepped(node[o], bins[:, o], growth.tree, level)
-        value = np.array(growth.tree.value)
-        for o in parts:
-            margin[o] += value[node[o]]
-        trees.append(growth.tree)
+    with ThreadPoolExecutor(threads) as pool:
+        each = pool.map if threads > 1 else map
+        for k in range(p.n_estimators):
+            columns, growth, node = tree_columns(job, len(bins), k), Growth(job, scale), np.zeros(len(y), kind)
+            drawn = list(each(lambda o: (sampled(key[o], p, k), *gradients(y[o], margin[o], job.objective, scale)), parts))
+            before = None  # sums of the level above, and for each pair its parent's slot
+            while growth.active:
+                # of two sisters the one with fewer rows is added up, the other is the rest of their parent
+                added = np.arange(1) if before is None else np.flatnonzero(growth.lighter())
+                slot_of = np.full(len(growth.tree.feature), -1, np.int16)
+                slot_of[np.array(growth.active)[added]] = np.arange(len(added))
+
+                def add_up(o: slice, own: tuple) -> np.ndarray:
+                    mine, g, h = own
+                    slot = slot_of.take(node[o])
+                    slot[~mine] = -1
+                    return sums(bins[:, o], columns, slot, g, h, len(added), width, [(f, axes, code[o]) for f, axes, code in groups])
+
+                table = np.zeros((2, len(growth.active), len(columns), width))
+                table[:, added] = sum(each(add_up, parts, drawn))
+                if before is not None:
+                    table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
+                before, level = table, growth.active
+                growth.grow(best_splits(table, columns, p, scale))
+                list(each(lambda o: _stepped(node[o], bins[:, o], growth.tree, level), parts))
+            value = np.array(growth.tree.value)
+            list(each(lambda o: np.add(margin[o], value.take(node[o]), out=margin[o]), parts))
+            trees.append(growth.tree)
     return trees
 
 
@@ -393,12 +425,13 @@ def _blocks(batch):
 
 
 def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views: Mapping[str, Column], labels: Mapping[str, Column],
-             key: Sequence[str] = ("player_id", "gameweek_id"), rows_in_task: int = ROWS_IN_TASK) -> DataFrame:
+             key: Sequence[str] = ("player_id", "gameweek_id"), rows_in_task: int = ROWS_IN_TASK, zero: Collection[str] = ()) -> DataFrame:
     """Fit all jobs; one row per model (see ``FOREST``), written.
 
     ``views`` are conditions on the rows, ``labels`` numeric columns.  Rows without a
     label or of a view without rows don't count; a job without rows is a
-    forest of no trees with base 0.  ``key`` names the columns that tell rows apart for sampling.
+    forest of no trees with base 0.  ``key`` names the columns that tell rows apart for sampling,
+    ``zero`` features that are 0 in every row: their one border needs no pass.
     """
     view_names, label_names, n_features = list(views), list(labels), len(features)
     inside = F.filter(F.array(*[F.when(F.coalesce(views[v], F.lit(False)), F.lit(i)) for i, v in enumerate(view_names)]), lambda v: v.isNotNull())
@@ -412,9 +445,9 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     facts = [F.count(F.lit(1)).alias("n")]
     for k in range(len(label_names)):
         facts += [F.avg(F.col("y")[k]).alias(f"mean{k}"), F.max(F.abs(F.col("y")[k])).alias(f"top{k}"), F.count(F.col("y")[k]).alias(f"n{k}")]
-    facts += [F.percentile_approx(F.col("x")[f], shares, 10_000).alias(f"q{f}") for f in range(n_features)]
+    facts += [F.percentile_approx(F.col("x")[i], shares, 10_000).alias(f"q{i}") for i, f in enumerate(features) if f not in zero]
     about = {view_names[r["view"]]: r for r in rows.groupBy("view").agg(*facts).collect()}  # one row a view
-    cuts = {v: [sorted(set(r[f"q{f}"])) for f in range(n_features)] for v, r in about.items()}
+    cuts = {v: [[0.0] if f in zero else sorted(set(r[f"q{i}"])) for i, f in enumerate(features)] for v, r in about.items()}
 
     by_view = {i: cuts.get(v) for i, v in enumerate(view_names)}
 
@@ -481,16 +514,20 @@ def _in_tasks(blocks: DataFrame, plan, view_names, cuts, n_features) -> DataFram
     lists = F.create_map(*[x for v, own in models_of.items() for x in (F.lit(v), F.array(*map(F.lit, own)))])
     rows = blocks.filter(F.col("view").isin(list(models_of))).withColumn("model", F.explode(lists[F.col("view")]))
     rows = rows.repartitionByRange(2 * len(plan), "model")
+    # task slots that the models leave idle go to the largest ones
+    slots, whole = blocks.sparkSession.sparkContext.defaultParallelism, sum(v[4] for v in plan.values())
+    threads = {i: max(1, min(_THREADS, slots * v[4] // whole)) for i, v in plan.items()}
 
     def train(table: pa.Table) -> pa.Table:
-        job, k, start, scale, n = plan[order[table["model"][0].as_py()]]
+        i = order[table["model"][0].as_py()]
+        job, k, start, scale, n = plan[i]
         parts = []
         for batch in table.to_batches():
             for _, key, bins, y, _ in _blocks(batch):
                 has = ~np.isnan(y[k])
                 parts.append((key[has], bins.compress(has, axis=1), y[k][has]))  # rows of a feature together
         keys, bins, y = zip(*parts)
-        trees = grow_forest(np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y), job, start, scale)
+        trees = grow_forest(np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y), job, start, scale, threads[i])
         return pa.Table.from_pylist([_forest_row(job, start, n, trees, cuts[job.view])], schema=_ARROW_FOREST)
 
     return rows.groupBy("model").applyInArrow(train, FOREST)

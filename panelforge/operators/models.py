@@ -70,7 +70,8 @@ def fit_named(train: DataFrame, features: Sequence[str], jobs: Sequence[bo.Job],
     labels = {"points": _target(target, log_target)}
     if any(j.label == "p60" for j in jobs):
         labels["p60"] = (F.col(minutes_target) >= LONG_MINUTES).cast("double")
-    return bo.fit_many(prepare(train, features), features, jobs, views, labels, _key(train, features), rows_in_task)
+    absent = [f for f in features if f not in train.columns]
+    return bo.fit_many(prepare(train, features), features, jobs, views, labels, _key(train, features), rows_in_task, absent)
 
 
 def train_shared(train: DataFrame, features: Sequence[str], params: bo.BoostParams = GBTParams(), target: str = TARGET,

@@ -36,8 +36,9 @@ ACT = "target_next_gw_points"
 
 
 def model_panel(spark, sf):
-    """Engineered panel + train-stat z-scores + split, written once."""
-    p = fe.engineer_panel(tb.fixture_rows(spark, sf))
+    """Engineered panel + train-stat z-scores + split; the panel is written before
+    the split's bound and the statistics are taken, which would build it again."""
+    p = materialize(fe.engineer_panel(tb.fixture_rows(spark, sf)))
     s = sp.temporal_split(p, 5)
     stats = fe.global_stats(s.filter(F.col("role") == "train"))
     return materialize(fe.zscore_apply(s, stats))
@@ -110,9 +111,9 @@ def inference_rows(spark, sf):
 def live_rows(spark, sf):
     """Latest row of every player (periods > 3) and the period to be scored:
     the last one of the unfiltered data plus one."""
-    rows = inference_rows(spark, sf)
-    live = ao.latest_per_entity(rows.filter(F.col("gameweek_id") > 3))
-    return attach_row(live, rows.agg((F.max("gameweek_id") + 1).cast("int").alias("target_period")))
+    live = ao.latest_per_entity(inference_rows(spark, sf).filter(F.col("gameweek_id") > 3))
+    periods = tb.fixture_rows(spark, sf).filter(F.col("player_id").isNotNull())  # the collapse has the same ones
+    return attach_row(live, periods.agg((F.max("gameweek_id") + 1).cast("int").alias("target_period")))
 
 
 def evaluated(train, holdout, key: str = "model", strength=ca.CALIBRATION_STRENGTH, tolerance=ca.CALIBRATION_TOLERANCE):

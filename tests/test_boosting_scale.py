@@ -69,3 +69,31 @@ def test_rows_move_to_the_child_that_a_walk_gives():
             bo._stepped(node, bins, tree, level)
             level = below
         assert (node == tree._walked(bins)).all()
+
+
+def test_features_that_cut_the_rows_alike_share_an_axis():
+    rng = np.random.default_rng(6)
+    one, other = rng.integers(1, 65, (2, 4000)).astype(np.uint8)
+    bins = np.stack([one, other, one, np.ones(4000, np.uint8), other + np.uint8(1), one, np.zeros(4000, np.uint8)])
+    groups = bo.packed(bins)
+    assert len(groups) == 1 and sorted(groups[0][0]) == list(range(7))
+    columns, slot, g = np.arange(7), rng.integers(-1, 5, 4000), rng.integers(-99, 99, 4000).astype(float)
+    assert (bo.sums(bins, columns, slot, g, 8.0, 5, 66, groups) == bo.sums(bins, columns, slot, g, 8.0, 5, 66)).all()
+
+
+@pytest.mark.parametrize("objective", ["squared", "logistic"])
+def test_threads_give_the_same_trees(monkeypatch, objective):
+    monkeypatch.setattr(bo, "_CHUNK", 900)
+    rng, n = np.random.default_rng(7), 5003
+    bins = rng.integers(0, 64, (5, n)).astype(np.uint8)
+    y = (bins[0] + bins[1] % 7 > 40).astype(float)
+    job = bo.Job("m", "all", "y", bo.BoostParams(n_estimators=4, max_depth=4), objective)
+    one, more = (bo.grow_forest(np.arange(n), bins, y, job, 0.1, 2.0**20, threads) for threads in (1, 3))
+    assert one == more and any(f >= 0 for t in one for f in t.feature)
+
+
+def test_features_that_are_zero_everywhere_need_no_quantiles(spark):
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 17).cast("double").alias("a"), F.lit(0.0).alias("b"), (F.col("id") % 5).cast("double").alias("y"))
+    job = [bo.Job("m", "all", "y", bo.BoostParams(n_estimators=3, max_depth=3))]
+    passed, known = (bo.fit_many(df, ["a", "b"], job, {"all": F.lit(True)}, {"y": F.col("y")}, key=["k"], zero=zero).collect() for zero in ((), ["b"]))
+    assert passed == known and passed[0]["splits"][0] > 0 == passed[0]["splits"][1]
