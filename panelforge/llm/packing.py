@@ -35,6 +35,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 LENGTH = 2048
 GROUP = 4096
+#: Bytes of text that are encoded at a time: the arrays of a slice take several times as much.
+SLICE = 2 << 20
 WEIGHTS = (1.0, 0.01, 0.01)
 
 _PIECES = "id long, piece int, start long, length long, ids_crc32 long"
@@ -42,7 +44,7 @@ _PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 
 def _encoded(column: pa.Array, file: str):
     """For slices of rows: first row, ids with the end id, row offsets."""
-    for lo, hi, _, _ in slices(column, 8 << 20):
+    for lo, hi, _, _ in slices(column, SLICE):
         ids, offsets = encoder(file).encode(column.slice(lo, hi - lo))
         n = hi - lo
         out = np.full(len(ids) + n, END_ID, "<u4")

@@ -16,7 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-REMEMBER = 400_000
+#: Words that a worker remembers (some 200 bytes each, beside as many pieces).
+REMEMBER = 200_000
 
 #: A splitter that never joins an ASCII letter and a mark other than an apostrophe.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -39,10 +40,9 @@ def apart(column: pa.Array) -> pa.Array:
     low = _LOWER[data]
     before = np.flatnonzero(data[1:] >= 128)
     low[before] = data[before]
-    place = np.cumsum(meet)
-    out = np.full(len(data) + int(place[-1] if len(place) else 0), 32, np.uint8)
-    out[np.arange(len(data)) + place] = low
-    moved = offsets + np.concatenate([[0], place])[np.minimum(offsets + 1, len(data))]
+    place = np.flatnonzero(meet)
+    out = np.insert(low, place, 32)
+    moved = offsets + np.searchsorted(place, offsets, side="right")
     return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(moved), pa.py_buffer(out))
 
 

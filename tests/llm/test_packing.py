@@ -100,3 +100,17 @@ def test_words_are_cut_at_marks_and_keep_their_ids():
         ids, bounds = e.encode(column)
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert "word" in e.words and not {"Word,", "word;", "WORD!"} & e.words.keys()
+
+
+def test_a_worker_encodes_large_texts_in_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(f"word{i % 900}, and-more" for i in range(k, k + 40_000)) for k in range(12)])
+    list(K._encoded(texts.slice(0, 1), K.TOKENIZER))  # the words are known
+    tracemalloc.start()
+    ids = [len(own) for _, own, _ in K._encoded(texts, K.TOKENIZER)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) > 3 and peak < 5 * texts.nbytes
