@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that a worker remembers (some 200 bytes each, beside as many pieces).
-REMEMBER = 200_000
+REMEMBER = 400_000
 
 #: A splitter that never joins an ASCII letter and a mark other than an apostrophe.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
