@@ -32,6 +32,8 @@ WINDOW = 10
 #: Benchmark text that may be collected and broadcast as a hash set.
 BROADCAST_BYTES = 64 << 20
 _SIEVE = 1 << 22
+#: Bytes of text that are read at a time: the arrays of a slice take some 30 times as much.
+SLICE = 1 << 20
 
 HITS = "id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -74,7 +76,7 @@ def window_bytes(w, first: int, size: int) -> bytes:
 
 def _scan(windows: WindowSet, column: pa.Array) -> Iterator[tuple[int, int, object, np.ndarray, dict[int, set[str]]]]:
     """For slices of rows: the words, which of them are hit, items by row."""
-    for lo, hi, data, offsets in slices(column):
+    for lo, hi, data, offsets in slices(column, SLICE):
         w = words_of(data, offsets)
         cover = np.zeros(len(w.start) + 1, np.int64)
         items: dict[int, set[str]] = defaultdict(set)
@@ -138,7 +140,7 @@ def _windows(df: DataFrame, sizes: list[int] | None, n: int) -> DataFrame:
     def emit(batches):
         for batch in batches:
             schema = pa.schema([("id", batch.column("id").type), ("first", pa.int32()), ("size", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64())])
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 w = words_of(data, offsets)
                 count = np.bincount(w.row, minlength=hi - lo)
                 start = np.concatenate([[0], np.cumsum(count)])
@@ -171,7 +173,7 @@ def _joined(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col
 
     def count(batches):
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), batch.column("id").slice(lo, hi - lo),
                                                   pa.array(np.bincount(words_of(data, offsets).row, minlength=hi - lo))], names=["row", "id", "n_words"])
 
@@ -236,7 +238,7 @@ def _with_hits(docs: DataFrame, benchmark: DataFrame, n: int, text_col: str) ->
 
 def _marked(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, object, np.ndarray]]:
     """Like ``_scan`` for rows with their hit windows in the last two columns."""
-    for lo, hi, data, offsets in slices(batch.column(at)):
+    for lo, hi, data, offsets in slices(batch.column(at), SLICE):
         w = words_of(data, offsets)
         start = np.searchsorted(w.row, np.arange(hi - lo))
         cover = np.zeros(len(w.start) + 1, np.int64)

@@ -39,6 +39,8 @@ SAMPLE_PER_LANG, LEAST_PER_LANG = 600, 20
 MANY_LANGS = 200
 REJECT_BELOW = 0.5
 EPOCHS, BATCH, RATE = 6, 64, 1.5
+#: Bytes of text that are read at a time: the arrays of a slice take some 80 times as much.
+SLICE = 1 << 18
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[ord("a"):ord("z") + 1] = True
@@ -145,7 +147,7 @@ def train(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, langs: list[str
 def _histograms(batches):
     for batch in batches:
         langs, ids = batch.column("lang"), batch.column("id").to_numpy()
-        for lo, hi, data, offsets in slices(batch.column("text"), 1 << 20):
+        for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
             out = []
             for i in range(lo, hi):
                 text = data[offsets[i - lo]: offsets[i - lo + 1]]
@@ -200,7 +202,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def label(batches):
         m = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text"), 1 << 20):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 n = hi - lo
                 has = np.diff(offsets) > 0
                 score, lang = np.zeros(n), np.full(n, "und", object)
@@ -229,7 +231,7 @@ def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text")
         m = shared.value
         for batch in batches:
             keep = [np.empty(0, bool)]
-            for lo, hi, data, offsets in slices(batch.column(width), 1 << 20):
+            for lo, hi, data, offsets in slices(batch.column(width), SLICE):
                 good = np.ones(hi - lo, bool)
                 if m is not None:
                     good = m.probabilities(m.logits(data, offsets)).max(1) >= REJECT_BELOW

@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a worker remembers (some 200 bytes each, beside as many pieces).
-REMEMBER = 400_000
+#: Words that a worker remembers (some 50 bytes each, in Arrow and numpy), and pieces of words that aren't plain (some 250 bytes each).
+REMEMBER, REMEMBER_PIECES = 400_000, 50_000
 
 #: A splitter that never joins an ASCII letter and a mark other than an apostrophe.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -60,8 +60,15 @@ class Encoder:
         ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
         self.by_word = bool(self.tokenizer.normalizer and self.tokenizer.pre_tokenizer) and ids(" a\né, \t") == ids("a") + ids("é,")
         self.by_marks = self.by_word and self._splits_at_marks()
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known = pa.array([], pa.large_string())  # the remembered words, with their numbers of ids and the ids one after the other
+        self.size, self.flat = np.empty(0, np.int64), np.empty(0, "<u4")
+        self.pieces: dict[str, list[int]] = {}
+
+    @property
+    def words(self) -> dict[str, list[int]]:
+        """The remembered words with their ids."""
+        end = np.cumsum(self.size)
+        return {w: self.flat[a:b].tolist() for w, a, b in zip(self.known.to_pylist(), end - self.size, end)}
 
     def _splits_at_marks(self) -> bool:
         """Whether the file's normaliser lowers case (behind NFC alone) and ``_SPLIT`` is its splitter."""
@@ -72,34 +79,31 @@ class Encoder:
         return (normal == ["NFC", "Replace", "Lowercase"] and split[0].get("pattern") == {"Regex": _SPLIT} and split[0]["behavior"] == "Removed" and split[0]["invert"]
                 and len(split) == 2 and bytes_.items() <= split[1].items())
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> list[list[int]]:
         """Ids of words, from the tokenizer's own normaliser, splitter and model."""
-        if self.by_marks:
-            plain = [w for w in new if w.isascii() and w.isalpha() and w.islower()]
-            self._learn_split([w for w in new if not (w.isascii() and w.isalpha() and w.islower())])
-            tokenize = self.tokenizer.model.tokenize  # one piece each
-            self.words.update((w, np.array([t.id for t in tokenize(w)], "<u4").tobytes()) for w in plain)
-        else:
-            self._learn_split(new)
-
-    def _learn_split(self, new: list[str]) -> None:
-        if len(self.words) > REMEMBER:
-            self.words.clear()
-        if len(self.pieces) > REMEMBER:
+        if not self.by_marks:
+            return self._learn_split(new)
+        plain = [w.isascii() and w.isalpha() and w.islower() for w in new]
+        rest = iter(self._learn_split([w for w, p in zip(new, plain) if not p]))
+        tokenize = self.tokenizer.model.tokenize  # one piece each
+        return [[t.id for t in tokenize(w)] if p else next(rest) for w, p in zip(new, plain)]
+
+    def _learn_split(self, new: list[str]) -> list[list[int]]:
+        if len(self.pieces) > REMEMBER_PIECES:
             self.pieces.clear()
         normal = self.tokenizer.normalizer.normalize_str
         plain = [w.lower() if w.isascii() else normal(w) for w in new]
         ends = np.cumsum([len(w) + 1 for w in plain])
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ".join(plain))
-        out: list[list[bytes]] = [[] for _ in new]
+        out: list[list[int]] = [[] for _ in new]
         owner = np.searchsorted(ends, [span[0] for _, span in split], side="right")
         tokenize, known = self.tokenizer.model.tokenize, self.pieces
         for k, (piece, _) in zip(owner.tolist(), split):
             ids = known.get(piece)
             if ids is None:
-                ids = known[piece] = np.array([t.id for t in tokenize(piece)], "<u4").tobytes()
-            out[k].append(ids)
-        self.words.update(zip(new, map(b"".join, out)))
+                ids = known[piece] = [t.id for t in tokenize(piece)]
+            out[k] += ids
+        return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, one after the other; row offsets); null rows are empty."""
@@ -111,19 +115,21 @@ class Encoder:
             return np.fromiter((i for e in each for i in e), np.uint32), np.cumsum([0, *map(len, each)])
         words = pc.utf8_split_whitespace(apart(column) if self.by_marks else column)
         coded = words.values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.words]
-        own = self.words
-        if new:
-            self._learn(new)
-            own = self.words
-            lost = [w for w in distinct if w not in own]  # after a clear
-            if lost:
-                self._learn(lost)
-        ids = [own[w] for w in distinct]
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = np.cumsum(size) - size
+        distinct = coded.dictionary.cast(pa.large_string())
+        at = pc.index_in(distinct, value_set=self.known)
+        new, at = np.flatnonzero(at.is_null()), at.fill_null(0).to_numpy().astype(np.int64)
+        if len(new):
+            fresh = distinct.take(pa.array(new))
+            learned = self._learn(fresh.to_pylist())
+            at[new] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.size = np.append(self.size, np.fromiter(map(len, learned), np.int64, len(learned)))
+            self.flat = np.append(self.flat, np.fromiter((i for ids in learned for i in ids), "<u4"))
+        size, start = self.size[at], (np.cumsum(self.size) - self.size)[at]
+        flat = self.flat
+        if len(self.known) > REMEMBER:  # begun again with the words of this batch
+            self.known, self.size = distinct, size
+            self.flat = flat[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
         code = coded.indices.to_numpy(zero_copy_only=False)
         n = size[code]
         end = np.cumsum(n)

@@ -114,3 +114,29 @@ def test_a_worker_encodes_large_texts_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(ids) > 3 and peak < 5 * texts.nbytes
+
+
+def test_remembered_words_take_little_memory(monkeypatch):
+    """Words are remembered in Arrow and numpy, some 50 bytes each, and right after they are begun again."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from panelforge.llm import tokens as T
+
+    e = T.Encoder(K.TOKENIZER)
+    texts = [" ".join(f"w{chr(97 + k % 26)}{k}" for k in range(lo, lo + 10_000)) for lo in range(0, 60_000, 10_000)]
+    e.encode(pa.array(["warm up"]))
+    tracemalloc.start()
+    held = pa.total_allocated_bytes()
+    for t in texts:
+        ids, bounds = e.encode(pa.array([t]))
+        assert bounds.tolist() == [0, len(ids)]
+    grown = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - held
+    tracemalloc.stop()
+    assert len(e.words) > 60_000
+    assert grown < 90 * 60_000
+    assert ids.tolist() == ids_of(texts[-1])[:-1]
+    monkeypatch.setattr(T, "REMEMBER", 100)
+    for t in [texts[0], "wa0 don't", None, texts[1] + " wa0"]:
+        assert e.encode(pa.array([t], pa.string()))[0].tolist() == ids_of(t)[:-1]
+    assert len(e.words) <= 10_001
