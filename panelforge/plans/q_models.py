@@ -128,11 +128,11 @@ def evaluated(train, holdout, key: str = "model", strength=ca.CALIBRATION_STRENG
     long = ca.variant_long(holdout, ACT, "predicted_points", coeffs, by=by)
     selected = materialize(ca.select_variant(ca.calibration_report(long, by=by), tolerance, by=by))
     picked = holdout.join(selected.select(key, "selected_variant"), key)
-    final = materialize(ca.postprocess(picked, "predicted_points", "__final", variant=F.col("selected_variant"), coeffs=coeffs, by=by)
-                        .withColumn("predicted_points", F.col("__final")).drop("__final", "selected_variant"))
+    final = (ca.postprocess(picked, "predicted_points", "__final", variant=F.col("selected_variant"), coeffs=coeffs, by=by)
+             .withColumn("predicted_points", F.col("__final")).drop("__final", "selected_variant"))
     rule = gt.ModelRules().required_baseline
-    base = final.filter(F.col(key).isNotNull()).withColumn("predicted_points", F.coalesce(F.col(rule), F.lit(0.0)))
-    both = materialize(final.withColumn("__who", F.lit("m")).unionByName(base.withColumn("__who", F.lit("b"))))
+    both = final.withColumn("__who", F.explode(F.array(F.lit("m"), F.lit("b"))))  # the model's rows, and the baseline's
+    both = materialize(both.withColumn("predicted_points", F.when(F.col("__who") == "m", F.col("predicted_points")).otherwise(F.coalesce(F.col(rule), F.lit(0.0)))))
     wk = bt.weekly_backtest(both, by=[key, "__who"], materialize_input=False)
     summ = materialize(bt.backtest_summary(both, wk, by=[key, "__who"]))
     own = summ.filter("__who = 'm'").drop("__who")
@@ -172,7 +172,8 @@ def q_score_latest(spark, sf):
     m, tr, ho, feats, bundle = _fit(spark, sf)
     named = lambda df: mo.predict_variant(bundle, df, feats).withColumn("model", F.lit(VARIANT))
     _, coeffs, selected, gates = evaluated(named(tr), named(ho))
-    live = named(fe.zscore_apply(live_rows(spark, sf), fe.global_stats(tr)))
+    live = materialize(live_rows(spark, sf))  # scoring asks for its partitions first, which would build these rows twice
+    live = named(fe.zscore_apply(live, fe.global_stats(tr)))
     live = live.withColumn("__heuristic", fe.heuristic_forecast(live))
     verdict = selected.join(gates, "model").select("selected_variant", "ready")  # one row
     live = attach_row(attach_row(live, verdict), tr.agg(F.avg(ACT).alias("__lm")))

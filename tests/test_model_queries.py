@@ -115,3 +115,17 @@ def test_stored_text_segments_and_evaluation(spark, few, tmp_path):
 def test_point_in_time_models_see_only_earlier_targets(spark, few):
     rows = q.q_pit_backfill_model(spark, SF001).collect()
     assert all(r.backfill_trusted for r in rows)
+
+
+def test_score_latest_builds_live_rows_once(spark, monkeypatch):
+    built, rows_of = spark.sparkContext.accumulator(0), q.inference_rows
+
+    @F.udf("boolean")
+    def seen(_):
+        built.add(1)
+        return True
+
+    monkeypatch.setattr(q, "PARAMS", mo.GBTParams(n_estimators=2))
+    monkeypatch.setattr(q, "inference_rows", lambda *a: rows_of(*a).filter(seen("player_id")))
+    assert q.q_score_latest(spark, SF001).collect()
+    assert 0 < built.value <= q.tb.fixture_rows(spark, SF001).count()  # the condition moves down to the raw rows
