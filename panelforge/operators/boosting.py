@@ -5,21 +5,23 @@ Second-order gradient boosting over histograms.  A fit is a list of ``Job``s
 (folds, segments, targets, trials ...) over one table: each has a view (the rows
 that it learns from), a label, an objective, columns and parameters.
 
-* One pass cuts every feature of every view into bins by its quantiles
-  (``percentile_approx``), one writes the binned rows in blocks of ``BLOCK`` rows of a
-  view: a byte a feature and row, all rows of a feature together.
+* One pass cuts every feature of every view into bins by its quantiles (``borders``: sorted once
+  for all views), one makes blocks of ``BLOCK`` binned rows of a view: a byte a feature and row, all
+  rows of a feature together.  Rows go to Python once, whatever the number of their views.
 * Gradients are whole multiples of a power of two, chosen so that sums
   of all rows stay exact in a double.  Sums don't depend on their order,
   so the result doesn't depend on partitions or on the form that ran.
-* Views of more than ``ROWS_IN_TASK`` rows grow by levels: tasks turn their blocks into
+* Views of up to ``ROWS_IN_TASK`` rows are sent to one task for each model, all models grow at the
+  same time without a job for each level.  Of two sisters only the smaller one is added up,
+  the other is what is left of their parent.  A task keeps 18 to 26 bytes a row in memory; keys, bins
+  and labels of many rows lie in a file of its own.  Processes of the task share the rows of
+  the largest models where the fit leaves task slots idle: each adds up its own, the sums are gathered.
+* Larger views grow by levels: tasks turn their blocks into
   sums by (feature, bin) for each node, one shuffle by (model, node) adds them up, and the
   best split of each node comes to the driver: a few rows a model and level,
   whatever the data.  All models grow a level in the same job.  Margins are
   written with the blocks every ``KEEP`` trees, which also cuts the lineage.
-* Views that fit one task (some 60 bytes a row) are sent to one task for each model,
-  where the same sums and splits are taken: all models grow at the same time
-  without a job for each level.  Of two sisters only the smaller one is added up there, the
-  other is what is left of their parent.  Both forms give the same trees (tested).
+  Both forms give the same trees (tested).
 
 Gain and leaves (alpha L1, lambda L2, G and H sums of first and second derivatives):
 
@@ -33,10 +35,16 @@ tree.  Missing values are the caller's business (``models.prepare`` makes them 0
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Collection, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import mmap
+import os
+import tempfile
+import traceback
+import warnings
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing import Pipe
 
 import numpy as np
 import pyarrow as pa
@@ -46,19 +54,25 @@ from pyspark.sql import functions as F
 from panelforge.operators.common import materialize, spread
 
 MAX_BINS = 64
-ROWS_IN_TASK = 2_500_000
+ROWS_IN_TASK = 16_000_000
 BLOCK = 1 << 14
 KEEP = 10
 #: Bytes of a forest table that are broadcast at most; beyond it the plain join runs.
 BROADCAST_BYTES = 64 << 20
 LEAST_GAIN = 1e-6
-_CHUNK = 1 << 19
-#: Threads of a model's task at most, where the fit leaves task slots idle.
-_THREADS = 4
+#: Points that stand for the rows of a view's part when its quantiles are taken, and rows sorted at a time.
+_POINTS = 4096
+_SORTED = 1 << 19
+_CHUNK = 1 << 18
+#: Processes of a model's task at most, where the fit leaves task slots idle, and the least rows of each.
+_WORKERS = 4
+_LEAST_SHARE = 50_000
+#: Bytes from which an array of a model's rows lies in a file.
+_IN_FILE = 1 << 22
 #: Codes of a group of features that are added up together (a table of them and of a level's nodes stays in a core's cache).
 _CELLS = 65 * 65
 #: Rows that are added up at a time (what belongs to them stays in a core's cache).
-_ADDED = 1 << 18
+_ADDED = 1 << 16
 #: Split nodes of a level up to which all its conditions are taken for all rows.
 _FLAT_LEVEL = 32
 _WALKED = 1 << 13
@@ -157,9 +171,12 @@ def tree_columns(job: Job, features: int, tree: int) -> np.ndarray:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def sampled(key: np.ndarray, p: BoostParams, tree: int) -> np.ndarray:
@@ -167,7 +184,7 @@ def sampled(key: np.ndarray, p: BoostParams, tree: int) -> np.ndarray:
     if p.subsample >= 1:
         return np.ones(len(key), bool)
     salt = _mixed(np.array([(p.seed << 24) + tree + 1], np.uint64))
-    return (_mixed(key.view(np.uint64) ^ salt) >> np.uint64(11)).astype(float) / 2.0**53 < p.subsample
+    return _mixed(key.view(np.uint64) ^ salt) < np.uint64(math.ceil(p.subsample * 2.0**53) << 11)  # of the upper 53 bits
 
 
 def gradients(y: np.ndarray, margin: np.ndarray, objective: str, scale: float) -> tuple[np.ndarray, np.ndarray | float]:
@@ -183,31 +200,28 @@ def sums(bins: np.ndarray, columns: np.ndarray, slot: np.ndarray, g: np.ndarray,
     ``h`` one number if all rows have the same, ``groups`` what ``packed`` gives for these rows, if known:
     the rows are then added up once a group, not once a feature."""
     out = np.zeros((2, slots, len(columns), width))
-    own = np.flatnonzero(slot >= 0)
-    if not len(own):
-        return out
     place = {int(f): c for c, f in enumerate(columns)}
     wanted = [x for x in groups or [([f], [(0, np.arange(width))], bins[f]) for f in place] if not place.keys().isdisjoint(x[0])]
     shapes = [[len(used) for _, used in sorted({axis: used for axis, used in axes}.items())] for _, axes, _ in wanted]
-    whole = [np.zeros((2, slots * math.prod(shape))) for shape in shapes]
-    for lo in range(0, len(own), _ADDED):
-        rows = own[lo: lo + _ADDED]
-        first, some = slot.take(rows).astype(np.intp), g.take(rows)
-        each = None if np.isscalar(h) else h.take(rows)
+    size = max((math.prod(shape) for shape in shapes), default=1)
+    whole = [np.zeros(slots * size, complex) for _ in wanted]  # g and h of a cell lie side by side
+    for lo in range(0, len(slot), _ADDED):
+        rows = np.flatnonzero(slot[lo: lo + _ADDED] >= 0)
+        rows += lo
+        first, each = slot.take(rows).astype(np.intp), np.empty(len(rows), complex)
+        first *= size
+        each.real, each.imag = g.take(rows), 1.0 if np.isscalar(h) else h.take(rows)
         for (_, _, code), total in zip(wanted, whole):
-            size = total.shape[1]
-            at = first * (size // slots)
-            at += code.take(rows)
-            total[0] += np.bincount(at, some, size)
-            total[1] += np.bincount(at, each, size)
+            np.add.at(total, first + code.take(rows), each)
     for (features, axes, _), shape, total in zip(wanted, shapes, whole):
-        if np.isscalar(h):
-            total[1] *= h
-        table, every = total.reshape(2, slots, *shape), range(len(shape))
-        lines = [table.sum(axis=tuple(2 + j for j in every if j != k)) for k in every]
+        table, every = total.reshape(slots, size)[:, :math.prod(shape)].reshape(slots, *shape), range(len(shape))
+        lines = [table.sum(axis=tuple(1 + j for j in every if j != k)) for k in every]
         for f, (axis, used) in zip(features, axes):
             if f in place:
-                out[:, :, place[f], used] = lines[axis]
+                out[0, :, place[f], used] = lines[axis].real.T
+                out[1, :, place[f], used] = lines[axis].imag.T
+    if np.isscalar(h):
+        out[1] *= h
     return out
 
 
@@ -276,20 +290,34 @@ def best_splits(table: np.ndarray, columns: np.ndarray, p: BoostParams, scale: f
     return out
 
 
-def packed(bins: np.ndarray) -> list[tuple[list[int], list[tuple[int, np.ndarray]], np.ndarray]]:
+def array_of(shape: Sequence[int], kind) -> np.ndarray:
+    """An array for the rows of a model; a large one lies in a file without a name, which goes with it."""
+    size = math.prod(shape) * np.dtype(kind).itemsize
+    if size < _IN_FILE:
+        return np.empty(shape, kind)
+    with tempfile.TemporaryFile() as f:
+        os.posix_fallocate(f.fileno(), 0, size)
+        return np.frombuffer(mmap.mmap(f.fileno(), size), kind).reshape(shape)
+
+
+def packed(bins: np.ndarray, gather: Callable[[bytes], list[bytes]] = lambda own: [own]) -> list[tuple[list[int], list[tuple[int, np.ndarray]], np.ndarray]]:
     """(features, their axes and bins, code) of groups of features that are added up together: a row's code
     names its place on all axes of the group, at most ``_CELLS`` codes a group.  An axis has the bins that
-    occur; features that cut the rows into the same parts (a column and its z-score) share one."""
-    used, parts, same = [], {}, {}
-    for f, row in enumerate(bins):
-        used.append(np.flatnonzero(np.bincount(row, minlength=1)))
+    occur; features that cut the rows into the same parts (a column and its z-score) share one.
+    ``gather`` gives what all processes that share the rows say."""
+    occur = np.stack([np.bincount(row, minlength=256) > 0 for row in bins])
+    occur = np.bitwise_or.reduce([np.frombuffer(x, bool).reshape(occur.shape) for x in gather(occur.tobytes())])
+    used, same = [np.flatnonzero(x) for x in occur], {}
+
+    def part_of(f: int) -> np.ndarray:
         place = np.zeros(256, np.uint8)
         place[used[f]] = np.arange(len(used[f]))
-        part = place.take(row)
-        twin = next((k for k in same if len(used[k]) == len(used[f]) and np.array_equal(parts[k], part)), f)
-        if twin == f:
-            parts[f] = part
-        same.setdefault(twin, []).append(f)
+        return place.take(bins[f])
+
+    marks = gather(b"".join(hashlib.blake2b(part_of(f), digest_size=16).digest() for f in range(len(bins))))
+    for f in range(len(bins)):
+        same.setdefault((len(used[f]), *(m[16 * f: 16 * f + 16] for m in marks)), []).append(f)
+    same = {own[0]: own for own in same.values()}
     groups: list[list[int]] = []
     cells: list[int] = []
     for f in sorted(same, key=lambda f: -len(used[f])):
@@ -301,10 +329,11 @@ def packed(bins: np.ndarray) -> list[tuple[list[int], list[tuple[int, np.ndarray
         cells[k] *= max(1, len(used[f]))
     out = []
     for own in groups:
-        code = np.zeros(bins.shape[1], np.uint16)
+        code = array_of(bins.shape[1:], np.uint16)
+        code[:] = 0
         for f in own:
             code *= np.uint16(len(used[f]))
-            code += parts[f]
+            code += part_of(f)
         out.append(([f for k in own for f in same[k]], [(axis, used[f]) for axis, k in enumerate(own) for f in same[k]], code))
     return out
 
@@ -327,46 +356,139 @@ def _stepped(node: np.ndarray, bins: np.ndarray, tree: Tree, level: Sequence[int
         node += step
 
 
-def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float, threads: int = 1) -> list[Tree]:
-    """All trees of a model whose rows are at hand; ``bins`` is [feature, row].  Parts of the rows are
-    added up by ``threads`` threads (numpy lets go of the interpreter), in any order with the same sums."""
-    p, margin, trees, width = job.params, np.full(len(y), base), [], MAX_BINS + 1
-    most = threads * max(1, -(-len(y) // (threads * _CHUNK)))
-    size = max(1, -(-len(y) // most))
-    parts = [slice(lo, lo + size) for lo in range(0, len(y), size)]
-    groups = packed(bins)
-    kind = np.uint8 if 2 ** (p.max_depth + 1) - 1 <= 256 else np.int32
-    with ThreadPoolExecutor(threads) as pool:
-        each = pool.map if threads > 1 else map
-        for k in range(p.n_estimators):
-            columns, growth, node = tree_columns(job, len(bins), k), Growth(job, scale), np.zeros(len(y), kind)
-            drawn = list(each(lambda o: (sampled(key[o], p, k), *gradients(y[o], margin[o], job.objective, scale)), parts))
-            before = None  # sums of the level above, and for each pair its parent's slot
-            while growth.active:
-                # of two sisters the one with fewer rows is added up, the other is the rest of their parent
-                added = np.arange(1) if before is None else np.flatnonzero(growth.lighter())
-                slot_of = np.full(len(growth.tree.feature), -1, np.int16)
-                slot_of[np.array(growth.active)[added]] = np.arange(len(added))
-
-                def add_up(o: slice, own: tuple) -> np.ndarray:
-                    mine, g, h = own
-                    slot = slot_of.take(node[o])
-                    slot[~mine] = -1
-                    return sums(bins[:, o], columns, slot, g, h, len(added), width, [(f, axes, code[o]) for f, axes, code in groups])
-
-                table = np.zeros((2, len(growth.active), len(columns), width))
-                table[:, added] = sum(each(add_up, parts, drawn))
-                if before is not None:
-                    table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
-                before, level = table, growth.active
-                growth.grow(best_splits(table, columns, p, scale))
-                list(each(lambda o: _stepped(node[o], bins[:, o], growth.tree, level), parts))
-            value = np.array(growth.tree.value)
-            list(each(lambda o: np.add(margin[o], value.take(node[o]), out=margin[o]), parts))
-            trees.append(growth.tree)
+def grow_forest(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float, workers: int = 1,
+                names: Sequence[int] | None = None, features: int | None = None) -> list[Tree]:
+    """All trees of a model whose rows are at hand; ``bins`` is [feature, row], its features are ``names`` of all
+    ``features``, the others are 0 everywhere.  ``workers`` processes share the rows: the same sums in any order."""
+    names = np.arange(len(bins)) if names is None else np.asarray(names)
+    features = len(bins) if features is None else features
+    if workers == 1:
+        return _grown(key, bins, y, job, base, scale, names, features)
+    size = -(-len(y) // workers)
+    share = lambda k: slice(min(k * size, len(y)), min((k + 1) * size, len(y)))
+    return together(workers, lambda k, gather: _grown(key[share(k)], bins[:, share(k)], y[share(k)], job, base, scale, names, features, gather))
+
+
+def together(workers: int, work: Callable[[int, Callable[[bytes], list[bytes]]], list]) -> list:
+    """What ``work`` gives to this process, the first of ``workers``; the others are forked.  Each gets its number and
+    ``gather``, which all call alike: it gives what each of them says, in order."""
+    ends, children = [], []
+
+    def alone(k: int, up) -> None:
+        def gather(own: bytes) -> list[bytes]:
+            up.send_bytes(own)
+            return up.recv()
+
+        status = 1
+        try:
+            work(k, gather)
+            status = 0
+        except BaseException:
+            traceback.print_exc()
+        finally:
+            os._exit(status)
+
+    def gather(own: bytes) -> list[bytes]:
+        said = [own, *(end.recv_bytes() for end in ends)]
+        for end in ends:
+            end.send(said)
+        return said
+
+    try:
+        for k in range(1, workers):
+            down, up = Pipe()
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")  # the children only compute
+                pid = os.fork()
+            if not pid:
+                for end in (down, *ends):
+                    end.close()
+                alone(k, up)
+            up.close()
+            ends.append(down)
+            children.append(pid)
+        return work(0, gather)
+    finally:
+        for end in ends:
+            end.close()
+        for pid in children:
+            os.waitpid(pid, 0)
+
+
+def _grown(key: np.ndarray, bins: np.ndarray, y: np.ndarray, job: Job, base: float, scale: float, names: np.ndarray, features: int,
+           gather: Callable[[bytes], list[bytes]] | None = None) -> list[Tree]:
+    """``grow_forest`` of a process: of all rows, or of its share if ``gather`` gives what the others say."""
+    p, n, margin, trees, width = job.params, len(y), np.full(len(y), base), [], MAX_BINS + 1
+    groups = packed(bins, gather) if gather else packed(bins)
+    kind, slots = (np.uint8, np.int8) if 2 ** (p.max_depth + 1) - 1 <= 256 else (np.int32, np.int16)
+    parts = [slice(lo, min(lo + _CHUNK, n)) for lo in range(0, n, _CHUNK)]
+    left_out, node, g, h = np.empty(n, slots), np.empty(n, kind), np.empty(n), np.empty(n) if job.objective == "logistic" else float(np.rint(scale))
+    for k in range(p.n_estimators):
+        columns, growth = kept_columns(job, names, features, k), Growth(job, scale)
+        node[:] = 0
+        for o in parts:
+            np.subtract(sampled(key[o], p, k), 1, out=left_out[o], dtype=slots)  # -1: not in the sample
+            g[o], each = gradients(y[o], margin[o], job.objective, scale)
+            if job.objective == "logistic":
+                h[o] = each
+        before = None  # sums of the level above, and for each pair its parent's slot
+        while growth.active:
+            # of two sisters the one with fewer rows is added up, the other is the rest of their parent
+            added = np.arange(1) if before is None else np.flatnonzero(growth.lighter())
+            slot_of = np.full(len(growth.tree.feature), -1, slots)
+            slot_of[np.array(growth.active)[added]] = np.arange(len(added))
+            slot = slot_of.take(node)
+            slot |= left_out
+            own = sums(bins, columns, slot, g, h, len(added), width, groups)
+            table = np.zeros((2, len(growth.active), len(columns), width))
+            table[:, added] = own if gather is None else _gathered(own, columns, groups, gather)
+            if before is not None:
+                table[:, added ^ 1] = before[:, growth.parents] - table[:, added]
+            before, level = table, growth.active
+            growth.grow(best_splits(table, columns, p, scale))
+            for o in parts:
+                _stepped(node[o], bins[:, o], growth.tree, level)
+        value = np.array(growth.tree.value)
+        for o in parts:
+            margin[o] += value.take(node[o])
+        trees.append(growth.tree)
+    for t in trees:
+        t.feature = [int(names[f]) if f >= 0 else f for f in t.feature]
     return trees
 
 
+def kept_columns(job: Job, names: np.ndarray, features: int, tree: int) -> np.ndarray:
+    """Places in ``names`` of the features that a tree may split on; one that is not among them is 0
+    everywhere, and so is the one of ``names`` that stands for all of them (``standing_for``)."""
+    own, place = tree_columns(job, features, tree), np.full(features, -1)
+    place[names] = np.arange(len(names))
+    rest = place[own] < 0
+    if rest.any():
+        place[place < 0] = len(names) - 1
+    return np.unique(place[own])
+
+
+def _gathered(own: np.ndarray, columns: np.ndarray, groups, gather: Callable[[bytes], list[bytes]]) -> np.ndarray:
+    """``sums`` of the rows of all processes: each says those of one feature an axis and of the bins that occur."""
+    place, cells, copies = {int(f): c for c, f in enumerate(columns)}, np.zeros(own.shape[2:], bool), []
+    for features, axes, _ in groups:
+        first: dict[int, int] = {}
+        for f, (axis, used) in zip(features, axes):
+            if f in place and axis in first:
+                copies.append((f, first[axis]))
+            elif f in place:
+                first[axis] = f
+                cells[place[f], used] = True
+    used_by = {f: used for features, axes, _ in groups for f, (_, used) in zip(features, axes)}
+    told = own[:, :, cells]
+    total = sum(np.frombuffer(x).reshape(told.shape) for x in gather(told.tobytes()))
+    out = np.zeros_like(own)
+    out[:, :, cells] = total
+    for f, of in copies:
+        out[:, :, place[f], used_by[f]] = out[:, :, place[of], used_by[of]]
+    return out
+
+
 # ---------------------------------------------------------------- fits
 
 #: Trees are stored complete, a step of ``depth`` for every row: node k has the children 2k + 1 (below the
@@ -434,51 +556,28 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     ``zero`` features that are 0 in every row: their one border needs no pass.
     """
     view_names, label_names, n_features = list(views), list(labels), len(features)
+    # features that are 0 everywhere have one bin: the last one of ``names`` stands for all of them
+    names = [i for i, f in enumerate(features) if f not in zero] + [i for i, f in enumerate(features) if f in zero][:1]
+    live = [i for i in names if features[i] not in zero]
     inside = F.filter(F.array(*[F.when(F.coalesce(views[v], F.lit(False)), F.lit(i)) for i, v in enumerate(view_names)]), lambda v: v.isNotNull())
-    base = df.select(F.xxhash64(*key).alias("key"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
+    base = df.select(F.xxhash64(*key).alias("key"), F.array(*[F.col(features[i]).cast("double") for i in live]).cast("array<double>").alias("x"),
                      F.array(*[c.cast("double") for c in labels.values()]).alias("y"), inside.alias("views"))
-    base = materialize(base.filter(F.size("views") > 0))
-    rows = base.select("key", "x", "y", F.explode("views").alias("view"))
+    base = spread(materialize(base.filter(F.size("views") > 0).withColumn("within", F.array_join(F.col("views").cast("array<string>"), ","))))
 
-    # one pass: size, label sums and bin borders of every view
-    shares = F.array(*[F.lit(k / MAX_BINS) for k in range(MAX_BINS)])
+    # size and label sums of every view, and the bin borders of its features
     facts = [F.count(F.lit(1)).alias("n")]
     for k in range(len(label_names)):
         facts += [F.avg(F.col("y")[k]).alias(f"mean{k}"), F.max(F.abs(F.col("y")[k])).alias(f"top{k}"), F.count(F.col("y")[k]).alias(f"n{k}")]
-    facts += [F.percentile_approx(F.col("x")[i], shares, 10_000).alias(f"q{i}") for i, f in enumerate(features) if f not in zero]
+    rows = base.select("y", F.explode("views").alias("view"))
     about = {view_names[r["view"]]: r for r in rows.groupBy("view").agg(*facts).collect()}  # one row a view
-    cuts = {v: [[0.0] if f in zero else sorted(set(r[f"q{i}"])) for i, f in enumerate(features)] for v, r in about.items()}
-
-    by_view = {i: cuts.get(v) for i, v in enumerate(view_names)}
-
-    def blocks_of(batches):
-        held: dict[int, list] = {}
-
-        def cut(view: int, least: int):
-            key, x, y = (np.concatenate(v) for v in zip(*held[view]))
-            whole = len(key) // least * least
-            for lo in range(0, whole, BLOCK):
-                o = slice(lo, min(lo + BLOCK, whole))
-                bins = np.empty((n_features, len(key[o])), np.uint8)
-                for f, c in enumerate(by_view[view]):
-                    bins[f] = np.searchsorted(c, x[o, f], side="right")
-                yield pa.RecordBatch.from_pylist([_block_row(view, key[o], bins, y[o].T, np.empty(0))], schema=_ARROW_BLOCKS)
-            held[view] = [(key[whole:], x[whole:], y[whole:])]
-
-        for batch in batches:
-            n = batch.num_rows
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            y = batch.column("y").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
-            view, key = batch.column("view").to_numpy(), batch.column("key").to_numpy()
-            for v in np.unique(view).tolist():
-                own = view == v
-                held.setdefault(v, []).append((key[own], x[own], y[own]))
-                if sum(len(k) for k, _, _ in held[v]) >= BLOCK:
-                    yield from cut(v, BLOCK)
-        for v in held:
-            yield from cut(v, 1)
+    found = {(r["view"], r["feature"]): r["cuts"] for r in borders(base, len(live)).collect()}  # views x features
+    at = {i: k for k, i in enumerate(live)}
+    cuts = {v: [[0.0] if f in zero else found.get((view_names.index(v), at[i]), []) for i, f in enumerate(features)] for v in about}
 
-    blocks = materialize(spread(base).select("key", "x", "y", F.explode("views").alias("view")).mapInArrow(blocks_of, _BLOCKS))
+    def blocks(some: Collection[int]) -> DataFrame:
+        """Blocks of the rows of some views."""
+        own = base.filter(F.arrays_overlap("views", F.array(*map(F.lit, some)))) if len(some) < len(view_names) else base
+        return own.select("key", "x", "y", "within").mapInArrow(_cut({v: [cuts[view_names[v]][i] for i in names] for v in some}, len(live)), _BLOCKS)
 
     plan: dict[int, tuple[Job, int, float, float, int]] = {}
     empty = []
@@ -496,44 +595,157 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     large = {i: v for i, v in plan.items() if i not in small}
     forests = df.sparkSession.createDataFrame(empty, FOREST)
     if small:
-        forests = forests.unionByName(_in_tasks(blocks, small, view_names, cuts, n_features))
+        forests = forests.unionByName(_in_tasks(blocks, small, view_names, cuts, names))
     if large:
-        grown = _by_levels(blocks, large, view_names, n_features)
+        own = sorted({view_names.index(v[0].view) for v in large.values()})
+        grown = _by_levels(materialize(blocks(own)), large, view_names, names, n_features)
         done = [_forest_row(job, start, n, grown[i], cuts[job.view]) for i, (job, _, start, _, n) in large.items()]
         forests = forests.unionByName(df.sparkSession.createDataFrame(done, FOREST))
     return materialize(forests)
 
 
-def _in_tasks(blocks: DataFrame, plan, view_names, cuts, n_features) -> DataFrame:
+def borders(base: DataFrame, features: int) -> DataFrame:
+    """(view, feature, cuts): the ``MAX_BINS`` quantiles of each feature in each view, each value once.
+
+    Rows of the same views are a part; a task sorts a part's values once for all of its views, and ``_POINTS``
+    of them stand for more (a quantile is then off by 1 / (2 * _POINTS) of the rows at most)."""
+
+    def points(batches):
+        held: dict[str, list] = {}
+
+        def told():
+            for within, some in held.items():
+                x, views = np.concatenate(some), [int(v) for v in within.split(",")]
+                for f in range(features):
+                    v = x[:, f]
+                    v, weight = np.sort(v[~np.isnan(v)]), 1.0
+                    if len(v) > _POINTS:
+                        at = ((np.arange(_POINTS) + 0.5) * len(v) / _POINTS).astype(np.int64)
+                        at[0] = 0
+                        v, weight = v[at], len(v) / _POINTS
+                    yield pa.RecordBatch.from_pylist([{"feature": f, "views": views, "weight": weight, "points": v.tobytes()}], schema=_ARROW_POINTS)
+            held.clear()
+
+        n = 0
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            within = batch.column("within").dictionary_encode()
+            part = within.indices.to_numpy()
+            for k, name in enumerate(within.dictionary.to_pylist()):
+                held.setdefault(name, []).append(x[part == k])
+            n += batch.num_rows
+            if n >= _SORTED:
+                yield from told()
+                n = 0
+        yield from told()
+
+    def merged(table: pa.Table) -> pa.Table:
+        weights = np.repeat(table["weight"].to_numpy(), [len(p.as_py()) // 8 for p in table["points"]])
+        values = np.frombuffer(b"".join(p.as_py() for p in table["points"]))
+        part = np.repeat(np.arange(table.num_rows), [len(p.as_py()) // 8 for p in table["points"]])
+        order = np.argsort(values, kind="stable")
+        values, weights, part = values[order], weights[order], part[order]
+        own, out = [set(v.as_py()) for v in table["views"]], []
+        for view in sorted(set().union(*own)):
+            below = np.cumsum(weights * np.array([view in v for v in own])[part])
+            n = round(below[-1]) if len(below) else 0
+            ranks = [max(1, math.ceil(k / MAX_BINS * n)) - 0.5 for k in range(MAX_BINS)]
+            picked = values[np.minimum(np.searchsorted(below, ranks), len(below) - 1)] if n else []
+            out.append({"view": view, "feature": table["feature"][0].as_py(), "cuts": sorted({float(v) for v in picked})})
+        return pa.Table.from_pylist(out, schema=_ARROW_CUTS)
+
+    parts = base.select("x", "within").mapInArrow(points, "feature int, views array<int>, weight double, points binary")
+    return parts.groupBy("feature").applyInArrow(merged, "view int, feature int, cuts array<double>")
+
+
+_ARROW_POINTS = pa.schema([("feature", pa.int32()), ("views", pa.list_(pa.int32())), ("weight", pa.float64()), ("points", pa.binary())])
+_ARROW_CUTS = pa.schema([("view", pa.int32()), ("feature", pa.int32()), ("cuts", pa.list_(pa.float64()))])
+
+
+def _cut(by_view: Mapping[int, Sequence[Sequence[float]]], live: int):
+    """Rows of all views as blocks of the binned rows of one view (``by_view`` has the borders of
+    its features; those behind the ``live`` ones are 0)."""
+    # a value's place among the borders of all views, and the bin of each view that it stands for
+    every = [np.unique(np.concatenate([np.asarray(cuts[f], float) for cuts in by_view.values()])) for f in range(live)]
+    bin_of = {v: [np.concatenate([[0], np.searchsorted(cuts[f], every[f], side="right")]).astype(np.uint8) for f in range(live)] for v, cuts in by_view.items()}
+    rest = {v: [np.searchsorted(c, 0.0, side="right") for c in cuts[live:]] for v, cuts in by_view.items()}
+
+    def blocks_of(batches):
+        held: dict[int, list] = {v: [] for v in by_view}
+        waiting = dict.fromkeys(by_view, 0)
+
+        def told(v: int, least: int):
+            keys, bins, y = zip(*held[v])
+            keys, bins, y = np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y)
+            whole = len(keys) // least * least
+            for lo in range(0, whole, BLOCK):
+                o = slice(lo, min(lo + BLOCK, whole))
+                yield pa.RecordBatch.from_pylist([_block_row(v, keys[o], bins[:, o], y[o].T, np.empty(0))], schema=_ARROW_BLOCKS)
+            held[v], waiting[v] = [(keys[whole:], bins[:, whole:], y[whole:])], len(keys) - whole
+
+        for batch in batches:
+            n = batch.num_rows
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            y = batch.column("y").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
+            key, within = batch.column("key").to_numpy(), batch.column("within").dictionary_encode()
+            part, parts = within.indices.to_numpy(), [set(map(int, w.split(","))) for w in within.dictionary.to_pylist()]
+            place = [np.searchsorted(every[f], x[:, f], side="right") for f in range(live)]
+            for v in by_view:
+                own = np.flatnonzero(np.array([v in p for p in parts])[part])
+                if not len(own):
+                    continue
+                bins = np.empty((live + len(rest[v]), len(own)), np.uint8)
+                for f in range(live):
+                    bins[f] = bin_of[v][f].take(place[f].take(own))
+                for k, b in enumerate(rest[v]):
+                    bins[live + k] = b
+                held[v].append((key[own], bins, y[own]))
+                waiting[v] += len(own)
+                if waiting[v] >= BLOCK:
+                    yield from told(v, BLOCK)
+        for v in by_view:
+            if held[v]:
+                yield from told(v, 1)
+
+    return blocks_of
+
+
+def _in_tasks(blocks, plan, view_names, cuts, names) -> DataFrame:
     """Each model in a task of its own, all at the same time."""
-    # the longest first, the blocks dealt out by ranges of models: large models get a task each
-    order = sorted(plan, key=lambda i: -plan[i][4] * plan[i][0].params.n_estimators * plan[i][0].params.max_depth)
+    # the longest first: the number of a model is that of its partition
+    work = {i: v[4] * v[0].params.n_estimators * v[0].params.max_depth for i, v in plan.items()}
+    order = sorted(plan, key=lambda i: -work[i])
     models_of: dict[int, list[int]] = {}
     for at, i in enumerate(order):
         models_of.setdefault(view_names.index(plan[i][0].view), []).append(at)
     lists = F.create_map(*[x for v, own in models_of.items() for x in (F.lit(v), F.array(*map(F.lit, own)))])
-    rows = blocks.filter(F.col("view").isin(list(models_of))).withColumn("model", F.explode(lists[F.col("view")]))
-    rows = rows.repartitionByRange(2 * len(plan), "model")
+    rows = blocks(sorted(models_of)).withColumn("model", F.explode(lists[F.col("view")])).repartitionById(len(order), "model")
     # task slots that the models leave idle go to the largest ones
-    slots, whole = blocks.sparkSession.sparkContext.defaultParallelism, sum(v[4] for v in plan.values())
-    threads = {i: max(1, min(_THREADS, slots * v[4] // whole)) for i, v in plan.items()}
-
-    def train(table: pa.Table) -> pa.Table:
-        i = order[table["model"][0].as_py()]
-        job, k, start, scale, n = plan[i]
-        parts = []
-        for batch in table.to_batches():
-            for _, key, bins, y, _ in _blocks(batch):
+    slots, whole = rows.sparkSession.sparkContext.defaultParallelism, max(1, sum(work.values()))
+    workers = {i: max(1, min(_WORKERS, slots * work[i] // whole, v[4] // _LEAST_SHARE)) for i, v in plan.items()}
+
+    def train(batches):
+        at, lo = None, 0
+        for batch in batches:
+            if at is None:
+                at = batch.column("model")[0].as_py()
+                job, k, start, scale, n = plan[order[at]]
+                keys, bins, ys = array_of([n], np.int64), array_of([len(names), n], np.uint8), array_of([n], float)
+            for _, key, block, y, _ in _blocks(batch):
                 has = ~np.isnan(y[k])
-                parts.append((key[has], bins.compress(has, axis=1), y[k][has]))  # rows of a feature together
-        keys, bins, y = zip(*parts)
-        trees = grow_forest(np.concatenate(keys), np.concatenate(bins, axis=1), np.concatenate(y), job, start, scale, threads[i])
-        return pa.Table.from_pylist([_forest_row(job, start, n, trees, cuts[job.view])], schema=_ARROW_FOREST)
+                o = slice(lo, lo + int(has.sum()))
+                keys[o], bins[:, o], ys[o] = key[has], block.compress(has, axis=1), y[k][has]  # rows of a feature together
+                lo = o.stop
+        if at is not None:
+            many = min(workers[order[at]], os.cpu_count() or 1)
+            trees = grow_forest(keys[:lo], bins[:, :lo], ys[:lo], job, start, scale, many, names, n_features)
+            yield pa.RecordBatch.from_pylist([_forest_row(job, start, n, trees, cuts[job.view])], schema=_ARROW_FOREST)
 
-    return rows.groupBy("model").applyInArrow(train, FOREST)
+    n_features = len(next(iter(cuts.values())))
+    return rows.mapInArrow(train, FOREST)
 
 
-def _by_levels(blocks: DataFrame, plan, view_names, n_features) -> dict[int, list[Tree]]:
+def _by_levels(blocks: DataFrame, plan, view_names, names, n_features) -> dict[int, list[Tree]]:
     """All models level by level; sums are grouped by (model, node)."""
     spark = blocks.sparkSession
     place: dict[int, tuple[int, int]] = {}  # model -> (view, position of its margin)
@@ -560,7 +772,7 @@ def _by_levels(blocks: DataFrame, plan, view_names, n_features) -> dict[int, lis
 
     def level(k: int, under_way: dict[int, Growth]) -> dict[int, dict[int, tuple]]:
         recent = spark.sparkContext.broadcast({i: trees[i][kept:] for i in under_way})
-        columns = {i: tree_columns(plan[i][0], n_features, k) for i in under_way}
+        columns = {i: kept_columns(plan[i][0], np.asarray(names), n_features, k) for i in under_way}
 
         def add_up(batches):
             total: dict[int, np.ndarray] = {}
@@ -619,6 +831,8 @@ def _by_levels(blocks: DataFrame, plan, view_names, n_features) -> dict[int, lis
         if k + 1 - kept >= KEEP:
             state = materialize(state.mapInArrow(with_margins, _BLOCKS))
             kept = k + 1
+    for t in (t for own in trees.values() for t in own):
+        t.feature = [names[f] if f >= 0 else f for f in t.feature]
     return trees
 
 
