@@ -42,8 +42,8 @@ import os
 import tempfile
 import traceback
 import warnings
-from collections.abc import Callable, Collection, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from multiprocessing import Pipe
 
 import numpy as np
@@ -75,7 +75,9 @@ _CELLS = 65 * 65
 _ADDED = 1 << 16
 #: Split nodes of a level up to which all its conditions are taken for all rows.
 _FLAT_LEVEL = 32
-_WALKED = 1 << 13
+#: Rows that are scored at a time, and rows of a batch of them in one model's walk.
+_SCORED = 1 << 18
+_WALKED = 1 << 16
 #: Nodes up to which all conditions of a tree are taken for all rows; deeper trees are walked.
 _FLAT_NODES = 256
 
@@ -556,6 +558,12 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     ``zero`` features that are 0 in every row: their one border needs no pass.
     """
     view_names, label_names, n_features = list(views), list(labels), len(features)
+    # models that differ in their names alone are one: it is grown once
+    first: dict[Job, str] = {}
+    names_of: dict[str, list[str]] = {}
+    for job in jobs:
+        names_of.setdefault(first.setdefault(replace(job, model=""), job.model), []).append(job.model)
+    jobs = [job for job in jobs if job.model in names_of]
     # features that are 0 everywhere have one bin: the last one of ``names`` stands for all of them
     names = [i for i, f in enumerate(features) if f not in zero] + [i for i, f in enumerate(features) if f in zero][:1]
     live = [i for i in names if features[i] not in zero]
@@ -601,6 +609,9 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
         grown = _by_levels(materialize(blocks(own)), large, view_names, names, n_features)
         done = [_forest_row(job, start, n, grown[i], cuts[job.view]) for i, (job, _, start, _, n) in large.items()]
         forests = forests.unionByName(df.sparkSession.createDataFrame(done, FOREST))
+    if any(len(own) > 1 for own in names_of.values()):
+        every = F.create_map(*[x for m, own in names_of.items() for x in (F.lit(m), F.array(*map(F.lit, own)))])
+        forests = materialize(forests).withColumn("model", F.explode(every[F.col("model")]))
     return materialize(forests)
 
 
@@ -713,7 +724,7 @@ def _cut(by_view: Mapping[int, Sequence[Sequence[float]]], live: int):
 def _in_tasks(blocks, plan, view_names, cuts, names) -> DataFrame:
     """Each model in a task of its own, all at the same time."""
     # the longest first: the number of a model is that of its partition
-    work = {i: v[4] * v[0].params.n_estimators * v[0].params.max_depth for i, v in plan.items()}
+    work = {i: v[4] * v[0].params.n_estimators * v[0].params.max_depth * (3 if v[0].objective == "logistic" else 2) for i, v in plan.items()}
     order = sorted(plan, key=lambda i: -work[i])
     models_of: dict[int, list[int]] = {}
     for at, i in enumerate(order):
@@ -722,7 +733,7 @@ def _in_tasks(blocks, plan, view_names, cuts, names) -> DataFrame:
     rows = blocks(sorted(models_of)).withColumn("model", F.explode(lists[F.col("view")])).repartitionById(len(order), "model")
     # task slots that the models leave idle go to the largest ones
     slots, whole = rows.sparkSession.sparkContext.defaultParallelism, max(1, sum(work.values()))
-    workers = {i: max(1, min(_WORKERS, slots * work[i] // whole, v[4] // _LEAST_SHARE)) for i, v in plan.items()}
+    workers = {i: max(1, min(_WORKERS, round(slots * work[i] / whole), v[4] // _LEAST_SHARE)) for i, v in plan.items()}
 
     def train(batches):
         at, lo = None, 0
@@ -874,44 +885,105 @@ def score_forests(df: DataFrame, forests: DataFrame, features: Sequence[str], mo
 
 
 def score_rows(df: DataFrame, forests: DataFrame, features: Sequence[str], model: Column, out: str) -> DataFrame:
-    """What ``score_forests`` gives, to the bit, with the trees walked by batches of rows in numpy (some
-    40 nanoseconds a tree and row); forests above ``BROADCAST_BYTES`` take the join of ``score_forests``."""
+    """``score_each`` for one model a row."""
+    return score_each(df, forests, features, {out: model})
+
+
+def score_each(df: DataFrame, forests: DataFrame, features: Sequence[str], models: Mapping[str, Column]) -> DataFrame:
+    """``df`` with the score of each of the models that its rows name (new column: model), as ``score_forests`` gives them to the
+    bit; rows go to Python once.  Trees are walked by batches of rows in numpy (some 10 nanoseconds a tree and row: values become
+    places among a forest's cuts, a byte each, and all conditions of a tree are taken for all rows); forests above
+    ``BROADCAST_BYTES`` take the join of ``score_forests``."""
     nodes = forests.agg(F.sum(F.aggregate("trees", F.lit(0).cast("long"), lambda n, t: n + F.size(t["value"])))).first()[0] or 0
     if nodes * 20 > BROADCAST_BYTES or not features:
-        return score_forests(df, forests, features, model, out)
+        for out, model in models.items():
+            df = score_forests(df, forests, features, model, out)
+        return df
     own, logistic = {}, []
     for r in forests.select("model", "objective", "base", "depth", "trees").collect():  # bounded as above
-        trees = [(np.array(t["feature"], np.int32), np.array(t["cut"], float), np.array(t["value"], float)) for t in r["trees"]]
-        own[r["model"]] = (r["base"], r["depth"], trees)
+        own[r["model"]] = (r["base"], *_by_places([(t["feature"], t["cut"], t["value"]) for t in r["trees"]]))
         logistic += [r["model"]] * (r["objective"] == "logistic")
+    used = sorted({f for _, cuts, _ in own.values() for f in cuts}) or [0]
+    column, many = {f: c for c, f in enumerate(used)}, len(models)
     shared = df.sparkSession.sparkContext.broadcast(own)
 
     def margin(x: np.ndarray, name: str) -> np.ndarray:
-        base, depth, trees = shared.value[name]
-        total, rows = np.full(x.shape[1], base), np.arange(x.shape[1])
-        for feature, cut, value in trees:
-            node = np.zeros(x.shape[1], np.int64)
-            for _ in range(depth):
-                node = 2 * node + 2 - (x[feature[node], rows] < cut[node])
-            total += value[node - (2**depth - 1)]
+        base, cuts, trees = shared.value[name]
+        place = {f: np.searchsorted(c, x[column[f]], side="right").astype(np.uint8 if len(c) < 256 else np.int32) for f, c in cuts.items()}
+        total = np.full(x.shape[1], base)
+        for root, value in trees:
+            total += value.take(_leaves(root, place)) if isinstance(root, tuple) else value[root]
         return total
 
-    def score(key: pa.Array, *columns: pa.Array) -> pa.Array:
-        x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
-        total, scored, names = np.zeros(len(key)), np.zeros(len(key), bool), key.dictionary_encode()
-        at = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        for k, name in enumerate(names.dictionary.to_pylist()):
-            if name in shared.value:
-                mine = np.flatnonzero(at == k)
-                for lo in range(0, len(mine), _WALKED):
-                    own_rows = mine[lo: lo + _WALKED]
-                    total[own_rows] = margin(x[:, own_rows], name)
-                    scored[own_rows] = True
-        return pa.array(total, mask=~scored)
-
-    walked = F.arrow_udf(score, "double")
-    key = model.cast("string")
-    rows = spread(df).withColumn(out, walked(key, *[F.col(f).cast("double") for f in features]))
+    def scored(some: list[tuple[pa.Array, ...]]) -> pa.Array:
+        x = np.stack([np.concatenate([s[many + c].to_numpy(zero_copy_only=False).astype(float) for s in some]) for c in range(len(used))])
+        total, found = np.zeros((x.shape[1], many)), np.zeros((x.shape[1], many), bool)
+        for k in range(many):
+            names = pa.concat_arrays([s[k] for s in some]).dictionary_encode()
+            at = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for i, name in enumerate(names.dictionary.to_pylist()):
+                if name in shared.value:
+                    mine = np.flatnonzero(at == i)
+                    for lo in range(0, len(mine), _WALKED):
+                        own_rows = mine[lo: lo + _WALKED]
+                        total[own_rows, k] = margin(x[:, own_rows], name)
+                        found[own_rows, k] = True
+        values = pa.array(total.ravel(), mask=~found.ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(x.shape[1] + 1, dtype=np.int32) * many), values)
+
+    def score(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += len(batch[0])
+            if n >= _SCORED:
+                yield scored(held)
+                held, n = [], 0
+        if held:
+            yield scored(held)
+
+    walked, keys = F.arrow_udf(score, "array<double>"), [m.cast("string") for m in models.values()]
+    rows = spread(df).withColumn("__scores", walked(*keys, *[F.col(features[f]).cast("double") for f in used]))
+    rows = rows.withColumns({out: F.get("__scores", F.lit(k)) for k, out in enumerate(models)}).drop("__scores")
     if not logistic:
         return rows
-    return rows.withColumn(out, F.when(key.isin(logistic), 1.0 / (1.0 + F.exp(-F.col(out)))).otherwise(F.col(out)))
+    return rows.withColumns({out: F.when(key.isin(logistic), 1.0 / (1.0 + F.exp(-F.col(out)))).otherwise(F.col(out)) for out, key in zip(models, keys)})
+
+
+def _by_places(trees: Sequence[tuple]) -> tuple[dict[int, np.ndarray], list[tuple]]:
+    """Cuts of each feature of a forest, and of each tree the root and the leaves' values: a node is (feature, place of its cut,
+    left, right) or a leaf's number.  A node without a cut has the same leaf on both sides."""
+    cuts: dict[int, set] = {}
+    for feature, cut, _ in trees:
+        for f, c in zip(feature, cut):
+            if c < math.inf:
+                cuts.setdefault(f, set()).add(c)
+    places = {f: np.array(sorted(c)) for f, c in cuts.items()}
+
+    def node(k: int, feature, cut):
+        if k >= len(feature):
+            return k - len(feature)
+        if cut[k] == math.inf:
+            return node(2 * k + 1, feature, cut)
+        return feature[k], int(np.searchsorted(places[feature[k]], cut[k])), node(2 * k + 1, feature, cut), node(2 * k + 2, feature, cut)
+
+    return places, [(node(0, feature, cut), np.array(value, float)) for feature, cut, value in trees]
+
+
+def _leaves(node: tuple, place: Mapping[int, np.ndarray]) -> np.ndarray:
+    """The leaf that each row comes to below ``node``."""
+    f, cut, left, right = node
+    above = place[f] > cut
+    a, b = (_leaves(x, place) if isinstance(x, tuple) else x for x in (left, right))
+    if not isinstance(left, tuple) and not isinstance(right, tuple):
+        if b < 256:
+            above = above.view(np.uint8)
+            above = above * np.uint8(b - a)
+            above += np.uint8(a)
+            return above
+        return np.where(above, b, a)
+    small = all(x.dtype == np.uint8 if isinstance(x, np.ndarray) else x < 256 for x in (a, b))
+    if not small:
+        return np.where(above, b, a)
+    a, b = (x if isinstance(x, np.ndarray) else np.uint8(x) for x in (a, b))
+    return a ^ ((a ^ b) & -above.view(np.uint8))

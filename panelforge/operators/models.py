@@ -155,22 +155,24 @@ def predict_variant(bundle, df: DataFrame, features: Sequence[str], out: str = "
 
 def predict_variants(bundles: Mapping, df: DataFrame, features: Sequence[str], out: str = "predicted_points", segment: str = "position_id") -> DataFrame:
     """Every row once for each variant (column ``model``), scored by that variant's
-    bundle of ``fit_variants``: rows name their models, so one scan serves all."""
-    rows = prepare(df, features).withColumn("model", F.explode(F.array(*map(F.lit, bundles))))
-    points, chance, forests = F.lit(None).cast("string"), F.lit(None).cast("string"), None
-    for v, (kind, m) in bundles.items():
-        mine = F.col("model") == v
+    bundle of ``fit_variants``: rows name the models of all variants, and are copied once scored."""
+    names, forests = {}, None
+    for k, (kind, m) in enumerate(bundles.values()):
         if kind == "two_stage":
-            chance, points, forests = F.when(mine, F.lit(m[0].name)).otherwise(chance), F.when(mine, F.lit(m[1].name)).otherwise(points), m[1].forests
+            names |= {f"__chance{k}": F.lit(m[0].name), f"__points{k}": F.lit(m[1].name)}
+            forests = m[1].forests
         elif kind == "segments":
             name = F.lit(m[None].name)
             for s in m:
                 name = F.when(F.col(segment) == s, F.lit(m[s].name)).otherwise(name) if s is not None else name
-            points, forests = F.when(mine, name).otherwise(points), m[None].forests
+            names[f"__points{k}"], forests = name, m[None].forests
         else:
-            points, forests = F.when(mine, F.lit(m.name)).otherwise(points), m.forests
-    rows = bo.score_rows(bo.score_rows(rows, forests, features, chance, "__chance"), forests, features, points, out)
-    return rows.withColumn(out, signed_expm1(out) * F.coalesce(F.col("__chance"), F.lit(1.0))).drop("__chance")
+            names[f"__points{k}"], forests = F.lit(m.name), m.forests
+    rows = bo.score_each(prepare(df, features), forests, features, names)
+    chance = lambda k: F.coalesce(F.col(f"__chance{k}"), F.lit(1.0)) if f"__chance{k}" in names else F.lit(1.0)
+    each = [F.struct(F.lit(v).alias("model"), (signed_expm1(f"__points{k}") * chance(k)).alias(out)) for k, v in enumerate(bundles)]
+    kept = [c for c in rows.columns if c not in names]
+    return rows.select(*kept, F.inline(F.array(*each)))
 
 
 def _models(bundle) -> list[Model]:

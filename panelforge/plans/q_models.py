@@ -122,15 +122,16 @@ def evaluated(train, holdout, key: str = "model", strength=ca.CALIBRATION_STRENG
 
     ``train`` and ``holdout`` are scored rows (``predicted_points``); returns
     (summary, coefficients, selected calibration, gates), one row or set of rows a model."""
-    by = [key]
-    train, holdout = materialize(train), materialize(holdout)
+    by, rule = [key], gt.ModelRules().required_baseline
+    # what is read below, not all features of each model's rows
+    train = materialize(train.select(key, "position_id", ACT, "predicted_points"))
+    holdout = materialize(holdout.select(key, "player_id", "position_id", "target_gameweek_id", "minutes_played", rule, ACT, "predicted_points"))
     coeffs = materialize(ca.fit_calibration(train, ACT, "predicted_points", strength=strength, by=by))
     long = ca.variant_long(holdout, ACT, "predicted_points", coeffs, by=by)
     selected = materialize(ca.select_variant(ca.calibration_report(long, by=by), tolerance, by=by))
     picked = holdout.join(selected.select(key, "selected_variant"), key)
     final = (ca.postprocess(picked, "predicted_points", "__final", variant=F.col("selected_variant"), coeffs=coeffs, by=by)
              .withColumn("predicted_points", F.col("__final")).drop("__final", "selected_variant"))
-    rule = gt.ModelRules().required_baseline
     both = final.withColumn("__who", F.explode(F.array(F.lit("m"), F.lit("b"))))  # the model's rows, and the baseline's
     both = materialize(both.withColumn("predicted_points", F.when(F.col("__who") == "m", F.col("predicted_points")).otherwise(F.coalesce(F.col(rule), F.lit(0.0)))))
     wk = bt.weekly_backtest(both, by=[key, "__who"], materialize_input=False)
@@ -213,8 +214,9 @@ def trial_results(m, params, feats):
     league = tr.agg(F.avg(ACT).alias("__lm"))
 
     def scored(df):
-        rows = mo.prepare(df, feats).withColumn("iteration", F.explode(F.array(*map(F.lit, own))))
-        rows = bo.score_rows(rows, forests, feats, F.concat(F.lit("trial "), F.col("iteration").cast("string")), "__m")
+        rows = bo.score_each(mo.prepare(df, feats), forests, feats, {f"__m{i}": F.lit(f"trial {i}") for i in own})
+        each = F.inline(F.array(*[F.struct(F.lit(i).alias("iteration"), F.col(f"__m{i}").alias("__m")) for i in own]))
+        rows = rows.select(*[c for c in rows.columns if c not in {f"__m{i}" for i in own}], each)
         shrunk = (1.0 - of("shrinkage_alpha")) * signed_expm1("__m") + of("shrinkage_alpha") * F.col("__lm")
         return attach_row(rows, league).withColumn("predicted_points", shrunk).drop("__m", "__lm")
 
@@ -404,7 +406,8 @@ def q_pit_backfill_model(spark, sf):
     periods = sorted(r[0] for r in panel.select("target_gameweek_id").distinct().collect())[1:]  # nothing to train on before the first
     views = {f"target {t}": F.col("target_gameweek_id") < t for t in periods}
     forests = mo.fit_named(panel, feats, [bo.Job(v, v, "points", PARAMS) for v in views], views)
-    asof = ao.asof_latest(inference_rows(spark, sf).withColumns(raw), targets=periods)
+    # written first: scoring asks for its partitions, which would build these rows twice
+    asof = materialize(ao.asof_latest(inference_rows(spark, sf).withColumns(raw), targets=periods))
     key = F.concat(F.lit("target "), F.col("target_gameweek_id").cast("string"))
     scored = bo.score_rows(mo.prepare(asof, feats), forests, feats, key, "__m").withColumn("score", signed_expm1("__m")).drop("__m")
     scored = materialize(scored)
