@@ -5,8 +5,8 @@ Second-order gradient boosting over histograms.  A fit is a list of ``Job``s
 (folds, segments, targets, trials ...) over one table: each has a view (the rows
 that it learns from), a label, an objective, columns and parameters.
 
-* One pass cuts every feature of every view into bins by its quantiles (``borders``: sorted once
-  for all views), one makes blocks of ``BLOCK`` binned rows of a view: a byte a feature and row, all
+* One pass cuts every feature of every view into bins by its quantiles (``percentile_approx``; ``borders`` for
+  many rows, which are sorted once for all views), one makes blocks of ``BLOCK`` binned rows of a view: a byte a feature and row, all
   rows of a feature together.  Rows go to Python once, whatever the number of their views.
 * Gradients are whole multiples of a power of two, chosen so that sums
   of all rows stay exact in a double.  Sums don't depend on their order,
@@ -63,6 +63,8 @@ LEAST_GAIN = 1e-6
 #: Points that stand for the rows of a view's part when its quantiles are taken, and rows sorted at a time.
 _POINTS = 4096
 _SORTED = 1 << 19
+#: Rows of all views up to which ``percentile_approx`` takes their quantiles.
+_FEW_ROWS = 1_000_000
 _CHUNK = 1 << 18
 #: Processes of a model's task at most, where the fit leaves task slots idle, and the least rows of each.
 _WORKERS = 4
@@ -570,7 +572,7 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     inside = F.filter(F.array(*[F.when(F.coalesce(views[v], F.lit(False)), F.lit(i)) for i, v in enumerate(view_names)]), lambda v: v.isNotNull())
     base = df.select(F.xxhash64(*key).alias("key"), F.array(*[F.col(features[i]).cast("double") for i in live]).cast("array<double>").alias("x"),
                      F.array(*[c.cast("double") for c in labels.values()]).alias("y"), inside.alias("views"))
-    base = spread(materialize(base.filter(F.size("views") > 0).withColumn("within", F.array_join(F.col("views").cast("array<string>"), ","))))
+    base = materialize(base.filter(F.size("views") > 0).withColumn("within", F.array_join(F.col("views").cast("array<string>"), ",")))
 
     # size and label sums of every view, and the bin borders of its features
     facts = [F.count(F.lit(1)).alias("n")]
@@ -578,7 +580,10 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
         facts += [F.avg(F.col("y")[k]).alias(f"mean{k}"), F.max(F.abs(F.col("y")[k])).alias(f"top{k}"), F.count(F.col("y")[k]).alias(f"n{k}")]
     rows = base.select("y", F.explode("views").alias("view"))
     about = {view_names[r["view"]]: r for r in rows.groupBy("view").agg(*facts).collect()}  # one row a view
-    found = {(r["view"], r["feature"]): r["cuts"] for r in borders(base, len(live)).collect()}  # views x features
+    few = sum(r["n"] for r in about.values()) <= _FEW_ROWS
+    cut_by = quantiles(base, len(live)) if few else borders(spread(base), len(live))
+    found = {(r["view"], r["feature"]): sorted(set(r["cuts"] or [])) for r in cut_by.collect()}  # views x features
+    base = spread(base)
     at = {i: k for k, i in enumerate(live)}
     cuts = {v: [[0.0] if f in zero else found.get((view_names.index(v), at[i]), []) for i, f in enumerate(features)] for v in about}
 
@@ -615,6 +620,14 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], views:
     return materialize(forests)
 
 
+def quantiles(base: DataFrame, features: int) -> DataFrame:
+    """``borders`` by ``percentile_approx``, for few rows: they are copied for each view."""
+    shares = F.array(*[F.lit(k / MAX_BINS) for k in range(MAX_BINS)])
+    each = F.array(*[F.percentile_approx(F.col("x")[f], shares, 10_000) for f in range(features)]).cast("array<array<double>>")
+    rows = base.select("x", F.explode("views").alias("view")).groupBy("view").agg(each.alias("each"))
+    return rows.select("view", F.posexplode("each").alias("feature", "cuts"))
+
+
 def borders(base: DataFrame, features: int) -> DataFrame:
     """(view, feature, cuts): the ``MAX_BINS`` quantiles of each feature in each view, each value once.
 

@@ -92,3 +92,18 @@ def test_blocks_of_views_have_the_bins_of_their_own_borders():
             for f in range(2):
                 assert (bins[f] == np.searchsorted(cuts[view][f], x[key, f], side="right")).all()
     assert seen == {v: sum(str(v) in w.split(",") for w in within) for v in seen}
+
+
+def test_few_and_many_rows_get_the_same_borders(spark, monkeypatch):
+    df = spark.range(3000, numPartitions=3).select(F.col("id").alias("k"), (F.xxhash64("id") % 997).cast("double").alias("a"), F.lit(0.0).alias("z"), (F.col("id") % 7).cast("double").alias("b"), (F.col("id") % 5).cast("double").alias("y"))
+    views = {"all": F.lit(True), "odd": F.col("k") % 2 == 1, "none": F.lit(False)}
+    jobs = [bo.Job(v, v, "y", bo.BoostParams(n_estimators=2, max_depth=3)) for v in views]
+    taken, borders = [], bo.borders
+    monkeypatch.setattr(bo, "borders", lambda *a: taken.append(1) or borders(*a))
+
+    def forests(rows):
+        monkeypatch.setattr(bo, "_FEW_ROWS", rows)
+        return sorted(bo.fit_many(df, ["a", "z", "b"], jobs, views, {"y": F.col("y")}, key=["k"], zero=["z"]).collect())
+
+    few = forests(10_000)
+    assert not taken and few == forests(10) and taken == [1]
